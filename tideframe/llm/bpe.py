@@ -19,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideframe.llm.common import pack_ints, pack_strings, pack, partitions, ragged, unpack, unpack_ints, unpack_strings, written
+from tideframe.llm.common import pack_ints, pack_strings, pack, partitions, ragged, unpack, unpack_ints, unpack_strings
 
 #: The pattern of the public rank files, and the code points of \s in it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -106,10 +107,17 @@ def _piece_encoder(key: str, table):
     return _PIECES[key]
 
 
-def _chunked(id_col: str, text_col: str, buckets: int, chunk_chars: int):
+def _chunked(buckets: int, chunk_chars: int, words: bool):
+    """Chunks of documents as rows: their distinct words by bucket, or their positions. A chunk is known by its place and
+    a digest of its texts, so that words never meet the positions of other texts, should df not come twice alike."""
     schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("data", pa.binary())])
 
-    def rows(chunk: int, ids: list, texts: list[str]) -> pa.RecordBatch:
+    def rows(place: int, ids: list, texts: list[str]) -> pa.RecordBatch:
+        digest = xxhash.xxh64(seed=place)
+        for text in texts:
+            digest.update(f"{len(text)} ")
+            digest.update(text)
+        chunk = digest.intdigest() - (1 << 63)
         tokens, counts = pre_tokens(texts)
         seen = dict.fromkeys(tokens, 0)
         by_bucket = defaultdict(list)
@@ -118,17 +126,19 @@ def _chunked(id_col: str, text_col: str, buckets: int, chunk_chars: int):
             by_bucket[zlib.crc32(raw) % buckets].append((raw, word))
         code, out = 0, []
         for b in sorted(by_bucket):
-            words = sorted(by_bucket[b])
-            for _, word in words:
+            own = sorted(by_bucket[b])
+            for _, word in own:
                 seen[word] = code
                 code += 1
-            out.append({"bucket": b, "chunk": chunk, "data": pack_strings([raw for raw, _ in words])})
+            if words:
+                out.append({"bucket": b, "chunk": chunk, "data": pack_strings([raw for raw, _ in own])})
+        if words:
+            return pa.RecordBatch.from_pylist(out, schema)
         codes = np.fromiter(map(seen.__getitem__, tokens), np.uint32, len(tokens))
-        out.append({"bucket": -1, "chunk": chunk, "ids": ids, "counts": pack_ints(counts), "data": pack_ints(codes)})
-        return pa.RecordBatch.from_pylist(out, schema)
+        return pa.RecordBatch.from_pylist([{"bucket": -1, "chunk": chunk, "ids": ids, "counts": pack_ints(counts), "data": pack_ints(codes)}], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
+        place = TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -136,15 +146,15 @@ def _chunked(id_col: str, text_col: str, buckets: int, chunk_chars: int):
                 texts.append(text or "")
                 size += len(texts[-1])
                 if size >= chunk_chars:
-                    yield rows(chunk, ids, texts)
-                    chunk, ids, texts, size = chunk + 1, [], [], 0
+                    yield rows(place, ids, texts)
+                    place, ids, texts, size = place + 1, [], [], 0
         if ids:
-            yield rows(chunk, ids, texts)
+            yield rows(place, ids, texts)
 
     return run
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 12_000_000, buckets: int | None = None) -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 4_000_000, buckets: int | None = None) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit) for each row of df.
 
     A null text counts as empty and has no ids; repeated rows and null ids are kept as they come; other columns of df
@@ -153,12 +163,10 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
     spark = df.sparkSession
     buckets = buckets or max(32, partitions(spark))
     key, table = uuid.uuid4().hex, spark.sparkContext.broadcast(ranks)
-    rows = written(
-        df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-        .mapInArrow(_chunked(id_col, text_col, buckets, chunk_chars), "bucket int, chunk long, ids array<long>, counts binary, data binary")
-        .withColumn("words", F.col("bucket") >= 0),
-        "words",
-    )
+    texts = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    schema = "bucket int, chunk long, ids array<long>, counts binary, data binary"
+    words = texts.mapInArrow(_chunked(buckets, chunk_chars, words=True), schema)
+    positions = texts.mapInArrow(_chunked(buckets, chunk_chars, words=False), schema).select("chunk", "ids", "counts", "data")
 
     def encode_bucket(group: pa.Table) -> pa.Table:
         piece = _piece_encoder(key, table)
@@ -174,7 +182,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
             out.append(pack(np.array([len(ids), *map(len, ids)], "<u4").tobytes() + flat.tobytes()))
         return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "data": pa.array(out, pa.binary())})
 
-    encoded = rows.filter("words").select("bucket", "chunk", "data").groupBy("bucket").applyInArrow(encode_bucket, "chunk long, bucket int, data binary")
+    encoded = words.select("bucket", "chunk", "data").groupBy("bucket").applyInArrow(encode_bucket, "chunk long, bucket int, data binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         flats, sizes = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
@@ -187,6 +195,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
         ids, counts, blobs = [], [], []
         for row in left.to_pylist():
             codes, n = unpack_ints(row["data"]), unpack_ints(row["counts"]).astype(np.int64)
+            if codes.size and codes.max() >= len(size):
+                raise ValueError("the input came in another order the second time; write it to a table first")
             ends = np.cumsum(n)
             ids += row["ids"]
             for e, k in zip(ends.tolist(), n.tolist()):
@@ -196,7 +206,6 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
                 blobs.append(got.tobytes())
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(blobs, pa.binary())})
 
-    positions = rows.filter("NOT words").select("chunk", "ids", "counts", "data")
     return positions.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(reassemble, "doc_id long, n_tokens long, ids binary")
 
 
