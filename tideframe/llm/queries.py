@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, quality, suffixes
+from tideframe.llm import bpe, phrases, quality, suffixes
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +30,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
