@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, phrases, quality, suffixes
+from tideframe.llm import bpe, jaccard, phrases, quality, suffixes
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
