@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, jaccard, phrases, quality, suffixes
+from tideframe.llm import bpe, jaccard, langid, phrases, quality, suffixes, templates
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,13 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
