@@ -69,8 +69,8 @@ class Lexicon:
 _SLOT = {_NUM: np.uint64(0x1001), _UNIT: np.uint64(0x2002), _CAP: np.uint64(0x3003)}
 
 
-def template(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each template word, and which are slots."""
+def template(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each plain word and of each template word, and which are slots."""
     hashes, kinds, ends = lexicon.of(words)
     after_number = np.concatenate([[False], kinds[:-1] == _NUM])
     inside = np.concatenate([[False], ~ends[:-1]])
@@ -78,15 +78,25 @@ def template(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray
     out = hashes.copy()
     for kind, value in _SLOT.items():
         out[slots & (kinds == kind)] = value
-    return out, slots
+    return hashes, out, slots
 
 
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros(max(0, len(words) - width + 1), np.uint64)
-    spread = mix(words)
-    for j in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + spread[j : j + len(out)]
-    return mix(out)
+def window_hashes(plain: np.ndarray, words: np.ndarray, slots: np.ndarray, width: int) -> np.ndarray:
+    """Of each window of template words; a window of more slots than words would fit anywhere and stays as it is."""
+
+    def rolled(a: np.ndarray) -> np.ndarray:
+        out = np.zeros(max(0, len(a) - width + 1), np.uint64)
+        spread = mix(a)
+        for j in range(width):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + spread[j : j + len(out)]
+        return mix(out)
+
+    out = rolled(words)
+    if slots.any() and len(out):
+        sums = np.concatenate([[0], np.cumsum(slots)])
+        many = 2 * (sums[width:] - sums[:-width]) > width
+        out = np.where(many, rolled(plain), out) if many.any() else out
+    return out
 
 
 def slot_values(words: list[str], slots: np.ndarray, start: int, width: int) -> list[str]:
@@ -100,9 +110,9 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = (text or "").split()
             if words:
-                hashes, slots = template(words, lexicon)
+                plain, hashes, slots = template(words, lexicon)
                 width = min(WIDTH, len(words))
-                own = window_hashes(hashes, width).view(np.int64).tolist()
+                own = window_hashes(plain, hashes, slots, width).view(np.int64).tolist()
                 out += [(item, width, len(own), i, h, slot_values(words, slots, i, width)) for i, h in enumerate(own)]
     yield _batch(iter(out), _ITEM)
 
@@ -124,9 +134,9 @@ def _matcher(shared):
                 words = (text.as_py() or "").split()
                 if not words:
                     continue
-                hashes, slots = template(words, lexicon)
+                plain, hashes, slots = template(words, lexicon)
                 for w, keys in known.items():
-                    own = window_hashes(hashes, w)
+                    own = window_hashes(plain, hashes, slots, w)
                     at = np.flatnonzero(maps[w][(own >> np.uint64(42)).astype(np.int64)])
                     if len(at):
                         at = at[keys[np.minimum(np.searchsorted(keys, own[at]), len(keys) - 1)] == own[at]]
