@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, jaccard, langid, phrases, quality, suffixes, templates
+from tideframe.llm import bpe, jaccard, langid, licences, pages, phrases, preferences, quality, suffixes, templates
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +53,21 @@ def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.neighbours(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op5_preference_pairs"] = preferences.ORACLE
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
