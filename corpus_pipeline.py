@@ -1,15 +1,74 @@
-"""Cleaning a corpus in stages, each of which works on all that the one before kept."""
+"""Cleaning a corpus in stages, each of which works on all that the one before kept.
+
+A row is known by its doc_id and a hash of its text, so that null and repeated ids do no harm.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tideframe.llm import bpe, jaccard, quality, suffixes, templates
 from tideframe.llm.common import written
 
-STAGES: list = []
-
 #: Suffix sorting, templates and byte pairs are beyond SQL; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
+_LAST = 2**63 - 1
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys."""
+    keys = keys.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
+    own = _hashed(docs)
+    return own.join(keys, own["doc_id"].eqNullSafe(F.col("_d")) & (own["_text_hash"] == F.col("_h")), how).drop("_text_hash")
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    weights = quality.bucket_weights(docs, quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    verdicts = quality.scored(_hashed(docs).select("doc_id", F.col("_text_hash").alias("h"), "text"), weights, keep=["doc_id", "h"])
+    return _matched(docs, verdicts.filter("kept"), "left_semi")
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by links of the Jaccard join, the one of the least id; all without a word."""
+    found = jaccard.similar(docs).select("doc_id", "h", "root")
+    first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"))
+    keep = first.select("one.doc_id", "one.h").unionByName(found.filter("root IS NULL").select("doc_id", "h"))
+    return _matched(docs, keep, "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated strings; a character of which a part goes becomes U+FFFD."""
+    names = docs.columns
+    rest = suffixes.remove_repeats(docs, carry=[c for c in names if c not in ("doc_id", "text", "n_chars")])
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    columns = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.length(text).cast("long")}
+    return rest.select(*[columns.get(c, F.col(f"carry.{c}")).alias(c) for c in names])
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    leaks = templates.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _matched(docs, leaks, "left_anti")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The number of each text's tokens, a digest of their ids and one of the bytes that they decode to."""
+    return bpe.digests(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality rules", reject_low_quality),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("suffix-array dedup", cut_repeated_strings),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("byte-level BPE", tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

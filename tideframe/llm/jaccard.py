@@ -214,8 +214,9 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, h, n_shingles, component_id, n_links: each document's set size, the least document that links reach from
-    it (itself included), and the number of documents it links with directly.
+    """doc_id, h, n_shingles, component_id, n_links, root: each document's set size, the least document that links reach
+    from it (itself included), the number of documents it links with directly, and a number of its component (null for
+    the empty set).
 
     Null and empty texts have the empty set and link with nothing, so their component is their own id. A null id counts
     as the greatest, and is the component of documents that have no other. Repeated rows link with one another. An
@@ -254,9 +255,9 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         roots = resolved.select("node", "k").distinct().join(again, "node", "left").select("node", "k", F.coalesce("root", "node").alias("root"))
     full = classes.join(linked, ["node", "k"], "left").join(roots, ["node", "k"], "left").withColumn("root", F.coalesce("root", "node"))
     first = full.groupBy("root").agg(F.min("least").alias("component"))
-    full = full.join(first, "root").select("node", "k", "component", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    full = full.join(first, "root").select("node", "k", "root", "component", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = sketches.select("doc_id", "h", "n", "node", "k").join(full, ["node", "k"], "left")
-    return out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("links")).otherwise(0).alias("n_links"))
+    return out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("links")).otherwise(0).alias("n_links"), "root")
 
 
 def report(df: DataFrame) -> DataFrame:

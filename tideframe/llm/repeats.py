@@ -78,10 +78,14 @@ def signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, h (a hash of the text) and data (its bytes): rows that agree in both are alike in all that follows."""
+def keyed(df: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, h (a hash of the text) and data (its bytes): rows that agree in both are alike in all that follows.
+
+    carry names columns to take along, as fields of the struct `carry`.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("data"))
+    extra = [F.struct(*carry).alias("carry")] if carry else []
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("data"), *extra)
 
 
 def mapped(f: Callable[[dict], Iterator[tuple]], schema: pa.Schema, rows: int = 20_000):
@@ -119,7 +123,7 @@ def recurring(docs: DataFrame, units: Units, width: int, gram: int, condition: C
                 yield a, n, row["doc_id"], row["h"]
 
     schema = pa.schema([("anchor", pa.int64()), ("n", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64())])
-    places = written(docs.mapInArrow(mapped(anchors, schema), "anchor long, n int, doc_id long, h long"))
+    places = written(docs.select("doc_id", "h", "data").mapInArrow(mapped(anchors, schema), "anchor long, n int, doc_id long, h long"))
     last = F.coalesce("doc_id", F.lit(2**63 - 1))
     totals = places.groupBy("anchor").agg(F.sum("n").alias("total"), F.min(last).alias("low"), F.max(last).alias("high")).filter(condition)
     return written(places.select("anchor", "doc_id", "h").join(totals.select("anchor", "total"), "anchor"))
@@ -137,7 +141,7 @@ def compare(
     """
     spark = docs.sparkSession
     n = max(partitions(spark), 8)
-    texts = docs.repartition(n, "doc_id", "h")
+    texts = docs.repartition(n, "doc_id", "h")  # one exchange, read for the contexts and again for the result
     schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
     window_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
 

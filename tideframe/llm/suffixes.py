@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tideframe.llm.common import Rolling, runs
 from tideframe.llm.repeats import byte_units, compare, joined, keyed, mapped, recurring
@@ -143,14 +145,15 @@ def _compare_contexts(rows: list[dict]) -> Iterator[tuple]:
                 yield row["doc_id"], row["h"], row["start"] + start, n
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """doc_id, h, n_bytes, n_removed, n_spans, kept binary: each text without the bytes that a window of 200 bytes covers
     which also starts elsewhere in the corpus, overlaps and the same document included.
 
     A null text counts as empty; rows of one id or none are documents of their own; repeated rows remove one another; a
-    text of fewer than 200 bytes stays whole. An empty df gives no rows; other columns of df are not read.
+    text of fewer than 200 bytes stays whole. An empty df gives no rows; of other columns of df those of `carry` come
+    along, as a struct of that name.
     """
-    docs = keyed(df, id_col, text_col)
+    docs = keyed(df, id_col, text_col, carry)
     found = recurring(docs, byte_units, WIDTH, GRAM, F.col("total") >= 2)
 
     def hot(windows: DataFrame) -> DataFrame:
@@ -161,18 +164,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts, spots = compare(docs, found, byte_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
 
     def cut(row: dict) -> Iterator[tuple]:
-        data = row["data"]
+        data, extra = row["data"], (row["carry"],) if carry else ()
         if not row["spots"]:
-            yield row["doc_id"], row["h"], len(data), 0, 0, data
+            yield row["doc_id"], row["h"], len(data), 0, 0, data, *extra
             return
         gone = np.zeros(len(data), bool)
         for spot in row["spots"]:
             gone[spot["start"] : spot["start"] + spot["n"] + WIDTH - 1] = True
         kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-        yield row["doc_id"], row["h"], len(data), int(gone.sum()), len(runs(gone)[0]), kept
+        yield row["doc_id"], row["h"], len(data), int(gone.sum()), len(runs(gone)[0]), kept, *extra
 
-    out = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    return joined(texts, spots).mapInArrow(mapped(cut, out, 2000), "doc_id long, h long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = StructType.fromDDL("doc_id long, h long, n_bytes long, n_removed long, n_spans long, kept binary")
+    for field in docs.schema.fields[3:]:
+        out = out.add(field)
+    return joined(texts, spots).mapInArrow(mapped(cut, to_arrow_schema(out), 2000), out)
 
 
 def digests(df: DataFrame) -> DataFrame:
