@@ -13,3 +13,25 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     The filter stands right above the window, so that Spark keeps n rows a group before the shuffle.
     """
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= n)
+
+
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each group by `order`."""
+    return top_n_per_group(df, keys, order, 1, "_rank").drop("_rank")
+
+
+def best_observation(df: DataFrame, keys: Sequence[str], fields: Sequence[str], ties: Sequence[Column]) -> DataFrame:
+    """One row for each key: that with most of the fields filled, then the greater field values in order, then by ties."""
+    filled = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in fields), F.lit(0))
+    return latest(df, keys, [filled.desc(), *[F.col(c).desc_nulls_last() for c in fields], *ties])
+
+
+def percent_ranks(df: DataFrame, by: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """df with 100 times the percent rank of each column within its group, to 2 places; columns: name -> new name."""
+    return df.withColumns({new: F.round(F.percent_rank().over(Window.partitionBy(*by).orderBy(old)) * 100, 2) for old, new in columns.items()})
+
+
+def quadrants(df: DataFrame, a: str, b: str, names: Sequence[str], cut: float = 50) -> DataFrame:
+    """df with `quadrant`: names for both, only a, only b and neither at or over the cut."""
+    high_a, high_b = F.col(a) >= cut, F.col(b) >= cut
+    return df.withColumn("quadrant", F.when(high_a & high_b, names[0]).when(high_a, names[1]).when(high_b, names[2]).otherwise(names[3]))
