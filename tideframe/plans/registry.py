@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from tideframe.functions import metrics, parsing, themes
+from tideframe.operators import aggregates, documents, ranking, similarity, snapshots
 from tideframe.operators.ranking import top_n_per_group
+from tideframe.session import shared_folder
+from tideframe.sources import readers
+from tideframe.sources.sinks import Table, publish
+from tideframe.streaming import engine
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +46,488 @@ def query(name: str, sql: str | None = None):
 def top_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice")
     return top_n_per_group(orders, ["year"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 10)
+
+
+@query(
+    "top_customers_by_year",
+    """SELECT year, rank, o_custkey, avg_price, max_price, n_orders FROM (
+         SELECT year, o_custkey, avg_price, max_price, n_orders,
+                CAST(row_number() OVER (PARTITION BY year ORDER BY max_price DESC, o_custkey) AS INTEGER) AS rank
+         FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_custkey,
+                      CAST(avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS avg_price, max(o_totalprice) AS max_price, count(*) AS n_orders
+               FROM orders WHERE o_orderdate >= DATE '1993-01-01' GROUP BY ALL)) WHERE rank <= 10""",
+)
+def top_customers_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channels ranked within each year; the year's range is a range of dates, which reaches the scan."""
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit("1993-01-01").cast("timestamp_ntz"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    stats = orders.groupBy(F.year("o_orderdate").alias("year"), "o_custkey").agg(F.avg(cents).alias("avg_price"), F.max("o_totalprice").alias("max_price"), F.count(F.lit(1)).alias("n_orders"))
+    return top_n_per_group(stats, ["year"], [F.desc("max_price"), F.asc("o_custkey")], 10)
+
+
+@query(
+    "daily_event_trend",
+    """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(avg(value), 6) AS avg_value,
+              round(avg((value + event_id % 7) / CASE WHEN event_id % 7 = 0 THEN 1 ELSE event_id % 7 END), 6) AS avg_rate
+       FROM events GROUP BY ALL""",
+)
+def daily_event_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily means, with a ratio whose denominator may be 0."""
+    events = table(spark, sf_dir, "events")
+    part = F.col("event_id") % 7
+    return events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("avg_value"), F.round(F.avg(metrics.guarded_ratio(F.col("value") + part, part)), 6).alias("avg_rate")
+    )
+
+
+@query(
+    "popularity_buckets",
+    "SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice <= 50000 THEN 'low' WHEN o_totalprice <= 200000 THEN 'middle' ELSE 'high' END AS popularity FROM orders",
+)
+def popularity_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bucket = aggregates.bucketed(F.col("o_totalprice"), [(50000, "low"), (200000, "middle")], "high")
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", bucket.alias("popularity"))
+
+
+@query(
+    "length_category",
+    """SELECT doc_id, lang, n_chars, CASE WHEN lang IN ('en', 'fr') THEN CASE WHEN n_chars <= 1000 THEN 'short' WHEN n_chars <= 5000 THEN 'medium' ELSE 'long' END
+         ELSE CASE WHEN n_chars <= 800 THEN 'short' WHEN n_chars <= 4000 THEN 'medium' ELSE 'long' END END AS length_category FROM documents""",
+)
+def length_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length classes with other limits on each platform."""
+    n = F.col("n_chars")
+    one, two = aggregates.bucketed(n, [(1000, "short"), (5000, "medium")], "long"), aggregates.bucketed(n, [(800, "short"), (4000, "medium")], "long")
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", F.when(F.col("lang").isin("en", "fr"), one).otherwise(two).alias("length_category"))
+
+
+@query("length_stats_by_lang", "SELECT lang, avg(n_chars) AS avg_chars, min(n_chars) AS min_chars, max(n_chars) AS max_chars, count(doc_id) AS n FROM documents GROUP BY lang")
+def length_stats_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.avg("n_chars").alias("avg_chars"), F.min("n_chars").alias("min_chars"), F.max("n_chars").alias("max_chars"), F.count("doc_id").alias("n"))
+
+
+def _top_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    by_price = part.orderBy(F.desc("p_retailprice"), "p_partkey").limit(100).withColumn("platform", F.lit("price"))
+    by_size = part.orderBy(F.desc("p_size"), "p_partkey").limit(100).withColumn("platform", F.lit("size"))
+    return by_price.unionByName(by_size)
+
+
+_TOP_PARTS = """top_parts AS (
+    SELECT * FROM (SELECT p_partkey, p_name, 'price' AS platform FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 100)
+    UNION ALL SELECT * FROM (SELECT p_partkey, p_name, 'size' AS platform FROM part ORDER BY p_size DESC, p_partkey LIMIT 100))"""
+
+
+@query(
+    "top100_union_stats",
+    f"WITH {_TOP_PARTS} SELECT platform, avg(n) AS avg_tags, min(n) AS min_tags, max(n) AS max_tags, count(*) AS n_items FROM (SELECT platform, len(string_split(p_name, ' ')) AS n FROM top_parts) GROUP BY platform",
+)
+def top100_union_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.size(F.split("p_name", " ")).cast("long")
+    return _top_parts(spark, sf_dir).withColumn("n", n).groupBy("platform").agg(F.avg("n").alias("avg_tags"), F.min("n").alias("min_tags"), F.max("n").alias("max_tags"), F.count(F.lit(1)).alias("n_items"))
+
+
+@query(
+    "frequent_tokens_top100",
+    f"WITH {_TOP_PARTS} SELECT platform, token, count(*) AS frequency FROM (SELECT platform, unnest(string_split(lower(p_name), ' ')) AS token FROM top_parts) WHERE token <> '' GROUP BY ALL",
+)
+def frequent_tokens_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.token_counts(_top_parts(spark, sf_dir), ["platform"], F.filter(F.split(F.lower("p_name"), " "), lambda t: t != ""))
+
+
+@query(
+    "token_pair_combinations",
+    f"""WITH {_TOP_PARTS}, t AS (SELECT DISTINCT platform, p_partkey, unnest(string_split(p_name, ' ')) AS tok FROM top_parts)
+        SELECT a.platform, a.tok || ' + ' || b.tok AS token, count(*) AS frequency FROM t a JOIN t b ON a.platform = b.platform AND a.p_partkey = b.p_partkey AND a.tok < b.tok GROUP BY ALL""",
+)
+def token_pair_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.token_counts(_top_parts(spark, sf_dir), ["platform"], aggregates.pairs_of(F.split("p_name", " ")))
+
+
+STOP = ["the", "and", "for", "you", "with", "this", "that", "http", "https"]
+
+
+@query(
+    "keyword_counts",
+    """SELECT lang, keyword, count(*) AS keyword_count FROM (
+         SELECT lang, unnest(regexp_split_to_array(regexp_replace(lower(text), '[^a-z0-9šđčćž\\s]', '', 'g'), '\\s+')) AS keyword FROM documents)
+       WHERE length(keyword) > 2 AND keyword NOT IN ('the', 'and', 'for', 'you', 'with', 'this', 'that', 'http', 'https') GROUP BY ALL""",
+)
+def keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.token_counts(table(spark, sf_dir, "documents"), ["lang"], parsing.keywords(F.col("text"), STOP), "keyword_count", "keyword")
+
+
+_TIMELINE = "SELECT event_type, user_id, CAST(ts AS DATE) AS day, round(sum(value), 4) AS total, avg(CAST(round(value * 100) AS BIGINT)) AS mean_cents, count(DISTINCT event_id) AS n_videos FROM events WHERE value IS NOT NULL GROUP BY ALL"
+
+
+@query("channel_timeline", _TIMELINE)
+def channel_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").na.drop(subset=["value"])
+    return events.groupBy("event_type", "user_id", F.to_date("ts").alias("day")).agg(F.round(F.sum("value"), 4).alias("total"), F.avg(F.round(F.col("value") * 100).cast("long")).alias("mean_cents"), F.count_distinct("event_id").alias("n_videos"))
+
+
+_LATEST = "SELECT event_type, user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"
+
+
+@query("latest_snapshot", _LATEST)
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.latest(table(spark, sf_dir, "events"), ["event_type", "user_id"], [F.desc("ts"), F.desc("event_id")]).select("event_type", "user_id", "event_id", "value")
+
+
+@query(
+    "best_observation_dedup",
+    """SELECT user_id, day, event_id, views, likes FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY
+         (views IS NOT NULL)::INT + (likes IS NOT NULL)::INT DESC, views DESC NULLS LAST, likes DESC NULLS LAST, event_id) AS rn
+       FROM (SELECT user_id, CAST(ts AS DATE) AS day, event_id, CASE WHEN event_id % 3 <> 0 THEN value END AS views, CASE WHEN event_id % 5 <> 0 THEN event_id % 11 END AS likes FROM events)) WHERE rn = 1""",
+)
+def best_observation_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("day"), "event_id", F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("views"), F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 11).alias("likes")
+    )
+    return ranking.best_observation(rows, ["user_id", "day"], ["views", "likes"], [F.asc("event_id")])
+
+
+@query(
+    "channel_quadrant",
+    """WITH latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1),
+            s AS (SELECT event_type, user_id, count(*) AS n_items, quantile_disc(value, 0.5) AS median_value, quantile_disc(event_id, 0.5) AS median_id FROM latest GROUP BY ALL),
+            p AS (SELECT *, round(100 * percent_rank() OVER (PARTITION BY event_type ORDER BY median_value), 2) AS channel_popularity,
+                         round(100 * percent_rank() OVER (PARTITION BY event_type ORDER BY median_id), 2) AS content_popularity FROM s)
+       SELECT *, CASE WHEN channel_popularity >= 50 AND content_popularity >= 50 THEN 'both' WHEN channel_popularity >= 50 THEN 'channel' WHEN content_popularity >= 50 THEN 'content' ELSE 'neither' END AS quadrant FROM p""",
+)
+def channel_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    rows = ranking.latest(events, ["event_type", "user_id", "day"], [F.desc("ts"), F.desc("event_id")])
+    stats = rows.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n_items"), aggregates.median("value").alias("median_value"), aggregates.median("event_id").alias("median_id"))
+    ranked = ranking.percent_ranks(stats, ["event_type"], {"median_value": "channel_popularity", "median_id": "content_popularity"})
+    return ranking.quadrants(ranked, "channel_popularity", "content_popularity", ["both", "channel", "content", "neither"])
+
+
+@query(
+    "top_items_per_channel",
+    """SELECT lang, source, rank, doc_id, CASE WHEN length(title) > 100 THEN substr(title, 1, 97) || '...' ELSE title END AS short_title FROM (
+         SELECT lang, source, doc_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS title,
+                CAST(row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS INTEGER) AS rank FROM documents) WHERE rank <= 15""",
+)
+def top_items_per_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts are only read for the rows that stay."""
+    docs = table(spark, sf_dir, "documents")
+    top = top_n_per_group(docs.select("lang", "source", "doc_id", "n_chars"), ["lang", "source"], [F.desc("n_chars"), F.asc("doc_id")], 15)
+    titles = docs.select("doc_id", "text")
+    return top.join(titles, "doc_id").select("lang", "source", "rank", "doc_id", parsing.short_title(parsing.squeezed(F.col("text"))).alias("short_title"))
+
+
+_METRICS = "count(DISTINCT (event_type, user_id)) AS n_channels, count(*) AS n, avg(CAST(round(value * 100) AS BIGINT)) AS avg_cents, quantile_disc(value, 0.5) AS median_value"
+_DAILY = f"SELECT event_type, CAST(ts AS DATE) AS day, {_METRICS} FROM events GROUP BY ALL UNION ALL SELECT 'All', CAST(ts AS DATE), {_METRICS} FROM events GROUP BY ALL"
+
+
+@query("daily_metrics_with_all", _DAILY)
+def daily_metrics_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_type", "user_id", "value", F.to_date("ts").alias("day"), F.struct(F.col("event_type").alias("t"), "user_id").alias("identity"))
+    return aggregates.with_all(
+        events, "event_type", ["day"],
+        {"n_channels": F.count_distinct("identity"), "n": F.count(F.lit(1)), "avg_cents": F.avg(F.round(F.col("value") * 100).cast("long")), "median_value": aggregates.median("value")},
+    )
+
+
+_RANKINGS = f"""SELECT event_type, user_id, n_items, median_value, rank FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY median_value DESC, n_items DESC, user_id) AS INTEGER) AS rank
+    FROM (SELECT event_type, user_id, count(*) AS n_items, quantile_disc(value, 0.5) AS median_value FROM events GROUP BY ALL HAVING count(*) >= 5
+          UNION ALL SELECT 'All', user_id, count(*), quantile_disc(value, 0.5) FROM events GROUP BY ALL HAVING count(*) >= 5)) WHERE rank <= 10"""
+
+
+@query("rankings_having", _RANKINGS)
+def rankings_having(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_type", "user_id", "value")
+    stats = aggregates.with_all(events, "event_type", ["user_id"], {"n_items": F.count(F.lit(1)), "median_value": aggregates.median("value")}).filter("n_items >= 5 AND median_value IS NOT NULL")
+    return top_n_per_group(stats, ["event_type"], [F.desc("median_value"), F.desc("n_items"), F.asc("user_id")], 10)
+
+
+@query("theme_classification", f"SELECT theme, lang, count(*) AS n, sum(n_chars) AS chars FROM (SELECT {themes.theme_sql('text')} AS theme, lang, n_chars FROM documents) GROUP BY ALL")
+def theme_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(themes.theme(F.col("text")).alias("theme"), "lang", "n_chars").groupBy("theme", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+_DELAY = """SELECT user_id, a AS first_a, b AS first_b, CASE WHEN a < b THEN 'view' WHEN a > b THEN 'purchase' ELSE 'Both / Simultaneous' END AS leader, CAST(abs(date_diff('day', b, a)) AS INTEGER) AS delay_days
+    FROM (SELECT user_id, min(CASE WHEN event_type = 'view' THEN CAST(ts AS DATE) END) AS a, min(CASE WHEN event_type = 'purchase' THEN CAST(ts AS DATE) END) AS b FROM events GROUP BY 1) WHERE a IS NOT NULL AND b IS NOT NULL"""
+
+
+@query("first_seen_delay", _DELAY)
+def first_seen_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return aggregates.first_seen_delay(events, ["user_id"], "event_type", "day", "view", "purchase", "Both / Simultaneous")
+
+
+@query(
+    "overlap_top20_densified",
+    """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+            top AS (SELECT user_id FROM c GROUP BY 1 ORDER BY sum(n) DESC, user_id LIMIT 20)
+       SELECT top.user_id, t.event_type, coalesce(c.n, 0) AS n FROM top CROSS JOIN (VALUES ('view'), ('click'), ('purchase'), ('signup'), ('error'), ('share')) t(event_type) LEFT JOIN c ON c.user_id = top.user_id AND c.event_type = t.event_type""",
+)
+def overlap_top20_densified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("user_id").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "user_id").limit(20).select("user_id")
+    kinds = spark.createDataFrame([(k,) for k in ("view", "click", "purchase", "signup", "error", "share")], "event_type string")
+    return aggregates.densified(counts, top, kinds, "n")
+
+
+_SPAN = "SELECT event_type, user_id, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day, CAST(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) AS INTEGER) AS span_days FROM events GROUP BY ALL"
+
+
+@query("days_in_span", _SPAN)
+def days_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.span_days(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "user_id"], "day")
+
+
+@query(
+    "days_to_peak",
+    """SELECT user_id, p.value AS peak_value, p.ts AS peak_at, round(greatest((epoch_us(p.ts) - epoch_us(start)) / 86400000000.0, 0), 2) AS days_to_peak
+       FROM (SELECT user_id, max({'value': value, 'ts': ts}) AS p, min(ts) AS start FROM events GROUP BY 1)""",
+)
+def days_to_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.peak(table(spark, sf_dir, "events").withColumn("start", F.col("ts")), ["user_id"], "value", "ts", "start")
+
+
+@query(
+    "weekday_weekend",
+    "SELECT event_id, CASE WHEN dayofweek(ts) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type, value, CASE WHEN value > 0 THEN (event_id % 7) / value ELSE 0.0 END AS engagement FROM events",
+)
+def weekday_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.when(F.dayofweek("ts").isin(1, 7), "Weekend").otherwise("Weekday")
+    return table(spark, sf_dir, "events").select("event_id", day.alias("day_type"), "value", F.coalesce(metrics.ratio(F.col("event_id") % 7, F.col("value")), F.lit(0.0)).alias("engagement"))
+
+
+_GROWTH = """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, avg(value) AS score FROM events GROUP BY ALL), m AS (SELECT max(day) AS as_of FROM d),
+    g AS (SELECT user_id, avg(CASE WHEN date_diff('day', day, as_of) BETWEEN 0 AND 2 THEN score END) AS r, avg(CASE WHEN date_diff('day', day, as_of) BETWEEN 3 AND 5 THEN score END) AS p FROM d, m GROUP BY 1),
+    k AS (SELECT event_type, user_id, row_number() OVER (PARTITION BY event_type ORDER BY avg(value) DESC, user_id) AS rank FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2)
+  SELECT user_id, round(r, 6) AS recent_avg, round(p, 6) AS prior_avg, round(CASE WHEN p > 0 THEN (r - p) / p ELSE 0 END, 6) AS growth_rate FROM g
+  WHERE r IS NOT NULL AND p IS NOT NULL AND user_id NOT IN (SELECT user_id FROM k WHERE rank <= 15 GROUP BY 1 HAVING count(DISTINCT event_type) >= 2)"""
+
+
+@query("growth_excluding_trending", _GROWTH)
+def growth_excluding_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    daily = events.groupBy("user_id", "day").agg(F.avg("value").alias("score"))
+    as_of = events.agg(F.max("day")).scalar()
+    rates = aggregates.growth(daily.withColumn("as_of", as_of), "user_id", "day", "score", F.col("as_of"))
+    means = events.filter(F.col("event_type").isin("view", "click")).groupBy("event_type", "user_id").agg(F.avg("value").alias("m"))
+    ranked = top_n_per_group(means, ["event_type"], [F.desc("m"), F.asc("user_id")], 15)
+    out = aggregates.without_trending(rates, ranked, "user_id", "event_type", "rank", 15, 2)
+    return out.select("user_id", *[F.round(c, 6).alias(c) for c in ("recent_avg", "prior_avg", "growth_rate")])
+
+
+_RUNNING = "SELECT event_type, user_id, count(*) AS n, round(sum(value), 4) AS total, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS mean_cents FROM events GROUP BY ALL"
+
+
+@query("running_average", _RUNNING)
+def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), (F.sum(F.round(F.col("value") * 100).cast("long")) / F.count(F.lit(1))).alias("mean_cents"))
+
+
+@query("json_alias_parse", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.name'), json_extract_string(props, '$.k')) AS label FROM events")
+def json_alias_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of JSON messages under the first of several names that is filled."""
+    good, _ = readers.messages(table(spark, sf_dir, "events"), StructType.fromDDL("name string, k string"), "props")
+    return good.select("event_id", F.col("record.k").try_cast("bigint").alias("k"), parsing.first_filled(F.col("record.name"), F.col("record.k")).alias("label"))
+
+
+_GATED = """WITH RECURSIVE r AS (SELECT user_id, ts, event_id, value, event_id % 13 AS likes, (event_id % 5) / 10.0 AS score, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    f AS (SELECT user_id, ts, event_id, value, likes, score, rn, value AS lv, likes AS ll, score AS ls, true AS keep FROM r WHERE rn = 1
+          UNION ALL
+          SELECT x.user_id, x.ts, x.event_id, x.value, x.likes, x.score, x.rn, CASE WHEN x.k THEN x.value ELSE x.lv END, CASE WHEN x.k THEN x.likes ELSE x.ll END, CASE WHEN x.k THEN x.score ELSE x.ls END, x.k
+          FROM (SELECT r.*, f.lv, f.ll, f.ls,
+                       (CASE WHEN f.lv = 0 THEN 1.0 ELSE abs(r.value - f.lv) / f.lv END > 0.05 OR CASE WHEN f.ll = 0 THEN 1.0 ELSE abs(r.likes - f.ll) / f.ll END > 0.05 OR abs(r.score - f.ls) > 0.2) AS k
+                FROM f JOIN r ON r.user_id = f.user_id AND r.rn = f.rn + 1) x)
+    SELECT user_id, ts, event_id, value, likes, score FROM f WHERE keep"""
+
+
+def _snapshots(events: DataFrame) -> DataFrame:
+    return events.select("user_id", "ts", "event_id", "value", (F.col("event_id") % 13).alias("likes"), (F.col("event_id") % 5 / F.lit(10.0)).alias("score"))
+
+
+@query("snapshot_gate", _GATED)
+def snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.change_gated(_snapshots(table(spark, sf_dir, "events")), ["user_id"], "ts", ["value", "likes"], "score", "event_id")
+
+
+@query(
+    "viral_score",
+    """SELECT l_orderkey, l_linenumber, round(log10(l_extendedprice) * 0.50 + l_quantity / l_extendedprice * 100 * 0.30 + l_linenumber / l_extendedprice * 100 * 0.20, 4) AS viral_score,
+              round((l_quantity + l_linenumber) / l_extendedprice, 6) AS engagement_rate FROM lineitem WHERE l_extendedprice > 0 AND l_quantity <= l_extendedprice AND l_extendedprice <= 90000""",
+)
+def viral_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views, likes, comments = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").filter(metrics.plausible(views, likes, 90_000))
+    return rows.select("l_orderkey", "l_linenumber", metrics.viral_score(views, likes, comments).alias("viral_score"), F.round(metrics.ratio(likes + comments, views), 6).alias("engagement_rate"))
+
+
+@query(
+    "tag_jaccard",
+    """WITH t AS (SELECT p_partkey, p_brand, p_size, list_distinct(string_split(p_name, ' ')) AS tags FROM part)
+       SELECT a.p_partkey AS a, b.p_partkey AS b, round(len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags))), 6) AS tag_similarity,
+              round(exp(-abs(ln((a.p_size + 1) / (b.p_size + 1)))), 6) AS duration_similarity
+       FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_size = b.p_size + 1""",
+)
+def tag_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.array_distinct(F.split("p_name", " ")).alias("tags"))
+    left, right = (part.select("p_brand", *[F.col(c).alias(f"{side}_{c}") for c in ("p_partkey", "p_size", "tags")]) for side in "ab")
+    pairs = left.withColumn("b_p_size", F.col("a_p_size") - 1).join(right, ["p_brand", "b_p_size"])
+    return pairs.select(
+        F.col("a_p_partkey").alias("a"), F.col("b_p_partkey").alias("b"),
+        F.round(metrics.jaccard(F.col("a_tags"), F.col("b_tags")), 6).alias("tag_similarity"), F.round(metrics.duration_similarity(F.col("a_p_size"), F.col("b_p_size")), 6).alias("duration_similarity"),
+    )
+
+
+@query("lsh_candidates")
+def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash candidates of part names; approximate, so without SQL."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("tags"))
+    return similarity.minhash_candidates(part, "p_partkey", "tags", distance=0.35, max_df=2.0**31 - 1).select("a", "b", F.round("_distance", 6).alias("distance"))
+
+
+@query(
+    "similarity_topk",
+    """WITH w AS (SELECT DISTINCT p_partkey, unnest(string_split(lower(p_name), ' ')) AS term FROM part), n AS (SELECT count(DISTINCT p_partkey) AS n FROM w),
+            f AS (SELECT term, ln((any_value(n.n) + 1) / (count(*) + 1)) AS idf FROM w, n GROUP BY term),
+            v AS (SELECT p_partkey, term, idf / sqrt(sum(idf * idf) OVER (PARTITION BY p_partkey)) AS weight FROM w JOIN f USING (term) QUALIFY sum(idf * idf) OVER (PARTITION BY p_partkey) > 0),
+            e AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey),
+            c AS (SELECT e.a, e.b, coalesce(sum(x.weight * y.weight), 0) AS s FROM e LEFT JOIN v x ON x.p_partkey = e.a LEFT JOIN v y ON y.p_partkey = e.b AND y.term = x.term GROUP BY 1, 2),
+            k AS (SELECT a, b, round(least(1, greatest(0, s)), 6) AS similarity FROM c UNION ALL SELECT b, a, round(least(1, greatest(0, s)), 6) FROM c)
+       SELECT a, b, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) AS rank FROM k) WHERE rank <= 20""",
+)
+def similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    words = part.select("p_partkey", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("words"))
+    weights = similarity.tf_idf(words, "p_partkey", "words")
+    left, right = (part.select("p_brand", "p_type", F.col("p_partkey").alias(x)) for x in "ab")
+    pairs = left.join(right, ["p_brand", "p_type"]).filter("a < b").select("a", "b")
+    edges = similarity.cosine_pairs(weights, "p_partkey", pairs).select("a", "b", F.round("cosine", 6).alias("similarity"))
+    return similarity.neighbours(edges, "similarity", 20)
+
+
+@query("top10_daily_view", f"SELECT d.event_type, d.day, d.n, r.user_id, r.rank FROM ({_DAILY}) d JOIN ({_RANKINGS}) r ON r.event_type = d.event_type WHERE d.event_type = 'All'")
+def top10_daily_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily, ranks = daily_metrics_with_all(spark, sf_dir).filter("event_type = 'All'"), rankings_having(spark, sf_dir)
+    return daily.join(ranks, "event_type").select("event_type", "day", "n", "user_id", "rank")
+
+
+@query(
+    "duration_parse",
+    """SELECT event_id, CAST(event_id % 5 * 3600 + event_id % 60 * 60 + event_id % 59 AS INTEGER) AS iso_seconds, CAST(event_id % 60 * 60 + event_id % 59 AS INTEGER) AS clock_seconds,
+              CAST(event_id % 60 AS VARCHAR) || ':' || lpad(CAST(event_id % 59 AS VARCHAR), 2, '0') AS clock FROM events""",
+)
+def duration_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    iso = F.concat(F.lit("PT"), e % 5, F.lit("H"), e % 60, F.lit("M"), e % 59, F.lit("S"))
+    clock = F.concat(e % 60, F.lit(":"), F.lpad((e % 59).cast("string"), 2, "0"))
+    out = table(spark, sf_dir, "events").select("event_id", parsing.iso_duration_seconds(iso).alias("iso_seconds"), parsing.clock_seconds(clock).alias("clock_seconds"))
+    return out.withColumn("clock", parsing.seconds_clock(F.col("clock_seconds")))
+
+
+@query("timestamp_parse", "SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS from_iso, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS from_seconds, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS from_millis FROM events")
+def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    texts = {"from_iso": F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), "from_seconds": seconds.cast("string"), "from_millis": (seconds * 1000).cast("string")}
+    return table(spark, sf_dir, "events").select("event_id", *[F.unix_seconds(parsing.timestamp_of(t)).alias(n) for n, t in texts.items()])
+
+
+@query("hashtag_extract", "SELECT p_partkey, array_to_string(list_sort(list_distinct(string_split(lower(p_name), ' '))), ',') AS tags, string_split(p_name, ' ')[1] AS first_name FROM part")
+def hashtag_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = F.concat(F.lit('["#'), F.regexp_replace("p_name", " ", '", "#'), F.lit('"]'))
+    names = F.concat(F.lit("[{'name': '"), F.regexp_replace("p_name", " ", "'}, {'name': '"), F.lit("'}]"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(parsing.tag_array(tags), ",").alias("tags"), F.get(parsing.hashtag_names(names), F.lit(0)).alias("first_name"))
+
+
+def _two_writes(spark: SparkSession, sf_dir: str) -> tuple[Table, DataFrame, DataFrame]:
+    rows = ranking.latest(table(spark, sf_dir, "events"), ["event_type", "user_id"], [F.desc("ts"), F.desc("event_id")]).select("event_type", "user_id", "event_id", "value")
+    target = Table(spark, f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}", ["event_type", "user_id"])
+    target.overwrite(rows.filter("user_id % 3 <> 0"))
+    return target, rows, rows.filter("user_id % 2 = 0").withColumn("value", F.col("value") + 1)
+
+
+@query("keyed_upsert", f"SELECT event_type, user_id, event_id, CASE WHEN user_id % 2 = 0 THEN value + 1 ELSE value END AS value FROM ({_LATEST}) WHERE user_id % 3 <> 0 OR user_id % 2 = 0")
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _, new = _two_writes(spark, sf_dir)
+    target.upsert(new)
+    return target.read()
+
+
+@query("replace_by_source", f"SELECT event_type, user_id, event_id, value + CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS value FROM ({_LATEST}) WHERE CASE WHEN event_type = 'view' THEN user_id % 2 = 0 WHEN event_type = 'click' THEN false ELSE user_id % 3 <> 0 END")
+def replace_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the processed sources view and click go; only view has new ones."""
+    target, rows, new = _two_writes(spark, sf_dir)
+    target.replace(new.filter("event_type = 'view'"), rows.filter("event_type IN ('view', 'click')"), ["event_type"])
+    return target.read()
+
+
+@query("publish_many", f"SELECT 'daily' AS name, count(*) AS n FROM ({_DAILY}) UNION ALL SELECT 'rankings', count(*) FROM ({_RANKINGS})")
+def publish_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    daily, ranks = Table(spark, f"{at}/daily", ["event_type", "day"]), Table(spark, f"{at}/rankings", ["event_type", "user_id"])
+    publish({daily: daily_metrics_with_all(spark, sf_dir), ranks: rankings_having(spark, sf_dir)})
+    counts = [t.read().agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n, t in (("daily", daily), ("rankings", ranks))]
+    return readers.stacked(counts)
+
+
+@query("flatten_infer", "SELECT event_id, user_id AS doc_user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS doc_props_k, event_type AS doc_event_type FROM events")
+def flatten_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents of text to flat columns of the narrowest types."""
+    k = F.get_json_object("props", "$.k")
+    docs = table(spark, sf_dir, "events").select("event_id", F.struct(F.col("user_id").cast("string").alias("userId"), F.col("event_type").alias("eventType"), F.struct(k.alias("k")).alias("props")).alias("doc"))
+    return documents.promoted(documents.flattened(docs))
+
+
+@query(
+    "source_union_alias",
+    """SELECT event_id AS item_id, CAST(ts AS DATE) AS collected_at, value AS views, event_type AS label, 'events' AS platform FROM events
+       UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE), o_totalprice, NULL, 'orders' FROM orders""",
+)
+def source_union_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {"item_id": ("bigint", ["event_id", "o_orderkey"]), "collected_at": ("date", ["ts", "o_orderdate"]), "views": ("double", ["value", "o_totalprice"]), "label": ("string", ["event_type", "label"])}
+    return readers.stacked([readers.aligned(table(spark, sf_dir, n), columns, platform=n) for n in ("events", "orders")])
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return readers.tail(spark, sf_dir, schema, glob="events.parquet").withColumn("day", F.to_date("ts"))
+
+
+@query("stream_running_average", _RUNNING)
+def stream_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = engine.running(_stream(spark, sf_dir), ["event_type", "user_id"], {"n": F.count(F.lit(1)), "cents": F.sum(F.round(F.col("value") * 100).cast("long"))})
+    return totals.select("event_type", "user_id", "n", F.round(F.col("cents") / 100, 4).alias("total"), (F.col("cents") / F.col("n")).alias("mean_cents"))
+
+
+@query("stream_first_seen_delay", _DELAY)
+def stream_first_seen_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = engine.running(_stream(spark, sf_dir), ["user_id", "event_type"], {"day": F.min("day")})
+    return aggregates.first_seen_delay(first, ["user_id"], "event_type", "day", "view", "purchase", "Both / Simultaneous")
+
+
+@query("stream_days_in_span", _SPAN)
+def stream_days_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ends = engine.running(_stream(spark, sf_dir), ["event_type", "user_id"], {"first_day": F.min("day"), "last_day": F.max("day")})
+    return ends.withColumn("span_days", F.datediff("last_day", "first_day"))
+
+
+@query("stream_latest_snapshot", _LATEST)
+def stream_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stream(spark, sf_dir).select("event_type", "user_id", "event_id", "value", "ts")
+    return engine.best_records(rows, ["event_type", "user_id"], [F.col("ts"), F.col("event_id")]).drop("ts")
+
+
+@query("stream_channel_timeline", _TIMELINE)
+def stream_channel_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of records that a later message may still move or change."""
+    groups = ["event_type", "user_id", "day"]
+    return engine.regrouped(
+        _stream(spark, sf_dir).filter("value IS NOT NULL").select("event_id", *groups, "value", "ts"), ["event_id"],
+        lambda df: ranking.latest(df, ["event_id"], [F.desc("ts"), F.desc("value")]), groups,
+        lambda df: df.groupBy(*groups).agg(F.round(F.sum("value"), 4).alias("total"), F.avg(F.round(F.col("value") * 100).cast("long")).alias("mean_cents"), F.count_distinct("event_id").alias("n_videos")),
+    )
+
+
+@query("stream_snapshot_gate", "SELECT user_id, ts, value, likes, score FROM (" + _GATED + ")")
+def stream_snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return engine.gated(_snapshots(_stream(spark, sf_dir)), "user_id", "ts", ["value", "likes"], "score")
