@@ -243,7 +243,7 @@ def rankings_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n_per_group(stats, ["event_type"], [F.desc("median_value"), F.desc("n_items"), F.asc("user_id")], 10)
 
 
-@query("theme_classification", f"SELECT theme, lang, count(*) AS n, sum(n_chars) AS chars FROM (SELECT {themes.theme_sql('text')} AS theme, lang, n_chars FROM documents) GROUP BY ALL")
+@query("theme_classification", f"SELECT theme, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM (SELECT {themes.theme_sql('text')} AS theme, lang, n_chars FROM documents) GROUP BY ALL")
 def theme_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select(themes.theme(F.col("text")).alias("theme"), "lang", "n_chars").groupBy("theme", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
