@@ -9,7 +9,7 @@ import pytest
 
 from conftest import DATA
 from tideframe.llm import graph, jaccard, phrases, repeats, suffixes
-from tideframe.llm.common import Rolling, covered, ragged, runs, sliding_max, sliding_min, pack_ints, pack_strings, unpack_ints, unpack_strings
+from tideframe.llm.common import Rolling, ragged, runs, sliding_max, sliding_min, pack_ints, pack_strings, unpack_ints, unpack_strings
 
 
 def test_helpers():
@@ -17,7 +17,7 @@ def test_helpers():
     assert sliding_min(a, 3).tolist() == [3, 1, 1, 1] and sliding_max(a, 4).tolist() == [5, 9, 9]
     assert unpack_ints(pack_ints(np.array([0, 7, 70000]))).tolist() == [0, 7, 70000] and unpack_strings(pack_strings([b"", b"ab"])) == [b"", b"ab"]
     assert ragged(np.arange(9), np.array([4, 0]), np.array([2, 3])).tolist() == [4, 5, 0, 1, 2]
-    assert [x.tolist() for x in runs(np.array([True, False, True, True]))] == [[0, 2], [1, 4]] and covered(np.array([1]), 2, 4).tolist() == [False, True, True, False]
+    assert [x.tolist() for x in runs(np.array([True, False, True, True]))] == [[0, 2], [1, 4]]
     r = Rolling(b"abcabc")
     assert r.of(np.array([0]), np.array([3])) == r.of(np.array([3]), np.array([6])) != r.of(np.array([1]), np.array([4]))
 

@@ -225,7 +225,7 @@ def test_licences(spark):
 def test_pipeline(spark):
     """run() against plain versions of the stages."""
     import corpus_pipeline
-    from test_dedup import plain_links, plain_strings
+    from test_dedup import plain_links
 
     sf = f"{DATA}/sf0.01"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()

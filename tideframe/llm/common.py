@@ -2,35 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
+from tideframe.session import shared_folder
+
 #: Bytes that part words: space and U+0009 to U+000D, which is what bytes.split() takes.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see. Set here only where the session has none and runs in one process."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="tideframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, *by: str) -> DataFrame:
-    """df as a table in the shared folder, which cuts its lineage; parted by the columns of `by`."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tideframe/{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, which cuts its lineage."""
+    path = f"{shared_folder(df.sparkSession)}/tideframe/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -130,14 +118,6 @@ def sliding_max(a: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
-    """Which of n places lie in a window [s, s + width) of one of the starts."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + width, n), -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
