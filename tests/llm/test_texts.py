@@ -153,6 +153,7 @@ def test_pages(spark):
     assert pages.main_text(page) == text and pages.main_text(None) == pages.main_text("") == pages.main_text("<p>") == ""
     assert pages.main_text("<article>a<!-- x --><aside>no</aside> b &lt;c&gt;</article>") == "a\n\nb <c>"
     assert len(pages.main_text("<article>" + "<p>word word</p>" * 5000 + "</article>")) == 5000 * 11 - 2
+    assert pages.main_text("<article><p class=ad>buy<div>stay<p>too</div></article>") == "stay\n\ntoo"
     df = spark.createDataFrame([(1, "u", page, 1), (1, "u", page, 1), (None, None, None, 1)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, pages.extract(df).collect()), key=repr) == [(1, "u", text, len(text))] * 2 + [(None, None, "", 0)]
     assert pages.extract(df.limit(0)).count() == 0

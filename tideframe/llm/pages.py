@@ -107,7 +107,9 @@ def lines_of(page: str) -> list[Line]:
                     if name == tag:
                         break
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
+            if stack and stack[-1][0] == "p" and tag in BLOCK:
+                stack.pop()  # a block ends a paragraph
+            if tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
                 links -= stack.pop()[0] == "a"
             inside = bool(stack and stack[-1][1]) or _furniture(tag, attributes, stack)
             stack.append((tag, inside, bool(stack and stack[-1][2]) or _main(tag, attributes)))
