@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideframe.llm.common import Rolling
+from tideframe.llm.common import Rolling, unpack
 from tideframe.llm.repeats import _batch, compare, joined, keyed, recurring, word_units
 
 WIDTH, GRAM = 50, 10
@@ -90,13 +90,14 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             for row in batch.slice(lo, 256).to_pylist():
-                units = word_units(row["data"])
+                units = word_units(unpack(row["data"]))
                 data, starts, ends = units
                 for spot in row["spots"] or ():
                     text = f" {data[starts[spot['start']] : ends[spot['start'] + spot['n'] + WIDTH - 2]].decode('latin-1')} "
                     if text not in passages:
                         size += len(text)
                     passages[text] = min(spot["holder"], passages.get(text, _LAST))
+                row["data"] = None
                 shard.append((row, units))
                 if size >= SHARD or len(shard) >= 2000:
                     yield _batch(cut(), _OUT)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideframe.llm.common import Rolling, partitions, sliding_max, sliding_min, written
+from tideframe.llm.common import Rolling, pack, partitions, sliding_max, sliding_min, unpack, written
 
 #: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation.
 HOT = 50_000
@@ -133,7 +133,7 @@ def compare(
     docs: DataFrame, found: DataFrame, units: Units, width: int, gram: int,
     batch: Callable[[list[dict]], Iterator[tuple]], verdict: Callable[[DataFrame], DataFrame], out: str, out_schema: pa.Schema,
 ) -> tuple[DataFrame, DataFrame]:
-    """The documents parted by their key, and what was found in them: doc_id, h, spot (an array of structs `out`).
+    """The documents parted by their key, with `data` packed, and what was found in them: doc_id, h, spot (an array of structs `out`).
 
     batch gets rows anchor, ctx, doc_id, h, start, n, data with all contexts of each anchor in it, and gives rows of
     out_schema (doc_id, h and the fields of `out`). verdict gets one row for each window of hot anchors (a, b: a hash
@@ -141,19 +141,20 @@ def compare(
     """
     spark = docs.sparkSession
     n = max(partitions(spark), 8)
-    texts = docs.repartition(n, "doc_id", "h")  # one exchange, read for the contexts and again for the result
+    # packed, as all texts cross here
+    texts = docs.mapInArrow(_packed, docs.schema).repartition(n, "doc_id", "h")  # one exchange, read for the contexts and again for the result
     schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
     window_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
 
     def contexts(row: dict) -> Iterator[tuple]:
-        w = Windows(row["data"], units, width, gram)
+        w = Windows(unpack(row["data"]), units, width, gram)
         for lo, hi in w.contexts(np.array(row["anchors"], np.int64).view(np.uint64)):
             data = w.bytes_of(lo, hi)
             ctx = w.hashes(lo, lo + 1, hi - lo + width - 1)
             yield int(w.anchors[lo : lo + 1].view(np.int64)[0]), int(ctx.view(np.int64)[0]), row["doc_id"], row["h"], lo, hi - lo, data
 
     def windows(row: dict) -> Iterator[tuple]:
-        w = Windows(row["data"], units, width, gram)
+        w = Windows(unpack(row["data"]), units, width, gram)
         half = width // 2
         for lo, hi in w.contexts(np.array(row["anchors"], np.int64).view(np.uint64)):
             whole = signed(w.hashes(lo, hi, width)).tolist()
@@ -189,6 +190,12 @@ def compare(
     return texts, spots.groupBy("doc_id", "h").agg(F.collect_set(F.struct(*fields)).alias("spots"))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("data")
+        yield batch.set_column(at, "data", pa.array([pack(x.as_py(), 1) for x in batch.column(at)], pa.binary()))
+
+
 def _batch(rows: Iterator[tuple], schema: pa.Schema) -> pa.RecordBatch:
     rows = list(rows)
     columns = list(zip(*rows)) if rows else [[] for _ in schema]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tideframe.llm.common import Rolling, runs
+from tideframe.llm.common import Rolling, runs, unpack
 from tideframe.llm.repeats import byte_units, compare, joined, keyed, mapped, recurring
 
 WIDTH, GRAM = 200, 40
@@ -164,7 +164,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts, spots = compare(docs, found, byte_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
 
     def cut(row: dict) -> Iterator[tuple]:
-        data, extra = row["data"], (row["carry"],) if carry else ()
+        data, extra = unpack(row["data"]), (row["carry"],) if carry else ()
         if not row["spots"]:
             yield row["doc_id"], row["h"], len(data), 0, 0, data, *extra
             return
