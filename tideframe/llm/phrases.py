@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.common import Rolling, unpack
-from tideframe.llm.repeats import _batch, compare, joined, keyed, recurring, word_units
+from tideframe.llm.repeats import _batch, compare, joined, keyed, known, recurring, word_units
 
 WIDTH, GRAM = 50, 10
 #: Bytes of passages that one automaton holds, more only for a single document's.
@@ -121,7 +121,7 @@ def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def hot(windows: DataFrame) -> DataFrame:
         holders = windows.groupBy("a", "b").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("holder"))
-        later = windows.join(holders, ["a", "b"]).filter(F.col("holder") < F.coalesce("doc_id", F.lit(_LAST)))
+        later = known(windows, holders).filter(F.col("holder") < F.coalesce("doc_id", F.lit(_LAST)))
         return later.select("doc_id", "h", "start", F.lit(1).alias("n"), "holder")
 
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("holder", pa.int64())])

@@ -18,6 +18,8 @@ from tideframe.llm.common import Rolling, pack, partitions, sliding_max, sliding
 
 #: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation.
 HOT = 50_000
+#: Tasks that share the rows of one hot window.
+SALTS = 32
 #: Bytes of contexts that are compared at once, if they are of several anchors.
 BATCH = 4_000_000
 
@@ -202,6 +204,13 @@ def _batch(rows: Iterator[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, schema)], schema=schema)
 
 
+def known(windows: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """windows joined with a verdict for each (a, b). Copies of the verdicts, dealt out by document, share a window's rows
+    among tasks, as one window may hold a great part of them."""
+    salted = verdicts.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return windows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "h", "start"), F.lit(SALTS)).cast("int")).join(salted, ["a", "b", "_salt"]).drop("_salt")
+
+
 def joined(texts: DataFrame, spots: DataFrame) -> DataFrame:
     """All documents with their spots, null if they have none."""
     right = spots.withColumnsRenamed({"doc_id": "_d", "h": "_h"})

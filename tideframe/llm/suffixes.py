@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideframe.llm.common import Rolling, runs, unpack
-from tideframe.llm.repeats import byte_units, compare, joined, keyed, mapped, recurring
+from tideframe.llm.repeats import byte_units, compare, joined, keyed, known, mapped, recurring
 
 WIDTH, GRAM = 200, 40
 
@@ -158,7 +158,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def hot(windows: DataFrame) -> DataFrame:
         times = windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).filter("times >= 2")
-        return windows.join(times, ["a", "b"]).select("doc_id", "h", "start", F.lit(1).alias("n"))
+        return known(windows, times).select("doc_id", "h", "start", F.lit(1).alias("n"))
 
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
     texts, spots = compare(docs, found, byte_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
