@@ -141,9 +141,9 @@ def _chunked(buckets: int, chunk_chars: int, words: bool):
         place = TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(i)
-                texts.append(text or "")
+            for i, text in zip(batch.column(0), batch.column(1)):
+                ids.append(i.as_py())
+                texts.append(text.as_py() or "")
                 size += len(texts[-1])
                 if size >= chunk_chars:
                     yield rows(place, ids, texts)
@@ -154,7 +154,7 @@ def _chunked(buckets: int, chunk_chars: int, words: bool):
     return run
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 4_000_000, buckets: int | None = None) -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 2_000_000, buckets: int | None = None) -> DataFrame:
     """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit) for each row of df.
 
     A null text counts as empty and has no ids; repeated rows and null ids are kept as they come; other columns of df
