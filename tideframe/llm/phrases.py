@@ -56,6 +56,17 @@ def _confirm(rows: list[dict]) -> Iterator[tuple]:
                     yield row["doc_id"], row["h"], row["start"] + start, n, holder
 
 
+def merged(spots: list[dict]) -> list[tuple[int, int, int]]:
+    """Runs of windows (start, number, holder), neighbouring ones of one holder put together."""
+    out: list[tuple[int, int, int]] = []
+    for start, n, holder in sorted((s["start"], s["n"], s["holder"]) for s in spots):
+        if out and out[-1][2] == holder and out[-1][0] + out[-1][1] == start:
+            out[-1] = (out[-1][0], out[-1][1] + n, holder)
+        else:
+            out.append((start, n, holder))
+    return out
+
+
 def automaton(passages: dict[str, int]) -> ahocorasick.Automaton:
     """Finds every passage; its value is the passage's length and first holder."""
     out = ahocorasick.Automaton()
@@ -87,21 +98,22 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept = data
             yield row["doc_id"], row["h"], len(starts), int(gone.sum()), kept
 
+    held = 0
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             for row in batch.slice(lo, 256).to_pylist():
-                units = word_units(unpack(row["data"]))
-                data, starts, ends = units
-                for spot in row["spots"] or ():
-                    text = f" {data[starts[spot['start']] : ends[spot['start'] + spot['n'] + WIDTH - 2]].decode('latin-1')} "
+                data, starts, ends = units = word_units(unpack(row["data"]))
+                for start, n, holder in merged(row["spots"] or ()):
+                    text = f" {data[starts[start] : ends[start + n + WIDTH - 2]].decode('latin-1')} "
                     if text not in passages:
                         size += len(text)
-                    passages[text] = min(spot["holder"], passages.get(text, _LAST))
+                    passages[text] = min(holder, passages.get(text, _LAST))
                 row["data"] = None
                 shard.append((row, units))
-                if size >= SHARD or len(shard) >= 2000:
+                held += len(data)
+                if size >= SHARD or held >= 8 * SHARD:
                     yield _batch(cut(), _OUT)
-                    shard, passages, size = [], {}, 0
+                    shard, passages, size, held = [], {}, 0, 0
     if shard:
         yield _batch(cut(), _OUT)
 
