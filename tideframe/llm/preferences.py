@@ -66,16 +66,18 @@ def paired(turns: DataFrame, pairs: DataFrame) -> DataFrame:
 def neighbours(turns: DataFrame) -> DataFrame:
     """Formatted pairs of the conversations 2k (chosen) and 2k + 1 (rejected).
 
-    Both sides fall together by k, so that each turn is shuffled once.
+    Turns are gathered by pair at once, so that each crosses the network a single time.
     """
-    own = conversations(turns.withColumn("conv_id", F.col("conv_id").cast("long")))
-    halves = own.select(F.expr("conv_id - pmod(conv_id, 2)").alias("pair"), "conv_id", "turns")
-    sides = halves.groupBy("pair").agg(
-        F.max(F.when(F.col("conv_id") == F.col("pair"), F.struct("conv_id", "turns"))).alias("c"),
-        F.max(F.when(F.col("conv_id") != F.col("pair"), F.struct("conv_id", "turns"))).alias("r"),
-    )
-    both = sides.filter("c IS NOT NULL AND r IS NOT NULL").select(F.expr("pair div 2").alias("pair_id"), F.col("c.conv_id").alias("chosen_id"), F.col("r.conv_id").alias("rejected_id"), F.col("c.turns").alias("c"), F.col("r.turns").alias("r"))
-    return _formatted(both)
+    conv = F.col("conv_id").cast("long")
+    turn = F.struct(conv.alias("conv"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.filter(conv.isNotNull()).select((conv - F.pmod(conv, F.lit(2))).alias("pair"), turn.alias("turn"))
+    own = rows.groupBy("pair").agg(F.sort_array(F.collect_list("turn")).alias("t"))
+
+    def side(which: Column) -> Column:
+        return F.transform(F.filter("t", lambda x: x["conv"] == which), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
+
+    both = own.select(F.expr("pair div 2").alias("pair_id"), F.col("pair").alias("chosen_id"), (F.col("pair") + 1).alias("rejected_id"), side(F.col("pair")).alias("c"), side(F.col("pair") + 1).alias("r"))
+    return _formatted(both.filter((F.size("c") > 0) & (F.size("r") > 0)))
 
 
 def _formatted(both: DataFrame) -> DataFrame:
