@@ -14,6 +14,8 @@ from tideframe.llm.common import written
 #: Suffix sorting, templates and byte pairs are beyond SQL; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
 _LAST = 2**63 - 1
+#: Near copies have a similarity of 80 % or more by their shingles of 5 words; op7 has its own bar.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by links of the Jaccard join, the one of the least id; all without a word."""
-    found = jaccard.similar(docs).select("doc_id", "h", "root")
+    found = jaccard.similar(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select("doc_id", "h", "root")
     first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"))
     keep = first.select("one.doc_id", "one.h").unionByName(found.filter("root IS NULL").select("doc_id", "h"))
     return _matched(docs, keep, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -1,9 +1,11 @@
-"""N-gram Jaccard join: documents whose sets of 3-word shingles have a similarity of 0.9 or more, and their components.
+"""N-gram Jaccard join: documents whose sets of word shingles have a least similarity, and their components. The shingle's
+words and the similarity in percent are parameters: 3 and 90 if not given.
 
 A size-aware heavy-light join. Equal sets fall together by their hash. A pair of small ("light") sets that links shares
 a large subset, so light sets give all their subsets of the sizes that count as keys. Large ("heavy") sets are parted by
 the shingles' hashes into one part more than a linked pair can differ in, so that a linked pair has an equal part: the
-parts are their keys. The size where one passes into the other is the one of least cost over the corpus's sizes. Sets
+parts are their keys. Where parts are small, there are more of them than that, and each set leaves out as many of its
+smallest: of the parts that a pair has equal, the largest stays in both. The size where one passes into the other is the one of least cost over the corpus's sizes. Sets
 that share a key, directly or through others, form a group; a set travels once, to its group, where the inverted lists
 of the group's shingles are scanned for exact overlaps. Groups of too many sets are compared block by block.
 """
@@ -11,6 +13,7 @@ of the group's shingles are scanned for exact overlaps. Groups of too many sets
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 from math import comb
 
@@ -22,93 +25,115 @@ from tideframe.llm.common import Rolling, mix, partitions, written
 from tideframe.llm.graph import components
 from tideframe.llm.repeats import keyed, word_units
 
+#: What is linked if not said otherwise: the similarity in percent, and the words of a shingle.
 PERCENT, WORDS = 90, 3
 #: The light sets have at most 20 shingles; reading one entry of an inverted list costs as much as so many subset keys.
 MOST_LIGHT, SCAN_COST = 20, 3
 #: Groups of more sets are compared in blocks of so many.
 BLOCK = 4000
+#: Parts of fewer shingles than this on average may be empty or a common phrase.
+SMALL_PART = 6
 _LAST = 2**63 - 1
 
 
-def shingles(text: bytes) -> np.ndarray:
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text; fewer words than a shingle's are one shingle."""
     data, starts, ends = word_units(text.lower())
     n = len(starts)
     if not n:
         return np.zeros(0, np.uint64)
-    k = min(n, WORDS)
+    k = min(n, words)
     return np.unique(Rolling(data).of(starts[: n - k + 1], ends[k - 1 :]))
 
 
-def links(a, b, both):
+def links(a, b, both, percent: int = PERCENT):
     """Whether sets of sizes a and b with `both` common shingles link."""
-    return 100 * both >= PERCENT * (a + b - both)
+    return 100 * both >= percent * (a + b - both)
 
 
-def least_overlap(a: int, b: int) -> int:
-    return -(-PERCENT * (a + b) // (100 + PERCENT))
+def least_overlap(a: int, b: int, percent: int = PERCENT) -> int:
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def most_deleted(n: int) -> int:
+@cache
+def most_deleted(n: int, percent: int = PERCENT) -> int:
     """How many shingles a set of n may have that a linked set lacks."""
-    sizes = range(-(-PERCENT * n // 100), 100 * n // PERCENT + 1)
-    return max((n - least_overlap(n, b) for b in sizes if least_overlap(n, b) <= min(n, b)), default=0)
+    sizes = range(-(-percent * n // 100), 100 * n // percent + 1)
+    return max((n - least_overlap(n, b, percent) for b in sizes if least_overlap(n, b, percent) <= min(n, b)), default=0)
 
 
-def subset_keys(n: int) -> int:
-    return sum(comb(n, k) for k in range(most_deleted(n) + 1))
+def subset_keys(n: int, percent: int = PERCENT) -> int:
+    return sum(comb(n, k) for k in range(most_deleted(n, percent) + 1))
 
 
-#: Size bands of the heavy sets: a linked pair is in one band or in neighbouring ones.
-_EDGES = [1]
-while _EDGES[-1] < 10**9:
-    _EDGES.append(max(_EDGES[-1] + 1, -(-_EDGES[-1] * 100 // PERCENT)))
-_EDGE_ARRAY = np.array(_EDGES)
+@cache
+def _edges(percent: int) -> np.ndarray:
+    """Size bands of the heavy sets: a linked pair is in one band or in neighbouring ones."""
+    edges = [1]
+    while edges[-1] < 10**9:
+        edges.append(max(edges[-1] + 1, -(-edges[-1] * 100 // percent)))
+    return np.array(edges)
 
 
-def parts(band: int) -> int:
+def _band(n: int, percent: int) -> int:
+    return int(np.searchsorted(_edges(percent), n, "right")) - 1
+
+
+@cache
+def parts(band: int, percent: int = PERCENT) -> int:
     """One more than the shingles in which a set of the band and a linked one as large or larger differ at most."""
-    a = _EDGES[band + 1] - 1
-    b = 100 * a // PERCENT
-    return (a + b) * (100 - PERCENT) // (100 + PERCENT) + 1
+    a = int(_edges(percent)[band + 1]) - 1
+    b = 100 * a // percent
+    return (a + b) * (100 - percent) // (100 + percent) + 1
+
+
+@cache
+def spare(band: int, percent: int = PERCENT) -> int:
+    """How many parts there are besides, as many as a set leaves out: a fourth, where a part has few shingles."""
+    m = parts(band, percent)
+    return m // 4 if int(_edges(percent)[band + 1]) - 1 < SMALL_PART * m else 0
 
 
-def list_keys(n: int) -> int:
-    band = int(np.searchsorted(_EDGE_ARRAY, n, "right")) - 1
-    return parts(band) + (parts(band - 1) if band else 0)
+def list_keys(n: int, percent: int = PERCENT) -> int:
+    band = _band(n, percent)
+    return parts(band, percent) + (parts(band - 1, percent) if band else 0)
 
 
-def boundary(sizes: dict[int, int]) -> int:
-    """The greatest light size, by the least cost over how many sets have each size up to MOST_LIGHT / 0.9."""
-    top = max([MOST_LIGHT * 100 // PERCENT, *sizes])
+def boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
+    """The greatest light size, by the least cost over how many sets have each size up to MOST_LIGHT * 100 / percent."""
+    top = max([MOST_LIGHT * 100 // percent, *sizes])
 
     def cost(x: int) -> int:
-        light = sum(sizes.get(n, 0) * subset_keys(n) for n in range(1, x * 100 // PERCENT + 1))
-        return light + SCAN_COST * sum(sizes.get(n, 0) * list_keys(n) for n in range(x + 1, top + 1))
+        light = sum(sizes.get(n, 0) * subset_keys(n, percent) for n in range(1, x * 100 // percent + 1))
+        return light + SCAN_COST * sum(sizes.get(n, 0) * list_keys(n, percent) for n in range(x + 1, top + 1))
 
     return min(range(MOST_LIGHT + 1), key=cost)
 
 
-def keys_of(own: np.ndarray, light: int) -> np.ndarray:
+def keys_of(own: np.ndarray, light: int, percent: int = PERCENT) -> np.ndarray:
     """The keys of a set: those of its subsets, of its parts, or both near the boundary."""
     n, out = len(own), []
     spread = mix(own + np.uint64(0x5851F42D4C957F2D))
-    if n <= light * 100 // PERCENT:
+    if n <= light * 100 // percent:
         total = spread.sum(dtype=np.uint64)
-        for k in range(most_deleted(n) + 1):
+        for k in range(most_deleted(n, percent) + 1):
             gone = np.array([sum(map(int, c)) % 2**64 for c in combinations(spread.tolist(), k)], np.uint64)
             out.append(mix((total - gone) ^ mix(np.full(len(gone), n - k, np.uint64))))
     if n > light:
-        band = int(np.searchsorted(_EDGE_ARRAY, n, "right")) - 1
+        band = _band(n, percent)
         for i in (band, band - 1):
             if i >= 0:
-                m = parts(i)
+                left_out = spare(i, percent)
+                m = parts(i, percent) + left_out
                 place = (own % np.uint64(m)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
                 heads = np.searchsorted(place[order], np.arange(m))
+                ends = np.append(heads[1:], n)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread[order], dtype=np.uint64)])
-                value = sums[np.append(heads[1:], n)] - sums[heads]
-                out.append(mix(value ^ mix(np.arange(m, dtype=np.uint64) + np.uint64(i << 32) + np.uint64(1 << 20))))
+                value = sums[ends] - sums[heads]
+                keys = mix(value ^ mix(np.arange(m, dtype=np.uint64) + np.uint64(i << 32) + np.uint64(1 << 20)))
+                # equal parts have equal sizes and keys, so that this order is the same in both sets
+                out.append(keys[np.lexsort((keys, ends - heads))[left_out:]] if left_out else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -119,13 +144,13 @@ def set_keys(own: np.ndarray) -> tuple[int, int]:
     return int(np.int64(one.view(np.int64))), int(np.int64(two.view(np.int64)))
 
 
-def _sketch(light: int):
+def _sketch(light: int, words: int, percent: int):
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(x.as_py()) for x in batch.column(2)]
-            own = [keys_of(s, light) if len(s) else s for s in sets]
+            sets = [shingles(x.as_py(), words) for x in batch.column(2)]
+            own = [keys_of(s, light, percent) if len(s) else s for s in sets]
             pairs = [set_keys(s) for s in sets]
             flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
             ends = np.concatenate([[0], np.cumsum([*map(len, own)])]).astype(np.int32)
@@ -135,9 +160,12 @@ def _sketch(light: int):
     return run
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([len(shingles(x.as_py())) for x in batch.column(0)], pa.int64())], names=["n"])
+def _sizes(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(shingles(x.as_py(), words)) for x in batch.column(0)], pa.int64())], names=["n"])
+
+    return run
 
 
 def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
@@ -160,7 +188,7 @@ def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         yield i, np.bincount(owner[spots], minlength=len(sets))
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _resolve(words: int, percent: int):
     """For each group: its sets with the least document of their component, and how many documents they link with."""
 
     def group(rows: list[dict]) -> pa.RecordBatch:
@@ -170,7 +198,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for (grp, one, two), own in by_group.items():
             own = list({(r["node"], r["k"]): r for r in own}.values())  # repeated rows
-            sets = [shingles(r["data"]) for r in own]
+            sets = [shingles(r["data"], words) for r in own]
             sizes = np.array([*map(len, sets)])
             copies = np.array([r["copies"] for r in own])
             side = np.array([r["block"] for r in own])
@@ -184,7 +212,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
             linked = [0] * len(own)
             for i, both in overlaps(sets):
-                yes = links(sizes[i], sizes, both)
+                yes = links(sizes[i], sizes, both, percent)
                 yes[i] = False
                 if one != two:
                     yes &= side != side[i]
@@ -199,25 +227,29 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*out))
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "k", "top", "linked"])
 
-    rows, size = [], 0
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            for row in batch.slice(lo, 256).to_pylist():
-                key = (row["grp"], row["one"], row["two"])
-                if size >= 4_000_000 and key != (rows[-1]["grp"], rows[-1]["one"], rows[-1]["two"]):
-                    yield group(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row["data"])
-    if rows:
-        yield group(rows)
-
-
-def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                for row in batch.slice(lo, 256).to_pylist():
+                    key = (row["grp"], row["one"], row["two"])
+                    if size >= 4_000_000 and key != (rows[-1]["grp"], rows[-1]["one"], rows[-1]["two"]):
+                        yield group(rows)
+                        rows, size = [], 0
+                    rows.append(row)
+                    size += len(row["data"])
+        if rows:
+            yield group(rows)
+
+    return run
+
+
+def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, h, n_shingles, component_id, n_links, root: each document's set size, the least document that links reach
     from it (itself included), the number of documents it links with directly, and a number of its component (null for
     the empty set).
 
+    Documents link whose sets of shingles of so many words have a similarity of so many percent or more.
     Null and empty texts have the empty set and link with nothing, so their component is their own id. A null id counts
     as the greatest, and is the component of documents that have no other. Repeated rows link with one another. An
     empty df gives no rows; other columns of df are not read.
@@ -226,10 +258,10 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     n_parts = max(partitions(spark), 8)
     docs = keyed(df, id_col, text_col)
     # the boundary only weighs costs, so sizes of texts that can't but be small do
-    short = docs.filter(F.octet_length("data") <= 1000).select("data").mapInArrow(_sizes, "n long")
-    top = MOST_LIGHT * 100 // PERCENT
-    light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()})
-    sketches = written(docs.mapInArrow(_sketch(light), "doc_id long, h long, n long, node long, k long, keys array<long>"))
+    short = docs.filter(F.octet_length("data") <= 1000).select("data").mapInArrow(_sizes(words), "n long")
+    top = MOST_LIGHT * 100 // percent
+    light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
+    sketches = written(docs.mapInArrow(_sketch(light, words, percent), "doc_id long, h long, n long, node long, k long, keys array<long>"))
 
     classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"))
     entries = sketches.filter("n > 0").select(F.explode("keys").alias("key"), "node")
@@ -245,7 +277,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     units = member.join(docs, (F.col("_d") == F.coalesce("doc_id", F.lit(_LAST))) & (F.col("_h") == F.col("h")))
     units = units.select("grp", "one", "two", "block", "node", "k", "copies", "data")
     resolved = written(
-        units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(_resolve, "node long, k long, top long, linked long")
+        units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(_resolve(words, percent), "node long, k long, top long, linked long")
     )
     linked = resolved.groupBy("node", "k").agg(F.sum("linked").alias("linked"))
     if counts.filter(F.col("members") > BLOCK).isEmpty():
