@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tideframe.llm import jaccard
+from tideframe.llm import jaccard, licences
 from test_dedup import near_copies
 
 
@@ -57,3 +57,19 @@ def test_empty_parts_are_no_keys_of_strangers():
     sets = [np.unique(rng.integers(0, 2**63, 300, np.uint64)) for _ in range(200)]
     keys = np.concatenate([np.unique(jaccard.keys_of(s, 9, 80)) for s in sets])
     assert len(np.unique(keys)) == len(keys)
+
+
+def test_licences_inside_longer_texts():
+    scan = licences.Scanner(licences.TEMPLATES, licences.THRESHOLD).scan
+    mit = next(t for n, t in licences.TEMPLATES if n == "MIT" and len(t) > 200)
+    one, two = mit.index("The above copyright"), mit.index("THE SOFTWARE IS")
+    paragraphs = f"{mit[:one]}\n\n{mit[one:two]}\n\n{mit[two:]}"
+    code = "\n\n".join(f"def f{i}(x):\n    return x + {i} * y{i}" for i in range(60))
+    [(name, dice, lo, hi)] = scan(f"Title of it\n\n{paragraphs}\n\n{code}")
+    assert (name, lo, hi) == ("MIT", 2, 6) and dice > 0.99
+    assert [*scan("Copyright 2020 Acme Inc. All rights reserved.")] == [("all-rights-reserved", 1.0, 0, 0)]
+    assert [*scan("Licensed under CC BY-SA 4.0.")] == [("CC-BY-SA-4.0", 1.0, 0, 0)]
+    assert [*scan("So this is licensed under CC BY 3.0 by its author.")] == []
+    assert [x[0] for x in scan("All rights reserved." + " " * 30000)] == ["all-rights-reserved"]
+    cut = mit[: mit.rindex("IN NO EVENT")]  # a shorter copy, whole sentences
+    assert [x[0] for x in scan(f"{code}\n\n{cut[:one]}\n\n{cut[one:]}\n\n{code}")] == ["MIT"]

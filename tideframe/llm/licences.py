@@ -1,14 +1,18 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient over word bigrams.
 
-A text is compared as a whole, paragraph by paragraph and line by line. A template is only compared with texts whose
-number of bigrams lets the coefficient reach the threshold, and that share a bigram with it.
+A text is compared as a whole, paragraph by paragraph and line by line, and by windows of words anywhere in it, across
+lines and paragraphs. A window has as many bigrams as the template or more; a shorter one begins and ends with a line or
+sentence, as a part of a notice may name another licence. A template is only compared with what has a number of bigrams
+that lets the coefficient reach the threshold, and enough bigrams of it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -47,6 +51,7 @@ TEMPLATES: list[tuple[str, str]] = [
 ]
 
 _WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_SENTENCE = re.compile(r"[.!?:;]+(?=\s)")
 
 
 def bigrams(text: str) -> Counter:
@@ -68,11 +73,8 @@ class Scanner:
         self.least = min(self.sizes) * threshold / (2 - threshold)
         self.most = max(self.sizes) * (2 - threshold) / threshold
 
-    def best(self, text: str) -> tuple[str, float] | None:
+    def best(self, words: list[str]) -> tuple[str, float] | None:
         """The licence of the greatest coefficient, if that reaches the threshold; of equal ones the first template's."""
-        if len(text) > 64 * self.most:
-            return None  # longer than any text of so few words that matters; a word of a licence isn't longer than that
-        words = _WORDS.findall(text.lower())
         n = max(1, len(words) - 1)
         if not words or n < self.least or n > self.most or self.first.isdisjoint(words):
             return None
@@ -86,23 +88,99 @@ class Scanner:
                     score, which = dice, i
         return (self.templates[which][0], score) if score >= self.threshold else None
 
+    def bounds(self, i: int) -> tuple[int, int]:
+        """The least common bigrams and the most bigrams of a window that reaches the threshold with a template."""
+        m = self.sizes[i]
+        return ceil(m * self.threshold / (2 - self.threshold) - 1e-9), int(m * (2 - self.threshold) / self.threshold + 1e-9)
+
+    def dense(self, pairs: list[tuple[str, str]]) -> dict[int, list[int]]:
+        """Of the templates that may match a window: where their bigrams are."""
+        hits = defaultdict(list)
+        for at, pair in enumerate(pairs):
+            if pair in self.having:
+                for i in self.having[pair]:
+                    hits[i].append(at)
+        out = {}
+        for i, at in hits.items():
+            need, most = self.bounds(i)
+            if any(b - a < most for a, b in zip(at, at[need - 1 :])):
+                out[i] = at
+        return out
+
+    def windows(self, pairs: list[tuple[str, str]], hits: dict[int, list[int]], starts: set[int], ends: set[int]) -> list[tuple[float, int, int, int]]:
+        """Coefficient, template, first and last bigram of the windows that match, the best of those that overlap.
+
+        The words at starts begin a line or sentence, those at ends end one.
+        """
+        found = []
+        for i, at in hits.items():
+            m, own = self.sizes[i], self.templates[i][1]
+            need, most = self.bounds(i)
+            todo = -1  # the first bigram that no start was tried at
+            for k in range(len(at) - need + 1):
+                if at[k + need - 1] - at[k] >= most:
+                    continue
+                # a window of so many hits may also begin before its first one
+                for lo in range(max(todo, at[k + need - 1] - most + 1, 0), at[k] + 1):
+                    left, both = own.copy(), 0
+                    for hi in range(lo, min(lo + most, len(pairs))):
+                        if left[pairs[hi]] > 0:
+                            left[pairs[hi]] -= 1
+                            both += 1
+                        n = hi - lo + 1
+                        if 2 * both >= self.threshold * (n + m) and (n >= m or lo in starts and hi + 1 in ends):
+                            found.append((-2 * both / (n + m), i, lo, hi))
+                todo = max(todo, at[k] + 1)
+        out, taken = [], set()
+        for dice, i, lo, hi in sorted(found):
+            if taken.isdisjoint(range(lo, hi + 2)):  # words, one more than bigrams
+                taken.update(range(lo, hi + 2))
+                out.append((-dice, i, lo, hi))
+        return out
+
     def scan(self, text: str) -> Iterator[tuple[str, float, int, int]]:
-        """Licence, coefficient, first and last line (from 0) of every line, paragraph and text that matches."""
+        """Licence, coefficient, first and last line (from 0) of every line, paragraph and text that matches, and of every
+        window that does where none of those has its licence."""
         lines = text.split("\n")
-        marks = [any(w in self.first for w in _WORDS.findall(x.lower())) for x in lines]
+        words = [_WORDS.findall(x.lower()) for x in lines]
+        marks = [not self.first.isdisjoint(x) for x in words]
+        flat = [w for x in words for w in x]
+        found = []
         start = 0
         for i, line in enumerate([*lines, ""]):
-            if i < len(lines) and marks[i] and (got := self.best(line)):
-                yield *got, i, i
+            if i < len(lines) and marks[i] and (got := self.best(words[i])):
+                found.append((*got, i, i))
             if not line.strip():
-                if i - start > 1 and any(marks[start:i]) and (got := self.best(" ".join(lines[start:i]))):
-                    yield *got, start, i - 1
+                if i - start > 1 and any(marks[start:i]) and (got := self.best([w for x in words[start:i] for w in x])):
+                    found.append((*got, start, i - 1))
                 start = i + 1
-        if start < len(lines) or any(not x.strip() for x in lines):
+        if any(not x.strip() for x in lines):
             filled = [i for i, x in enumerate(lines) if x.strip()]
             parts = sum(1 for a, b in zip(filled, filled[1:]) if b - a > 1)
-            if parts and any(marks) and (got := self.best(" ".join(lines))):
-                yield *got, filled[0], filled[-1]
+            if parts and any(marks) and (got := self.best(flat)):
+                found.append((*got, filled[0], filled[-1]))
+        yield from found
+        pairs = [*zip(flat, flat[1:])]
+        hits = self.dense(pairs)
+        if not hits:
+            return
+        line_of, starts, ends = [], set(), set()
+        for i, (line, own) in enumerate(zip(lines, words)):
+            at = len(line_of)
+            if own:
+                starts.add(at)
+                ends.add(at + len(own) - 1)
+                low = line.lower()
+                places = [x.start() for x in _WORDS.finditer(low)]
+                for x in _SENTENCE.finditer(low):
+                    n = at + bisect_left(places, x.end())
+                    starts.add(n)
+                    ends.add(n - 1)
+            line_of += [i] * len(own)
+        for dice, i, lo, hi in self.windows(pairs, hits, starts, ends):
+            name, one, two = self.templates[i][0], line_of[lo], line_of[hi + 1]
+            if not any(have == name and a <= two and one <= b for have, _, a, b in found):
+                yield name, dice, one, two
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("licence", pa.string()), ("dice", pa.float64()), ("n_matches", pa.int64()), ("first_line", pa.int64()), ("last_line", pa.int64())])
