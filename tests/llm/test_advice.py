@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tideframe.llm import jaccard, licences
+from tideframe.llm import jaccard, licences, templates
 from test_dedup import near_copies
 
 
@@ -73,3 +73,10 @@ def test_licences_inside_longer_texts():
     assert [x[0] for x in scan("All rights reserved." + " " * 30000)] == ["all-rights-reserved"]
     cut = mit[: mit.rindex("IN NO EVENT")]  # a shorter copy, whole sentences
     assert [x[0] for x in scan(f"{code}\n\n{cut[:one]}\n\n{cut[one:]}\n\n{code}")] == ["MIT"]
+
+
+def test_templates_dense_in_numbers_and_first_words(spark):
+    bench = spark.createDataFrame([(1, "Find the next term: 2 4 8 16 32 64"), (2, "What is the boiling point of water?")], "item_id long, text string")
+    docs = [(1, "Find the next term: 3 6 12 24 48 96"), (2, "Find the next term: 3 6 12 12 48 96"), (3, "Question 3 What is the boiling point of water?"), (4, "What is the boiling point of water?")]
+    got = {(r.doc_id, r.item_id, r.copied) for r in templates.report(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1, False), (3, 2, True), (4, 2, True)}

@@ -82,7 +82,7 @@ def template(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray
 
 
 def window_hashes(plain: np.ndarray, words: np.ndarray, slots: np.ndarray, width: int) -> np.ndarray:
-    """Of each window of template words; a window of more slots than words would fit anywhere and stays as it is."""
+    """Of each window of template words; a window of slots only would fit anywhere and stays as it is."""
 
     def rolled(a: np.ndarray) -> np.ndarray:
         out = np.zeros(max(0, len(a) - width + 1), np.uint64)
@@ -94,8 +94,8 @@ def window_hashes(plain: np.ndarray, words: np.ndarray, slots: np.ndarray, width
     out = rolled(words)
     if slots.any() and len(out):
         sums = np.concatenate([[0], np.cumsum(slots)])
-        many = 2 * (sums[width:] - sums[:-width]) > width
-        out = np.where(many, rolled(plain), out) if many.any() else out
+        bare = sums[width:] - sums[:-width] == width
+        out = np.where(bare, rolled(plain), out) if bare.any() else out
     return out
 
 
@@ -104,7 +104,8 @@ def slot_values(words: list[str], slots: np.ndarray, start: int, width: int) ->
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of every item; of an item shorter than a window, the whole item."""
+    """Every window of every item; of an item shorter than a window, the whole item. The first window also has the key
+    with the first word as a slot, as only a document tells what stands before it."""
     lexicon, out = Lexicon(), []
     for batch in batches:
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -114,6 +115,13 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 width = min(WIDTH, len(words))
                 own = window_hashes(plain, hashes, slots, width).view(np.int64).tolist()
                 out += [(item, width, len(own), i, h, slot_values(words, slots, i, width)) for i, h in enumerate(own)]
+                kind = int(lexicon.of(words[:1])[1][0])
+                if kind in (_CAP, _UNIT):  # a slot in a document where the word before makes it one
+                    hashes, slots = hashes[:width].copy(), slots[:width].copy()
+                    hashes[0], slots[0] = _SLOT[kind], True
+                    key = int(window_hashes(plain[:width], hashes, slots, width).view(np.int64)[0])
+                    if key != own[0]:
+                        out.append((item, width, len(own), 0, key, slot_values(words, slots, 0, width)))
     yield _batch(iter(out), _ITEM)
 
 
