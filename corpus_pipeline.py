@@ -32,8 +32,7 @@ def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     weights = quality.bucket_weights(docs, quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    verdicts = quality.scored(_hashed(docs).select("doc_id", F.col("_text_hash").alias("h"), "text"), weights, keep=["doc_id", "h"])
-    return _matched(docs, verdicts.filter("kept"), "left_semi")
+    return quality.scored(docs, weights).filter("kept").select("keep.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
