@@ -62,7 +62,7 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preferences.neighbours(table(spark, sf_dir, "conversations"))
+    return preferences.swapped_replies(table(spark, sf_dir, "conversations"))
 
 
 ORACLE["op5_preference_pairs"] = preferences.ORACLE
