@@ -1,14 +1,17 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines, one for each block element, in which text inside page furniture (menus, headers, footers,
-adverts, forms, comments) and lines that are mostly links count as empty. Lengths are summed over sliding windows of
-lines; text begins where the sum surges and ends where it dives to nothing. What lies between is kept.
+Markup is stripped to lines, one for each block element. Menus, headers, footers, forms and the like leave gaps of empty
+lines; lines that are mostly links, or stand in an element named like an advert or a comment list, weigh nothing. Text
+lengths are summed over sliding windows of lines: text begins where the sum surges and ends where it dives to nothing.
+The stretches between are kept, with what else stands in the elements that hold them. Markup of the main part adds to
+the weight of its lines and takes all weight from the others, unless these hold several times its text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,11 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.repeats import _batch
 
-#: Lines of a window; the sum at which text surges; the share of the greatest stretch that another one must have, if the
-#: page doesn't mark its main part.
-WINDOW, SURGE, SHARE = 3, 80, 0.25
+#: Lines of a window; the sum at which text surges; how many times longer than the marked main part other text must be to
+#: count beside it.
+WINDOW, SURGE, OUTWEIGH = 3, 80, 4
 
-#: Elements without an end, that part blocks, that are never part of a text, and names of page furniture.
+#: Elements without an end, that part blocks, whose content is no markup, and that are page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -31,127 +34,223 @@ FURNITURE = frozenset(
     "head script style noscript template svg math canvas iframe object audio video nav aside footer form fieldset button select textarea input "
     "menu dialog noembed noframes xmp title".split()
 )
-NAMES = re.compile(
-    r"(?<![a-z])(ad|ads|advert\w*|adbox|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|aside|footer|"
-    r"masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|comments?|commentlist|"
-    r"replies|respond|disqus|share|sharing|social|related|recommend\w*|widget|pagination|pager|tags|skip|copyright|legal|print|search)(?![a-z])"
-)
-MAIN = re.compile(r"(?<![a-z])(article|articlebody|article-body|post-content|entry-content|main-content|story-body|content-body)(?![a-z])")
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+#: Words of classes and ids that name furniture, and words that may stand beside them without meaning more.
+NAMED = frozenset(
+    "ad ads adbox advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion cta banner nav navbar navigation menu "
+    "breadcrumb breadcrumbs sidebar footer masthead topbar toolbar cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe "
+    "signup login comment comments commentlist reply replies respond disqus discussion opinions share sharing social related recommended "
+    "recommendations widget pagination pager tags skip copyright legal print search".split()
+)
+BESIDE = frozenset(
+    "box list area section wrap wrapper container bar block links link form panel item items inner outer row col column unit slot group top bottom left "
+    "right main site page post posts article articles user users reader readers global content body header text message messages icons buttons button "
+    "thread feed cloud title".split()
+)
+_MAIN = re.compile(r"(?<![a-z])(article|articlebody|article-body|post-content|entry-content|main-content|story-body|content-body)(?![a-z-])")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
+_PLAIN = re.compile(r"[^>\"']*")
+_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
 _WHITE = re.compile(r"\s+")
 
+#: What a line is: part of the main part, none, in a named advert or the like.
+PLAIN, MARKED, NAMED_LINE = range(3)
+
 
 class Line:
-    __slots__ = ("parts", "linked", "main", "kept")
+    __slots__ = ("parts", "linked", "kind", "holder", "kept")
 
-    def __init__(self, main: bool):
+    def __init__(self, kind: int, holder: int):
         self.parts: list[str] = []
-        self.linked, self.main, self.kept = 0, main, ""
-
-
-def _furniture(tag: str, attributes: str, stack: list) -> bool:
-    if tag in FURNITURE:
-        return True
-    if tag == "header":  # an article's own header holds its title
-        return not any(x[2] for x in stack)
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
-            return True
-        if name in ("class", "id") and NAMES.search(value) and not MAIN.search(value):
+        self.linked, self.kind, self.holder, self.kept = 0, kind, holder, ""
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, name (with / if it closes) and attributes of each tag; without a name for comments and the like.
+
+    Each character is looked at a bounded number of times, whatever the markup: what isn't closed reaches to the next >
+    or, without one, is text.
+    """
+    last, last_quote = page.rfind(">"), {q: page.rfind(q) for q in "\"'"}
+    at = page.find("<")
+    while 0 <= at < last:
+        name = _NAME.match(page, at + 1)
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, "", ""
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, "", ""
+        elif name:
+            end = _PLAIN.match(page, name.end()).end()
+            while end < last and page[end] != ">":
+                quote = page[end]
+                if last_quote[quote] <= end:  # never closed
+                    end = page.find(">", name.end())
+                    break
+                end = _PLAIN.match(page, page.find(quote, end + 1) + 1).end()
+            if end > last or page[end] != ">":
+                end = page.find(">", name.end())
+            yield at, end + 1, name[0], page[name.end() : end]
+            end += 1
+        elif page[at + 1] in "!?/":
+            end = page.find(">", at) + 1
+            yield at, end, "", ""
+        else:
+            end = at + 1
+        at = page.find("<", end)
+
+
+def _named(value: str) -> bool:
+    """Whether one of the names in a class or id stands for furniture: a word for it, and else only words without weight."""
+    for name in value.split():
+        own = {w for w in re.split(r"[^a-z]+", _CAMEL.sub(" ", name).lower()) if w}
+        if own & NAMED and own <= NAMED | BESIDE:
             return True
     return False
 
 
-def _main(tag: str, attributes: str) -> bool:
+def _looks(tag: str, attributes: str, inside: bool) -> int | None:
+    """What an element's markup says of its text; None for page furniture."""
+    if tag in FURNITURE or tag == "header" and not inside:  # an article's own header holds its title
+        return None
     if tag in ("article", "main"):
-        return True
-    return any(n.lower() == "role" and v.strip("\"'").lower() == "main" or n.lower() == "itemprop" and v.strip("\"'").lower() == "articlebody" or n.lower() in ("class", "id") and MAIN.search(v.lower()) and not re.search("comment", v.lower()) for n, v in _ATTRIBUTE.findall(attributes))
+        return MARKED
+    out = PLAIN
+    for name, value in _ATTRIBUTE.findall(attributes) if attributes and tag not in ("html", "body") else ():
+        name, value = name.lower(), value.strip("\"'")
+        low = value.lower()
+        if name == "hidden" or name == "aria-hidden" and low == "true" or name == "role" and low in _ROLES:
+            return None
+        if name == "role" and low == "main" or name == "itemprop" and low == "articlebody":
+            out = MARKED
+        elif name in ("class", "id"):
+            if _named(value):
+                return NAMED_LINE
+            if _MAIN.search(low) and "comment" not in low:
+                out = MARKED
+    return out
 
 
 def lines_of(page: str) -> list[Line]:
-    """The lines of a page in order; text of page furniture leaves empty lines behind."""
-    stack: list[tuple[str, bool, bool]] = []  # element, in furniture, in the main part
-    lines = [Line(False)]
-    links = at = 0
+    """The lines of a page in order; page furniture leaves a gap of empty lines."""
+    #: element, in furniture, kind of its lines, number of the element that holds them
+    stack: list[tuple[str, bool, int, int]] = [("", False, PLAIN, 0)]
+    opened: Counter[str] = Counter()
+    lines = [Line(PLAIN, 0)]
+    links = at = holders = 0
 
     def text(raw: str) -> None:
-        if raw and not (stack and stack[-1][1]):
+        if raw and not stack[-1][1]:
             plain = html.unescape(raw)
             lines[-1].parts.append(plain)
             if links:
                 lines[-1].linked += len(_WHITE.sub("", plain))
 
-    def new_line() -> None:
-        if lines[-1].parts or (stack and stack[-1][1]):
-            lines.append(Line(bool(stack and stack[-1][2])))
-        else:
-            lines[-1].main = bool(stack and stack[-1][2])
+    def new_line(gap: bool = False) -> None:
+        for _ in range(WINDOW + 1 if gap else 1):
+            if gap or lines[-1].parts:
+                lines.append(Line(*stack[-1][2:]))
+            else:
+                lines[-1].kind, lines[-1].holder = stack[-1][2:]
+
+    def pop() -> str:
+        nonlocal links
+        tag, inside, *_ = stack.pop()
+        opened[tag] -= 1
+        links -= tag == "a"
+        if inside and not stack[-1][1]:
+            new_line(gap=True)
+        return tag
 
-    while m := _TOKEN.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
-        closing, tag, attributes = m[1], (m[2] or "").lower(), m[3] or ""
+    for start, end, name, attributes in tags(page):
+        if start < at:  # within an element whose content is no markup
+            continue
+        text(page[at:start])
+        at = end
+        closing, tag = name[:1] == "/", name.lstrip("/").lower()
         if not tag:
             continue
         if closing:
-            if any(x[0] == tag for x in stack):
-                while stack:
-                    name = stack.pop()[0]
-                    links -= name == "a"
-                    if name == tag:
-                        break
+            if opened[tag] > 0:
+                while pop() != tag:
+                    pass
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            if stack and stack[-1][0] == "p" and tag in BLOCK:
-                stack.pop()  # a block ends a paragraph
-            if tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
-                links -= stack.pop()[0] == "a"
-            inside = bool(stack and stack[-1][1]) or _furniture(tag, attributes, stack)
-            stack.append((tag, inside, bool(stack and stack[-1][2]) or _main(tag, attributes)))
+            if stack[-1][0] == "p" and tag in BLOCK:
+                pop()  # a block ends a paragraph
+            if tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack[-1][0] == tag:
+                pop()
+            _, inside, kind, holder = stack[-1]
+            looks = _looks(tag, attributes, kind == MARKED)
+            if tag in BLOCK and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "body", "html"):
+                holders += 1
+                holder = holders
+            kind = kind if looks is None or looks == PLAIN or kind == NAMED_LINE else looks
+            stack.append((tag, inside or looks is None, kind, holder))
+            opened[tag] += 1
             links += tag == "a"
         if tag in BLOCK:
             new_line()
         elif tag == "br":
             text(" ")
-        if tag in RAW and not closing and stack and stack[-1][0] == tag:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stack.pop()
-            at = end.end() if end else len(page)
+        if tag in RAW and not closing and stack[-1][0] == tag:
+            closed = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = closed.end() if closed else len(page)
+            pop()
     text(page[at:])
     return lines
 
 
-def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """The stretches between a surge and the dive after it: lines of which no `window` in a row are empty."""
-    out, start, last = [], None, 0
-    for i, n in enumerate(lengths):
+def weights(lines: list[Line]) -> list[int]:
+    """What each line adds to the sums: its length, with the surge besides in the main part that the page marks."""
+    for line in lines:
+        line.kept = _WHITE.sub(" ", "".join(line.parts)).strip()
+    own = [0 if x.linked > 0.5 * len(x.kept) or x.kind == NAMED_LINE else len(x.kept) for x in lines]
+    if not any(own):  # nothing but links or named furniture: then the names are wrong
+        own = [len(x.kept) if x.kind == NAMED_LINE and x.linked <= 0.5 * len(x.kept) else 0 for x in lines]
+    marked = sum(n for n, x in zip(own, lines) if x.kind == MARKED)
+    if marked and sum(own) - marked <= OUTWEIGH * marked:
+        return [n and n + SURGE if x.kind == MARKED else 0 for n, x in zip(own, lines)]
+    return own
+
+
+def stretches(own: list[int], window: int = WINDOW) -> list[tuple[int, int, bool]]:
+    """The stretches of lines between sums of nothing: first line, last one (exclusive), and whether the sums surge there.
+
+    A sum is of `window` lines that end with the one at hand.
+    """
+    out: list[tuple[int, int, bool]] = []
+    total, start, surged, last = 0, None, False, 0
+    for i, n in enumerate(own):
+        total += n - (own[i - window] if i >= window else 0)
+        if not total:
+            if start is not None:
+                out.append((start, last + 1, surged))
+            start, surged = None, False
+            continue
         if n:
-            if start is not None and i - last >= window + 1:
-                out.append((start, last + 1))
-                start = None
             start, last = i if start is None else start, i
+        surged = surged or total >= SURGE
     if start is not None:
-        out.append((start, last + 1))
+        out.append((start, last + 1, surged))
     return out
 
 
 def main_text(page: str | None) -> str:
-    """The blocks of the main text, two line ends between them. Empty if the page has none."""
+    """The blocks of the main text, two line ends between them. Empty if the page has no text but furniture."""
     lines = lines_of(page or "")
-    for line in lines:
-        line.kept = _WHITE.sub(" ", "".join(line.parts)).strip()
-    marked = any(x.main and x.kept for x in lines)
-    lengths = [0 if marked and not x.main or not marked and x.linked > 0.5 * len(x.kept) else len(x.kept) for x in lines]
-    spans = stretches(lengths)
-    if not marked:
-        sums = [sum(lengths[a:b]) for a, b in spans]
-        spans = [s for s, n in zip(spans, sums) if n >= SURGE and n >= SHARE * max(sums)]
-    return "\n\n".join(lines[i].kept for a, b in spans for i in range(a, b) if lengths[i])
+    own = weights(lines)
+    spans = stretches(own)
+    if spans and not any(surged for *_, surged in spans):  # a short text is the longest there is
+        top = max(range(len(spans)), key=lambda k: sum(own[spans[k][0] : spans[k][1]]))
+        spans[top] = (*spans[top][:2], True)
+    holders = {lines[i].holder for a, b, surged in spans if surged for i in range(a, b) if own[i]} - {0}
+    kept = [i for a, b, surged in spans for i in range(a, b) if own[i] and (surged or lines[i].holder in holders)]
+    return "\n\n".join(lines[i].kept for i in kept)
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -159,7 +258,8 @@ _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.str
 
 def extract(df: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page. Null html counts as empty and gives an empty text; null ids and urls
-    and repeated rows are kept as they are; an empty df gives no rows; other columns are not read."""
+    and repeated rows are kept as they are; a page of any length, well-formed or not, is read whole, in time that its
+    length is in proportion to; an empty df gives no rows; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
