@@ -49,9 +49,12 @@ def test_round_trip(spark):
 
 
 def bucket(*words):
-    h = 42
-    for w in words:
-        h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+    own = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words]
+    h = own[0]
+    if len(own) > 1:
+        h = 42
+        for x in own:
+            h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed=h)
     return (h - 2**64 if h >= 2**63 else h) % quality.BUCKETS
 
 
@@ -77,7 +80,8 @@ def plain_quality(docs, trusted):
 
     def weight(b):
         e = total[b] * share
-        return 0 if abs(target[b] - e) < quality.GATE * math.sqrt(e * (1 - share)) else math.log((target[b] + quality.PRIOR) / (e + quality.PRIOR))
+        gap = (target[b] - e) ** 2
+        return gap and math.log((target[b] + quality.PRIOR) / (e + quality.PRIOR)) * gap / (gap + quality.SURE**2 * e * (1 - share))
 
     out = []
     for base, grams in rows:
@@ -88,7 +92,7 @@ def plain_quality(docs, trusted):
 
 def test_quality(spark):
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    docs = [(1, None), (2, ""), (3, "a b\na b\n \n \n#x $y"), (None, "one two three four five six seven eight nine ten"), (5, "u v w x y " * 6), (5, "u v w x y " * 6), (6, " lead and trail\v")]
+    docs = [(1, None), (2, ""), (3, "a b\na b\n \n \n#x $y"), (None, "one two three four five six seven eight nine ten"), (5, "u v w x y " * 6), (5, "u v w x y " * 6), (6, " lead and trail\v"), (7, "long text of words " * 20_000), (8, "x" * 100_000)]
     df = spark.createDataFrame([(i, t, 9) for i, t in docs], "doc_id long, text string, n_words int")
     labels = spark.createDataFrame([(5, 1, 0), (5, 1, 0), (None, 1, 0), (3, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     assert sorted((tuple(r) for r in quality.verdicts(df, labels).select(cols).collect()), key=repr) == plain_quality(docs, {5})
@@ -159,6 +163,37 @@ def test_pages(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_without_marks():
+    """What the windows of lines decide, where no element marks the main part."""
+    story = "<h2>Head</h2><p>" + "first long text here. " * 20 + "</p>{}<p>" + "closing words " * 10 + "</p><p>So it is.</p>"
+    advert = "<div class=ad><p>Buy</p><p>more</p></div>"
+    comments = "<div class='comments-area'><p>" + "I think so too, a reader says. " * 20 + "</p></div>"
+    for top in ("<div><a href=1>Site</a></div>", "<div class=masthead>Site</div>", "<p>Site</p><br><div></div><div></div><div></div><nav>a</nav>"):
+        got = pages.main_text(f"<body>{top}<div class=x>{story.format(advert)}</div>{comments}</body>")
+        assert got.startswith("Head\n\nfirst") and got.endswith("closing words\n\nSo it is.") and "Buy" not in got
+    assert pages.main_text("<body><div><a href=1>Site</a></div><div>Tiny text.</div></body>") == "Tiny text."
+    assert pages.main_text("<div class=notice>All there is.</div>") == "All there is."
+    teaser = pages.main_text("<article class=card><p>Another story</p></article><div><p>" + "Body of it. " * 40 + "</p></div>")
+    assert teaser.endswith("Body of it.") and len(teaser) > 400
+    for name, stays in (("tags-explained", True), ("legal-analysis", True), ("post-content", True), ("user-opinions", False), ("cta-box", False), ("related-posts", False), ("newsletterSignup", False)):
+        assert ("more words" in pages.main_text(f"<main><p>Text of it</p><div class='{name}'>{'more words ' * 20}</div></main>")) == stays, name
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    for piece in ('<a "', "<div>", '<a ">x', "<!", "<", "<p class='", "<!--", "<script>", "<li>x", "</b><b>", "<p \"a'>", "<![CDATA[", "</div>", "<p>x<div>", "&#38"):
+        began = time.time()
+        pages.main_text(piece * (1_000_000 // len(piece)))
+        pages.main_text(piece * (1_000_000 // len(piece)) + ">")
+        assert time.time() - began < 20, piece
+
+
+def test_pages_without_their_marks_are_read_alike(spark):
+    for r in spark.read.parquet(f"{DATA}/sf0.01/pages.parquet").collect():
+        assert pages.main_text(r.html) == pages.main_text(re.sub("</?article>", "", r.html)) == pages.main_text(re.sub("article>", "div>", r.html))
+
+
 def test_pages_of_the_table(spark):
     import html
 
@@ -170,17 +205,27 @@ def test_pages_of_the_table(spark):
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
-def test_preferences(spark):
+def test_preferences(spark, tmp_path):
     sf = f"{DATA}/sf0.001"
-    same(queries.QUERIES["op5_preference_pairs"](spark, sf), connect(sf), preferences.ORACLE)
-    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", "k"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "assistant", None), (4, 0, "user", "x"), (None, 0, "user", "z"), (-2, 0, "user", "m"), (-1, None, None, "m"), (-1, None, None, "m")]
+    got = queries.QUERIES["op5_preference_pairs"](spark, sf)
+    same(got, connect(sf), preferences.ORACLE)
+    assert got.filter("n_prompt_turns > 0 AND prompt <> '' AND chosen <> rejected").count() >= 0.7 * got.count()
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "bye"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", "k"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "assistant", None), (4, 0, "user", "x"), (4, 1, "assistant", "z"), (None, 0, "user", "z"), (-2, 0, "user", "m"), (-1, None, None, "m"), (-1, None, None, "m"), (-1, 7, "assistant", "é😀"), (-1, 8, "assistant", "last"), (9, 1, "assistant", "r"), (8, 1, "assistant", "r")]
+    rows += [(20, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(3000)] + [(21, 0, "assistant", "long " * 30000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, n int")
-    got = {r.pair_id: r for r in preferences.neighbours(df).collect()}
-    assert set(got) == {0, 1, -1} and got[0].prompt == "<|user|>\nhi<|end|>\n" and got[0].chosen == "<|assistant|>\nyo<|end|>\n" and got[0].chosen_spans == "14:24" and got[0].n_prompt_turns == 1
-    assert got[1].chosen == got[1].chosen_spans == "" and got[1].rejected == "<|assistant|>\n<|end|>\n" and got[-1].n_prompt_turns == 0
-    pairs = spark.createDataFrame([(7, 1, 0), (8, 1, 99)], "pair_id long, chosen_id long, rejected_id long")
-    assert [(r.pair_id, r.chosen_spans, r.rejected) for r in preferences.paired(df, pairs).collect()] == [(7, "14:24", "<|assistant|>\nyo<|end|>\n")]
-    assert preferences.neighbours(df.limit(0)).count() == 0
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    same(preferences.swapped_replies(df), con, preferences.ORACLE)
+    got = {r.pair_id: r for r in preferences.swapped_replies(df).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, -1, -2, 8, 9, 20, 21} and got[0].prompt == "<|user|>\nhi<|end|>\n" and got[0].chosen == "<|assistant|>\nyo<|end|>\n<|user|>\nbye<|end|>\n" and got[0].chosen_spans == "14:24" and got[0].n_prompt_turns == 1
+    assert got[0].rejected.startswith("<|assistant|>\nno<|end|>") and got[4].rejected_id is None and got[4].rejected == "<|assistant|>\n<|end|>\n" and got[2].chosen == "" and got[8].rejected == ""
+    assert got[20].n_prompt_turns == 2999 and len(got[20].rejected) == 150022 and got[-1].n_prompt_turns == 3
+    pairs = spark.createDataFrame([(7, 1, 0), (8, 1, 99), (9, None, 1), (10, 20, 20)], "pair_id long, chosen_id long, rejected_id long")
+    assert sorted((r.pair_id, r.n_prompt_turns, r.chosen_spans, r.rejected) for r in preferences.paired(df, pairs).collect()) == [(7, 1, "14:24", "<|assistant|>\nyo<|end|>\n<|user|>\nbye<|end|>\n"), (10, 3000, "", "")]
+    assert preferences.swapped_replies(df.limit(0)).count() == 0
 
 
 def plain_licences(text):
