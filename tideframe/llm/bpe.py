@@ -29,6 +29,9 @@ from tideframe.llm.common import pack_ints, pack_strings, pack, partitions, ragg
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
+#: Distinct words that a task remembers the ids of; beyond it starts anew, so that its memory doesn't grow with the corpus.
+MEMORY = 1_000_000
+
 _SPACE, _LETTER, _NUMBER, _OTHER, _NEW = range(5)
 _KIND = np.full(0x110000, _NEW, np.uint8)
 _KIND[WHITE] = _SPACE
@@ -168,21 +171,24 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
     words = texts.mapInArrow(_chunked(buckets, chunk_chars, words=True), schema)
     positions = texts.mapInArrow(_chunked(buckets, chunk_chars, words=False), schema).select("chunk", "ids", "counts", "data")
 
-    def encode_bucket(group: pa.Table) -> pa.Table:
+    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = _piece_encoder(key, table)
         known: dict[bytes, list[int]] = {}
-        out = []
-        for data in group["data"]:
-            words = unpack_strings(data.as_py())
-            for word in words:
-                if word not in known:
-                    known[word] = piece(word)
-            ids = [known[word] for word in words]
-            flat = np.array([x for one in ids for x in one], "<u4")
-            out.append(pack(np.array([len(ids), *map(len, ids)], "<u4").tobytes() + flat.tobytes()))
-        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "data": pa.array(out, pa.binary())})
-
-    encoded = words.select("bucket", "chunk", "data").groupBy("bucket").applyInArrow(encode_bucket, "chunk long, bucket int, data binary")
+        for batch in batches:
+            out = []
+            for data in batch.column("data"):
+                words = unpack_strings(data.as_py())
+                for word in words:
+                    if word not in known:
+                        known[word] = piece(word)
+                ids = [known[word] for word in words]
+                flat = np.array([x for one in ids for x in one], "<u4")
+                out.append(pack(np.array([len(ids), *map(len, ids)], "<u4").tobytes() + flat.tobytes()))
+                if len(known) > MEMORY:
+                    known.clear()
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("bucket"), pa.array(out, pa.binary())], names=["chunk", "bucket", "data"])
+
+    encoded = words.select("bucket", "chunk", "data").repartition(buckets, "bucket").mapInArrow(encode_words, "chunk long, bucket int, data binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         flats, sizes = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
