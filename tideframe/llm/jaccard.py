@@ -4,10 +4,11 @@ words and the similarity in percent are parameters: 3 and 90 if not given.
 A size-aware heavy-light join. Equal sets fall together by their hash. A pair of small ("light") sets that links shares
 a large subset, so light sets give all their subsets of the sizes that count as keys. Large ("heavy") sets are parted by
 the shingles' hashes into one part more than a linked pair can differ in, so that a linked pair has an equal part: the
-parts are their keys. Where parts are small, there are more of them than that, and each set leaves out as many of its
-smallest: of the parts that a pair has equal, the largest stays in both. The size where one passes into the other is the one of least cost over the corpus's sizes. Sets
-that share a key, directly or through others, form a group; a set travels once, to its group, where the inverted lists
-of the group's shingles are scanned for exact overlaps. Groups of too many sets are compared block by block.
+parts are their keys. There are a few more parts than that, and each set leaves out as many of its smallest, which may
+be empty or a common phrase: of the parts that a pair has equal, the largest stays in both. The size where one passes
+into the other is the one of least cost over the corpus's sizes. Copies are one set from here on. Sets that share a key,
+directly or through others, form a group; a set travels to its group, where the inverted lists of the group's shingles
+are scanned for exact overlaps. Groups of too many sets are compared block by block.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.common import Rolling, mix, partitions, written
 from tideframe.llm.graph import components
@@ -30,7 +31,7 @@ PERCENT, WORDS = 90, 3
 #: The light sets have at most 20 shingles; reading one entry of an inverted list costs as much as so many subset keys.
 MOST_LIGHT, SCAN_COST = 20, 3
 #: Groups of more sets are compared in blocks of so many.
-BLOCK = 4000
+BLOCK = 1000
 #: Parts of fewer shingles than this on average may be empty or a common phrase.
 SMALL_PART = 6
 _LAST = 2**63 - 1
@@ -89,9 +90,10 @@ def parts(band: int, percent: int = PERCENT) -> int:
 
 @cache
 def spare(band: int, percent: int = PERCENT) -> int:
-    """How many parts there are besides, as many as a set leaves out: a fourth, where a part has few shingles."""
+    """How many parts there are besides, as many as a set leaves out: a fourth, where a part has few shingles, else an
+    eighth, so that hardly any set has more empty parts than it leaves out."""
     m = parts(band, percent)
-    return m // 4 if int(_edges(percent)[band + 1]) - 1 < SMALL_PART * m else 0
+    return max(2, m // 4) if int(_edges(percent)[band + 1]) - 1 < SMALL_PART * m else max(2, m // 8)
 
 
 def list_keys(n: int, percent: int = PERCENT) -> int:
@@ -168,10 +170,11 @@ def _sizes(words: int):
     return run
 
 
-def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each set, the common shingles with every other set, by scanning the inverted lists of its shingles."""
+def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each set, the others that share a shingle with it and how many they share, by scanning the inverted lists of
+    its shingles."""
     sizes = np.array([*map(len, sets)])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     heads = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
@@ -182,10 +185,18 @@ def overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     for i in range(len(sets)):
         own = where[at[i] : at[i] + sizes[i]]
         own = own[length[own] > 1]
+        if not len(own):
+            continue
         count = length[own]
         ends = np.cumsum(count)
-        spots = np.arange(ends[-1]) + np.repeat(heads[own] - ends + count, count) if len(own) else np.zeros(0, np.int64)
-        yield i, np.bincount(owner[spots], minlength=len(sets))
+        found = owner[np.arange(ends[-1]) + np.repeat(heads[own] - ends + count, count)]
+        if len(found) < len(sets):
+            others, both = np.unique(found, return_counts=True)
+        else:
+            both = np.bincount(found)
+            others = np.flatnonzero(both)
+            both = both[others]
+        yield i, others[others != i], both[others != i]
 
 
 def _resolve(words: int, percent: int):
@@ -211,13 +222,13 @@ def _resolve(words: int, percent: int):
                 return i
 
             linked = [0] * len(own)
-            for i, both in overlaps(sets):
-                yes = links(sizes[i], sizes, both, percent)
-                yes[i] = False
+            for i, others, both in overlaps(sets):
+                yes = links(sizes[i], sizes[others], both, percent)
                 if one != two:
-                    yes &= side != side[i]
-                linked[i] = int(copies[yes].sum())
-                for j in np.flatnonzero(yes).tolist():
+                    yes &= side[others] != side[i]
+                others = others[yes]
+                linked[i] = int(copies[others].sum())
+                for j in others.tolist():
                     a, b = find(i), find(j)
                     if a != b:
                         parent[max(a, b)] = min(a, b)
@@ -251,8 +262,8 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
 
     Documents link whose sets of shingles of so many words have a similarity of so many percent or more.
     Null and empty texts have the empty set and link with nothing, so their component is their own id. A null id counts
-    as the greatest, and is the component of documents that have no other. Repeated rows link with one another. An
-    empty df gives no rows; other columns of df are not read.
+    as the greatest, and is the component of documents that have no other. Repeated rows link with one another. A text
+    of any length is one set of all its shingles. An empty df gives no rows; other columns of df are not read.
     """
     spark = df.sparkSession
     n_parts = max(partitions(spark), 8)
@@ -263,9 +274,14 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
     sketches = written(docs.mapInArrow(_sketch(light, words, percent), "doc_id long, h long, n long, node long, k long, keys array<long>"))
 
-    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"))
-    entries = sketches.filter("n > 0").select(F.explode("keys").alias("key"), "node")
-    edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")).filter("a <> b").distinct()
+    classes = written(
+        sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"), F.any_value("keys").alias("keys"))
+    )
+    entries = classes.select(F.explode("keys").alias("key"), "node")
+    # every set with the least one of each key; the join may be split where many sets share a key
+    least = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b <> last")
+    edges = entries.join(least.select("key", "b"), "key").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    classes = classes.drop("keys")
     groups = components(edges).withColumnRenamed("root", "grp")
 
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
