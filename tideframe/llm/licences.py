@@ -3,7 +3,7 @@
 A text is compared as a whole, paragraph by paragraph and line by line, and by windows of words anywhere in it, across
 lines and paragraphs. A window has as many bigrams as the template or more; a shorter one begins and ends with a line or
 sentence, as a part of a notice may name another licence. A template is only compared with what has a number of bigrams
-that lets the coefficient reach the threshold, and enough bigrams of it.
+that lets the coefficient reach the threshold, and enough bigrams of it; it only matches what has all its version numbers.
 """
 
 from __future__ import annotations
@@ -47,10 +47,29 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("EUPL-1.2", "Licensed under the European Union Public Licence, version 1.2."),
+    ("Artistic-2.0", "This work is licensed under the Artistic License 2.0."),
+    ("WTFPL", "This work is licensed under the Do What The Fuck You Want To Public License."),
+    ("Unlicense", "Released into the public domain under the Unlicense."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
     ("all-rights-reserved", "All rights reserved."),
 ]
 
 _WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+#: Words that tell a version from another: a template only matches what has all of its own.
+_VERSION = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _SENTENCE = re.compile(r"[.!?:;]+(?=\s)")
 
 
@@ -65,6 +84,7 @@ class Scanner:
         self.threshold = threshold
         self.templates = [(name, bigrams(text)) for name, text in templates]
         self.sizes = [sum(b.values()) for _, b in self.templates]
+        self.versions = [frozenset(w for pair in b for w in pair if _VERSION.fullmatch(w)) for _, b in self.templates]
         self.having = defaultdict(list)
         for i, (_, b) in enumerate(self.templates):
             for pair in b:
@@ -82,7 +102,7 @@ class Scanner:
         score, which = 0.0, -1
         for i in {i for pair in own for i in self.having.get(pair, ())}:
             m = self.sizes[i]
-            if 2 * min(n, m) >= self.threshold * (n + m):
+            if 2 * min(n, m) >= self.threshold * (n + m) and self.versions[i].issubset(words):
                 dice = 2 * (own & self.templates[i][1]).total() / (n + m)
                 if dice > score or dice == score and i < which:
                     score, which = dice, i
@@ -128,7 +148,7 @@ class Scanner:
                             left[pairs[hi]] -= 1
                             both += 1
                         n = hi - lo + 1
-                        if 2 * both >= self.threshold * (n + m) and (n >= m or lo in starts and hi + 1 in ends):
+                        if 2 * both >= self.threshold * (n + m) and (n >= m or lo in starts and hi + 1 in ends) and self.versions[i].issubset(w for pair in pairs[lo : hi + 1] for w in pair):
                             found.append((-2 * both / (n + m), i, lo, hi))
                 todo = max(todo, at[k] + 1)
         out, taken = [], set()
@@ -188,7 +208,8 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("licence", pa.string()), ("dice", pa.
 
 def scan(df: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, licence, dice, n_matches, first_line, last_line: for each row of df and licence found in its text, the best
-    match (of equal ones the first) and how many there are. A null or empty text has none; repeated rows are repeated.
+    match (of equal ones the first) and how many there are. A null or empty text has none; repeated rows are repeated;
+    null ids stay; a text of any length is scanned whole; an empty df gives no rows; other columns are not read.
     """
     templates = TEMPLATES if templates is None else templates
 
