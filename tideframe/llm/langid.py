@@ -85,10 +85,10 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def fit(rows: list[tuple[str, str]], idf: np.ndarray) -> tuple[list[str], np.ndarray, float]:
-    """Languages, weights (bucket by language) and temperature from (text, language) in a fixed order."""
-    langs = sorted({lang for _, lang in rows})
-    data = [(at, weighted(at, n, idf), langs.index(lang)) for (at, n), lang in ((features(t), lang) for t, lang in rows)]
+def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray) -> tuple[list[str], np.ndarray, float]:
+    """Languages, weights (bucket by language) and temperature from (buckets, counts, language) in a fixed order."""
+    langs = sorted({lang for *_, lang in rows})
+    data = [(at, weighted(at, n, idf), langs.index(lang)) for at, n, lang in rows]
     aside = data[::5] if len(data) >= 50 else data
     model = Ftrl(len(langs))
     order = np.random.default_rng(7)
@@ -132,17 +132,27 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float]:
         counts[row["b"]] = row["n"]  # one row a bucket
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [features(t.as_py()) for t in batch.column(1)]
+            keep = pa.array([x is not None for x in own], pa.bool_())
+            at = pa.array([x and x[0].tolist() for x in own], pa.list_(pa.int32()))
+            n = pa.array([x and x[1].tolist() for x in own], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), at, n, batch.column(2)], names=["h", "at", "n", "lang"]).filter(keep)
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((h, t, lang) for b in batches for h, t, lang in zip(*(c.to_pylist() for c in b.columns)) if features(t))
+        rows = sorted(((h, np.array(at), np.array(n), lang) for b in batches for h, at, n, lang in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
         if rows:
-            langs, w, temperature = fit([(t, lang) for _, t, lang in rows], idf)
+            langs, w, temperature = fit([r[1:] for r in rows], idf)
             yield pa.RecordBatch.from_pylist([{"langs": langs, "w": w.astype("<f4").tobytes(), "t": temperature}])
 
-    # a share of the texts that gives about SAMPLE, chosen by hash, each distinct one once, before any order is made
-    share = min(1.0, 1.2 * SAMPLE / max(1.0, counts[-1]))
+    # a share of the distinct texts that gives about SAMPLE, by hash, before any order is made; buckets and counts of
+    # their n-grams travel, which are bounded however long a text is
     own = docs.filter(F.col("text").rlike(r"\p{L}")).select(F.xxhash64("text", "lang").alias("h"), "text", "lang")
+    distinct = own.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    share = min(1.0, 1.2 * SAMPLE / max(1.0, distinct))
     own = own.filter(F.pmod("h", F.lit(1 << 32)) < int(share * (1 << 32)))
-    sample = own.dropDuplicates(["h"]).orderBy("h").limit(SAMPLE)
+    sample = own.mapInArrow(counted, "h long, at array<int>, n array<int>, lang string").dropDuplicates(["h"]).orderBy("h").limit(SAMPLE)
     got = sample.coalesce(1).mapInArrow(learn, "langs array<string>, w binary, t double").collect()
     if not got:
         return [], idf, np.zeros((BUCKETS, 0)), 1.0
@@ -180,7 +190,8 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, learned from those that are not held out.
 
     A document is held out if crc32 of its id as text (of an empty text for a null id) is divisible by 5. Repeated rows
-    are predicted alike. Without anything to learn from every prediction is `und`. Other columns are not read.
+    are predicted alike. Without anything to learn from every prediction is `und`. A text of any length is read whole. An
+    empty table gives no rows. Other columns are not read.
     """
     held, text = _schema(docs)
     own = docs.select("doc_id", text.alias("text"), "lang", held.alias("held_out"))
