@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tideframe.llm.common import mix, written
 from tideframe.llm.repeats import _batch
@@ -114,21 +114,37 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 plain, hashes, slots = template(words, lexicon)
                 width = min(WIDTH, len(words))
                 own = window_hashes(plain, hashes, slots, width).view(np.int64).tolist()
-                out += [(item, width, len(own), i, h, slot_values(words, slots, i, width)) for i, h in enumerate(own)]
+                same = (xxhash.xxh64_intdigest(f"{item} {text}") - (1 << 63), item, width, len(own))
+                out += [(*same, i, h, slot_values(words, slots, i, width)) for i, h in enumerate(own)]
                 kind = int(lexicon.of(words[:1])[1][0])
                 if kind in (_CAP, _UNIT):  # a slot in a document where the word before makes it one
                     hashes, slots = hashes[:width].copy(), slots[:width].copy()
                     hashes[0], slots[0] = _SLOT[kind], True
                     key = int(window_hashes(plain[:width], hashes, slots, width).view(np.int64)[0])
                     if key != own[0]:
-                        out.append((item, width, len(own), 0, key, slot_values(words, slots, 0, width)))
+                        out.append((*same, 0, key, slot_values(words, slots, 0, width)))
+            if len(out) > 10_000:
+                yield _batch(iter(out), _ITEM)
+                out = []
     yield _batch(iter(out), _ITEM)
 
 
-_ITEM = pa.schema([("item_id", pa.int64()), ("width", pa.int32()), ("windows", pa.int32()), ("at", pa.int32()), ("key", pa.int64()), ("values", pa.list_(pa.string()))])
+_ITEM = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("width", pa.int32()), ("windows", pa.int32()), ("at", pa.int32()), ("key", pa.int64()), ("values", pa.list_(pa.string()))])
 _HIT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("width", pa.int32()), ("spot", pa.int32()), ("key", pa.int64()), ("found", pa.list_(pa.string()))])
 
 
+def rarest(items: DataFrame) -> DataFrame:
+    """Of each item the windows, those of the rarest keys, of which a document that holds it must have one.
+
+    A document that has at least `need` of n windows has one of any n - need + 1.
+    """
+    shared = items.groupBy("width", "key").agg(F.count(F.lit(1)).alias("shared"))
+    at = items.join(shared, ["width", "key"]).groupBy("item", "windows", "at").agg(F.sum("shared").alias("shared"))
+    need = F.least(F.ceil(F.col("windows") * SHARE), F.lit(MANY))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("shared", "at"))
+    return items.join(at.withColumn("rank", rank).filter(F.col("rank") <= F.col("windows") - need + 1).select("item", "at"), ["item", "at"])
+
+
 def _matcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: np.sort(keys.view(np.uint64)) for w, keys in shared.value.items()}
@@ -163,11 +179,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A document holds an item if, in one alignment with consistent slots, it has half of the item's windows of 8 template
     words, or 20 of them. `copied`: all slots that matched have the item's own values; else the item is
     reparameterised. Null texts hold nothing; empty items are in no document; an item shorter than a window is one
-    window. Repeated rows give one row. The benchmark's window keys are broadcast PASS at a time, with a pass over the
+    window. A null id of a document or an item stays null; rows that repeat id and text give one row, and items of one id
+    and other texts the best of them. A text of any length is read whole; empty tables give no rows; other columns are
+    not read. The benchmark's window keys are broadcast PASS at a time, with a pass over the
     documents for each, so that a benchmark of any size fits.
     """
     spark = docs.sparkSession
-    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, "item_id long, width int, windows int, at int, key long, values array<string>"))
+    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, "item long, item_id long, width int, windows int, at int, key long, values array<string>"))
     total = items.count()
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("text").cast("string"))
     passes, hits = -(-total // PASS), None
@@ -176,9 +194,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = {w: rows["key"].to_numpy()[rows["width"].to_numpy() == w] for w in set(rows["width"].to_pylist())}
         found = texts.mapInArrow(_matcher(spark.sparkContext.broadcast(keys)), "doc_id long, h long, width int, spot int, key long, found array<string>")
         hits = found if hits is None else hits.unionByName(found)
-    both = hits.join(items, ["width", "key"]).withColumn("shift", F.col("spot") - F.col("at"))
+    hits = written(hits.withColumn("d", F.coalesce("doc_id", F.lit(-(2**63)))))
+    # candidates by the rare windows only, so that a window that many items share makes no rows of every item and document
+    found = hits.join(rarest(items), ["width", "key"]).select("d", "h", "item", (F.col("spot") - F.col("at")).alias("shift")).distinct()
+    both = found.join(items, "item").withColumn("spot", F.col("shift") + F.col("at")).join(hits, ["d", "h", "width", "key", "spot"])
     pairs = F.arrays_zip(F.col("values").alias("a"), F.col("found").alias("b"))
-    lined = both.groupBy("doc_id", "h", "item_id", "windows", "shift").agg(
+    lined = both.groupBy("doc_id", "h", "item", "item_id", "windows", "shift").agg(
         F.count_distinct("at").alias("matched"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
