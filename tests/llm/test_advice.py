@@ -52,10 +52,11 @@ def test_sets_linked_at_80_percent_share_a_key(light):
                     assert np.intersect1d(jaccard.keys_of(a, light, 80), jaccard.keys_of(b, light, 80)).size, (n, cut, more)
 
 
-def test_empty_parts_are_no_keys_of_strangers():
+@pytest.mark.parametrize("size,percent", [(300, 80), (300, 90), (60, 90), (1500, 90)])
+def test_empty_parts_are_no_keys_of_strangers(size, percent):
     rng = np.random.default_rng(5)
-    sets = [np.unique(rng.integers(0, 2**63, 300, np.uint64)) for _ in range(200)]
-    keys = np.concatenate([np.unique(jaccard.keys_of(s, 9, 80)) for s in sets])
+    sets = [np.unique(rng.integers(0, 2**63, size, np.uint64)) for _ in range(3000 if size < 1000 else 300)]
+    keys = np.concatenate([np.unique(jaccard.keys_of(s, 9, percent)) for s in sets])
     assert len(np.unique(keys)) == len(keys)
 
 
@@ -71,6 +72,11 @@ def test_licences_inside_longer_texts():
     assert [*scan("Licensed under CC BY-SA 4.0.")] == [("CC-BY-SA-4.0", 1.0, 0, 0)]
     assert [*scan("So this is licensed under CC BY 3.0 by its author.")] == []
     assert [x[0] for x in scan("All rights reserved." + " " * 30000)] == ["all-rights-reserved"]
+    for other in ("Licensed under the Apache License, Version 1.1", "This work is licensed under the GNU General Public License, version 1.", "This work is licensed under the Creative Commons Attribution 2.5 International License."):
+        assert [*scan(other)] == [], other
+    assert [x[0] for x in scan("This work is licensed under a Creative Commons Attribution 3.0 Unported License.")] == ["CC-BY-3.0"]
+    [(name, dice, *_)] = scan("word " * 200_000 + "Released under the MIT License. " + "-" * 20_000 + " more" * 100_000)
+    assert name == "MIT" and dice == 1.0
     cut = mit[: mit.rindex("IN NO EVENT")]  # a shorter copy, whole sentences
     assert [x[0] for x in scan(f"{code}\n\n{cut[:one]}\n\n{cut[one:]}\n\n{code}")] == ["MIT"]
 

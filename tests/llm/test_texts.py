@@ -126,6 +126,84 @@ def test_templates_find_what_stands_word_by_word(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in queries.QUERIES["op4_template_decontamination"](spark, sf).collect()} == want
 
 
+def plain_template(words):
+    """Plain and template words, and which are slots, word by word."""
+    plain, out, slots, before = [], [], [], None
+    for word in words:
+        bare = word.strip(".,;:!?\"'()[]{}…“”„«»¿¡")
+        low = bare.lower()
+        kind = "num" if regex.fullmatch(r"[-+$€£]?\p{N}[\p{N}.,/:]*%?", bare) else "unit" if low in templates.UNITS else "cap" if bare[:1].isupper() and bare[1:] == low[1:] else None
+        slot = kind == "num" or kind == "unit" and before is not None and before[0] == "num" or kind == "cap" and before is not None and not before[1]
+        plain.append(low)
+        out.append((kind,) if slot else low)
+        slots.append(slot)
+        before = kind, word.rstrip("\"')]}”»")[-1:] in (".", "!", "?", ":")
+    return plain, out, slots
+
+
+def plain_leaks(docs, items, width=8):
+    found = {}
+    for item, text in items:
+        words = (text or "").split()
+        if not words:
+            continue
+        k = min(width, len(words))
+        plain, out, slots = plain_template(words)
+        kind = plain_template(["x", words[0]])[1][1] if plain_template(["1", words[0]])[1][1] != ("unit",) else ("unit",)
+        windows = [(i, out[i : i + k], slots[i : i + k]) for i in range(len(words) - k + 1)]
+        if isinstance(kind, tuple) and kind != ("num",):
+            windows.append((0, [kind, *out[1:k]], [True, *slots[1:k]]))
+        windows = [(i, plain[i : i + k] if all(s) else o, [plain_value(w) for w, x in zip(words[i : i + k], s) if x]) for i, o, s in windows]
+        for doc, body in docs:
+            own = (body or "").split()
+            dplain, dout, dslots = plain_template(own)
+            lined = collections.defaultdict(list)
+            for j in range(len(own) - k + 1):
+                s = dslots[j : j + k]
+                key = dplain[j : j + k] if all(s) else dout[j : j + k]
+                for i, have, values in windows:
+                    if have == key:
+                        lined[j - i].append((i, [*zip(values, [plain_value(w) for w, x in zip(own[j : j + k], s) if x])]))
+            for hits in lined.values():
+                pairs, n = {p for _, own_pairs in hits for p in own_pairs}, len({i for i, _ in hits})
+                total = len(words) - k + 1
+                if len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs) and (n >= total / 2 or n >= 20):
+                    copied = all(a == b for a, b in pairs)
+                    have = found.setdefault((doc, item), [total, n, copied, not copied])
+                    have[:] = [max(have[0], total), max(have[1], n), have[2] or copied, have[3] and not copied]
+    return {(*k, *v) for k, v in found.items()}
+
+
+def plain_value(word):
+    return word.strip(".,;:!?\"'()[]{}").lower()
+
+
+def test_templates_against_a_plain_version(spark):
+    rng = random.Random(9)
+    verbs, names = "takes gives sells buys counts finds".split(), "Anna Bob Carl Dora Emil".split()
+
+    def question(n):
+        out = []
+        for _ in range(n):
+            out += [rng.choice(names), rng.choice(verbs), str(rng.randint(1, 30)), rng.choice(["kg", "km", "apples", "pears of it."]), rng.choice(["and then", "in", "for the"])]
+        return " ".join(out)
+
+    items = [(i, question(rng.randint(1, 7))) for i in range(60)] + [(60, "Find the next: 2 4 8 16 32 64 128 256"), (61, "May I ask?"), (62, None), (62, "10 km"), (None, question(3))]
+    docs = []
+    for i, (_, text) in enumerate(items):
+        if text:
+            docs.append((len(docs), f"{rng.choice(['', 'Some words', '5', 'He said.'])} {text} {question(1)}"))
+            other = re.sub(r"\d+", lambda m: str(int(m[0]) + 31), text) if i % 2 else text.replace("Anna", "Zoe").replace("Bob", "Yan")
+            docs.append((len(docs), f"{question(1)} {other}"))
+            docs.append((len(docs), re.sub(r"\d+", lambda m: str(rng.randint(1, 9)), text)))
+            docs.append((len(docs), " ".join(text.split()[: rng.randint(1, 40)])))
+    docs += [(None, docs[0][1]), (1, docs[5][1]), (900, " ".join(question(400) for _ in range(3)))]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in templates.report(df, bench).collect()}
+    want = plain_leaks([d for d in docs if d[0] != 1], items) | plain_leaks([docs[1]], items) | plain_leaks([docs[-2]], items)
+    assert got == want and sum(r[4] for r in want) > 50 and sum(r[5] for r in want) > 50
+
+
 def test_languages(spark):
     sf = f"{DATA}/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -140,11 +218,60 @@ def test_languages(spark):
     assert langid.identify(odd.limit(0)).count() == 0
 
 
+def plain_fit(rows, idf):
+    """Languages, weights and temperature, number by number: FTRL with elastic net, then the temperature of least loss."""
+    langs = sorted({lang for *_, lang in rows})
+    data = []
+    for at, n, lang in rows:
+        x = {b: (1 + math.log(k)) * idf[b] for b, k in zip(at.tolist(), n.tolist())}
+        norm = math.sqrt(sum(v * v for v in x.values())) or 1.0
+        data.append(({b: v / norm for b, v in x.items()}, langs.index(lang)))
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(b, c):
+        if abs(z[b, c]) <= langid.L1:
+            return 0.0
+        return -(z[b, c] - math.copysign(langid.L1, z[b, c])) / ((langid.BETA + math.sqrt(n[b, c])) / langid.ALPHA + langid.L2)
+
+    def probabilities(logits, t=1.0):
+        e = [math.exp((v - max(logits)) / t) for v in logits]
+        return [v / sum(e) for v in e]
+
+    own = [d for i, d in enumerate(data) if i % 5] if len(data) >= 50 else data
+    aside = data[::5] if len(data) >= 50 else data
+    order = np.random.default_rng(7)
+    for _ in range(langid.EPOCHS):
+        for i in order.permutation(len(own)).tolist():
+            x, label = own[i]
+            w = {(b, c): weight(b, c) for b in x for c in range(len(langs))}
+            p = probabilities([sum(v * w[b, c] for b, v in x.items()) for c in range(len(langs))])
+            for b, v in x.items():
+                for c in range(len(langs)):
+                    g = v * (p[c] - (c == label))
+                    sigma = (math.sqrt(n[b, c] + g * g) - math.sqrt(n[b, c])) / langid.ALPHA
+                    z[b, c] += g - sigma * w[b, c]
+                    n[b, c] += g * g
+    logits = [([sum(v * weight(b, c) for b, v in x.items()) for c in range(len(langs))], label) for x, label in aside]
+    grid = [math.exp(math.log(0.02) + i * (math.log(20) - math.log(0.02)) / 299) for i in range(300)]
+    return langs, weight, min(grid, key=lambda t: sum(-math.log(probabilities(v, t)[label] + 1e-300) for v, label in logits))
+
+
 def test_sparse_weights():
-    idf = np.ones(langid.BUCKETS)
-    rows = [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20
+    rng = random.Random(3)
+    idf = np.random.default_rng(1).uniform(0.5, 5, langid.BUCKETS)
+    words = {"en": "the cat and dog of a house".split(), "de": "der hund und die katze im haus".split(), "fr": "le chat et un chien dans la maison".split()}
+    rows = [(*langid.features(" ".join(rng.choice(words[lang]) for _ in range(rng.randint(1, 8)))), lang) for lang in sorted(words) * 25]
     langs, w, t = langid.fit(rows, idf)
-    assert langs == ["de", "en"] and 0 < (w != 0).mean() < 0.05 and t > 0
+    plain_langs, weight, plain_t = plain_fit(rows, idf)
+    assert langs == plain_langs == ["de", "en", "fr"] and 0 < (w != 0).mean() < 0.05 and abs(t - plain_t) < 1e-9
+    assert all(abs(w[b, c] - weight(b, c)) < 1e-9 for b in {b for at, *_ in rows for b in at.tolist()} for c in range(3))
+
+
+def test_document_frequencies(spark):
+    texts = [("the cat", "en"), ("the dog", "en"), ("12", "en"), (None, "en"), ("unseen words", None)]
+    _, idf, w, _ = langid.train(spark.createDataFrame(texts, "text string, lang string"))
+    counts = collections.Counter(b for t, lang in texts if t and lang and langid.features(t) for b in langid.features(t)[0].tolist())
+    assert np.allclose(idf, [math.log(3 / (1 + counts[b])) + 1 for b in range(langid.BUCKETS)]) and w.shape[1] == 1
 
 
 def test_pages(spark):
