@@ -32,7 +32,8 @@ def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     weights = quality.bucket_weights(docs, quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return quality.scored(docs, weights).filter("kept").select("keep.*")
+    # a row for each document kept, not a filter: that would be pushed down with all that `kept` is made of
+    return quality.scored(docs, weights).select(F.explode(F.when(F.col("kept"), F.array("keep"))).alias("keep")).select("keep.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
