@@ -464,7 +464,7 @@ def replace_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("publish_many", f"SELECT 'daily' AS name, count(*) AS n FROM ({_DAILY}) UNION ALL SELECT 'rankings', count(*) FROM ({_RANKINGS})")
 def publish_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    daily, ranks = Table(spark, f"{at}/daily", ["event_type", "day"]), Table(spark, f"{at}/rankings", ["event_type", "user_id"])
+    daily, ranks = Table(spark, at, ["event_type", "day"], "daily"), Table(spark, at, ["event_type", "user_id"], "rankings")
     publish({daily: daily_metrics_with_all(spark, sf_dir), ranks: rankings_having(spark, sf_dir)})
     counts = [t.read().agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n, t in (("daily", daily), ("rankings", ranks))]
     return readers.stacked(counts)
@@ -528,6 +528,6 @@ def stream_channel_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("stream_snapshot_gate", "SELECT user_id, ts, value, likes, score FROM (" + _GATED + ")")
+@query("stream_snapshot_gate", _GATED)
 def stream_snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return engine.gated(_snapshots(_stream(spark, sf_dir)), "user_id", "ts", ["value", "likes"], "score")
+    return engine.gated(_snapshots(_stream(spark, sf_dir)), "user_id", "ts", ["value", "likes"], "score", "event_id")

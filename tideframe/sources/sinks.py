@@ -1,85 +1,249 @@
-"""Writing: versions of a table behind a pointer, upserts, replacement by key, JDBC, retries.
+"""Writing: keyed tables with versions, upserts, replacement by key, appends, checked loads, JDBC, retries.
 
-A keyed table is a folder of versions and a pointer file that names the current one. A writer makes a new version and
-then moves the pointer, so readers see the old table or the new one, and a failed write leaves the old one in place.
+A store is a folder of data and a log of numbered manifests; each names the folders that make up every table of the
+store. A writer adds data and then the next manifest, which is created only if no other writer was first. So a reader
+sees all of a write or nothing of it, also of one to several tables, a failed write leaves the last version in place, and
+of two writers one is told. Tables are dealt by a hash of their key, so that a write rewrites only the buckets it touches.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
+#: Manifests that stay, with the data that they name: older readers go on undisturbed for so many writes.
+KEPT = 10
 
-class Table:
-    """A table in a shared folder, known by its natural key."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        jvm = spark._jvm
-        self._pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_current")
-        self._fs = self._pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class Conflict(Exception):
+    """Another writer committed first; read again and repeat."""
 
-    def version(self) -> str | None:
-        if not self._fs.exists(self._pointer):
-            return None
-        stream = self._fs.open(self._pointer)
+
+class Store:
+    """The log of a folder: what the current version consists of."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._log = self._hadoop(f"{self.path}/_log")
+        self._fs = self._log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _hadoop(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def numbers(self) -> list[int]:
+        if not self._fs.exists(self._log):
+            return []
+        return sorted(int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(self._log) if s.getPath().getName().endswith(".json"))
+
+    def _file(self, number: int):
+        return self._hadoop(f"{self.path}/_log/{number:012d}.json")
+
+    def manifest(self, number: int) -> dict | None:
+        """What a version consists of; None if its writer broke off in the middle."""
+        stream = self._fs.open(self._file(number))
         try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except ValueError:
+            return None
         finally:
             stream.close()
 
-    def read(self) -> DataFrame | None:
-        version = self.version()
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version}")
-
-    def stage(self, df: DataFrame) -> str:
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        return version
+    def current(self) -> tuple[int, dict]:
+        """The number of the last manifest, whole or not, and the last whole one."""
+        numbers = self.numbers()
+        for n in reversed(numbers):
+            found = self.manifest(n)
+            if found is not None:
+                return numbers[-1], found
+        return (numbers[-1] if numbers else 0), {"tables": {}, "batches": {}}
 
-    def point(self, version: str) -> None:
-        stream = self._fs.create(self._pointer, True)
+    def commit(self, tables: dict[str, dict], base: int, batch: tuple[str, int] | None = None) -> None:
+        """The next version: these tables are new, the others as in version `base`, the one that the writer has read."""
+        number, now = self.current()
+        if number != base:
+            raise Conflict(f"{self.path} went from version {base} to {number}")
+        now["tables"] |= tables
+        if batch:
+            now["batches"][batch[0]] = batch[1]
         try:
-            stream.write(bytearray(version.encode()))
+            stream = self._fs.create(self._file(number + 1), False)
+        except Py4JJavaError as e:
+            raise Conflict(f"{self.path} has a version {number + 1} already") from e
+        try:
+            stream.write(bytearray(json.dumps(now).encode()))
         finally:
             stream.close()
+        if number % KEPT == 0:
+            self.vacuum()
+
+    def done(self, name: str) -> int:
+        """The last micro-batch of a stream whose results are in; -1 if there is none."""
+        return self.current()[1]["batches"].get(name, -1)
+
+    def vacuum(self, kept: int = KEPT) -> None:
+        """Drop all manifests but the last ones, and data that none of these names and that is older than all of them."""
+        numbers = self.numbers()
+        keep = numbers[-kept:]
+        found = [m for m in map(self.manifest, keep) if m is not None]
+        if not found:
+            return
+        first = min(self._fs.getFileStatus(self._file(n)).getModificationTime() for n in keep)
+        named = {folder for m in found for t in m["tables"].values() for folders in t["buckets"].values() for folder in folders}
+        data = self._hadoop(f"{self.path}/data")
+        for s in self._fs.listStatus(data) if self._fs.exists(data) else ():
+            if s.getPath().getName() not in named and s.getModificationTime() < first:
+                self._fs.delete(s.getPath(), True)
+        for n in numbers[:-kept]:
+            self._fs.delete(self._file(n), False)
+
+
+class Table:
+    """A table of a store, known by its natural key. Null keys are keys like others where `nulls` allows them."""
 
-    def overwrite(self, df: DataFrame) -> None:
-        self.point(self.stage(df))
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], name: str = "table", buckets: int = 8, by: Sequence[str] | None = None, nulls: bool = False):
+        self.spark, self.keys, self.name, self.buckets, self.nulls = spark, list(keys), name, buckets, nulls
+        self.store, self.path = Store(spark, path), path.rstrip("/")
+        self.by = list(by or keys)  # what rows are dealt by: the key or a part of it
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
+
+    def _entry(self, manifest: dict | None = None) -> dict | None:
+        return (manifest or self.store.current()[1])["tables"].get(self.name)
+
+    def _frame(self, entry: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        schema = StructType.fromJson(entry["schema"])
+        paths = [f"{self.path}/data/{folder}/_bucket={b}" for b, folders in entry["buckets"].items() if buckets is None or int(b) in buckets for folder in folders]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def read(self) -> DataFrame | None:
+        entry = self._entry()
+        return None if entry is None else self._frame(entry)
 
-    def upsert(self, df: DataFrame, update: bool = True) -> None:
-        """Rows of df replace those of their key (or, without update, only come where the key is new). Keys may be
-        neither null nor twice in df."""
-        wrong = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(" OR ".join(["_n > 1", *[f"`{k}` IS NULL" for k in self.keys]]))
-        if not wrong.isEmpty():
+    def stage(self, df: DataFrame) -> dict:
+        """df as data that no version names yet."""
+        folder = uuid.uuid4().hex
+        df.withColumn("_bucket", self._bucket()).repartition(self.buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        names = [s.getPath().getName() for s in self.store._fs.listStatus(self.store._hadoop(f"{self.path}/data/{folder}"))]
+        schema = StructType.fromJson(df.schema.jsonValue())
+        for f in schema.fields:
+            f.nullable = True
+        return {"schema": schema.jsonValue(), "buckets": {n.split("=")[1]: [folder] for n in names if n.startswith("_bucket=")}}
+
+    def overwrite(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
+        base, _ = self.store.current()
+        self.store.commit({self.name: self.stage(df)}, base, batch)
+
+    def ensure(self, df: DataFrame) -> bool:
+        """Write df if the table isn't there yet; whether it was written."""
+        if self._entry() is not None:
+            return False
+        self.overwrite(df)
+        return True
+
+    def like(self, other: Table) -> None:
+        """An empty table with the columns of another one."""
+        self.overwrite(other.read().limit(0))
+
+    def append(self, df: DataFrame) -> None:
+        """More rows, whatever their key: for logs, where a repeated write repeats its rows."""
+        base, manifest = self.store.current()
+        old, new = self._entry(manifest), self.stage(df)
+        if old is not None:
+            new["buckets"] = {b: [*old["buckets"].get(b, []), *new["buckets"].get(b, [])] for b in {**old["buckets"], **new["buckets"]}}
+        self.store.commit({self.name: new}, base)
+
+    def load(self, df: DataFrame) -> int:
+        """Overwrite and check that all rows have come, before any reader sees them; how many they are."""
+        base, _ = self.store.current()
+        new = self.stage(df)
+        want, got = df.count(), self._frame(new).count()
+        if want != got:
+            raise ValueError(f"{want} rows were to come, {got} came")
+        self.store.commit({self.name: new}, base)
+        return got
+
+    def checked(self, df: DataFrame) -> None:
+        """Keys may not be twice in df, nor null unless the table allows it."""
+        rules = ["_n > 1", *([] if self.nulls else [f"`{k}` IS NULL" for k in self.keys])]
+        if not df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(" OR ".join(rules)).isEmpty():
             raise ValueError(f"keys {self.keys} are null or not unique")
-        old = self.read()
-        if old is None:
-            return self.overwrite(df)
-        one, two = (old, df) if update else (df, old)
-        self.overwrite(one.join(two.select(*self.keys), self.keys, "left_anti").unionByName(two))
+
+    def _typed(self, entry: dict, df: DataFrame) -> DataFrame:
+        """The columns of df that the table has, with its types, as a key's hash depends on them."""
+        kinds = {f.name: f.dataType for f in StructType.fromJson(entry["schema"]).fields}
+        return df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in df.columns if c in kinds])
+
+    def _rewritten(self, entry: dict, keys: DataFrame, change: Callable[[DataFrame], DataFrame]) -> dict:
+        """The table with the buckets that the keys fall in changed, the others as they were."""
+        touched = [r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect()]  # as many as there are buckets at most
+        new = self.stage(change(self._frame(entry, touched)))
+        new["buckets"] = {b: f for b, f in entry["buckets"].items() if int(b) not in touched} | new["buckets"]
+        return new
+
+    def upserted(self, manifest: dict, df: DataFrame, update: bool = True) -> dict:
+        """The table as an upsert makes it, not committed."""
+        self.checked(df)
+        entry = self._entry(manifest)
+        if entry is None:
+            return self.stage(df)
+        df = self._typed(entry, df)
+        return self._rewritten(entry, df, lambda old: _without(old, df, self.keys).unionByName(df) if update else old.unionByName(_without(df, old, self.keys)))
+
+    def upsert(self, df: DataFrame, update: bool = True, batch: tuple[str, int] | None = None) -> None:
+        """Rows of df replace those of their key (or, without update, only come where the key is new)."""
+        base, manifest = self.store.current()
+        self.store.commit({self.name: self.upserted(manifest, df, update)}, base, batch)
+
+    def replaced(self, manifest: dict, df: DataFrame, processed: DataFrame, source: Sequence[str]) -> dict:
+        """The table as a replacement makes it, not committed."""
+        entry = self._entry(manifest)
+        if entry is None:
+            return self.stage(df)
+        df, processed = self._typed(entry, df), self._typed(entry, processed)
+        if set(self.by) <= set(source):
+            return self._rewritten(entry, processed.select(*self.by).unionByName(df.select(*self.by)), lambda old: _without(old, processed, source).unionByName(df))
+        return self.stage(_without(self._frame(entry), processed, source).unionByName(df))
 
     def replace(self, df: DataFrame, processed: DataFrame, source: Sequence[str]) -> None:
         """Rows of every processed source go, those of df come, in one step."""
-        old = self.read()
-        self.overwrite(df if old is None else old.join(processed.select(*source).distinct(), list(source), "left_anti").unionByName(df))
+        base, manifest = self.store.current()
+        self.store.commit({self.name: self.replaced(manifest, df, processed, source)}, base)
 
     def delete(self, keys: DataFrame) -> None:
-        old = self.read()
-        if old is not None:
-            self.overwrite(old.join(keys.select(*self.keys).distinct(), self.keys, "left_anti"))
+        base, manifest = self.store.current()
+        entry = self._entry(manifest)
+        if entry is not None:
+            keys = self._typed(entry, keys)
+            self.store.commit({self.name: self._rewritten(entry, keys, lambda old: _without(old, keys, self.keys))}, base)
+
+
+def _without(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of df whose key isn't in gone; null keys are equal."""
+    right = gone.select(*[F.col(f"`{k}`").alias(f"_gone_{i}") for i, k in enumerate(keys)]).distinct()
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"_gone_{i}")) for i, k in enumerate(keys)]
+    return df.join(right, on, "left_anti")
 
 
 def publish(tables: dict[Table, DataFrame]) -> None:
-    """Stage every table, then move all pointers: if one can't be written, none changes."""
-    if len({t.path for t in tables}) != len(tables):
-        raise ValueError("the tables must be different ones")
-    staged = [(t, t.stage(df)) for t, df in tables.items()]
-    for t, version in staged:
-        t.point(version)
+    """Several tables of one store in one step: a reader sees all of them new or none."""
+    first = next(iter(tables))
+    if len({t.path for t in tables}) > 1 or len({t.name for t in tables}) != len(tables):
+        raise ValueError("the tables must be different ones of one store")
+    base, _ = first.store.current()
+    first.store.commit({t.name: t.stage(df) for t, df in tables.items()}, base)
+
+
+def overwrite(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite", **options: str) -> None:
+    """df in any format that Spark knows; mode "ignore" leaves alone what is there already."""
+    df.write.format(kind).mode(mode).options(**options).save(path)
 
 
 def jdbc(df: DataFrame, url: str, name: str, properties: dict[str, str], truncate: bool = True, batch: int = 5000) -> None:
@@ -87,13 +251,28 @@ def jdbc(df: DataFrame, url: str, name: str, properties: dict[str, str], truncat
     df.write.option("truncate", truncate).option("batchsize", batch).jdbc(url, name, mode="overwrite", properties=properties)
 
 
-def retried(action: Callable[[], None], attempts: int = 8, longest: float = 30, wait: Callable[[float], None] = time.sleep) -> None:
-    """Do it, and again after 1, 2, 4, ... seconds if it fails, so many times."""
+def as_messages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """key and value as text, as a topic takes them: the key's columns and all columns, each as JSON."""
+    return df.select(F.to_json(F.struct(*keys)).alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def transient(error: Exception) -> bool:
+    """Whether a repetition may help: lost writers' races and files or connections that failed, not wrong data."""
+    if isinstance(error, (Conflict, OSError)):
+        return True
+    if isinstance(error, (Py4JJavaError, PySparkException)):
+        text = str(error)
+        return any(w in text for w in ("IOException", "SQLTransient", "SQLRecoverable", "ConnectException", "SocketTimeout", "ExecutorLost", "FetchFailed"))
+    return False
+
+
+def retried(action: Callable[[], None], attempts: int = 8, longest: float = 30, wait: Callable[[float], None] = time.sleep, again: Callable[[Exception], bool] = transient) -> None:
+    """Do it, and again after 1, 2, 4, ... seconds if it fails in a way that may pass, so many times."""
     for n in range(attempts):
         try:
             return action()
-        except Exception:
-            if n == attempts - 1:
+        except Exception as e:
+            if n == attempts - 1 or not again(e):
                 raise
             wait(min(longest, 2.0**n))
 

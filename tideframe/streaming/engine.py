@@ -1,16 +1,23 @@
 """Streams whose results equal those of the batch queries.
 
 Running sums, counts, extremes and best records are streaming aggregations in update mode, upserted by key after each
-micro-batch. What retracts (a sum over records that may still change) is recomputed for the groups that a batch
-touches. Without a watermark nothing late is lost and state grows with the keys; a watermark may bound it.
+micro-batch. What retracts (a sum over records that may still change, rows gated by the one kept before) is recomputed
+for the groups that a batch touches, from the records stored so far. Records, results and the number of the batch are
+one commit, so that a batch that is repeated after a failure changes nothing twice. Null keys are groups like others, as
+in the batch queries. Without a watermark nothing late is lost and state grows with the keys; a watermark may bound it.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from tideframe.session import shared_folder
 from tideframe.sources.sinks import Table, retried
@@ -20,74 +27,217 @@ def folder(df: DataFrame) -> str:
     return f"{shared_folder(df.sparkSession)}/streams/{uuid.uuid4().hex}"
 
 
-def run(stream: DataFrame, each: Callable[[DataFrame, int], None], at: str, mode: str = "update") -> None:
-    """Work through all that is there, batch by batch, and go on from the checkpoint at the next call."""
-    query = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+def run(stream: DataFrame, each: Callable[[DataFrame, int], None], at: str, mode: str = "update", every: str | None = None, name: str | None = None):
+    """Work through all that is there, batch by batch, and go on from the checkpoint at the next call. With `every` (such
+    as "3 seconds") what has come is written so often until the query, which is returned, is stopped."""
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", f"{at}/checkpoint")
+    writer = writer.queryName(name) if name else writer
+    query = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    if not every:
+        query.awaitTermination()
+    return query
+
+
+def once(table: Table, batch: DataFrame, number: int, name: str = "stream") -> None:
+    """Upsert a micro-batch, unless its results are in already."""
+
+    def write() -> None:
+        if table.store.done(name) < number:
+            table.upsert(batch, batch=(name, number))
+
+    retried(write)
 
 
 def running(stream: DataFrame, keys: Sequence[str], metrics: dict[str, Column], at: str | None = None) -> DataFrame:
     """The metrics of each group over all of a stream, as a keyed table after its last batch."""
     at = at or folder(stream)
-    table = Table(stream.sparkSession, f"{at}/table", keys)
+    table = Table(stream.sparkSession, f"{at}/table", keys, nulls=True)
     totals = stream.groupBy(*keys).agg(*[m.alias(n) for n, m in metrics.items()])
-    run(totals, lambda batch, _: retried(lambda: table.upsert(batch.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))), at)
+    run(totals, lambda batch, number: once(table, batch, number), at)
     return table.read()
 
 
 def best_records(stream: DataFrame, keys: Sequence[str], order: Sequence[Column], at: str | None = None) -> DataFrame:
     """The best record of each key over all of a stream, by `order` (greater is better)."""
-    at = at or folder(stream)
-    table = Table(stream.sparkSession, f"{at}/table", keys)
     rest = [c for c in stream.columns if c not in keys]
-    best = stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")).select(*keys, "_best.*")
-    run(best, lambda batch, _: retried(lambda: table.upsert(batch)), at)
-    return table.read()
+    own = running(stream, keys, {"_best": F.max_by(F.struct(*rest), F.struct(*order))}, at)
+    return own.select(*keys, "_best.*")
 
 
-def regrouped(stream: DataFrame, keys: Sequence[str], better: Callable[[DataFrame], DataFrame], groups: Sequence[str], totals: Callable[[DataFrame], DataFrame], at: str | None = None) -> DataFrame:
+def regrouped(
+    stream: DataFrame, keys: Sequence[str], better: Callable[[DataFrame], DataFrame], groups: Sequence[str], totals: Callable[[DataFrame], DataFrame], at: str | None = None,
+    result: Sequence[str] | None = None, eligible: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Totals by group of the best record of each key. A record that moves from one group to another leaves the first:
-    after each batch all groups of records old and new are computed afresh, and groups without a record go."""
+    after each batch all groups of records old and new are computed afresh, and groups without a record go.
+
+    `better` leaves one row of each key; `result` is the key of the totals, if that is more than the groups; `eligible`
+    chooses among the best records those that count, so that a record that is no longer eligible leaves its group too.
+    """
     at = at or folder(stream)
     spark = stream.sparkSession
-    records, sums = Table(spark, f"{at}/records", keys), Table(spark, f"{at}/sums", groups)
-
-    def each(batch: DataFrame, _: int) -> None:
-        old = records.read()
-        new = better(batch if old is None else batch.unionByName(old.join(batch.select(*keys).distinct(), list(keys), "left_semi"))).persist()
+    records, sums = Table(spark, f"{at}/store", keys, "records", nulls=True), Table(spark, f"{at}/store", result or groups, "sums", by=groups, nulls=True)
+    eligible = eligible or (lambda df: df)
+
+    def each(batch: DataFrame, number: int) -> None:
+        base, manifest = records.store.current()
+        if manifest["batches"].get("stream", -1) >= number:
+            return
+        entry = records._entry(manifest)
+        old = None if entry is None else records._frame(entry)
+        own = batch.select(*keys).distinct()
+        met = None if old is None else _within(old, own, keys)
+        new = better(batch if met is None else batch.unionByName(met)).persist()
         try:
-            touched = new.select(*groups)
-            if old is not None:
-                touched = touched.unionByName(old.join(new.select(*keys), list(keys), "left_semi").select(*groups))
+            touched = new.select(*groups) if met is None else new.select(*groups).unionByName(met.select(*groups))
             touched = touched.distinct().persist()
-            records.upsert(new)
-            fresh = totals(records.read().join(touched, list(groups), "left_semi"))
-            before = sums.read()
-            sums.overwrite(fresh if before is None else before.join(touched, list(groups), "left_anti").unionByName(fresh))
+            fresh_records = records.upserted(manifest, new)
+            fresh = totals(eligible(_within(records._frame(fresh_records), touched, groups)))
+            changes = {"records": fresh_records, "sums": sums.replaced(manifest, fresh, touched, groups)}
+            records.store.commit(changes, base, ("stream", number))
+            touched.unpersist()
         finally:
             new.unpersist()
 
-    run(stream, each, at, "append")
+    run(stream, lambda batch, number: retried(lambda: each(batch, number)), at, "append")
     return sums.read()
 
 
-def gated(stream: DataFrame, key: str, order: str, relative: Sequence[str], absolute: str, at: str | None = None) -> DataFrame:
-    """The change-gated snapshots of a stream whose records come in order: the last one kept of each key is its state."""
-    at = at or folder(stream)
-    spark = stream.sparkSession
-    kept, last = Table(spark, f"{at}/kept", [key, order]), Table(spark, f"{at}/last", [key])
-    from tideframe.operators.snapshots import change_gated
+def _within(df: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of df whose key is among the keys; null keys are equal."""
+    right = keys.select(*[F.col(f"`{k}`").alias(f"_in_{i}") for i, k in enumerate(names)])
+    return df.join(right, [F.col(f"`{k}`").eqNullSafe(F.col(f"_in_{i}")) for i, k in enumerate(names)], "left_semi")
 
-    def each(batch: DataFrame, _: int) -> None:
-        old = last.read()
-        rows = batch.select(key, order, *relative, absolute)
-        rows = rows if old is None else rows.unionByName(old.join(rows.select(key).distinct(), key, "left_semi"))
-        new = change_gated(rows.withColumn("_tie", F.lit(0)), [key], order, relative, absolute, "_tie").drop("_tie").persist()
-        try:
-            kept.upsert(new)
-            last.upsert(new.groupBy(key).agg(F.max_by(F.struct(order, *relative, absolute), order).alias("x")).select(key, "x.*"))
-        finally:
-            new.unpersist()
 
-    run(stream, each, at, "append")
-    return kept.read()
+def gated(stream: DataFrame, key: str, order: str, relative: Sequence[str], absolute: str, tie: str, at: str | None = None) -> DataFrame:
+    """The change-gated snapshots of a stream, as the batch query gives them, whatever the order in which records come.
+
+    Records are known by key, order and tie. A late one may change which later ones stay, so a key that a batch touches
+    is folded afresh from all its records.
+    """
+    from tideframe.operators.snapshots import change_gated
+
+    rows = stream.select(key, order, tie, *relative, absolute)
+    whole = [F.col(c).desc_nulls_last() for c in [*relative, absolute]]
+    from tideframe.operators.ranking import latest
+
+    return regrouped(rows, [key, order, tie], lambda df: latest(df, [key, order, tie], whole), [key], lambda df: change_gated(df, [key], order, relative, absolute, tie), at, result=[key, order, tie])
+
+
+def merged(streams: Sequence[DataFrame]) -> DataFrame:
+    """All rows of several streams; columns that one lacks are null in it."""
+    out = streams[0]
+    for s in streams[1:]:
+        out = out.unionByName(s, allowMissingColumns=True)
+    return out
+
+
+def joined_with(stream: DataFrame, side: Callable[[], DataFrame], keys: Sequence[str], each: Callable[[DataFrame, int], None], at: str, how: str = "left") -> None:
+    """Each micro-batch joined with a table that is read anew for it, so that the table may change while the stream runs.
+
+    The table's side is broadcast only if Spark finds it small enough.
+    """
+    run(stream, lambda batch, number: each(batch.join(side(), list(keys), how), number), at, "append")
+
+
+def chained(first: Callable[[], Any], then: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Queries of which each reads, as a stream of files, what the one before has written."""
+    return [first(), *[f() for f in then]]
+
+
+class Windows(StatefulProcessor):
+    """For each key the mean of the last days against that of as many before, from the daily sums that it keeps.
+
+    Days older than two windows go with each batch; with `every` a timer repeats the result by the wall clock, also for
+    keys that nothing comes for.
+    """
+
+    def __init__(self, days: int, as_of: int | None = None, every_ms: int | None = None):
+        self.days, self.as_of, self.every = days, as_of, every_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getMapState("sums", "day int", "total double, n long")
+
+    def _row(self, key, as_of: int) -> Iterator[pd.DataFrame]:
+        recent, prior = [0.0, 0], [0.0, 0]
+        for (day,), (total, n) in list(self.sums.iterator()):
+            age = as_of - day
+            if age >= 2 * self.days:
+                self.sums.removeKey((day,))
+            elif age >= 0:
+                side = recent if age < self.days else prior
+                side[0] += total / n
+                side[1] += 1
+        if recent[1] and prior[1]:
+            r, p = recent[0] / recent[1], prior[0] / prior[1]
+            yield pd.DataFrame({"key": [key[0]], "as_of": [as_of], "recent_avg": [r], "prior_avg": [p], "growth_rate": [(r - p) / p if p > 0 else 0.0]})
+
+    def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:
+        latest = None
+        for part in rows:
+            for day, value in zip(part["day"].tolist(), part["value"].tolist()):
+                if value is None or value != value or day is None or day != day:
+                    continue
+                day = int(day)
+                total, n = self.sums.getValue((day,)) if self.sums.containsKey((day,)) else (0.0, 0)
+                self.sums.updateValue((day,), (total + value, n + 1))
+                latest = day if latest is None else max(latest, day)
+        if self.every:
+            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.every)
+        anchor = self.as_of if self.as_of is not None else max((d for (d,), _ in self.sums.iterator()), default=None)
+        if anchor is not None:
+            yield from self._row(key, anchor)
+
+    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+        self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.every)
+        anchor = self.as_of if self.as_of is not None else max((d for (d,), _ in self.sums.iterator()), default=None)
+        if anchor is not None:
+            yield from self._row(key, anchor)
+
+
+def growth_state(stream: DataFrame, key: str, day: Column, value: Column, days: int = 3, as_of: int | None = None, every_ms: int | None = None) -> DataFrame:
+    """key, as_of, recent_avg, prior_avg, growth_rate after each batch for the keys that it touches, from state that a
+    processor keeps and trims. day: a number of days; as_of: the day that counts as the last one, else the greatest of
+    each key."""
+    rows = stream.select(F.col(key).alias("key"), day.cast("int").alias("day"), value.cast("double").alias("value"))
+    kind = dict(rows.dtypes)["key"]
+    schema = StructType.fromDDL(f"key {kind}, as_of int, recent_avg double, prior_avg double, growth_rate double")
+    return rows.groupBy("key").transformWithStateInPandas(Windows(days, as_of, every_ms), schema, "Update", "ProcessingTime" if every_ms else "None")
+
+
+class Watch(StreamingQueryListener):
+    """What queries did: the rows of every batch, observed counters, and how they ended. Ends the others if one fails."""
+
+    def __init__(self, spark: SparkSession, stop_all: bool = False):
+        self.spark, self.stop_all = spark, stop_all
+        self.rows: dict[str, int] = {}
+        self.counters: dict[str, int] = {}
+        self.failed: dict[str, str] = {}
+        self.ended: list[str] = []
+
+    def onQueryStarted(self, event) -> None:
+        self.rows[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:
+        own = event.progress
+        self.rows[str(own.runId)] = self.rows.get(str(own.runId), 0) + own.numInputRows
+        for name, row in (own.observedMetrics or {}).items():
+            for field, n in row.asDict().items():
+                self.counters[f"{name}.{field}"] = self.counters.get(f"{name}.{field}", 0) + (n or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.append(str(event.runId))
+        if event.exception:
+            self.failed[str(event.runId)] = event.exception
+            if self.stop_all:
+                for q in self.spark.streams.active:
+                    q.stop()
+
+
+def counted(df: DataFrame, name: str, reasons: dict[str, Column]) -> DataFrame:
+    """df, with a counter of the rows for each reason, which observers and listeners get under `name`."""
+    return df.observe(name, *[F.count(F.when(c, 1)).alias(n) for n, c in reasons.items()])
