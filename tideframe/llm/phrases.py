@@ -1,9 +1,10 @@
 """Substring deduplication by repeated-phrase automata.
 
-Windows of 50 words around recurring anchors (see repeats) are confirmed as recurring where all of an anchor's contexts
-meet, each with the least document that holds it. Runs of confirmed windows are passages. The documents then stream, in
-shards of bounded size, through Aho-Corasick automata compiled from the passages of the shard, which locate every
-occurrence; an occurrence in a later document than the passage's first is removed.
+Windows of 50 words around recurring anchors (see repeats) are confirmed where all of an anchor's contexts meet: those
+that stand in two documents or more. Confirmed windows that always stand next to each other form a passage, which is
+taken once. Aho-Corasick automata are compiled from the passages, in shards of bounded size, and what documents have
+around the anchors of a shard, that is wherever its passages can be, streams through its automaton. The automaton's hits
+say where passages stand; an occurrence in a later document than the passage's first one is removed.
 """
 
 from __future__ import annotations
@@ -16,129 +17,136 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.common import Rolling, unpack
-from tideframe.llm.repeats import _batch, compare, joined, keyed, known, recurring, word_units
+from tideframe.llm.repeats import Context, compare, joined, keyed, known, mapped, recurring, word_units
 
 WIDTH, GRAM = 50, 10
-#: Bytes of passages that one automaton holds, more only for a single document's.
-SHARD = 1_000_000
+#: Bytes of passages that one automaton holds, more only for a single passage.
+SHARD = 500_000
 _LAST = 2**63 - 1
 
 
-def first_holders(texts: list[bytes], holders: list[int], width: int) -> list[np.ndarray]:
-    """For each window of `width` words of each text, the least holder of a text with that window."""
+def _rank(doc: int | None) -> int:
+    """Null ids are the greatest."""
+    return _LAST if doc is None else doc
+
+
+def confirmed(texts: list[bytes], least: list[int], greatest: list[int], width: int) -> dict[bytes, int]:
+    """The passages of the texts and the least document that holds each.
+
+    A window of `width` words is part of a passage if its texts are of two documents or more; least and greatest have
+    those of each text. Windows are in one passage if neither ever stands without the other next to it, so that a
+    document holds all of a passage or nothing.
+    """
     whole, starts, ends = word_units(b" ".join(texts))
     sizes = np.array([t.count(b" ") + 1 for t in texts], np.int64)
     counts = np.maximum(sizes - width + 1, 0)
     begin = np.cumsum(sizes) - sizes
-    at = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    of = np.repeat(np.arange(len(texts)), counts)
+    if not len(of):
+        return {}
+    at = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(len(of))
     keys = Rolling(whole).of(starts[at], ends[at + width - 1])
-    order = np.argsort(keys, kind="stable")
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
-    least = np.minimum.reduceat(np.repeat(np.array(holders, np.int64), counts)[order], heads)
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.repeat(least, np.diff(np.append(heads, len(keys))))
-    return np.split(out, np.cumsum(counts)[:-1])
-
-
-def _confirm(rows: list[dict]) -> Iterator[tuple]:
-    """Runs of windows that a smaller document holds, by the document that holds them first."""
-    by_key: dict[tuple, list[dict]] = {}
-    for row in rows:
-        row["id"] = _LAST if row["doc_id"] is None else row["doc_id"]
-        by_key.setdefault((row["anchor"], row["ctx"]), []).append(row)
-    firsts = first_holders([own[0]["data"] for own in by_key.values()], [min(r["id"] for r in own) for own in by_key.values()], WIDTH)
-    for own, first in zip(by_key.values(), firsts):
-        bounds = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)]
-        spans = [(lo, hi - lo, int(first[lo])) for lo, hi in zip(bounds, bounds[1:])]
-        for row in own:
-            for start, n, holder in spans:
-                if holder < row["id"]:
-                    yield row["doc_id"], row["h"], row["start"] + start, n, holder
-
-
-def merged(spots: list[dict]) -> list[tuple[int, int, int]]:
-    """Runs of windows (start, number, holder), neighbouring ones of one holder put together."""
-    out: list[tuple[int, int, int]] = []
-    for start, n, holder in sorted((s["start"], s["n"], s["holder"]) for s in spots):
-        if out and out[-1][2] == holder and out[-1][0] + out[-1][1] == start:
-            out[-1] = (out[-1][0], out[-1][1] + n, holder)
-        else:
-            out.append((start, n, holder))
+    _, first, which, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    low, high = np.full(len(first), _LAST, np.int64), np.full(len(first), -_LAST - 1, np.int64)
+    np.minimum.at(low, which, np.array(least, np.int64)[of])
+    np.maximum.at(high, which, np.array(greatest, np.int64)[of])
+    next_to = of[1:] == of[:-1]  # of the window at hand and the one after it
+    one, two = which[:-1], which[1:]
+    _, back, number = np.unique((one[next_to] << 32) + two[next_to], return_inverse=True, return_counts=True)
+    bound = np.zeros(len(of), bool)
+    bound[:-1][next_to] = (number[back] == times[one[next_to]]) & (number[back] == times[two[next_to]])
+    taken = (first[which] == np.arange(len(of))) & (low < high)[which]
+    out: dict[bytes, int] = {}
+    starts_at = np.flatnonzero(taken & ~np.concatenate([[False], taken[:-1] & bound[:-1]]))
+    ends_at = np.flatnonzero(taken & ~(bound & np.append(taken[1:], False)))
+    for lo, hi in zip(starts_at.tolist(), ends_at.tolist()):
+        out[whole[starts[at[lo]] : ends[at[hi] + width - 1]]] = int(low[which[lo]])
     return out
 
 
-def automaton(passages: dict[str, int]) -> ahocorasick.Automaton:
-    """Finds every passage; its value is the passage's length and first holder."""
-    out = ahocorasick.Automaton()
-    for text, holder in passages.items():
+def automata(passages: dict[bytes, int], size: int) -> Iterator[ahocorasick.Automaton]:
+    """Automata of `size` bytes of passages each, which find all of them; a value is a passage's length and first holder."""
+    out, held = ahocorasick.Automaton(), 0
+    for passage, holder in passages.items():
+        text = f" {passage.decode('latin-1')} "
+        if held and held + len(text) > size:
+            out.make_automaton()
+            yield out
+            out, held = ahocorasick.Automaton(), 0
         out.add_word(text, (len(text), holder))
-    out.make_automaton()
+        held += len(text)
+    if held:
+        out.make_automaton()
+        yield out
+
+
+def located(passages: dict[bytes, int], texts: list[bytes], size: int) -> list[list[tuple[int, int, int]]]:
+    """For each text, the passages that stand in it: first word, number of words, holder."""
+    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    for machine in automata(passages, size):
+        for found, text in zip(out, texts):
+            spaces = None
+            for end, (length, holder) in machine.iter(f" {text.decode('latin-1')} "):
+                if spaces is None:
+                    spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1  # as they stand after the space put first
+                lo, hi = np.searchsorted(spaces, [end - length + 1, end]).tolist()
+                lo += length <= end  # the passage's first space is one of the text's own
+                found.append((lo, hi + 1 - lo, holder))
     return out
 
 
-def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the words of passages that an earlier document holds, shard by shard."""
-    shard: list[tuple] = []
-    passages: dict[str, int] = {}
-    size = 0
-
-    def cut() -> Iterator[tuple]:
-        machine = automaton(passages) if passages else None
-        for row, (data, starts, ends) in shard:
-            gone = np.zeros(len(starts), bool)
-            if row["spots"]:
-                me = _LAST if row["doc_id"] is None else row["doc_id"]
-                for end, (length, holder) in machine.iter(f" {data.decode('latin-1')} "):
-                    if holder < me:
-                        lo, hi = np.searchsorted(starts, [end - length + 1, end - 1])
-                        gone[lo:hi] = True
-                words = data.split()
-                kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
-            else:
-                kept = data
-            yield row["doc_id"], row["h"], len(starts), int(gone.sum()), kept
-
-    held = 0
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            for row in batch.slice(lo, 256).to_pylist():
-                data, starts, ends = units = word_units(unpack(row["data"]))
-                for start, n, holder in merged(row["spots"] or ()):
-                    text = f" {data[starts[start] : ends[start + n + WIDTH - 2]].decode('latin-1')} "
-                    if text not in passages:
-                        size += len(text)
-                    passages[text] = min(holder, passages.get(text, _LAST))
-                row["data"] = None
-                shard.append((row, units))
-                held += len(data)
-                if size >= SHARD or held >= 8 * SHARD:
-                    yield _batch(cut(), _OUT)
-                    shard, passages, size, held = [], {}, 0, 0
-    if shard:
-        yield _batch(cut(), _OUT)
-
-
-_OUT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
+def _compare_contexts(contexts: list[Context]) -> Iterator[tuple]:
+    """What the automata find in every document that comes after a passage's first: first word and number of words."""
+    ranks = [[_rank(doc) for doc, *_ in c.places] for c in contexts]
+    passages = confirmed([c.data for c in contexts], [min(r) for r in ranks], [max(r) for r in ranks], WIDTH)
+    if not passages:
+        return
+    for c, own, found in zip(contexts, ranks, located(passages, [c.data for c in contexts], SHARD)):
+        found.sort()
+        for (doc, h, start), rank in zip(c.places, own) if found else ():
+            lo = hi = -1
+            for a, n, holder in found:
+                if holder < rank:
+                    if a > hi:
+                        if hi >= 0:
+                            yield doc, h, start + lo, hi - lo
+                        lo, hi = a, a + n
+                    hi = max(hi, a + n)
+            if hi >= 0:
+                yield doc, h, start + lo, hi - lo
 
 
 def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, h, n_words, n_removed, kept binary: each text's words, joined by one space, without those covered by a
     window of 50 words that also starts in a document of a smaller id.
 
-    A null text has no words. A null id counts as the greatest. Rows of one id don't remove one another. An empty df
-    gives no rows; other columns of df are not read.
+    A null text has no words. A null id counts as the greatest. Rows of one id don't remove one another. A text of any
+    length is compared whole, in contexts of at most 90 words. An empty df gives no rows; other columns of df are not
+    read. The windows of an anchor of more than HOT occurrences are counted one by one instead, as no task can hold them.
     """
     docs = keyed(df, id_col, text_col)
     found = recurring(docs, word_units, WIDTH, GRAM, F.col("low") < F.col("high"))
 
     def hot(windows: DataFrame) -> DataFrame:
-        holders = windows.groupBy("a", "b").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("holder"))
-        later = known(windows, holders).filter(F.col("holder") < F.coalesce("doc_id", F.lit(_LAST)))
-        return later.select("doc_id", "h", "start", F.lit(1).alias("n"), "holder")
+        doc = F.coalesce("doc_id", F.lit(_LAST))
+        holders = windows.groupBy("a", "b").agg(F.min(doc).alias("holder"), F.max(doc).alias("last")).filter("holder < last").drop("last")
+        later = known(windows, holders).filter(F.col("holder") < doc)
+        return later.select("doc_id", "h", "start", F.lit(WIDTH).alias("n"))
+
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+    texts, spots = compare(docs, found, word_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
+
+    def cut(row: dict) -> Iterator[tuple]:
+        words = unpack(row["data"]).split()
+        gone = np.zeros(len(words), bool)
+        for spot in row["spots"] or ():
+            gone[spot["start"] : spot["start"] + spot["n"]] = True
+        yield row["doc_id"], row["h"], len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
 
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("holder", pa.int64())])
-    texts, spots = compare(docs, found, word_units, WIDTH, GRAM, _confirm, hot, "start int, n int, holder long", schema)
-    return joined(texts, spots).mapInArrow(_locate, "doc_id long, h long, n_words long, n_removed long, kept binary")
+    return joined(texts, spots).mapInArrow(mapped(cut, _OUT, 2000), "doc_id long, h long, n_words long, n_removed long, kept binary")
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
 def digests(df: DataFrame) -> DataFrame:

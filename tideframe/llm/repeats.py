@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideframe.llm.common import Rolling, pack, partitions, sliding_max, sliding_min, unpack, written
 
-#: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation.
-HOT = 50_000
+#: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation: at this number one
+#: task holds at most so many contexts, a few MB of text if all of them differ, and a few numbers for each copy.
+HOT = 20_000
 #: Tasks that share the rows of one hot window.
 SALTS = 32
 #: Bytes of contexts that are compared at once, if they are of several anchors.
-BATCH = 4_000_000
+BATCH = 1_000_000
 
 Units = Callable[[bytes], tuple[bytes, np.ndarray, np.ndarray]]
 
@@ -40,6 +41,16 @@ def word_units(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
     return data, np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(data)]])
 
 
+class Context:
+    """A stretch of n windows of one anchor, and where it stands: document, hash of its text, first window."""
+
+    __slots__ = ("anchor", "n", "data", "places")
+
+    def __init__(self, anchor: int, n: int, data: bytes):
+        self.anchor, self.n, self.data = anchor, n, data
+        self.places: list[tuple[int | None, int, int]] = []
+
+
 class Windows:
     """Hashes of the grams of a text and the anchor of each of its windows."""
 
@@ -133,12 +144,11 @@ def recurring(docs: DataFrame, units: Units, width: int, gram: int, condition: C
 
 def compare(
     docs: DataFrame, found: DataFrame, units: Units, width: int, gram: int,
-    batch: Callable[[list[dict]], Iterator[tuple]], verdict: Callable[[DataFrame], DataFrame], out: str, out_schema: pa.Schema,
+    batch: Callable[[list[Context]], Iterator[tuple]], verdict: Callable[[DataFrame], DataFrame], out: str, out_schema: pa.Schema,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents parted by their key, with `data` packed, and what was found in them: doc_id, h, spot (an array of structs `out`).
 
-    batch gets rows anchor, ctx, doc_id, h, start, n, data with all contexts of each anchor in it, and gives rows of
-    out_schema (doc_id, h and the fields of `out`). verdict gets one row for each window of hot anchors (a, b: a hash
+    batch gets all distinct contexts of each anchor in it, and gives rows of out_schema (doc_id, h and the fields of `out`). verdict gets one row for each window of hot anchors (a, b: a hash
     of 128 bits; doc_id, h, start) and gives the same columns.
     """
     spark = docs.sparkSession
@@ -169,19 +179,22 @@ def compare(
         return texts.join(own.withColumnsRenamed({"doc_id": "_d", "h": "_h"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h"))).drop("_d", "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+        held: list[Context] = []
+        size, last = 0, None
         for table in batches:
-            for row in table.to_pylist():
-                if size >= BATCH and row["anchor"] != rows[-1]["anchor"]:
-                    yield _batch(batch(rows), out_schema)
-                    rows, size = [], 0
-                if rows and rows[-1]["ctx"] == row["ctx"] and rows[-1]["anchor"] == row["anchor"]:
-                    row["data"] = rows[-1]["data"]
-                else:
-                    size += len(row["data"])
-                rows.append(row)
-        if rows:
-            yield _batch(batch(rows), out_schema)
+            columns = [table.column(c).to_pylist() for c in ("anchor", "ctx", "doc_id", "h", "start", "n")]
+            data = table.column("data")
+            for i, (anchor, ctx, doc, h, start, n) in enumerate(zip(*columns)):
+                if (anchor, ctx) != last:
+                    if size >= BATCH and anchor != last[0]:
+                        yield _batch(batch(held), out_schema)
+                        held, size = [], 0
+                    held.append(Context(anchor, n, data[i].as_py()))
+                    size += len(held[-1].data)
+                    last = anchor, ctx
+                held[-1].places.append((doc, h, start))
+        if held:
+            yield _batch(batch(held), out_schema)
 
     calm = with_anchors(F.col("total") <= HOT).mapInArrow(mapped(contexts, schema, 5000), "anchor long, ctx long, doc_id long, h long, start int, n int, data binary")
     spots = calm.repartition(n, "anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(run, f"doc_id long, h long, {out}")
