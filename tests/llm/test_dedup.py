@@ -32,10 +32,15 @@ def test_two_stage_suffix_sorting(seed):
         own, i = bytes(rng.choice(letters) for _ in range(rng.randint(0, 60))), rng.randint(0, 40)
         texts.append(own[:20] + base[i : i + rng.randint(0, 40)] + own[20:])
     width = rng.choice([9, 12, 17])
-    whole = b"\0".join(texts) + b"\0"
-    at, t = np.arange(len(whole)), np.frombuffer(whole, np.uint8)
-    order = suffixes.suffix_array(t, width, Rolling(whole).of(at, np.minimum(at + width, len(whole)))).tolist()
-    assert sorted(order) == at.tolist() and all(whole[x : x + width] <= whole[y : y + width] for x, y in zip(order, order[1:]))
+    whole = b"\0".join(texts) + b"\0\1"
+    t = np.frombuffer(whole, np.uint8)
+    ascending = suffixes.smaller_than_next(t)
+    assert ascending.tolist() == [i + 1 < len(whole) and whole[i:] < whole[i + 1 :] for i in range(len(whole))]
+    member = np.arange(len(whole)) < len(whole) - 1
+    order = suffixes.suffix_array(t, width, lambda x: Rolling(whole).of(x, np.minimum(x + width, len(whole))), ascending, member)
+    assert sorted(order.tolist()) == [*range(len(whole) - 1)] and all(whole[x : x + width] <= whole[y : y + width] for x, y in zip(order, order[1:]))
+    common = [next((k for k in range(width) if whole[x + k : x + k + 1] != whole[y + k : y + k + 1] or x + k >= len(whole)), width) for x, y in zip(order, order[1:])]
+    assert suffixes.common_prefixes(t, order, width).tolist() == [0, *common]
     seen = collections.Counter(x[i : i + width] for x in texts for i in range(len(x) - width + 1))
     for x, flags in zip(texts, suffixes.repeated_starts(texts, width)):
         assert flags.tolist() == [seen[x[i : i + width]] > 1 for i in range(len(x) - width + 1)]
