@@ -32,6 +32,18 @@ def test_times_and_durations(spark):
 
 def test_tags_and_text(spark):
     assert values(spark, parsing.tag_array, '["#B", "a  x", "a x"]', "a|B", "#A, #a;c", "[none]", "", None) == [["a x", "b"], ["a", "b"], ["a", "c"], [], [], []]
+    assert values(spark, parsing.tag_array, '["Rock, paper", "x", null]', "don't|'quoted'", "[a, 'b']", "[]") == [["rock, paper", "x"], ["don't", "quoted"], ["a", "b"], []]
+    df = spark.createDataFrame([(["#B", None, "b ", "none"],), (None,)], "t array<string>")
+    assert [r.x for r in df.select(parsing.tag_array(F.col("t"), "array<string>").alias("x")).collect()] == [["b"], []]
+    assert [len(x[0]) for x in values(spark, parsing.hashtags, "#" + "x" * 20_000)] == [20_000]
+    assert values(spark, lambda c: parsing.mentions(["Game", "play"], c, F.lit(None).cast("string")), "GAMES", "none", None) == [True, False, False]
+    assert values(spark, lambda c: parsing.theme_text(parsing.tag_array(c), F.lit("title"), F.lit(None).cast("string")), "a|b", "") == ["a b", "title "]
+    assert values(spark, parsing.day_type, "2024-03-02T10:00:00Z", "2024-03-04", "rubbish", None) == ["Weekend", "Weekday", "Weekday", "Weekday"]
+    assert values(spark, lambda c: parsing.day_type(c, strict=True), "rubbish") == [None]
+    odd = spark.createDataFrame([(" ", "5", "x"), (None, "NaN", "7")], "Views string, VIEW_COUNT string, n string")
+    assert [r.x for r in odd.select(parsing.column_like(odd, ["views", "view_count", "absent", "N"], "long").alias("x")).collect()] == [5, 7]
+    lists = F.array(F.struct(F.lit("a").alias("k"), F.lit(1).alias("v")), F.struct(F.lit("a").alias("k"), F.lit(2).alias("v")))
+    assert values(spark, lambda c: parsing.element_where(lists, "k", c, "v", F.lit(0)), "a", "b") == [1, 0]
     assert values(spark, parsing.hashtag_names, "[{'name': 'One'}, {\"name\": \"two\"}]", "none")[0] == ["One", "two"]
     assert values(spark, parsing.hashtags, "see #Cats and # #dogs2", None) == [["cats", "dogs2"], []]
     assert values(spark, lambda c: parsing.keywords(c, ["the"], digits=False), "The CATS, a 123 dog!", None) == [["cats", "dog"], []]
@@ -51,6 +63,8 @@ def test_metrics(spark):
     assert got == [pytest.approx(1 + 3 + 1), None, None, None]
     assert values(spark, lambda v: metrics.plausible(v, F.lit(5), 10), 10, 11, 4, 0, None, kind="long") == [True, False, False, False, None]
     assert values(spark, lambda v: metrics.duration_similarity(v, F.lit(9)), 9, 4, -1, None, kind="int") == [1.0, pytest.approx(0.5), 0.0, 0.0]
+    assert values(spark, lambda v: metrics.kept_or(v, F.lit(9.0)), 1.0, -1.0, math.nan, math.inf, None, kind="double") == [1.0, 9.0, 9.0, 9.0, 9.0]
+    assert values(spark, lambda v: metrics.valid_message(v, F.lit(5), F.lit(0), F.lit(1.0)), 5.0, 4.0, 0.0, math.nan, None, kind="double") == [True, False, False, False, False]
     both = F.array().cast("array<string>")
     assert values(spark, lambda _: metrics.jaccard(both, both), "x") == [0.0]
     assert values(spark, lambda _: metrics.jaccard(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"))), "x") == [0.5]
@@ -99,6 +113,57 @@ def test_similarity(spark):
     assert sorted((r.a, r.b, r.rank) for r in similarity.neighbours(edges, "s", 2).collect()) == [(1, 2, 2), (1, 4, 1), (2, 1, 1), (3, 1, 1), (4, 1, 1)]
 
 
+def test_jaccard_join_finds_all_pairs(spark):
+    import random
+
+    rng = random.Random(5)
+    sets = {i: frozenset(rng.sample("abcdefghijklmnop", rng.randint(0, 9))) for i in range(300)}
+    df = spark.createDataFrame([(i, sorted(s) + sorted(s)[:1]) for i, s in sets.items()] + [(None, ["a"])], "id int, w array<string>")
+    for least in (0.3, 0.5, 0.65, 1.0):
+        want = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least}
+        assert {(r.a, r.b) for r in similarity.jaccard_join(df, "id", "w", least).collect()} == want
+
+
+def test_percent_ranks_by_parts(spark):
+    from pyspark.sql import Window
+
+    rows = [(g, v) for g in ("a", "b", None) for v in [None, 1.0, 1.0, 2.0, 5.0, 5.0, 5.0, 9.0] * (9 if g == "a" else 1)] + [("c", 3.0), ("d", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, g string, v double")
+    want = df.withColumn("p", F.round(F.percent_rank().over(Window.partitionBy("g").orderBy("v")) * 100, 2)).collect()
+    assert sorted(map(tuple, ranking.percent_ranks(df, ["g"], {"v": "p"}, parts=5).collect()), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+def test_companions_parts_and_grids(spark):
+    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 5, "y"), ("b", 3, None, "z")], "k string, id int, v int, c string")
+    assert sorted(map(tuple, aggregates.with_companion(df, ["k"], ["v"], {"c": ["v", "id"]}).collect())) == [("a", 5, "y"), ("b", None, "z")]
+    got = aggregates.parts_with_total(df, ["k"], "c", "v").collect()
+    assert sorted((r.k, r.total, [tuple(x) for x in r.parts]) for r in got) == [("a", 10, [("x", 5), ("y", 5)]), ("b", None, [("z", None)])]
+    kinds = spark.range(1500).select(F.col("id").cast("string").alias("c"))
+    grid = aggregates.densified(df.select("k", "c", "v"), df.select("k").distinct(), kinds.unionByName(df.select("c")), "v")
+    assert grid.count() == 2 * 1503 and grid.agg(F.sum("v")).first()[0] == 10
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,Title,n\n1,"two\nlines, ""quoted""",NA\n2,,3\n')
+    path = str(tmp_path / "a.csv")
+    assert readers.header(spark, path) == ["id", "Title", "n"]
+    assert sorted(map(tuple, readers.csv(spark, path, columns=["n", "Title"]).collect()), key=repr) == [("3", None), ("NA", 'two\nlines, "quoted"')]
+    assert readers.csv(spark, path, StructType.fromDDL("id int, Title string, n int")).select("id").collect()[0][0] == 1
+    (tmp_path / "d.json").write_text('{"a": 1, "b": {"c": "x"}}\n{"a": 2.5, "late": true}\n')
+    docs = readers.documents(spark, str(tmp_path / "d.json"))
+    assert docs.columns == ["a", "b", "late"] and dict(documents.flattened(docs).dtypes) == {"a": "double", "b_c": "string", "late": "boolean"}
+
+
+def test_formats(spark, tmp_path):
+    from tideframe.sources import sinks
+
+    sinks.overwrite(spark.range(3), f"{tmp_path}/x", "json")
+    sinks.overwrite(spark.range(9), f"{tmp_path}/x", "json", "ignore")
+    assert spark.read.json(f"{tmp_path}/x").count() == 3
+    got = sinks.as_messages(spark.createDataFrame([(1, None, "x")], "k int, v int, w string"), ["k"]).first()
+    assert tuple(got) == ('{"k":1}', '{"k":1,"w":"x"}')
+
+
 def test_documents(spark):
     df = spark.createDataFrame([(1, ("x", ("7", "t"))), (2, ("y", (None, "true")))], "id int, doc struct<aB string, in struct<n string, f string>>")
     flat = documents.promoted(documents.flattened(df))
@@ -109,7 +174,10 @@ def test_messages(spark):
     texts = ['{"k": 1}', '[{"k": 2}, {"k": NaN}]', "{broken", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     good, bad = readers.messages(df, StructType.fromDDL("k double"))
-    assert good.count() >= 3 and good.select("record.k").filter("k = 2").count() == 1 and "reason" in bad.columns
+    assert good.count() == 3 and good.select("record.k").filter("k = 2").count() == 1
+    assert sorted((r.value, r.reason) for r in bad.filter("value <> ''").collect()) == [("{broken", "invalid_json")]
+    good, bad = readers.messages(spark.createDataFrame([('[{"k": 1}, null]',)], "value string"), StructType.fromDDL("k double"))
+    assert [r.record.k for r in good.collect()] == [1.0] and [r.reason for r in bad.collect()] == ["null_record"]
 
 
 def test_alignment(spark):

@@ -36,6 +36,18 @@ def plausible(views: Column, likes: Column, most: int) -> Column:
     return (views > 0) & (likes <= views) & (views <= most)
 
 
+def kept_or(value: Column, derived: Column) -> Column:
+    """A prepared value if it is a number from 0, else the derived one."""
+    return F.coalesce(finite(value), derived)
+
+
+def valid_message(views: Column, likes: Column, comments: Column, score: Column) -> Column:
+    """Whether a record counts: finite values, positive views, no negative ones, no more likes than views; false for nulls."""
+    numbers = [finite(c.cast("double")).isNotNull() for c in (views, likes, comments, score)]
+    fine = numbers[0] & numbers[1] & numbers[2] & numbers[3] & (views > 0) & (likes <= views)
+    return F.coalesce(fine, F.lit(False))
+
+
 def completeness(*columns: Column) -> Column:
     """How many of the columns are not null."""
     out = F.lit(0)

@@ -14,11 +14,44 @@ def first_column(df: DataFrame, names: Sequence[str], kind: str) -> Column:
     return F.lit(None).cast(kind) if name is None else F.col(f"`{name}`").try_cast(kind)
 
 
+def column_like(df: DataFrame, names: Sequence[str], kind: str = "string") -> Column:
+    """The first of these columns, whatever its case, that is neither null nor blank in a row, cast if possible; names
+    that df lacks are passed over."""
+    have = {c.lower(): c for c in df.columns}
+    found = [have[n.lower()] for n in names if n.lower() in have]
+    return first_filled(*[F.col(f"`{c}`") for c in found]).try_cast(kind) if found else F.lit(None).cast(kind)
+
+
 def first_filled(*columns: Column) -> Column:
     """The first that is neither null nor blank nor the text NaN."""
     return F.coalesce(*[F.when((F.trim(c.cast("string")) != "") & (F.lower(F.trim(c.cast("string"))) != "nan"), c.cast("string")) for c in columns])
 
 
+def theme_text(tags: Column, *texts: Column) -> Column:
+    """What a theme is looked for in: the tags if there are any, else the texts."""
+    return F.when(F.size(tags) > 0, F.concat_ws(" ", tags)).otherwise(F.concat_ws(" ", *[F.coalesce(t.cast("string"), F.lit("")) for t in texts]))
+
+
+def mentions(keywords: Sequence[str], *texts: Column) -> Column:
+    """Whether one of the keywords stands in one of the texts, whatever its case; nulls hold none."""
+    low = F.lower(F.concat_ws(" ", *texts))
+    out = F.lit(False)
+    for k in keywords:
+        out = out | low.contains(k.lower())
+    return out
+
+
+def element_where(array: Column, field: str, value: Column, wanted: str, default: Column) -> Column:
+    """Of the first struct in an array whose field has that value, another field; the default if there is none."""
+    return F.coalesce(F.get(F.filter(array, lambda x: x[field] == value), F.lit(0))[wanted], default)
+
+
+def day_type(text: Column, strict: bool = False) -> Column:
+    """Weekend or Weekday of a time, a text or not; what can't be read as a time is a Weekday, or null if strict."""
+    day = timestamp_of(text.cast("string"))
+    return F.when(F.dayofweek(day).isin(1, 7), "Weekend").when(day.isNotNull() | F.lit(not strict), "Weekday")
+
+
 def timestamp_of(text: Column) -> Column:
     """A time from ISO text (UTC if it has no zone), epoch seconds or epoch milliseconds; null if it is neither."""
     t = F.trim(text.cast("string"))
@@ -50,12 +83,21 @@ def seconds_clock(seconds: Column) -> Column:
     return F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), F.lpad((seconds % 60).cast("int").cast("string"), 2, "0"))
 
 
-def tag_array(text: Column) -> Column:
-    """Distinct lower-case tags, sorted, of a text: [..] or JSON text, or parted by comma, semicolon or bar; without #,
-    quotes, blanks and the words none, null and nan. A null gives none."""
-    raw = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\[\]\"']", ""), r"[,;|]")
-    tags = F.transform(raw, lambda t: F.regexp_replace(F.regexp_replace(F.lower(F.trim(t)), r"^#+", ""), r"\s+", " "))
-    return F.array_sort(F.array_distinct(F.filter(tags, lambda t: (t != "") & ~t.isin("none", "null", "nan"))))
+def _plain_tags(tags: Column) -> Column:
+    """Lower case, without # in front and spare blanks, each once, sorted; nulls and the words none, null and nan go."""
+    plain = F.transform(tags, lambda t: F.regexp_replace(F.trim(F.regexp_replace(F.lower(F.trim(t)), r"^#+", "")), r"\s+", " "))
+    return F.array_sort(F.array_distinct(F.filter(plain, lambda t: (t != "") & ~t.isin("none", "null", "nan"))))
+
+
+def tag_array(value: Column, kind: str = "string") -> Column:
+    """Distinct lower-case tags, sorted, of an array, of the text of a JSON array, or of a text parted by comma, semicolon
+    or bar (in which brackets and quotes around a tag go). A null gives none."""
+    if kind.startswith("array"):
+        return _plain_tags(F.coalesce(value.cast("array<string>"), F.array().cast("array<string>")))
+    text = F.trim(F.coalesce(value.cast("string"), F.lit("")))
+    listed = F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, "array<string>"))
+    parted = F.transform(F.split(F.regexp_replace(text, r"^\[|\]$", ""), r"[,;|]"), lambda t: F.regexp_replace(F.trim(t), r"""^["']|["']$""", ""))
+    return _plain_tags(F.coalesce(listed, parted))
 
 
 def hashtag_names(text: Column) -> Column:
@@ -65,7 +107,7 @@ def hashtag_names(text: Column) -> Column:
 
 def hashtags(text: Column) -> Column:
     """The words of a text that begin with #, without it, in lower case."""
-    return F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w.rlike("^#.")), lambda w: F.lower(F.substring(w, 2, 10_000)))
+    return F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w.rlike("^#.")), lambda w: F.lower(F.regexp_replace(w, "^#", "")))
 
 
 def keywords(text: Column, stop: Sequence[str], shortest: int = 3, digits: bool = True) -> Column:

@@ -84,10 +84,23 @@ def without_trending(df: DataFrame, ranked: DataFrame, key: str, side: str, rank
 
 
 def densified(df: DataFrame, keys: DataFrame, dimension: DataFrame, value: str) -> DataFrame:
-    """Every key with every value of a dimension, a small table; 0 where df has none."""
+    """Every key with every value of a dimension; 0 where df has none. keys and dimension: one column or more each.
+
+    The dimension is gathered into one array, which each key explodes.
+    """
     on = [*keys.columns, *dimension.columns]
-    values = [r[0] for r in dimension.distinct().limit(1001).collect()]
-    if len(values) > 1000:
-        raise ValueError("the dimension must be a small table")
-    grid = keys.withColumn(dimension.columns[0], F.explode(F.array(*[F.lit(v) for v in values])))
+    values = dimension.distinct().agg(F.collect_list(F.struct(*dimension.columns)).alias("v")).scalar()
+    grid = keys.distinct().withColumn("_v", values).withColumn("_d", F.explode("_v")).select(*keys.columns, "_d.*")
     return grid.join(df.select(*on, value), on, "left").fillna(0, [value])
+
+
+def with_companion(df: DataFrame, keys: Sequence[str], maxima: Sequence[str], companion: dict[str, Sequence[str]]) -> DataFrame:
+    """The maxima of each group, and columns of the row that has a maximum: companion: column -> order, greatest first."""
+    extra = [F.max_by(c, F.struct(*order)).alias(c) for c, order in companion.items()]
+    return df.groupBy(*keys).agg(*[F.max(c).alias(f"max_{c}") for c in maxima], *extra)
+
+
+def parts_with_total(df: DataFrame, keys: Sequence[str], part: str, value: str) -> DataFrame:
+    """Of each group the total and an array of its parts (structs of part and value, in the order of part)."""
+    sums = df.groupBy(*keys, part).agg(F.sum(value).alias(value))
+    return sums.groupBy(*keys).agg(F.sum(value).alias("total"), F.array_sort(F.collect_list(F.struct(part, value))).alias("parts"))

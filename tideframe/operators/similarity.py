@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import CountVectorizer, MinHashLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,18 +35,50 @@ def cosine_pairs(weights: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     return pairs.join(dots, ["a", "b"], "left").withColumn("cosine", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce("dot", F.lit(0.0))))).drop("dot")
 
 
-def minhash_candidates(df: DataFrame, key: str, items: str, distance: float = 0.5, tables: int = 5, seed: int = 42, min_df: float = 2, max_df: float = 0.02) -> DataFrame:
+def minhash_candidates(df: DataFrame, key: str, items: str, distance: float = 0.5, tables: int = 5, seed: int = 42, min_df: float = 2, max_df: float = 0.02, vocabulary: int = 1 << 20) -> DataFrame:
     """a < b with the Jaccard distance of their item sets below the threshold, as MinHash finds them.
 
-    Items in fewer than min_df or in a greater share of rows than max_df don't count; rows without any are left out.
+    Items in fewer than min_df or in a greater share of rows than max_df don't count, nor, beyond `vocabulary` items, the
+    rarest; rows without any are left out. A pair at similarity s is missed with probability (1 - s) ** tables; for all
+    pairs there is jaccard_join.
     """
-    model = CountVectorizer(inputCol=items, outputCol="_v", binary=True, minDF=min_df, maxDF=max_df).fit(df)
+    model = CountVectorizer(inputCol=items, outputCol="_v", binary=True, minDF=min_df, maxDF=max_df, vocabSize=vocabulary).fit(df)
     rows = model.transform(df).filter(F.exists(vector_to_array("_v"), lambda x: x > 0)).select(key, "_v")
     lsh = MinHashLSH(inputCol="_v", outputCol="_h", numHashTables=tables, seed=seed).fit(rows)
     near = lsh.approxSimilarityJoin(rows, rows, distance, "_distance")
     return near.select(F.col(f"datasetA.{key}").alias("a"), F.col(f"datasetB.{key}").alias("b"), "_distance").filter("a < b").distinct()
 
 
+def jaccard_join(df: DataFrame, key: str, items: str, least: float) -> DataFrame:
+    """a < b and `similarity`, the Jaccard similarity of their item sets: all pairs with `least` or more.
+
+    Sets are joined by their rarest items only: of a set of n, n - ceil(least * n) + 1 of them, of which linked sets
+    always share one. So a popular item makes no pairs unless a set has nothing rarer. Empty sets and null keys link with
+    nothing; a repeated key must not occur.
+    """
+    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.explode(F.array_distinct(items)).alias("_item")).filter("_item IS NOT NULL")
+    often = sets.groupBy("_item").agg(F.count(F.lit(1)).alias("_often"))
+    own = sets.join(often, "_item").groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_often", "_item"))).alias("_s"))
+    n = F.size("_s")
+    own = own.select("_k", F.transform("_s", lambda x: x["_item"]).alias("_set"), n.alias("_n"), F.slice("_s", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int")).alias("_first"))
+    index = own.select("_k", "_n", F.explode("_first").alias("_x")).select("_k", "_n", "_x._item")
+    one, two = (index.select("_item", F.col("_k").alias(x), F.col("_n").alias(f"n{x}")) for x in "ab")
+    sized = (F.col("na") >= F.col("nb") * least - 1e-9) & (F.col("nb") >= F.col("na") * least - 1e-9)
+    pairs = one.join(two, "_item").filter((F.col("a") < F.col("b")) & sized).select("a", "b").distinct()
+    for x in "ab":
+        pairs = pairs.join(own.select(F.col("_k").alias(x), F.col("_set").alias(f"s{x}")), x)
+    both = F.size(F.array_intersect("sa", "sb"))
+    return pairs.select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("similarity")).filter(F.col("similarity") >= least)
+
+
+def shared_term_cosines(weights: DataFrame, key: str, block: Sequence[str] = ()) -> DataFrame:
+    """a < b and the dot product of their vectors, for the pairs that share a term (and, if given, a block): the others
+    are 0. weights: key, the block's columns, term, weight."""
+    one, two = (weights.select(*block, "term", F.col(key).alias(x), F.col("weight").alias(f"w{x}")) for x in "ab")
+    dots = one.join(two, [*block, "term"]).filter("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+    return dots.select("a", "b", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("dot"))).alias("cosine"))
+
+
 def symmetric(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Each edge in both directions, once."""
     both = F.explode(F.array(F.struct(F.col(a).alias("_x"), F.col(b).alias("_y")), F.struct(F.col(b).alias("_x"), F.col(a).alias("_y"))))

@@ -10,10 +10,24 @@ from pyspark.sql.types import StructType
 from tideframe.functions.parsing import first_column
 
 
-def csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header and quoted fields that may hold line ends; all text unless a schema says otherwise."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    return (reader.schema(schema) if schema else reader).csv(path)
+def csv(spark: SparkSession, path: str, schema: StructType | None = None, columns: Sequence[str] | None = None, several_lines: bool = True) -> DataFrame:
+    """CSV with a header and quoted fields; all text unless a schema says otherwise; `columns` are those wanted.
+
+    Fields that hold line ends need several_lines, with which a file is one task; without it large files are split.
+    """
+    reader = spark.read.option("header", True).option("multiLine", several_lines).option("quote", '"').option("escape", '"')
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
+
+
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of CSV files, of which only the first line is read."""
+    return csv(spark, path, several_lines=False).columns
+
+
+def documents(spark: SparkSession, path: str, share: float = 1.0) -> DataFrame:
+    """JSON documents, one a line, whose schema a share of them decides; what else they hold is left out."""
+    return spark.read.option("samplingRatio", share).json(path)
 
 
 def aligned(df: DataFrame, columns: Mapping[str, tuple[str, Sequence[str]]], **constants: str) -> DataFrame:
@@ -31,12 +45,14 @@ def stacked(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def messages(df: DataFrame, schema: StructType, value: Column | str = "value") -> tuple[DataFrame, DataFrame]:
-    """(records, rejected) of JSON texts that hold an object or an array of objects; NaN counts as a number."""
+    """(records, rejected) of JSON texts that hold an object or an array of objects; NaN counts as a number. A text of
+    which only some elements are objects is in both, the others being the reason."""
     text = (F.col(value) if isinstance(value, str) else value).cast("string")
     listed = F.when(F.trim(text).startswith("["), F.trim(text)).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     parsed = df.withColumn("_records", F.from_json(listed, f"array<{schema.simpleString()}>"))
     good = parsed.filter(F.size("_records") > 0).select(*df.columns, F.explode("_records").alias("record"))
-    bad = parsed.filter(F.col("_records").isNull() | (F.size("_records") <= 0)).drop("_records").withColumn("reason", F.lit("invalid_json"))
+    lost = F.col("_records").isNull() | (F.size("_records") <= 0)
+    bad = parsed.filter(lost | F.exists("_records", lambda r: r.isNull())).withColumn("reason", F.when(lost, "invalid_json").otherwise("null_record")).drop("_records")
     return good.filter(F.col("record").isNotNull()), bad
 
 
