@@ -68,9 +68,9 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(0.0)
 
 
-def blend(tags: Column, text: Column, theme: Column, duration: Column) -> Column:
-    """0.45 tags + 0.35 text + 0.10 theme + 0.10 duration."""
-    return tags * 0.45 + text * 0.35 + theme.cast("double") * 0.10 + duration * 0.10
+def blend(tags: Column, text: Column, theme: Column, duration: Column, shares: tuple[float, float, float, float] = (0.45, 0.35, 0.10, 0.10)) -> Column:
+    """The similarities' weighted sum."""
+    return tags * shares[0] + text * shares[1] + theme.cast("double") * shares[2] + duration * shares[3]
 
 
 def change(old: Column, new: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def median(column: str) -> Column:
@@ -77,6 +77,15 @@ def growth(df: DataFrame, key: str, day: str, value: str, as_of: Column, days: i
     return means.dropna().withColumn("growth_rate", rate)
 
 
+def against_history(df: DataFrame, keys: Sequence[str], day: str, value: str, days: int) -> DataFrame:
+    """df (one row a key and day) with `days`, how many of so many days before have a row, and `growth` against their mean
+    (null if that isn't positive)."""
+    number = F.datediff(day, F.lit("1970-01-01").cast("date"))
+    past = Window.partitionBy(*keys).orderBy(number).rangeBetween(-days, -1)
+    before = F.avg(value).over(past)
+    return df.select(*df.columns, F.count(value).over(past).alias("days"), F.round(F.when(before > 0, (F.col(value) - before) / before), 5).alias("growth"))
+
+
 def without_trending(df: DataFrame, ranked: DataFrame, key: str, side: str, rank: str, top: int, sides: int) -> DataFrame:
     """df without the keys that rank among the first `top` on every one of so many sides."""
     everywhere = ranked.filter(F.col(rank) <= top).groupBy(key).agg(F.count_distinct(side).alias("_n")).filter(F.col("_n") >= sides).select(key)

@@ -280,11 +280,11 @@ def days_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.span_days(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "user_id"], "day")
 
 
-@query(
-    "days_to_peak",
-    """SELECT user_id, p.value AS peak_value, p.ts AS peak_at, round(greatest((epoch_us(p.ts) - epoch_us(start)) / 86400000000.0, 0), 2) AS days_to_peak
-       FROM (SELECT user_id, max({'value': value, 'ts': ts}) AS p, min(ts) AS start FROM events GROUP BY 1)""",
-)
+_PEAK = """SELECT user_id, p.value AS peak_value, p.ts AS peak_at, round(greatest((epoch_us(p.ts) - epoch_us(start)) / 86400000000.0, 0), 2) AS days_to_peak
+       FROM (SELECT user_id, max({'value': value, 'ts': ts}) AS p, min(ts) AS start FROM events GROUP BY 1)"""
+
+
+@query("days_to_peak", _PEAK)
 def days_to_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.peak(table(spark, sf_dir, "events").withColumn("start", F.col("ts")), ["user_id"], "value", "ts", "start")
 
@@ -379,11 +379,28 @@ def tag_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("lsh_candidates")
+_ALL_PAIRS = """WITH t AS (SELECT p_partkey, list_distinct(list_concat(string_split(p_name, ' '), [p_brand, p_type])) AS tags FROM part),
+        p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.tags, b.tags)) AS n, len(list_distinct(list_concat(a.tags, b.tags))) AS u FROM t a JOIN t b ON a.p_partkey < b.p_partkey)
+    SELECT a, b, round(1 - n / u, 6) AS distance FROM p WHERE 1 - n / u < 0.35"""
+
+
+def _tagged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("tags"))
+
+
+@query("lsh_candidates", _ALL_PAIRS)
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MinHash candidates of part names; approximate, so without SQL."""
-    part = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("tags"))
-    return similarity.minhash_candidates(part, "p_partkey", "tags", distance=0.35, max_df=2.0**31 - 1).select("a", "b", F.round("_distance", 6).alias("distance"))
+    """MinHash pairs of part names; 32 tables miss a pair at this distance with a probability of 3e-15, so that SQL's exact
+    join gives the same."""
+    found = similarity.minhash_candidates(_tagged_parts(spark, sf_dir), "p_partkey", "tags", distance=0.35, tables=32, min_df=1, max_df=2.0**31 - 1)
+    return found.select("a", "b", F.round("_distance", 6).alias("distance"))
+
+
+@query("jaccard_pairs", _ALL_PAIRS)
+def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pairs by an exact join on the rarest items."""
+    found = similarity.jaccard_join(_tagged_parts(spark, sf_dir), "p_partkey", "tags", 0.65)
+    return found.filter("1 - similarity < 0.35").select("a", "b", F.round(1 - F.col("similarity"), 6).alias("distance"))
 
 
 @query(
@@ -392,17 +409,15 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
             f AS (SELECT term, ln((any_value(n.n) + 1) / (count(*) + 1)) AS idf FROM w, n GROUP BY term),
             v AS (SELECT p_partkey, term, idf / sqrt(sum(idf * idf) OVER (PARTITION BY p_partkey)) AS weight FROM w JOIN f USING (term) QUALIFY sum(idf * idf) OVER (PARTITION BY p_partkey) > 0),
             e AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey),
-            c AS (SELECT e.a, e.b, coalesce(sum(x.weight * y.weight), 0) AS s FROM e LEFT JOIN v x ON x.p_partkey = e.a LEFT JOIN v y ON y.p_partkey = e.b AND y.term = x.term GROUP BY 1, 2),
+            c AS (SELECT e.a, e.b, sum(x.weight * y.weight) AS s FROM e JOIN v x ON x.p_partkey = e.a JOIN v y ON y.p_partkey = e.b AND y.term = x.term GROUP BY 1, 2),
             k AS (SELECT a, b, round(least(1, greatest(0, s)), 6) AS similarity FROM c UNION ALL SELECT b, a, round(least(1, greatest(0, s)), 6) FROM c)
        SELECT a, b, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) AS rank FROM k) WHERE rank <= 20""",
 )
 def similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     words = part.select("p_partkey", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("words"))
-    weights = similarity.tf_idf(words, "p_partkey", "words")
-    left, right = (part.select("p_brand", "p_type", F.col("p_partkey").alias(x)) for x in "ab")
-    pairs = left.join(right, ["p_brand", "p_type"]).filter("a < b").select("a", "b")
-    edges = similarity.cosine_pairs(weights, "p_partkey", pairs).select("a", "b", F.round("cosine", 6).alias("similarity"))
+    weights = similarity.tf_idf(words, "p_partkey", "words").join(part.select("p_partkey", "p_brand", "p_type"), "p_partkey")
+    edges = similarity.shared_term_cosines(weights, "p_partkey", ["p_brand", "p_type"]).select("a", "b", F.round("cosine", 6).alias("similarity"))
     return similarity.neighbours(edges, "similarity", 20)
 
 
@@ -522,9 +537,10 @@ def stream_channel_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of records that a later message may still move or change."""
     groups = ["event_type", "user_id", "day"]
     return engine.regrouped(
-        _stream(spark, sf_dir).filter("value IS NOT NULL").select("event_id", *groups, "value", "ts"), ["event_id"],
+        _stream(spark, sf_dir).select("event_id", *groups, "value", "ts"), ["event_id"],
         lambda df: ranking.latest(df, ["event_id"], [F.desc("ts"), F.desc("value")]), groups,
         lambda df: df.groupBy(*groups).agg(F.round(F.sum("value"), 4).alias("total"), F.avg(F.round(F.col("value") * 100).cast("long")).alias("mean_cents"), F.count_distinct("event_id").alias("n_videos")),
+        eligible=lambda df: df.filter("value IS NOT NULL"),
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +34,27 @@ def shared_folder(spark: SparkSession) -> str:
     folder = "file://" + tempfile.mkdtemp(prefix="tideframe-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def settings(spark: SparkSession, kinds: Mapping[str, tuple[type, Any]], prefix: str = "spark.tideframe.") -> dict[str, Any]:
+    """The session's settings under a prefix, each of its type: name -> (int, float, bool, str or list, default). A setting
+    whose default is the type's own class, not a value, must be there."""
+    out: dict[str, Any] = {}
+    for name, (kind, default) in kinds.items():
+        text = spark.conf.get(prefix + name, None)
+        if text is None or not text.strip():
+            if default is kind:
+                raise ValueError(f"{prefix}{name} must be set")
+            out[name] = default
+        elif kind is bool:
+            if text.strip().lower() not in ("true", "false"):
+                raise ValueError(f"{prefix}{name} must be true or false, not {text}")
+            out[name] = text.strip().lower() == "true"
+        elif kind is list:
+            out[name] = [x.strip() for x in text.split(",") if x.strip()]
+        else:
+            try:
+                out[name] = kind(text.strip())
+            except ValueError as e:
+                raise ValueError(f"{prefix}{name} must be of type {kind.__name__}, not {text}") from e
+    return out

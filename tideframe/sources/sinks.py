@@ -152,13 +152,13 @@ class Table:
         """An empty table with the columns of another one."""
         self.overwrite(other.read().limit(0))
 
-    def append(self, df: DataFrame) -> None:
-        """More rows, whatever their key: for logs, where a repeated write repeats its rows."""
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
+        """More rows, whatever their key: for logs, where a repeated write repeats its rows unless its batch says which it is."""
         base, manifest = self.store.current()
         old, new = self._entry(manifest), self.stage(df)
         if old is not None:
             new["buckets"] = {b: [*old["buckets"].get(b, []), *new["buckets"].get(b, [])] for b in {**old["buckets"], **new["buckets"]}}
-        self.store.commit({self.name: new}, base)
+        self.store.commit({self.name: new}, base, batch)
 
     def load(self, df: DataFrame) -> int:
         """Overwrite and check that all rows have come, before any reader sees them; how many they are."""

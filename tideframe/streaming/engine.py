@@ -124,6 +124,19 @@ def gated(stream: DataFrame, key: str, order: str, relative: Sequence[str], abso
     return regrouped(rows, [key, order, tie], lambda df: latest(df, [key, order, tie], whole), [key], lambda df: change_gated(df, [key], order, relative, absolute, tie), at, result=[key, order, tie])
 
 
+def appended(stream: DataFrame, at: str | None = None) -> DataFrame:
+    """All rows of a stream, each once: a batch that is repeated after a failure is left out if it is in already."""
+    at = at or folder(stream)
+    table = Table(stream.sparkSession, f"{at}/table", stream.columns, nulls=True)
+
+    def each(batch: DataFrame, number: int) -> None:
+        if table.store.done("stream") < number:
+            table.append(batch, ("stream", number))
+
+    run(stream, lambda batch, number: retried(lambda: each(batch, number)), at, "append")
+    return table.read()
+
+
 def merged(streams: Sequence[DataFrame]) -> DataFrame:
     """All rows of several streams; columns that one lacks are null in it."""
     out = streams[0]
