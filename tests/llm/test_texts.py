@@ -398,15 +398,15 @@ def test_licences(spark):
 def test_pipeline(spark):
     """run() against plain versions of the stages."""
     import corpus_pipeline
-    from test_dedup import plain_links
+    from test_advice import plain_near
 
     sf = f"{DATA}/sf0.01"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 AND toxic = 0").collect()}
     kept = {r[0] for r in plain_quality([tuple(r) for r in rows], good) if r[-1]}
     docs = [(r.doc_id, r.text) for r in rows if r.doc_id in kept]
-    root = {r[0]: r[2] for r in plain_links(docs)}
-    docs = [d for d in docs if root[d[0]] == d[0]]
+    first = plain_near(docs)
+    docs = [d for d in docs if d[0] in first]
     seen = collections.Counter(t[k : k + 200] for t in (x.encode() for _, x in docs) for k in range(len(t) - 199))
     cut = []
     for i, text in docs:

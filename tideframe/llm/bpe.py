@@ -23,7 +23,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideframe.llm.common import pack_ints, pack_strings, pack, partitions, ragged, unpack, unpack_ints, unpack_strings
+from tideframe.llm.common import frugal, give_back, pack_ints, pack_strings, pack, partitions, ragged, unpack, unpack_ints, unpack_strings
 
 #: The pattern of the public rank files, and the code points of \s in it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -168,8 +168,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
     key, table = uuid.uuid4().hex, spark.sparkContext.broadcast(ranks)
     texts = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     schema = "bucket int, chunk long, ids array<long>, counts binary, data binary"
-    words = texts.mapInArrow(_chunked(buckets, chunk_chars, words=True), schema)
-    positions = texts.mapInArrow(_chunked(buckets, chunk_chars, words=False), schema).select("chunk", "ids", "counts", "data")
+    words = texts.mapInArrow(frugal(_chunked(buckets, chunk_chars, words=True)), schema)
+    positions = texts.mapInArrow(frugal(_chunked(buckets, chunk_chars, words=False)), schema).select("chunk", "ids", "counts", "data")
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = _piece_encoder(key, table)
@@ -188,7 +188,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
                     known.clear()
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("bucket"), pa.array(out, pa.binary())], names=["chunk", "bucket", "data"])
 
-    encoded = words.select("bucket", "chunk", "data").repartition(buckets, "bucket").mapInArrow(encode_words, "chunk long, bucket int, data binary")
+    encoded = words.select("bucket", "chunk", "data").repartition(buckets, "bucket").mapInArrow(frugal(encode_words), "chunk long, bucket int, data binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         flats, sizes = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
@@ -210,6 +210,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_
                 got = ragged(flat, at[own], size[own])
                 counts.append(len(got))
                 blobs.append(got.tobytes())
+        del flats, flat, sizes, left, right
+        give_back()
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(blobs, pa.binary())})
 
     return positions.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(reassemble, "doc_id long, n_tokens long, ids binary")
@@ -241,7 +243,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, out_col])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, `{out_col}` binary")
+    return df.mapInArrow(frugal(run), f"{schema}, `{out_col}` binary")
 
 
 def digests(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +30,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: workers stay for later stages, and executors bear several."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def frugal(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """f for mapInArrow, which gives its memory back at the end of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def pack(data: bytes, level: int = 3) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(data)
 

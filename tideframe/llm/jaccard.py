@@ -6,8 +6,8 @@ a large subset, so light sets give all their subsets of the sizes that count as
 the shingles' hashes into one part more than a linked pair can differ in, so that a linked pair has an equal part: the
 parts are their keys. There are a few more parts than that, and each set leaves out as many of its smallest, which may
 be empty or a common phrase: of the parts that a pair has equal, the largest stays in both. The size where one passes
-into the other is the one of least cost over the corpus's sizes. Copies are one set from here on. Sets that share a key,
-directly or through others, form a group; a set travels to its group, where the inverted lists of the group's shingles
+into the other is the one of least cost over the corpus's sizes. Copies within a task give their keys once, and copies
+anywhere are one set from there on. Sets that share a key, directly or through others, form a group; a set travels to its group, where the inverted lists of the group's shingles
 are scanned for exact overlaps. Groups of too many sets are compared block by block.
 """
 
@@ -20,9 +20,9 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tideframe.llm.common import Rolling, mix, partitions, written
+from tideframe.llm.common import Rolling, frugal, mix, partitions, written
 from tideframe.llm.graph import components
 from tideframe.llm.repeats import keyed, word_units
 
@@ -34,6 +34,8 @@ MOST_LIGHT, SCAN_COST = 20, 3
 BLOCK = 1000
 #: Parts of fewer shingles than this on average may be empty or a common phrase.
 SMALL_PART = 6
+#: Sets that a task remembers having had.
+MEMORY = 500_000
 _LAST = 2**63 - 1
 
 
@@ -150,14 +152,25 @@ def _sketch(light: int, words: int, percent: int):
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py(), words) for x in batch.column(2)]
-            own = [keys_of(s, light, percent) if len(s) else s for s in sets]
-            pairs = [set_keys(s) for s in sets]
-            flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum([*map(len, own)])]).astype(np.int32)
-            columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.ListArray.from_arrays(ends, flat)]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        seen: set[tuple[int, int]] = set()
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                yield sketched(whole.slice(lo, 500), seen)
+
+    def sketched(batch: pa.RecordBatch, seen: set[tuple[int, int]]) -> pa.RecordBatch:
+        """Copies of a set that the task has had give no keys again."""
+        if len(seen) > MEMORY:
+            seen.clear()
+        sets = [shingles(x.as_py(), words) for x in batch.column(2)]
+        pairs = [set_keys(s) for s in sets]
+        own = []
+        for s, pair in zip(sets, pairs):
+            own.append(keys_of(s, light, percent) if len(s) and pair not in seen else np.zeros(0, np.uint64))
+            seen.add(pair)
+        flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum([*map(len, own)])]).astype(np.int32)
+        columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.ListArray.from_arrays(ends, flat)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -272,16 +285,11 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     short = docs.filter(F.octet_length("data") <= 1000).select("data").mapInArrow(_sizes(words), "n long")
     top = MOST_LIGHT * 100 // percent
     light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
-    sketches = written(docs.mapInArrow(_sketch(light, words, percent), "doc_id long, h long, n long, node long, k long, keys array<long>"))
+    sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>"))
 
-    classes = written(
-        sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"), F.any_value("keys").alias("keys"))
-    )
-    entries = classes.select(F.explode("keys").alias("key"), "node")
-    # every set with the least one of each key; the join may be split where many sets share a key
-    least = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b <> last")
-    edges = entries.join(least.select("key", "b"), "key").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
-    classes = classes.drop("keys")
+    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"))
+    entries = sketches.select(F.explode("keys").alias("key"), "node")
+    edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")).filter("a <> b").distinct()
     groups = components(edges).withColumnRenamed("root", "grp")
 
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
@@ -293,7 +301,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     units = member.join(docs, (F.col("_d") == F.coalesce("doc_id", F.lit(_LAST))) & (F.col("_h") == F.col("h")))
     units = units.select("grp", "one", "two", "block", "node", "k", "copies", "data")
     resolved = written(
-        units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(_resolve(words, percent), "node long, k long, top long, linked long")
+        units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(frugal(_resolve(words, percent)), "node long, k long, top long, linked long")
     )
     linked = resolved.groupBy("node", "k").agg(F.sum("linked").alias("linked"))
     if counts.filter(F.col("members") > BLOCK).isEmpty():

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideframe.llm.common import Rolling, pack, partitions, sliding_max, sliding_min, unpack, written
+from tideframe.llm.common import Rolling, frugal, pack, partitions, sliding_max, sliding_min, unpack, written
 
 #: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation: at this number one
 #: task holds at most so many contexts, a few MB of text if all of them differ, and a few numbers for each copy.
@@ -119,7 +119,7 @@ def mapped(f: Callable[[dict], Iterator[tuple]], schema: pa.Schema, rows: int =
                     out = []
         yield flush(out)
 
-    return run
+    return frugal(run)
 
 
 def recurring(docs: DataFrame, units: Units, width: int, gram: int, condition: Column) -> DataFrame:
@@ -197,7 +197,7 @@ def compare(
             yield _batch(batch(held), out_schema)
 
     calm = with_anchors(F.col("total") <= HOT).mapInArrow(mapped(contexts, schema, 5000), "anchor long, ctx long, doc_id long, h long, start int, n int, data binary")
-    spots = calm.repartition(n, "anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(run, f"doc_id long, h long, {out}")
+    spots = calm.repartition(n, "anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(frugal(run), f"doc_id long, h long, {out}")
     if not found.filter(F.col("total") > HOT).isEmpty():
         hot = with_anchors(F.col("total") > HOT).mapInArrow(mapped(windows, window_schema), "a long, b long, doc_id long, h long, start int")
         spots = spots.unionByName(verdict(hot))

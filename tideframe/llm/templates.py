@@ -16,7 +16,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tideframe.llm.common import mix, written
+from tideframe.llm.common import frugal, mix, written
 from tideframe.llm.repeats import _batch
 
 #: Words of a window; the share of an item's windows, or the number of them, that make a leak.
@@ -192,7 +192,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for i in range(max(passes, 1)):
         rows = items.filter(F.pmod(F.xxhash64("key"), F.lit(max(passes, 1))) == i).select("width", "key").distinct().toArrow()
         keys = {w: rows["key"].to_numpy()[rows["width"].to_numpy() == w] for w in set(rows["width"].to_pylist())}
-        found = texts.mapInArrow(_matcher(spark.sparkContext.broadcast(keys)), "doc_id long, h long, width int, spot int, key long, found array<string>")
+        found = texts.mapInArrow(frugal(_matcher(spark.sparkContext.broadcast(keys))), "doc_id long, h long, width int, spot int, key long, found array<string>")
         hits = found if hits is None else hits.unionByName(found)
     hits = written(hits.withColumn("d", F.coalesce("doc_id", F.lit(-(2**63)))))
     # candidates by the rare windows only, so that a window that many items share makes no rows of every item and document
