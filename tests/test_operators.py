@@ -356,3 +356,88 @@ def test_stores(spark):
     assert sum(before[b] != after[b] for b in after) == 1  # only the bucket that it touches is written anew
 
 
+
+
+def test_settings(spark):
+    from tideframe.session import settings
+
+    kinds = {"n": (int, 3), "names": (list, ["a"]), "on": (bool, False), "needed": (str, str)}
+    try:
+        with pytest.raises(ValueError, match="needed"):
+            settings(spark, kinds)
+        for k, v in {"needed": "x", "names": "b, c,", "on": "TRUE"}.items():
+            spark.conf.set(f"spark.tideframe.{k}", v)
+        assert settings(spark, kinds) == {"n": 3, "names": ["b", "c"], "on": True, "needed": "x"}
+        spark.conf.set("spark.tideframe.n", "many")
+        with pytest.raises(ValueError, match="int"):
+            settings(spark, kinds)
+    finally:
+        for k in kinds:
+            spark.conf.unset(f"spark.tideframe.{k}")
+
+
+def test_a_table_read_anew_for_each_batch(spark):
+    src, at_ = at(spark, "src"), at(spark, "state")
+    names = Table(spark, at(spark, "names"), ["channel"])
+    out = Table(spark, f"{at_}/out", ["id"])
+
+    def go():
+        stream = readers.tail(spark, src, StructType.fromDDL(SCHEMA))
+        engine.joined_with(stream, names.read, ["channel"], lambda batch, n: engine.once(out, batch.select("id", "name"), n), at_)
+        return sorted(map(tuple, out.read().collect()))
+
+    names.upsert(spark.createDataFrame([("a", "old")], "channel string, name string"))
+    feed(spark, src, [(1, "a", 1, 10, 1), (2, "b", 1, 5, 1)])
+    assert go() == [(1, "old"), (2, None)]
+    names.upsert(spark.createDataFrame([("a", "new"), ("b", "too")], "channel string, name string"))
+    feed(spark, src, [(3, "a", 1, 10, 1), (4, "b", 1, 5, 1)])
+    assert go() == [(1, "old"), (2, None), (3, "new"), (4, "too")]
+
+
+def test_written_by_the_clock_and_watched(spark):
+    """A query with a trigger writes what comes until it is stopped; a listener counts its rows and what is dropped."""
+    import time
+
+    src, at_ = at(spark, "src"), at(spark, "state")
+    feed(spark, src, [(1, "a", 1, 10, 1), (2, None, 1, 5, 1)])
+    watch = engine.Watch(spark)
+    spark.streams.addListener(watch)
+    out = Table(spark, f"{at_}/out", ["channel"], nulls=True)
+    stream = engine.counted(readers.tail(spark, src, StructType.fromDDL(SCHEMA)), "dropped", {"no_channel": F.col("channel").isNull()})
+    sums = stream.filter("channel IS NOT NULL").groupBy("channel").agg(F.sum("views").alias("views"))
+    query = engine.run(sums, lambda batch, n: engine.once(out, batch, n), at_, every="1 second")
+    try:
+        def until(want):
+            for _ in range(100):
+                if out.read() is not None and sorted(map(tuple, out.read().collect())) == want:
+                    return True
+                time.sleep(0.3)
+
+        assert until([("a", 10)])
+        feed(spark, src, [(3, "a", 1, 1, 1), (4, "b", 1, 2, 1)])
+        assert until([("a", 11), ("b", 2)])
+    finally:
+        query.stop()
+    for _ in range(50):
+        if watch.ended and watch.counters.get("dropped.no_channel"):
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(watch)
+    assert watch.rows[str(query.runId)] == 4 and watch.counters["dropped.no_channel"] == 1 and not watch.failed
+
+
+def test_a_processor_trims_its_state(spark):
+    src, at_ = at(spark, "src"), at(spark, "state")
+    out = Table(spark, f"{at_}/out", ["key"])
+
+    def go(*rows):
+        spark.createDataFrame(list(rows), "k string, d int, v double").coalesce(1).write.mode("append").parquet(src)
+        stream = readers.tail(spark, src, StructType.fromDDL("k string, d int, v double"))
+        grown = engine.growth_state(stream, "k", F.col("d"), F.col("v"), 2)
+        engine.run(grown, lambda batch, n: engine.once(out, batch, n), at_)
+        return sorted((r.key, r.as_of, r.recent_avg, r.prior_avg, r.growth_rate) for r in out.read().collect())
+
+    assert go(("a", 1, 1.0), ("a", 2, 3.0), ("a", 3, 4.0), ("b", 1, 5.0)) == [("a", 3, 3.5, 1.0, 2.5)]
+    assert go(("a", 4, 6.0), ("a", None, 1.0)) == [("a", 4, 5.0, 2.0, 1.5)]
+    # day 1 is gone from the state by now, so that a late row of day 5 can't bring it back; b has no earlier window
+    assert go(("a", 6, 8.0), ("b", 2, 5.0)) == [("a", 6, 8.0, 5.0, 0.6)]

@@ -15,6 +15,12 @@ def guarded_ratio(part: Column, whole: Column) -> Column:
     return part / F.when(whole == 0, F.lit(1)).otherwise(whole)
 
 
+def exact_mean(value: Column, places: int) -> Column:
+    """The mean of values rounded to so many places: sums of whole numbers, which come out alike in any order."""
+    unit = 10**places
+    return F.sum(F.round(value * unit).cast("long")) / F.count(value) / unit
+
+
 def finite(value: Column) -> Column:
     """The value if it is neither null, NaN, infinite nor negative, else null."""
     return F.when(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")) & (value >= 0), value)

@@ -65,9 +65,9 @@ def themed(observations: DataFrame) -> DataFrame:
 
 
 def _measures() -> dict[str, Column]:
-    out = {"video_count": F.count_distinct("identity"), "sum_views": F.sum("views"), "avg_views": F.round(F.avg("views"), 6), "median_views": aggregates.median("views")}
-    for c in ("viral_score", "engagement_rate"):
-        out |= {f"avg_{c}": F.round(F.avg(c), 6), f"median_{c}": F.round(aggregates.median(c), 6)}
+    out = {"video_count": F.count_distinct("identity"), "sum_views": F.sum("views"), "avg_views": F.avg("views"), "median_views": aggregates.median("views")}
+    for c, places in (("viral_score", 4), ("engagement_rate", 6)):
+        out |= {f"avg_{c}": metrics.exact_mean(F.col(c), places), f"median_{c}": aggregates.median(c)}
     return out
 
 
@@ -78,7 +78,7 @@ def theme_tables(observations: DataFrame, minimum: int, top: int = 10) -> dict[s
     """
     rows = observations.withColumn("identity", F.struct(F.col("platform").alias("p"), "video_id"))
     tags = rows.withColumn("tag", F.explode("tags"))
-    totals = aggregates.with_all(rows, "platform", ["theme"], {"video_count": F.count_distinct("identity"), "median_viral_score": F.round(aggregates.median("viral_score"), 6)})
+    totals = aggregates.with_all(rows, "platform", ["theme"], {"video_count": F.count_distinct("identity"), "median_viral_score": aggregates.median("viral_score")})
     totals = totals.filter((F.col("video_count") >= minimum) & F.col("median_viral_score").isNotNull())
     return {
         "daily": aggregates.with_all(rows, "platform", ["theme", "day"], _measures()),

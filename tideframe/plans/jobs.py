@@ -69,13 +69,13 @@ _PREPARED = f"""SELECT row_id, video_id, title, channel_title, CAST(ts AS DATE)
   FROM ({_RAW}) WHERE views > 0 AND likes <= views AND views <= CASE platform WHEN 'long' THEN {CAPS['long']} ELSE {CAPS['short']} END"""
 
 
-@query("prepare_videos", f"SELECT row_id, video_id, day, platform, views, likes, comments, duration_seconds, tag_count, array_to_string(tags, ';') AS tags, round(engagement_rate, 6) AS engagement_rate, round(viral_score, 3) AS viral_score FROM ({_PREPARED})")
+@query("prepare_videos", f"SELECT row_id, video_id, day, platform, views, likes, comments, duration_seconds, tag_count, array_to_string(tags, ';') AS tags, round(engagement_rate, 6) AS engagement_rate, viral_score FROM ({_PREPARED})")
 def prepare_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw texts of two platforms to one table of typed observations, written and read again."""
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     sinks.overwrite(observations(spark, sf_dir), path)
     return spark.read.parquet(path).select(
-        "row_id", "video_id", "day", "platform", "views", "likes", "comments", "duration_seconds", "tag_count", F.array_join("tags", ";").alias("tags"), F.round("engagement_rate", 6).alias("engagement_rate"), F.round("viral_score", 3).alias("viral_score"))
+        "row_id", "video_id", "day", "platform", "views", "likes", "comments", "duration_seconds", "tag_count", F.array_join("tags", ";").alias("tags"), F.round("engagement_rate", 6).alias("engagement_rate"), "viral_score")
 
 
 _DAILY_VIDEOS = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, video_id, day ORDER BY (channel_title IS NOT NULL)::INT DESC, views DESC, likes DESC, comments DESC, row_id) AS rn FROM ({_PREPARED})) WHERE rn = 1"""
@@ -93,12 +93,13 @@ def daily_video_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _THEMED = f"""SELECT * FROM (SELECT *, {themes.theme_sql('theme_text')} AS theme FROM (SELECT *, CASE WHEN len(tags) > 0 THEN array_to_string(tags, ' ') ELSE title END AS theme_text,
     row_number() OVER (PARTITION BY platform, video_id, day ORDER BY views DESC, viral_score DESC, engagement_rate DESC, source_type, array_to_string(tags, chr(31)), CASE WHEN len(tags) > 0 THEN array_to_string(tags, ' ') ELSE title END, row_id) AS rn FROM ({_PREPARED})) WHERE rn = 1) WHERE theme <> '{themes.OTHER}'"""
-_MEASURES = """count(DISTINCT (platform_of, video_id)) AS video_count, CAST(sum(views) AS BIGINT) AS sum_views, round(avg(views), 6) AS avg_views, quantile_disc(views, 0.5) AS median_views,
-    round(avg(viral_score), 6) AS avg_viral_score, round(quantile_disc(viral_score, 0.5), 6) AS median_viral_score, round(avg(engagement_rate), 6) AS avg_engagement_rate, round(quantile_disc(engagement_rate, 0.5), 6) AS median_engagement_rate"""
+_MEASURES = """count(DISTINCT (platform_of, video_id)) AS video_count, CAST(sum(views) AS BIGINT) AS sum_views, avg(views) AS avg_views, quantile_disc(views, 0.5) AS median_views,
+    CAST(sum(CAST(round(viral_score * 10000) AS BIGINT)) AS DOUBLE) / count(viral_score) / 10000 AS avg_viral_score, quantile_disc(viral_score, 0.5) AS median_viral_score,
+    CAST(sum(CAST(round(engagement_rate * 1000000) AS BIGINT)) AS DOUBLE) / count(engagement_rate) / 1000000 AS avg_engagement_rate, quantile_disc(engagement_rate, 0.5) AS median_engagement_rate"""
 _ROLLED = f"WITH o AS ({_THEMED}), r AS (SELECT *, platform AS platform_of FROM o UNION ALL SELECT * REPLACE ('All' AS platform), platform AS platform_of FROM o)"
 _THEME_DAILY = f"{_ROLLED} SELECT platform, theme, day, {_MEASURES} FROM r GROUP BY ALL"
 _THEME_RANKINGS = f"""{_ROLLED} SELECT * FROM (SELECT platform, theme, video_count, median_viral_score, CAST(row_number() OVER (PARTITION BY platform ORDER BY median_viral_score DESC, video_count DESC, theme) AS INTEGER) AS rank
-    FROM (SELECT platform, theme, count(DISTINCT (platform_of, video_id)) AS video_count, round(quantile_disc(viral_score, 0.5), 6) AS median_viral_score FROM r GROUP BY ALL HAVING count(DISTINCT (platform_of, video_id)) >= 2)) WHERE rank <= 10"""
+    FROM (SELECT platform, theme, count(DISTINCT (platform_of, video_id)) AS video_count, quantile_disc(viral_score, 0.5) AS median_viral_score FROM r GROUP BY ALL HAVING count(DISTINCT (platform_of, video_id)) >= 2)) WHERE rank <= 10"""
 
 
 def _theme_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -226,17 +227,17 @@ def _themed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("theme", themes.theme(parsing.theme_text(F.col("tags"), F.col("title"))))
 
 
-@query("stream_score_by_theme", f"SELECT platform, theme, count(*) AS n, round(avg(CAST(round(viral_score * 10000) AS BIGINT)) / 10000, 4) AS avg_score FROM ({_SENT}) GROUP BY ALL")
+@query("stream_score_by_theme", f"SELECT platform, theme, count(*) AS n, CAST(sum(CAST(round(viral_score * 10000) AS BIGINT)) AS DOUBLE) / count(*) / 10000 AS avg_score FROM ({_SENT}) GROUP BY ALL")
 def stream_score_by_theme(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = F.round(F.col("viral_score") * 10000).cast("long")
     sums = engine.running(_themed_stream(spark, sf_dir), ["platform", "theme"], {"n": F.count(F.lit(1)), "points": F.sum(points)})
-    return sums.select("platform", "theme", "n", F.round(F.col("points") / F.col("n") / 10000, 4).alias("avg_score"))
+    return sums.select("platform", "theme", "n", (F.col("points") / F.col("n") / 10000).alias("avg_score"))
 
 
-@query("stream_views_by_theme", f"SELECT theme, day, CAST(sum(views) AS BIGINT) AS total_views, count(*) AS n, round(CAST(sum(views) AS DOUBLE) / count(*), 2) AS avg_views FROM ({_SENT}) GROUP BY ALL")
+@query("stream_views_by_theme", f"SELECT theme, day, CAST(sum(views) AS BIGINT) AS total_views, count(*) AS n, CAST(sum(views) AS DOUBLE) / count(*) AS avg_views FROM ({_SENT}) GROUP BY ALL")
 def stream_views_by_theme(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = engine.running(_themed_stream(spark, sf_dir), ["theme", "day"], {"total_views": F.sum("views"), "n": F.count(F.lit(1))})
-    return sums.withColumn("avg_views", F.round(F.col("total_views") / F.col("n"), 2))
+    return sums.withColumn("avg_views", F.col("total_views") / F.col("n"))
 
 
 @query("stream_platform_score_by_day", f"SELECT platform, theme, day, count(*) AS n, CAST(sum(CAST(round(viral_score * 10000) AS BIGINT)) AS BIGINT) AS points FROM ({_SENT}) WHERE theme <> '{themes.OTHER}' GROUP BY ALL")
