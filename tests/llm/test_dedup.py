@@ -190,3 +190,42 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (-5, 200)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, -5: -5, 200: -5}
+
+
+@pytest.mark.parametrize("name", ["op2_phrase_dedup", "op7_ngram_jaccard"])
+def test_sql_twins(spark, name):
+    from oracle import connect, same
+    from tideframe.llm import queries
+
+    sf = f"{DATA}/sf0.001"
+    same(queries.QUERIES[name](spark, sf), connect(sf), queries.ORACLE[name])
+
+
+def test_passages_and_automata(spark, monkeypatch):
+    """Passages are confirmed once, split where documents part, and found by every automaton; nothing else decides."""
+    a, b, c = ([f"{x}{i}" for i in range(70)] for x in "abc")
+    texts = [" ".join(x).encode() for x in (a + b, a + c, b[:60], ["z"] * 120, ["z"] * 60)]
+    passages = phrases.confirmed(texts, [1, 2, 3, 4, 5], [1, 2, 3, 4, 5], 50)
+    assert {p.decode(): d for p, d in passages.items()} == {" ".join(a): 1, " ".join(b[:60]): 1, " ".join(["z"] * 50): 4}
+    for size in (10**6, 1):  # one automaton, and one for each passage
+        found = [sorted(x) for x in phrases.located(passages, texts, size)]
+        assert found[0] == [(0, 70, 1), (70, 60, 1)] and found[1] == [(0, 70, 1)] and found[2] == [(0, 60, 1)] and found[4] == [(i, 50, 4) for i in range(11)]
+    assert phrases.confirmed(texts, [7] * 5, [7] * 5, 50) == {}  # all of one document
+    docs = [(1, "x y " + " ".join(a)), (2, " ".join(a) + " end")]
+    assert [r.n_removed for r in phrases.digests(frame(spark, docs)).orderBy("doc_id").collect()] == [0, 70]
+    import ahocorasick
+
+    assert issubclass(next(phrases.automata({b"a b": 1}, 9)).__class__, ahocorasick.Automaton)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    long_ = words(rng, 30_000)
+    docs = [(1, long_), (2, "start " + long_ + " end"), (3, long_[:100_000]), (4, "q" * 300_000), (5, None)]
+    df = frame(spark, docs)
+    got = {r.doc_id: r for r in phrases.digests(df).collect()}
+    assert got[1].n_removed == 0 and got[2].n_removed == 30_000 and got[2].n_words == 30_002 and got[4].n_words == 1
+    got = {r.doc_id: r for r in suffixes.digests(df).collect()}
+    assert got[1].n_removed == got[1].n_bytes and got[2].n_bytes - got[2].n_removed == len("start  end") and got[4].n_removed == 300_000
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.report(df).collect()}
+    assert got[1][1] == got[2][1] == 1 and got[3][1] == 3 and got[5] == (0, 5)

@@ -318,3 +318,17 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
 
 def report(df: DataFrame) -> DataFrame:
     return similar(df).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+#: The same rows of report() for documents with ids that differ.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS shingle
+           FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+     e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+     c AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.a, c.root FROM c JOIN e ON e.b = c.doc_id)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, (SELECT min(root) FROM c WHERE c.doc_id = t.doc_id) AS component_id, (SELECT count(*) FROM e WHERE e.a = t.doc_id) AS n_links
+FROM documents t LEFT JOIN n ON n.doc_id = t.doc_id
+"""

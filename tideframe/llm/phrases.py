@@ -151,3 +151,16 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int6
 
 def digests(df: DataFrame) -> DataFrame:
     return remove_passages(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows of digests() for documents with ids.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     v AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+     f AS (SELECT k, min(doc_id) AS holder FROM v GROUP BY k),
+     g AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS p FROM v JOIN f USING (k) WHERE holder < doc_id),
+     k AS (SELECT r, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
+           FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x ANTI JOIN g USING (r, p) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

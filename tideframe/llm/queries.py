@@ -35,6 +35,9 @@ def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digests(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op2_phrase_dedup"] = phrases.ORACLE
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
@@ -45,6 +48,9 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op7_ngram_jaccard"] = jaccard.ORACLE
+
+
 @query
 def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
