@@ -18,15 +18,12 @@ _LAST = 2**63 - 1
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-
-
 def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys."""
-    keys = keys.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-    own = _hashed(docs)
-    return own.join(keys, own["doc_id"].eqNullSafe(F.col("_d")) & (own["_text_hash"] == F.col("_h")), how).drop("_text_hash")
+    """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys. The columns of docs are in a struct
+    meanwhile, so that none of their names can clash."""
+    own = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_h"))
+    keys = keys.select(F.col("doc_id").alias("key_id"), F.col("h").alias("key_h"))
+    return own.join(keys, F.col("own_id").eqNullSafe(F.col("key_id")) & (F.col("own_h") == F.col("key_h")), how).select("row.*")
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
