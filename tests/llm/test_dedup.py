@@ -192,6 +192,15 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, -5: -5, 200: -5}
 
 
+def test_written_tables_can_go(spark, tmp_path, monkeypatch):
+    from tideframe.llm import common
+
+    monkeypatch.setattr(common, "_folder", lambda _: f"file://{tmp_path}/tables")
+    one, two = common.written(spark.range(3)), common.written(spark.range(4))
+    common.discard(one)
+    assert two.count() == 4 and common.sweep(spark, 1) == 0 and common.sweep(spark, -1) == 1 and common.sweep(spark, -1) == 0
+
+
 @pytest.mark.parametrize("name", ["op2_phrase_dedup", "op7_ngram_jaccard"])
 def test_sql_twins(spark, name):
     from oracle import connect, same

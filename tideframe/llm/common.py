@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,11 +20,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tideframe"
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder, which cuts its lineage."""
-    path = f"{shared_folder(df.sparkSession)}/tideframe/{uuid.uuid4().hex}"
+    path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that written() has made and that nothing will read any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sweep(spark: SparkSession, hours: float) -> int:
+    """Delete the tables of written() that are older than so many hours; how many there were. For the time between jobs:
+    results that haven't been read or stored yet need their tables."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(top) if s.getModificationTime() < (time.time() - 3600 * hours) * 1000] if fs.exists(top) else []
+    for path in found:
+        fs.delete(path, True)
+    return len(found)
 
 
 def partitions(spark: SparkSession) -> int:
