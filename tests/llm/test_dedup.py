@@ -182,6 +182,35 @@ def test_linked_sets_share_a_key(light):
                     assert np.intersect1d(jaccard.keys_of(a, light), jaccard.keys_of(b, light)).size, (n, cut, more)
 
 
+def test_a_key_leaves_a_block_of_rows_once(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "AT_ONCE", 7)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base, f"end{i}"]) for i in range(20)] + ["", "one two", " ".join([*base, "end3"]), "quite another text of its own"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array([t.encode() for t in texts])], names=["doc_id", "h", "data"])
+    parts = list(jaccard._sketch(0, 3, 90)(iter([batch])))
+    assert [p.num_rows for p in parts] == [7, 7, 7, 3]
+    for p in parts:
+        keys = [k for row in p["keys"].to_pylist() for k in set(row)]
+        assert len(keys) == len(set(keys))
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    rows = [r for p in parts for r in p.to_pylist()]
+    for r in rows:
+        for other in [("key", k) for k in r["keys"]] + r["met"]:
+            parent[find(other)] = find(r["node"])
+    tops = [find(r["node"]) for r in rows]
+    assert len(set(tops[:20])) == 1 and tops[22] == tops[0] and len({tops[0], tops[20], tops[21], tops[23]}) == 4
+    empty = next(iter(jaccard._sketch(0, 3, 90)(iter([batch.slice(20, 1)]))))
+    assert empty["keys"].to_pylist() == [[]] and empty["met"].to_pylist() == [[]]
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({5: 100}) >= 5 and jaccard.boundary({20: 1000}) < 18
 

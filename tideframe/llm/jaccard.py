@@ -7,8 +7,10 @@ the shingles' hashes into one part more than a linked pair can differ in, so tha
 parts are their keys. There are a few more parts than that, and each set leaves out as many of its smallest, which may
 be empty or a common phrase: of the parts that a pair has equal, the largest stays in both. The size where one passes
 into the other is the one of least cost over the corpus's sizes. Copies within a task give their keys once, and copies
-anywhere are one set from there on. Sets that share a key, directly or through others, form a group; a set travels to its group, where the inverted lists of the group's shingles
-are scanned for exact overlaps. Groups of too many sets are compared block by block.
+anywhere are one set from there on. Sets that share a key, directly or through others, form a group. Of the sets that a
+task reads together only the first one with a key sends it on, and the others are hung on that set at once, so that a
+key of a third of all sets crosses the network once for each such block of rows. A set travels to its group, where the
+inverted lists of the group's shingles are scanned for exact overlaps. Groups of too many sets are compared block by block.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ MOST_LIGHT, SCAN_COST = 20, 3
 BLOCK = 1000
 #: Parts of fewer shingles than this on average may be empty or a common phrase.
 SMALL_PART = 6
+#: Rows that a task sketches at once, and among which a key is sent on only once.
+AT_ONCE = 500
 #: Sets that a task remembers having had.
 MEMORY = 500_000
 _LAST = 2**63 - 1
@@ -148,17 +152,24 @@ def set_keys(own: np.ndarray) -> tuple[int, int]:
     return int(np.int64(one.view(np.int64))), int(np.int64(two.view(np.int64)))
 
 
+def listed(flat: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
+    """The values of each of n rows as a list; row: the rows that the values belong to, in order."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, flat)
+
+
 def _sketch(light: int, words: int, percent: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64())), ("met", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for whole in batches:
-            for lo in range(0, whole.num_rows, 500):
-                yield sketched(whole.slice(lo, 500), seen)
+            for lo in range(0, whole.num_rows, AT_ONCE):
+                yield sketched(whole.slice(lo, AT_ONCE), seen)
 
     def sketched(batch: pa.RecordBatch, seen: set[tuple[int, int]]) -> pa.RecordBatch:
-        """Copies of a set that the task has had give no keys again."""
+        """Copies of a set that the task has had give no keys again; a key that a row before has is given up for that row's
+        node in `met`."""
         if len(seen) > MEMORY:
             seen.clear()
         sets = [shingles(x.as_py(), words) for x in batch.column(2)]
@@ -168,8 +179,14 @@ def _sketch(light: int, words: int, percent: int):
             own.append(keys_of(s, light, percent) if len(s) and pair not in seen else np.zeros(0, np.uint64))
             seen.add(pair)
         flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum([*map(len, own)])]).astype(np.int32)
-        columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.ListArray.from_arrays(ends, flat)]
+        row = np.repeat(np.arange(len(own)), [*map(len, own)]).astype(np.int64)
+        _, first, which = np.unique(flat, return_index=True, return_inverse=True)
+        lead = row[first[which]]
+        new = lead == row
+        hung = np.unique(np.stack([row[~new], lead[~new]], axis=1), axis=0)
+        nodes = np.array([p[0] for p in pairs], np.int64)
+        lists = [listed(flat[new], row[new], len(own)), listed(nodes[hung[:, 1]], hung[:, 0], len(own))]
+        columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array(nodes), pa.array([p[1] for p in pairs], pa.int64()), *lists]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -285,11 +302,12 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     short = docs.filter(F.octet_length("data") <= 1000).select("data").mapInArrow(_sizes(words), "n long")
     top = MOST_LIGHT * 100 // percent
     light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
-    sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>"))
+    sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>, met array<long>"))
 
     classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"))
     entries = sketches.select(F.explode("keys").alias("key"), "node")
-    edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")).filter("a <> b").distinct()
+    edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b"))
+    edges = edges.unionByName(sketches.select(F.col("node").alias("a"), F.explode("met").alias("b")))
     groups = components(edges).withColumnRenamed("root", "grp")
 
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
