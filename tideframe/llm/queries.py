@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, jaccard, langid, licences, pages, phrases, preferences, quality, suffixes, templates
+from tideframe.llm import bpe, fim, jaccard, langid, licences, pages, phrases, preferences, quality, suffixes, templates
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +77,11 @@ ORACLE["op5_preference_pairs"] = preferences.ORACLE
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_fill_in_middle"] = fim.ORACLE
