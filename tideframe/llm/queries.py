@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, fim, jaccard, langid, licences, pages, phrases, preferences, quality, suffixes, templates
+from tideframe.llm import bpe, fim, jaccard, langid, licences, pages, phrases, preferences, quality, search, suffixes, templates
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +85,11 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_fill_in_middle"] = fim.ORACLE
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_ranked_search"] = search.ORACLE
