@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideframe.llm import bpe, fim, jaccard, langid, licences, pages, phrases, preferences, quality, search, suffixes, templates
+from tideframe.llm import bpe, fim, jaccard, langid, licences, pages, phrases, preferences, quality, rules, search, suffixes, templates
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,8 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_ranked_search"] = search.ORACLE
+
+
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
