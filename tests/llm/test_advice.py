@@ -1,9 +1,13 @@
 """What the first round of advice found missing."""
 
+import collections
 import random
+import re
+import time
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from tideframe.llm import jaccard, licences, templates
 from test_dedup import near_copies
@@ -86,3 +90,53 @@ def test_templates_dense_in_numbers_and_first_words(spark):
     docs = [(1, "Find the next term: 3 6 12 24 48 96"), (2, "Find the next term: 3 6 12 12 48 96"), (3, "Question 3 What is the boiling point of water?"), (4, "What is the boiling point of water?")]
     got = {(r.doc_id, r.item_id, r.copied) for r in templates.report(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert got == {(1, 1, False), (3, 2, True), (4, 2, True)}
+
+
+def plain_windows(scanner, text):
+    """Every window of every template, the best first, each counted by itself."""
+    lines = text.split("\n")
+    words, starts, ends = [], set(), set()
+    for line in lines:
+        at = len(words)
+        own = licences._WORDS.findall(line.lower())
+        if own:
+            starts.add(at)
+            ends.add(at + len(own) - 1)
+        for x in re.finditer(r"[.!?:;]+(?=\s)", line.lower()):
+            n = at + len(licences._WORDS.findall(line.lower()[: x.end()]))
+            starts.add(n)
+            ends.add(n - 1)
+        words += own
+    pairs = [*zip(words, words[1:])]
+    found = []
+    for i, (_, template) in enumerate(scanner.templates):
+        m = template.total()
+        for lo in range(len(pairs)):
+            for hi in range(lo, min(len(pairs), lo + int(m * 1.5 + 1e-9))):
+                n, both = hi - lo + 1, (collections.Counter(pairs[lo : hi + 1]) & template).total()
+                if 2 * both >= scanner.threshold * (n + m) and (n >= m or lo in starts and hi + 1 in ends) and scanner.versions[i] <= set(words[lo : hi + 2]):
+                    found.append((-2 * both / (n + m), i, lo, hi))
+    out, taken = [], set()
+    for d, i, lo, hi in sorted(found):
+        if taken.isdisjoint(range(lo, hi + 2)):
+            taken.update(range(lo, hi + 2))
+            out.append((-d, i, lo, hi))
+    return out, pairs, starts, ends
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["released", "under", "the", "mit", "license", "license 1.0", "apache", "2.0", "all rights", "reserved", ".\n", ". ", "\n\n", "x y"]), max_size=45))
+def test_windows_against_all_windows(parts):
+    scanner = licences.Scanner([("A", "Released under the MIT license"), ("B", "Released under the Apache license 2.0 the license"), ("C", "all rights reserved")], 0.8)
+    text = " ".join(parts)
+    want, pairs, starts, ends = plain_windows(scanner, text)
+    assert scanner.windows(pairs, scanner.dense(pairs), starts, ends) == want
+
+
+def test_a_megabyte_of_licences_is_read_in_seconds():
+    mit = next(t for n, t in licences.TEMPLATES if n == "MIT" and len(t) > 200)
+    scanner = licences.Scanner(licences.TEMPLATES, licences.THRESHOLD)
+    began = time.process_time()
+    found = [*scanner.scan(" ".join([mit] * (1_000_000 // len(mit))))]
+    assert time.process_time() - began < 12
+    assert sum(name == "MIT" and dice == 1.0 for name, dice, *_ in found) == 1_000_000 // len(mit)

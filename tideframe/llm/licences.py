@@ -14,12 +14,15 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.repeats import _batch
 
 THRESHOLD = 0.8
+#: First bigrams whose windows are looked at at once.
+BLOCK = 2048
 
 #: Notices and texts of public licences, without names and years.
 TEMPLATES: list[tuple[str, str]] = [
@@ -79,6 +82,56 @@ def bigrams(text: str) -> Counter:
     return Counter(zip(words, [*words[1:]])) if len(words) > 1 else Counter((w, "") for w in words)
 
 
+class Ranges:
+    """The windows of a text that match one template: for each first bigram the best last one."""
+
+    def __init__(self, size: int, most: int, threshold: float, before: np.ndarray, lows: np.ndarray, whole: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.size, self.most, self.threshold = size, most, threshold
+        self.before, self.starts, self.ends = np.concatenate([before, np.full(most, len(before))]), starts, ends
+        self.n = len(before)
+        scores, lasts = [np.zeros(0)], [np.zeros(0, np.int64)]
+        for k in range(0, len(lows), BLOCK):
+            score, last = self._score(lows[k : k + BLOCK], whole[k : k + BLOCK], self.n)
+            scores.append(score)
+            lasts.append(last)
+        self.score, self.last = np.concatenate(scores), np.concatenate(lasts)
+        found = self.score > 0
+        self.lows, self.whole, self.score, self.last = lows[found], whole[found], self.score[found], self.last[found]
+
+    def _score(self, lows: np.ndarray, whole: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The greatest coefficient of a window from each of these bigrams on that ends before `end`, and its last bigram
+        (of equal ones the first); 0 if none matches. A bigram counts as often as the template has it at most."""
+        view = np.lib.stride_tricks.sliding_window_view(self.before, self.most)[lows]
+        both = np.cumsum(view < lows[:, None], axis=1)
+        n = np.arange(1, self.most + 1)
+        last = lows[:, None] + n - 1
+        fits = (2 * both >= self.threshold * (n + self.size)) & (last < end) & (last >= whole[:, None])
+        fits &= (n >= self.size) | self.starts[lows][:, None] & self.ends[np.minimum(last + 1, self.n)]
+        dice = np.where(fits, 2 * both / (n + self.size), 0.0)
+        at = dice.argmax(axis=1)
+        return dice[np.arange(len(lows)), at], lows + at
+
+    def best(self, low: int, high: int, number: int) -> tuple[float, int, int, int] | None:
+        """(-coefficient, number, first, last bigram) of the least such window between low and high (exclusive)."""
+        a, b = np.searchsorted(self.lows, [low, high])
+        if a >= b:
+            return None
+        inside = self.last[a:b] < high
+        score = np.where(inside, self.score[a:b], 0.0)
+        k = int(score.argmax())
+        best = (-float(score[k]), number, int(self.lows[a + k]), int(self.last[a + k])) if score[k] > 0 else None
+        # windows that would end behind high may end before it instead: those that could still be better are tried
+        cut = a + np.flatnonzero(~inside & (self.score[a:b] >= (score[k] or 1e-9)))
+        for j in range(0, len(cut), BLOCK):
+            own = cut[j : j + BLOCK]
+            score, last = self._score(self.lows[own], self.whole[own], high)
+            k = int(score.argmax())
+            if score[k] > 0:
+                new = (-float(score[k]), number, int(self.lows[own][k]), int(last[k]))
+                best = min(best, new) if best else new
+        return best
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         self.threshold = threshold
@@ -127,36 +180,45 @@ class Scanner:
                 out[i] = at
         return out
 
+    def ranges(self, i: int, pairs: list[tuple[str, str]], at: list[int], starts: np.ndarray, ends: np.ndarray) -> Ranges:
+        """The windows of one template over a text whose bigrams at these places are the template's."""
+        m, own = self.sizes[i], self.templates[i][1]
+        need, most = self.bounds(i)
+        # where a bigram came last, so many times ago as the template has it: it counts in a window that starts behind that
+        before, seen = np.full(len(pairs), len(pairs), np.int64), defaultdict(list)
+        for k in at:
+            places, times = seen[pairs[k]], own[pairs[k]]
+            before[k] = places[-times] if len(places) >= times else -1
+            places.append(k)
+        hits = np.zeros(len(pairs) + 1, np.int64)
+        np.add.at(hits, np.array(at) + 1, 1)
+        hits = np.cumsum(hits)
+        lows = np.arange(len(pairs))
+        lows = lows[hits[np.minimum(lows + most, len(pairs))] - hits[lows] >= need]
+        # the last bigram that a window needs to hold all words of the template's version
+        whole = np.zeros(len(lows), np.int64)
+        for word in self.versions[i]:
+            held = np.array([k for k, pair in enumerate(pairs) if pair[0] == word or pair[1] == word], np.int64)
+            whole = np.maximum(whole, np.append(held, len(pairs))[np.searchsorted(held, lows)])
+        return Ranges(m, most, self.threshold, before, lows, whole, starts, ends)
+
     def windows(self, pairs: list[tuple[str, str]], hits: dict[int, list[int]], starts: set[int], ends: set[int]) -> list[tuple[float, int, int, int]]:
         """Coefficient, template, first and last bigram of the windows that match, the best of those that overlap.
 
-        The words at starts begin a line or sentence, those at ends end one.
+        The words at starts begin a line or sentence, those at ends end one. The best window of a text is taken first, then
+        those of what is left before and behind it.
         """
-        found = []
-        for i, at in hits.items():
-            m, own = self.sizes[i], self.templates[i][1]
-            need, most = self.bounds(i)
-            todo = -1  # the first bigram that no start was tried at
-            for k in range(len(at) - need + 1):
-                if at[k + need - 1] - at[k] >= most:
-                    continue
-                # a window of so many hits may also begin before its first one
-                for lo in range(max(todo, at[k + need - 1] - most + 1, 0), at[k] + 1):
-                    left, both = own.copy(), 0
-                    for hi in range(lo, min(lo + most, len(pairs))):
-                        if left[pairs[hi]] > 0:
-                            left[pairs[hi]] -= 1
-                            both += 1
-                        n = hi - lo + 1
-                        if 2 * both >= self.threshold * (n + m) and (n >= m or lo in starts and hi + 1 in ends) and self.versions[i].issubset(w for pair in pairs[lo : hi + 1] for w in pair):
-                            found.append((-2 * both / (n + m), i, lo, hi))
-                todo = max(todo, at[k] + 1)
-        out, taken = [], set()
-        for dice, i, lo, hi in sorted(found):
-            if taken.isdisjoint(range(lo, hi + 2)):  # words, one more than bigrams
-                taken.update(range(lo, hi + 2))
+        flags = [np.isin(np.arange(len(pairs) + 1), [*s]) for s in (starts, ends)]
+        ranges = {i: self.ranges(i, pairs, at, *flags) for i, at in hits.items()}
+        out, parts = [], [(0, len(pairs))]
+        while parts:
+            low, high = parts.pop()
+            best = min((x for i, r in ranges.items() if (x := r.best(low, high, i))), default=None)
+            if best:
+                dice, i, lo, hi = best
                 out.append((-dice, i, lo, hi))
-        return out
+                parts += [(low, lo - 1), (hi + 2, high)]  # words, one more than bigrams, aren't shared
+        return sorted(out, key=lambda x: (-x[0], *x[1:]))
 
     def scan(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """Licence, coefficient, first and last line (from 0) of every line, paragraph and text that matches, and of every
