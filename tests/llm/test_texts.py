@@ -429,7 +429,7 @@ def test_stages_bear_odd_rows(spark):
     base = spark.read.parquet(f"{sf}/documents.parquet")
     odd = spark.createDataFrame([(None, None, None, None, None), (None, "", None, None, 0), (1, None, "en", "s", None), (1, "x " * 500, "en", None, 5), (1, "x " * 500, "en", None, 5)], base.schema)
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        for df in (odd, base.limit(0), odd.selectExpr("*", "1 AS h", "2 AS kept", "3 AS n_words", "4 AS _d", "5 AS _h", "6 AS _text_hash", "7 AS row", "8 AS keep", "9 AS own_id", "'x' AS carry", "1.5 AS data")):
+        for df in (odd, base.limit(0), odd.selectExpr("*", "1 AS h", "2 AS kept", "3 AS n_words", "4 AS _d", "5 AS _h", "6 AS _text_hash", "7 AS row", "8 AS keep", "9 AS own_id", "'x' AS carry", "1.5 AS data", "7 AS `a.b`", "8 AS `c``d`", "9 AS `e f`", "10 AS start")):
             out = stage(spark, df, sf)
             assert out.columns == df.columns and out.count() <= df.count()
     assert corpus_pipeline.STAGES[-1][1](spark, odd, sf).count() == 5

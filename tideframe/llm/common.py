@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideframe.session import shared_folder
 
@@ -50,6 +50,11 @@ def sweep(spark: SparkSession, hours: float) -> int:
     return len(found)
 
 
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideframe.llm.common import SPACE, written
+from tideframe.llm.common import SPACE, quoted, written
 
 BUCKETS = 1 << 18
 #: Trusted ids that are broadcast; more of them are joined by a shuffle.
@@ -91,7 +91,7 @@ def _grammed(df: DataFrame, text_col: str, keep: list[str], base: bool) -> DataF
     """
     text = F.col(text_col).cast("string")
     plain = {"sym": symbols(text), "lines": lines_of(text)} if base else {}
-    out = df.select(F.struct(*keep).alias("keep"), words_of(text).alias("w"), *[c.alias(n) for n, c in plain.items()])
+    out = df.select(F.struct(*[quoted(c) for c in keep]).alias("keep"), words_of(text).alias("w"), *[c.alias(n) for n, c in plain.items()])
     counts = {"n_words": F.size("w"), "word_chars": F.length(F.array_join("w", "")), "n_symbols": F.col("sym"), "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines"))} if base else {}
     out = out.select("keep", hashes_of(F.col("w")).alias("h"), *[c.cast("long").alias(n) for n, c in counts.items()])
     out = out.select("*", pairs_of(F.col("h")).alias("p"))
