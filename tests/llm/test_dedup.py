@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from tideframe.llm import graph, jaccard, phrases, repeats, suffixes
@@ -267,3 +268,33 @@ def test_very_long_texts(spark):
     assert got[1].n_removed == got[1].n_bytes and got[2].n_bytes - got[2].n_removed == len("start  end") and got[4].n_removed == 300_000
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.report(df).collect()}
     assert got[1][1] == got[2][1] == 1 and got[3][1] == 3 and got[5] == (0, 5)
+
+
+@pytest.mark.parametrize("width", [3, 10])
+def test_windows_as_runs(spark, width):
+    """Neighbouring windows of a document are one run, also from one batch to the next."""
+    rng = random.Random(width)
+    places = {(d, h): sorted(rng.sample(range(4000), 900)) for d in (1, 2, None) for h in (-5, 5)}
+    rows = [(d, h, s, "x") for (d, h), own in places.items() for s in own]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = repeats._joined_up(spark.createDataFrame(rows, "doc_id long, h long, start int, a string"), width, 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for key, own in places.items():
+        runs = sorted((r.start, r.n) for r in got if (r.doc_id, r.h) == key)
+        covered = {p for s, n in runs for p in range(s, s + n + width - 1)}
+        assert covered == {p for s in own for p in range(s, s + width)}
+        assert all(b > a + n - 1 + width for (a, n), (b, _) in zip(runs, runs[1:]))
+
+
+def test_one_letter_over_and_over(spark):
+    """All windows of such a text are alike and hot; none of them is held as a row of its own."""
+    df = spark.range(1).select(F.lit(1).alias("doc_id"), F.repeat(F.lit("a"), 4_000_000).alias("text"))
+    df = df.unionByName(df.select(F.lit(2).alias("doc_id"), F.concat(F.lit("b "), F.repeat(F.lit("word "), 300_000)).alias("text")))
+    got = {r.doc_id: r for r in suffixes.digests(df).collect()}
+    assert (got[1].n_bytes, got[1].n_removed, got[1].n_spans) == (4_000_000, 4_000_000, 1)
+    assert (got[2].n_bytes - got[2].n_removed, got[2].n_spans) == (1, 1)
+    got = {r.doc_id: r for r in phrases.digests(df).collect()}
+    assert got[2].n_words == 300_001 and got[2].n_removed == 0

@@ -96,7 +96,7 @@ def located(passages: dict[bytes, int], texts: list[bytes], size: int) -> list[l
 
 
 def _compare_contexts(contexts: list[Context]) -> Iterator[tuple]:
-    """What the automata find in every document that comes after a passage's first: first word and number of words."""
+    """What the automata find in every document that comes after a passage's first: first and number of windows."""
     ranks = [[_rank(doc) for doc, *_ in c.places] for c in contexts]
     passages = confirmed([c.data for c in contexts], [min(r) for r in ranks], [max(r) for r in ranks], WIDTH)
     if not passages:
@@ -109,11 +109,11 @@ def _compare_contexts(contexts: list[Context]) -> Iterator[tuple]:
                 if holder < rank:
                     if a > hi:
                         if hi >= 0:
-                            yield doc, h, start + lo, hi - lo
+                            yield doc, h, start + lo, hi - lo - WIDTH + 1
                         lo, hi = a, a + n
                     hi = max(hi, a + n)
             if hi >= 0:
-                yield doc, h, start + lo, hi - lo
+                yield doc, h, start + lo, hi - lo - WIDTH + 1
 
 
 def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,7 +131,7 @@ def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         doc = F.coalesce("doc_id", F.lit(_LAST))
         holders = windows.groupBy("a", "b").agg(F.min(doc).alias("holder"), F.max(doc).alias("last")).filter("holder < last").drop("last")
         later = known(windows, holders).filter(F.col("holder") < doc)
-        return later.select("doc_id", "h", "start", F.lit(WIDTH).alias("n"))
+        return later.select("doc_id", "h", "start")
 
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
     texts, spots = compare(docs, found, word_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
@@ -140,7 +140,7 @@ def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         words = unpack(row["data"]).split()
         gone = np.zeros(len(words), bool)
         for spot in row["spots"] or ():
-            gone[spot["start"] : spot["start"] + spot["n"]] = True
+            gone[spot["start"] : spot["start"] + spot["n"] + WIDTH - 1] = True
         yield row["doc_id"], row["h"], len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
 
     return joined(texts, spots).mapInArrow(mapped(cut, _OUT, 2000), "doc_id long, h long, n_words long, n_removed long, kept binary")

@@ -14,13 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideframe.llm.common import Rolling, frugal, pack, partitions, sliding_max, sliding_min, unpack, written
+from tideframe.llm.common import Rolling, frugal, pack, partitions, quoted, sliding_max, sliding_min, unpack, written
 
 #: An anchor of more occurrences than this is resolved window by window in Spark's own aggregation: at this number one
 #: task holds at most so many contexts, a few MB of text if all of them differ, and a few numbers for each copy.
 HOT = 20_000
 #: Tasks that share the rows of one hot window.
 SALTS = 32
+#: Windows of one document that leave a task at once.
+STEP = 50_000
 #: Bytes of contexts that are compared at once, if they are of several anchors.
 BATCH = 1_000_000
 
@@ -97,7 +99,7 @@ def keyed(df: DataFrame, id_col: str, text_col: str, carry: list[str] | None = N
     carry names columns to take along, as fields of the struct `carry`.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    extra = [F.struct(*carry).alias("carry")] if carry else []
+    extra = [F.struct(*[quoted(c) for c in carry]).alias("carry")] if carry else []
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("data"), *extra)
 
 
@@ -149,14 +151,13 @@ def compare(
     """The documents parted by their key, with `data` packed, and what was found in them: doc_id, h, spot (an array of structs `out`).
 
     batch gets all distinct contexts of each anchor in it, and gives rows of out_schema (doc_id, h and the fields of `out`). verdict gets one row for each window of hot anchors (a, b: a hash
-    of 128 bits; doc_id, h, start) and gives the same columns.
+    of 128 bits; doc_id, h, start) and gives those of them that count; neighbours among them are one spot.
     """
     spark = docs.sparkSession
     n = max(partitions(spark), 8)
     # packed, as all texts cross here
     texts = docs.mapInArrow(_packed, docs.schema).repartition(n, "doc_id", "h")  # one exchange, read for the contexts and again for the result
     schema = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
-    window_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32())])
 
     def contexts(row: dict) -> Iterator[tuple]:
         w = Windows(unpack(row["data"]), units, width, gram)
@@ -165,14 +166,16 @@ def compare(
             ctx = w.hashes(lo, lo + 1, hi - lo + width - 1)
             yield int(w.anchors[lo : lo + 1].view(np.int64)[0]), int(ctx.view(np.int64)[0]), row["doc_id"], row["h"], lo, hi - lo, data
 
-    def windows(row: dict) -> Iterator[tuple]:
-        w = Windows(unpack(row["data"]), units, width, gram)
-        half = width // 2
-        for lo, hi in w.contexts(np.array(row["anchors"], np.int64).view(np.uint64)):
-            whole = signed(w.hashes(lo, hi, width)).tolist()
-            first = signed(w.hashes(lo, hi, half)).tolist()
-            for i, (a, b) in enumerate(zip(whole, first)):
-                yield a, b, row["doc_id"], row["h"], lo + i
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches:
+            for row in zip(*(table.column(c).to_pylist() for c in ("doc_id", "h", "data", "anchors"))):
+                w = Windows(unpack(row[2]), units, width, gram)
+                for low, high in w.contexts(np.array(row[3], np.int64).view(np.uint64)):
+                    for lo in range(low, high, STEP):
+                        n = min(STEP, high - lo)
+                        keys = [pa.array(signed(w.hashes(lo, lo + n, k))) for k in (width, width // 2)]
+                        same = [pa.array([x] * n, pa.int64()) for x in row[:2]]
+                        yield pa.RecordBatch.from_arrays([*keys, *same, pa.array(np.arange(lo, lo + n, dtype=np.int32))], names=["a", "b", "doc_id", "h", "start"])
 
     def with_anchors(which: Column) -> DataFrame:
         own = found.filter(which).groupBy("doc_id", "h").agg(F.collect_set("anchor").alias("anchors"))
@@ -199,12 +202,44 @@ def compare(
     calm = with_anchors(F.col("total") <= HOT).mapInArrow(mapped(contexts, schema, 5000), "anchor long, ctx long, doc_id long, h long, start int, n int, data binary")
     spots = calm.repartition(n, "anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(frugal(run), f"doc_id long, h long, {out}")
     if not found.filter(F.col("total") > HOT).isEmpty():
-        hot = with_anchors(F.col("total") > HOT).mapInArrow(mapped(windows, window_schema), "a long, b long, doc_id long, h long, start int")
-        spots = spots.unionByName(verdict(hot))
+        hot = with_anchors(F.col("total") > HOT).mapInArrow(frugal(windows), "a long, b long, doc_id long, h long, start int")
+        spots = spots.unionByName(_joined_up(verdict(hot), width, n))
     fields = [c for c in spots.columns if c not in ("doc_id", "h")]
     return texts, spots.groupBy("doc_id", "h").agg(F.collect_set(F.struct(*fields)).alias("spots"))
 
 
+def _joined_up(windows: DataFrame, width: int, parts: int) -> DataFrame:
+    """doc_id, h, start, n: windows (doc_id, h, start) as runs, put together where one reaches the next, so that a document
+    has at most one for each `width` units. A document's windows stream by in order; none are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # document, hash, first and last start of the run at hand
+        for table in batches:
+            if not table.num_rows:
+                continue
+            doc, h = table.column("doc_id"), table.column("h").to_numpy()
+            none = doc.is_null().to_numpy(zero_copy_only=False)
+            key, start = doc.fill_null(0).to_numpy(), table.column("start").to_numpy().astype(np.int64)
+            new = np.ones(len(start), bool)
+            new[1:] = (key[1:] != key[:-1]) | (none[1:] != none[:-1]) | (h[1:] != h[:-1]) | (start[1:] > start[:-1] + width)
+            first = np.flatnonzero(new)
+            rows = [[None if none[i] else int(key[i]), int(h[i]), int(start[i]), int(start[j - 1])] for i, j in zip(first.tolist(), [*first[1:].tolist(), len(start)])]
+            if last and last[:2] == rows[0][:2] and rows[0][2] <= last[3] + width:
+                rows[0][2] = last[2]
+            elif last:
+                rows.insert(0, last)
+            last = rows.pop()
+            yield _batch(((d, x, a, b - a + 1) for d, x, a, b in rows), _RUN)
+        if last:
+            yield _batch(iter([(*last[:3], last[3] - last[2] + 1)]), _RUN)
+
+    rows = windows.select("doc_id", "h", "start").repartition(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "start")
+    return rows.mapInArrow(frugal(run), "doc_id long, h long, start int, n int")
+
+
+_RUN = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("data")

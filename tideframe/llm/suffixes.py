@@ -189,7 +189,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def hot(windows: DataFrame) -> DataFrame:
         times = windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).filter("times >= 2")
-        return known(windows, times).select("doc_id", "h", "start", F.lit(1).alias("n"))
+        return known(windows, times).select("doc_id", "h", "start")
 
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
     texts, spots = compare(docs, found, byte_units, WIDTH, GRAM, _compare_contexts, hot, "start int, n int", schema)
