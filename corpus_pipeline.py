@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideframe.llm import bpe, jaccard, quality, suffixes, templates
-from tideframe.llm.common import written
+from tideframe.llm.common import quoted, written
 
 #: Suffix sorting, templates and byte pairs are beyond SQL; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
@@ -21,7 +21,7 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys. The columns of docs are in a struct
     meanwhile, so that none of their names can clash."""
-    own = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_h"))
+    own = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_h"))
     keys = keys.select(F.col("doc_id").alias("key_id"), F.col("h").alias("key_h"))
     return own.join(keys, F.col("own_id").eqNullSafe(F.col("key_id")) & (F.col("own_h") == F.col("key_h")), how).select("row.*")
 
@@ -47,7 +47,7 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rest = suffixes.remove_repeats(docs, carry=[c for c in names if c not in ("doc_id", "text", "n_chars")])
     text = F.make_valid_utf8(F.col("kept").cast("string"))
     columns = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.length(text).cast("long")}
-    return rest.select(*[columns.get(c, F.col(f"carry.{c}")).alias(c) for c in names])
+    return rest.select(*[columns[c].alias(c) if c in columns else F.col("carry").getField(c).alias(c) for c in names])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
