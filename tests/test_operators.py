@@ -1,6 +1,7 @@
 """Functions, operators, sinks and streams on small frames with odd rows."""
 
 import datetime
+import json
 import math
 
 import pytest
@@ -324,8 +325,9 @@ def test_running_keeps_null_keys(spark):
     assert sorted(map(tuple, best.collect()), key=repr) == [("a", 2, 5), (None, 1, 10)]
 
 
-def test_stores(spark):
+def test_stores(spark, monkeypatch):
     """Races, broken manifests, vacuum, appends, checked loads, copies of a definition."""
+    from tideframe.sources import sinks
     from tideframe.sources.sinks import Conflict
 
     rows = lambda *r: spark.createDataFrame(list(r), "k long, v string")
@@ -338,6 +340,9 @@ def test_stores(spark):
         t.store.commit({t.name: staged}, base)
     t.store._fs.create(t.store._file(t.store.current()[0] + 1), False).close()  # a writer that broke off
     assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (3, "c")]
+    with pytest.raises(Conflict):  # as far as one can tell, it is still at work
+        t.upsert(rows((1, "w")))
+    monkeypatch.setattr(sinks, "GRACE", 0.0)
     t.upsert(spark.createDataFrame([(1, "x")], "k int, v string"))  # another type of key
     assert sorted(map(tuple, t.read().collect())) == [(1, "x"), (3, "c")]
     for i in range(25):
@@ -358,6 +363,84 @@ def test_stores(spark):
 
 
 
+def test_no_update_is_lost(spark, monkeypatch):
+    """A writer whose manifest is there but still empty, while another one reads and commits."""
+    from tideframe.sources import sinks
+    from tideframe.sources.sinks import Conflict
+
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, v string")
+    t = Table(spark, at(spark, "race"), ["k"])
+    t.upsert(rows((1, "first")))
+    base, manifest = t.store.current()
+    own = t.upserted(manifest, rows((2, "slow")))
+    slow = t.store._fs.create(t.store._file(base + 1), False)  # the slow writer has the number, but no content yet
+    seen, manifest = t.store.current()
+    other = t.upserted(manifest, rows((3, "other")))
+    with pytest.raises(Conflict):
+        t.store.commit({t.name: other}, seen)
+    slow.write(bytearray(json.dumps({"tables": {t.name: own}, "batches": {}, "parent": base}).encode()))
+    slow.close()
+    with pytest.raises(Conflict):  # now it is whole, but not what the other one has read
+        t.store.commit({t.name: other}, seen)
+    sinks.retried(lambda: t.upsert(rows((3, "other"))))
+    assert sorted(map(tuple, t.read().collect())) == [(1, "first"), (2, "slow"), (3, "other")]
+    # a writer that was taken for gone and comes back is told so
+    monkeypatch.setattr(sinks, "GRACE", 0.0)
+    create = type(t.store)._file
+    late = Table(spark, t.path, ["k"])
+    base, manifest = late.store.current()
+    own = late.upserted(manifest, rows((4, "late")))
+
+    def overtaken(self, number):  # just before the late one writes its manifest, the other one commits
+        if self is late.store and number == base + 1 and not hasattr(self, "passed"):
+            self.passed = True
+            self._fs.create(create(self, number), False).close()
+            t.upsert(rows((5, "quick")))
+        return create(self, number)
+
+    monkeypatch.setattr(type(t.store), "_file", overtaken)
+    with pytest.raises(Conflict):
+        late.store.commit({late.name: own}, base)
+    assert 5 in {r.k for r in t.read().collect()} and 4 not in {r.k for r in t.read().collect()}
+
+
+def test_keys_are_checked_before_every_commit(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, v string")
+    path = at(spark, "keys")
+    t, other = Table(spark, path, ["k"]), Table(spark, path, ["k"], "other")
+    t.overwrite(rows((1, "a")))
+    for wrong in (rows((1, "a"), (1, "b")), rows((None, "a"))):
+        for write in (t.overwrite, t.load, lambda df: publish({t: df, other: rows((2, "b"))})):
+            with pytest.raises(ValueError):
+                write(wrong)
+    assert [tuple(r) for r in t.read().collect()] == [(1, "a")] and other.read() is None
+    Table(spark, path, ["k"], "log", unique=False).overwrite(rows((1, "a"), (1, "b")))
+
+
+def test_buckets_follow_the_size(spark, monkeypatch):
+    from tideframe.sources import sinks
+
+    monkeypatch.setattr(sinks, "BUCKET", 2_000)
+    t = Table(spark, at(spark, "wide"), ["id"], buckets=2)
+    t.upsert(spark.range(10))
+    assert t._entry()["n"] == 2
+    t.upsert(spark.range(10_000))
+    entry = t._entry()
+    assert entry["n"] >= 8 and len(entry["buckets"]) == entry["n"] == len(entry["bytes"])
+    t.upsert(spark.range(5, 15))
+    assert t.read().count() == 10_000
+    days = Table(spark, at(spark, "days"), ["k", "d"], by=["d"], parted=True)
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, d int")
+    days.upsert(rows((1, 1), (2, 1), (1, 2), (1, 3)))
+    before = days._entry()["buckets"]
+    days.upsert(rows((3, 2)))
+    after = days._entry()["buckets"]
+    assert {d for d in after if before[d] != after[d]} == {"2"}
+    part = days.parts([2, 9])
+    assert sorted(map(tuple, part.collect())) == [(1, 2), (3, 2)] and all("_bucket=2/" in f for f in part.inputFiles())
+    assert days.read(1).count() == 4 and days.read(2).count() == 5
+
+
 def test_settings(spark):
     from tideframe.session import settings
 

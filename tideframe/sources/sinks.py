@@ -15,11 +15,15 @@ from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 #: Manifests that stay, with the data that they name: older readers go on undisturbed for so many writes.
 KEPT = 10
+#: Seconds after which a manifest that isn't whole counts as left behind.
+GRACE = 60.0
+#: Bytes of a bucket from which on a table is dealt out among more of them.
+BUCKET = 256 << 20
 
 
 class Conflict(Exception):
@@ -56,32 +60,54 @@ class Store:
             stream.close()
 
     def current(self) -> tuple[int, dict]:
-        """The number of the last manifest, whole or not, and the last whole one."""
-        numbers = self.numbers()
-        for n in reversed(numbers):
+        """The last whole manifest and its number; 0 and an empty one if there is none."""
+        for n in reversed(self.numbers()):
             found = self.manifest(n)
             if found is not None:
-                return numbers[-1], found
-        return (numbers[-1] if numbers else 0), {"tables": {}, "batches": {}}
-
-    def commit(self, tables: dict[str, dict], base: int, batch: tuple[str, int] | None = None) -> None:
-        """The next version: these tables are new, the others as in version `base`, the one that the writer has read."""
+                return n, found
+        return 0, {"tables": {}, "batches": {}}
+
+    def at(self, number: int) -> dict:
+        """A version that vacuum() has not dropped yet."""
+        found = self.manifest(number) if number else {"tables": {}, "batches": {}}
+        if found is None:
+            raise ValueError(f"{self.path} has no whole version {number}")
+        return found
+
+    def commit(self, tables: dict[str, dict], base: int, batch: tuple[str, int] | None = None) -> int:
+        """The next version: these tables are new, the others as in version `base`, the one that the writer has read; its
+        number.
+
+        A manifest that isn't whole is one that another writer is at, so that this one has lost, or, if it is older than
+        GRACE, one whose writer broke off. Such a writer, if it comes back, finds a version that was not built on its own.
+        """
         number, now = self.current()
         if number != base:
             raise Conflict(f"{self.path} went from version {base} to {number}")
+        last = max(self.numbers(), default=0)
+        if last != number and self._age(last) < GRACE:
+            raise Conflict(f"{self.path} gets a version {last} at the moment")
         now["tables"] |= tables
+        now["parent"] = number
         if batch:
             now["batches"][batch[0]] = batch[1]
         try:
-            stream = self._fs.create(self._file(number + 1), False)
+            stream = self._fs.create(self._file(last + 1), False)
         except Py4JJavaError as e:
-            raise Conflict(f"{self.path} has a version {number + 1} already") from e
+            raise Conflict(f"{self.path} has a version {last + 1} already") from e
         try:
             stream.write(bytearray(json.dumps(now).encode()))
         finally:
             stream.close()
-        if number % KEPT == 0:
+        later = [m for n in self.numbers() if n > last + 1 and (m := self.manifest(n))]
+        if any(m["parent"] <= number for m in later):
+            raise Conflict(f"{self.path} went on without version {last + 1}")
+        if last % KEPT == 0:
             self.vacuum()
+        return last + 1
+
+    def _age(self, number: int) -> float:
+        return time.time() - self._fs.getFileStatus(self._file(number)).getModificationTime() / 1000
 
     def done(self, name: str) -> int:
         """The last micro-batch of a stream whose results are in; -1 if there is none."""
@@ -105,41 +131,68 @@ class Store:
 
 
 class Table:
-    """A table of a store, known by its natural key. Null keys are keys like others where `nulls` allows them."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], name: str = "table", buckets: int = 8, by: Sequence[str] | None = None, nulls: bool = False):
-        self.spark, self.keys, self.name, self.buckets, self.nulls = spark, list(keys), name, buckets, nulls
+    """A table of a store, known by its natural key. Null keys are keys like others where `nulls` allows them; without
+    `unique` rows of one key may be several, as in a log.
+
+    Rows are dealt by a hash of `by`, the key or a part of it, to a number of buckets that grows with the table; with
+    `parted` each value of by (one column) has a part of its own instead, which suits days. A write rewrites the buckets or
+    parts that it touches.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: Sequence[str], name: str = "table", buckets: int = 8, by: Sequence[str] | None = None, nulls: bool = False, parted: bool = False, unique: bool = True
+    ):
+        self.spark, self.keys, self.name, self.buckets, self.nulls, self.parted, self.unique = spark, list(keys), name, buckets, nulls, parted, unique
         self.store, self.path = Store(spark, path), path.rstrip("/")
-        self.by = list(by or keys)  # what rows are dealt by: the key or a part of it
+        self.by = list(by or keys)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
+    def _bucket(self, n: int) -> Column:
+        if self.parted:
+            return F.coalesce(F.col(self.by[0]).cast("string"), F.lit("none"))
+        return F.pmod(F.xxhash64(*self.by), F.lit(n)).cast("string")
 
     def _entry(self, manifest: dict | None = None) -> dict | None:
         return (manifest or self.store.current()[1])["tables"].get(self.name)
 
-    def _frame(self, entry: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+    def _frame(self, entry: dict, buckets: Sequence[str] | None = None) -> DataFrame:
         schema = StructType.fromJson(entry["schema"])
-        paths = [f"{self.path}/data/{folder}/_bucket={b}" for b, folders in entry["buckets"].items() if buckets is None or int(b) in buckets for folder in folders]
+        paths = [f"{self.path}/data/{folder}/_bucket={b}" for b, folders in entry["buckets"].items() if buckets is None or b in buckets for folder in folders]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def read(self) -> DataFrame | None:
-        entry = self._entry()
+    def read(self, version: int | None = None) -> DataFrame | None:
+        entry = self._entry(None if version is None else self.store.at(version))
         return None if entry is None else self._frame(entry)
 
-    def stage(self, df: DataFrame) -> dict:
-        """df as data that no version names yet."""
-        folder = uuid.uuid4().hex
-        df.withColumn("_bucket", self._bucket()).repartition(self.buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
-        names = [s.getPath().getName() for s in self.store._fs.listStatus(self.store._hadoop(f"{self.path}/data/{folder}"))]
+    def parts(self, values: Sequence, manifest: dict | None = None) -> DataFrame | None:
+        """Rows of those values of a parted table, of whose parts alone files are read."""
+        entry = self._entry(manifest)
+        return None if entry is None else self._frame(entry, {"none" if v is None else str(v) for v in values})
+
+    def stage(self, df: DataFrame, n: int | None = None) -> dict:
+        """df as data that no version names yet, in n buckets."""
+        n, folder = n or self.buckets, uuid.uuid4().hex
+        rows = df.withColumn("_bucket", self._bucket(n))
+        rows = rows.repartition("_bucket") if self.parted else rows.repartition(n, "_bucket")
+        rows.write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        parts = [s.getPath() for s in self.store._fs.listStatus(self.store._hadoop(f"{self.path}/data/{folder}"))]
+        parts = {p.getName().split("=")[1]: self.store._fs.getContentSummary(p).getLength() for p in parts if p.getName().startswith("_bucket=")}
         schema = StructType.fromJson(df.schema.jsonValue())
         for f in schema.fields:
             f.nullable = True
-        return {"schema": schema.jsonValue(), "buckets": {n.split("=")[1]: [folder] for n in names if n.startswith("_bucket=")}}
+        return {"schema": schema.jsonValue(), "n": n, "bytes": parts, "buckets": {b: [folder] for b in parts}}
+
+    def _wider(self, staged: dict) -> dict:
+        """A staged table again, with as many buckets as its size asks for."""
+        n, size = staged["n"], sum(staged["bytes"].values())
+        while not self.parted and size > n * BUCKET:
+            n *= 2
+        return staged if n == staged["n"] else self.stage(self._frame(staged), n)
 
     def overwrite(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
         base, _ = self.store.current()
-        self.store.commit({self.name: self.stage(df)}, base, batch)
+        new = self.stage(df)
+        self.checked(self._frame(new))
+        self.store.commit({self.name: self._wider(new)}, base, batch)
 
     def ensure(self, df: DataFrame) -> bool:
         """Write df if the table isn't there yet; whether it was written."""
@@ -155,10 +208,13 @@ class Table:
     def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
         """More rows, whatever their key: for logs, where a repeated write repeats its rows unless its batch says which it is."""
         base, manifest = self.store.current()
-        old, new = self._entry(manifest), self.stage(df)
+        old = self._entry(manifest)
+        new = self.stage(df, old and old["n"])
         if old is not None:
-            new["buckets"] = {b: [*old["buckets"].get(b, []), *new["buckets"].get(b, [])] for b in {**old["buckets"], **new["buckets"]}}
-        self.store.commit({self.name: new}, base, batch)
+            both = {**old["buckets"], **new["buckets"]}
+            new["bytes"] = {b: old["bytes"].get(b, 0) + new["bytes"].get(b, 0) for b in both}
+            new["buckets"] = {b: [*old["buckets"].get(b, []), *new["buckets"].get(b, [])] for b in both}
+        self.store.commit({self.name: self._wider(new)}, base, batch)
 
     def load(self, df: DataFrame) -> int:
         """Overwrite and check that all rows have come, before any reader sees them; how many they are."""
@@ -167,11 +223,14 @@ class Table:
         want, got = df.count(), self._frame(new).count()
         if want != got:
             raise ValueError(f"{want} rows were to come, {got} came")
-        self.store.commit({self.name: new}, base)
+        self.checked(self._frame(new))
+        self.store.commit({self.name: self._wider(new)}, base)
         return got
 
     def checked(self, df: DataFrame) -> None:
         """Keys may not be twice in df, nor null unless the table allows it."""
+        if not self.unique:
+            return
         rules = ["_n > 1", *([] if self.nulls else [f"`{k}` IS NULL" for k in self.keys])]
         if not df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(" OR ".join(rules)).isEmpty():
             raise ValueError(f"keys {self.keys} are null or not unique")
@@ -183,17 +242,18 @@ class Table:
 
     def _rewritten(self, entry: dict, keys: DataFrame, change: Callable[[DataFrame], DataFrame]) -> dict:
         """The table with the buckets that the keys fall in changed, the others as they were."""
-        touched = [r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect()]  # as many as there are buckets at most
-        new = self.stage(change(self._frame(entry, touched)))
-        new["buckets"] = {b: f for b, f in entry["buckets"].items() if int(b) not in touched} | new["buckets"]
-        return new
+        touched = {r[0] for r in keys.select(self._bucket(entry["n"]).alias("b")).distinct().collect()}  # as many as there are buckets at most
+        new = self.stage(change(self._frame(entry, touched)), entry["n"])
+        for what in ("buckets", "bytes"):
+            new[what] = {b: x for b, x in entry[what].items() if b not in touched} | new[what]
+        return self._wider(new)
 
     def upserted(self, manifest: dict, df: DataFrame, update: bool = True) -> dict:
         """The table as an upsert makes it, not committed."""
         self.checked(df)
         entry = self._entry(manifest)
         if entry is None:
-            return self.stage(df)
+            return self._wider(self.stage(df))
         df = self._typed(entry, df)
         return self._rewritten(entry, df, lambda old: _without(old, df, self.keys).unionByName(df) if update else old.unionByName(_without(df, old, self.keys)))
 
@@ -206,11 +266,11 @@ class Table:
         """The table as a replacement makes it, not committed."""
         entry = self._entry(manifest)
         if entry is None:
-            return self.stage(df)
+            return self._wider(self.stage(df))
         df, processed = self._typed(entry, df), self._typed(entry, processed)
         if set(self.by) <= set(source):
             return self._rewritten(entry, processed.select(*self.by).unionByName(df.select(*self.by)), lambda old: _without(old, processed, source).unionByName(df))
-        return self.stage(_without(self._frame(entry), processed, source).unionByName(df))
+        return self._wider(self.stage(_without(self._frame(entry), processed, source).unionByName(df), entry["n"]))
 
     def replace(self, df: DataFrame, processed: DataFrame, source: Sequence[str]) -> None:
         """Rows of every processed source go, those of df come, in one step."""
@@ -233,12 +293,15 @@ def _without(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def publish(tables: dict[Table, DataFrame]) -> None:
-    """Several tables of one store in one step: a reader sees all of them new or none."""
+    """Several tables of one store in one step, their keys checked: a reader sees all of them new or none."""
     first = next(iter(tables))
     if len({t.path for t in tables}) > 1 or len({t.name for t in tables}) != len(tables):
         raise ValueError("the tables must be different ones of one store")
     base, _ = first.store.current()
-    first.store.commit({t.name: t.stage(df) for t, df in tables.items()}, base)
+    staged = {t: t.stage(df) for t, df in tables.items()}
+    for t, new in staged.items():
+        t.checked(t._frame(new))
+    first.store.commit({t.name: t._wider(new) for t, new in staged.items()}, base)
 
 
 def overwrite(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite", **options: str) -> None:
@@ -275,8 +338,3 @@ def retried(action: Callable[[], None], attempts: int = 8, longest: float = 30,
             if n == attempts - 1 or not again(e):
                 raise
             wait(min(longest, 2.0**n))
-
-
-def best_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """One row for each key, for an upsert."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
