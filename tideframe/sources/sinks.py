@@ -1,4 +1,4 @@
-"""Writing: keyed tables with versions, upserts, replacement by key, appends, checked loads, JDBC, retries.
+"""Writing: keyed tables with versions, upserts, replacement by key, appends, checked loads, retries.
 
 A store is a folder of data and a log of numbered manifests; each names the folders that make up every table of the
 store. A writer adds data and then the next manifest, which is created only if no other writer was first. So a reader
@@ -262,6 +262,18 @@ class Table:
         base, manifest = self.store.current()
         self.store.commit({self.name: self.upserted(manifest, df, update)}, base, batch)
 
+    def added(self, manifest: dict, df: DataFrame, sums: Sequence[Column], count: str) -> dict:
+        """The table with df's numbers added to those of its keys, not committed; rows whose count comes to 0 go."""
+        entry = self._entry(manifest)
+
+        def change(old: DataFrame) -> DataFrame:
+            return old.unionByName(df).groupBy(*self.keys).agg(*sums).filter(F.col(count) != 0)
+
+        if entry is None:
+            return self._wider(self.stage(df.filter(F.col(count) != 0)))
+        df = self._typed(entry, df)
+        return self._rewritten(entry, df, change)
+
     def replaced(self, manifest: dict, df: DataFrame, processed: DataFrame, source: Sequence[str]) -> dict:
         """The table as a replacement makes it, not committed."""
         entry = self._entry(manifest)
@@ -309,11 +321,6 @@ def overwrite(df: DataFrame, path: str, kind: str = "parquet", mode: str = "over
     df.write.format(kind).mode(mode).options(**options).save(path)
 
 
-def jdbc(df: DataFrame, url: str, name: str, properties: dict[str, str], truncate: bool = True, batch: int = 5000) -> None:
-    """Overwrite a database's table, keeping its definition and indexes if it is only truncated."""
-    df.write.option("truncate", truncate).option("batchsize", batch).jdbc(url, name, mode="overwrite", properties=properties)
-
-
 def as_messages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """key and value as text, as a topic takes them: the key's columns and all columns, each as JSON."""
     return df.select(F.to_json(F.struct(*keys)).alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))

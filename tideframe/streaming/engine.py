@@ -9,14 +9,18 @@ in the batch queries. Without a watermark nothing late is lost and state grows w
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from datetime import timedelta
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tideframe.session import shared_folder
@@ -145,19 +149,151 @@ def merged(streams: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def joined_with(stream: DataFrame, side: Callable[[], DataFrame], keys: Sequence[str], each: Callable[[DataFrame, int], None], at: str, how: str = "left") -> None:
+def pinned(side: Table, at: str, number: int) -> DataFrame | None:
+    """The table in the version that a micro-batch saw first: the batch's number and the version are noted under `at`, so
+    that a batch that is repeated after a failure sees the same rows, whatever has become of the table since."""
+    note = side.store._hadoop(f"{at}/pins/{number}")
+    fs = side.store._fs
+    if not fs.exists(note):
+        version = side.store.current()[0]
+        part = side.store._hadoop(f"{at}/pins/.{number}-{uuid.uuid4().hex}")
+        stream = fs.create(part, False)
+        try:
+            stream.write(bytearray(str(version).encode()))
+        finally:
+            stream.close()
+        fs.rename(part, note)  # one query runs its batches one by one: nobody else is at this note
+    stream = fs.open(note)
+    try:
+        version = int(side.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return side.read(version)
+
+
+def joined_with(stream: DataFrame, side: Callable[[], DataFrame] | Table, keys: Sequence[str], each: Callable[[DataFrame, int], None], at: str, how: str = "left") -> None:
     """Each micro-batch joined with a table that is read anew for it, so that the table may change while the stream runs.
 
-    The table's side is broadcast only if Spark finds it small enough.
+    A Table is read in the version that the batch saw first; while it isn't there yet, nothing matches. The table's side is
+    broadcast only if Spark finds it small enough.
+    """
+
+    def joined(batch: DataFrame, number: int) -> None:
+        other = pinned(side, at, number) if isinstance(side, Table) else side()
+        if other is None:  # no table yet
+            other = stream.sparkSession.createDataFrame([], stream.select(*keys).schema)
+        each(batch.join(other, list(keys), how), number)
+
+    run(stream, joined, at, "append")
+
+
+def without_trending(stream: DataFrame, rankings: Table, key: str, side: str, rank: str, top: int, sides: int, at: str | None = None) -> DataFrame:
+    """The rows of a stream, appended once each, but for those whose key ranks among the first `top` on so many sides in
+    the rankings as they were when the row's micro-batch came."""
+    from tideframe.operators.aggregates import without_trending as without
+
+    at = at or folder(stream)
+    table = Table(stream.sparkSession, f"{at}/table", stream.columns, nulls=True, unique=False)
+
+    def each(batch: DataFrame, number: int) -> None:
+        if table.store.done("stream") < number:
+            ranked = pinned(rankings, at, number)
+            table.append(batch if ranked is None else without(batch, ranked, key, side, rank, top, sides), ("stream", number))
+
+    run(stream, lambda batch, number: retried(lambda: each(batch, number)), at, "append")
+    return table.read()
+
+
+def against_history(stream: DataFrame, keys: Sequence[str], day: str, value: str, days: int, at: str | None = None, places: int = 6) -> DataFrame:
+    """keys, day, score (mean value of the day, to so many places), how many of so many `days` before are stored, and
+    `growth` against their mean, of all of a stream; within each micro-batch.
+
+    Sums by key and day are stored in parts by day. A batch changes those of its own days and reads, besides, only the days
+    that its days are compared with or that are compared with them, so that late rows correct what came after them. Sums,
+    results and the number of the batch are one commit.
     """
-    run(stream, lambda batch, number: each(batch.join(side(), list(keys), how), number), at, "append")
+    from tideframe.operators.aggregates import against_history as compared
+
+    at = at or folder(stream)
+    spark, own = stream.sparkSession, [*keys, day]
+    sums = Table(spark, f"{at}/store", own, "sums", by=[day], nulls=True, parted=True)
+    result = Table(spark, f"{at}/store", own, "result", by=[day], nulls=True, parted=True)
+    totals = stream.filter(F.col(value).isNotNull() & F.col(day).isNotNull()).select(*own, F.col(value).cast("double").alias("total"), F.lit(1).cast("long").alias("n"))
+    added = [F.sum("total").alias("total"), F.sum("n").alias("n")]
+
+    def each(batch: DataFrame, number: int) -> None:
+        base, manifest = sums.store.current()
+        if manifest["batches"].get("stream", -1) >= number:
+            return
+        fresh = batch.groupBy(*own).agg(*added).persist()
+        try:
+            touched = [r[0] for r in fresh.select(day).distinct().collect()]  # the days of one batch
+            if not touched:
+                return
+            stored = sums.added(manifest, fresh, added, "n")
+            near = {d + timedelta(k) for d in touched for k in range(-days, days + 1)}
+            seen = sums._frame(stored, {str(d) for d in near})
+            seen = _within(seen, fresh.select(*keys).distinct(), keys).select(*own, F.round(F.col("total") / F.col("n"), places).alias("score"))
+            changed = fresh.select(*keys, F.explode(F.sequence(day, F.date_add(day, days))).alias(day)).distinct()
+            rows = _within(compared(seen, keys, day, "score", days), changed, own)
+            sums.store.commit({"sums": stored, "result": result.upserted(manifest, rows)}, base, ("stream", number))
+        finally:
+            fresh.unpersist()
+
+    run(totals, lambda batch, number: retried(lambda: each(batch, number)), at, "append")
+    return result.read()
 
 
 def chained(first: Callable[[], Any], then: Sequence[Callable[[], Any]]) -> list[Any]:
-    """Queries of which each reads, as a stream of files, what the one before has written."""
+    """Queries of which each reads, as a stream of files, what the one before has written, one after the other."""
     return [first(), *[f() for f in then]]
 
 
+def supervised(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery]], done: Callable[[], bool] | None = None, poll: float = 0.2) -> None:
+    """Queries that run at once, of which one may read what another one writes, until `done` (all have ended, by default).
+
+    When one fails, the others are stopped and its error is raised; when `done` says so, each works through what has come
+    and is stopped. starts: functions that start a query with a trigger that goes on.
+    """
+    queries: list[StreamingQuery] = []
+    try:
+        for start in starts:
+            queries.append(start())
+        while True:
+            failed = [q for q in queries if not q.isActive and q.exception() is not None]
+            if failed:
+                raise failed[0].exception()
+            if all(not q.isActive for q in queries):
+                return
+            if done is not None and done():
+                for q in queries:
+                    close(q)
+                return
+            time.sleep(poll)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
+def close(query: StreamingQuery, poll: float = 0.2) -> None:
+    """Stop a query after it has worked through what is there; what its state holds back stays in the checkpoint.
+
+    A query with timers by the clock runs batches all the time and never says that it is through: it is once a batch
+    without rows has ended that began after the call.
+    """
+    last = query.lastProgress
+    first = last["batchId"] if last else -1
+    through = threading.Thread(target=lambda: query.isActive and query.processAllAvailable(), daemon=True)
+    through.start()
+    while through.is_alive() and query.isActive:
+        last = query.lastProgress
+        if last and last["batchId"] >= first + 2 and not last["numInputRows"]:
+            break
+        time.sleep(poll)
+    query.stop()
+
+
 class Windows(StatefulProcessor):
     """For each key the mean of the last days against that of as many before, from the daily sums that it keeps.
 
@@ -202,8 +338,8 @@ class Windows(StatefulProcessor):
         if anchor is not None:
             yield from self._row(key, anchor)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
-        self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.every)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.every)
         anchor = self.as_of if self.as_of is not None else max((d for (d,), _ in self.sums.iterator()), default=None)
         if anchor is not None:
             yield from self._row(key, anchor)
