@@ -6,7 +6,7 @@ import pytest
 
 from conftest import DATA
 from oracle import connect, same
-from tideframe.plans import jobs, registry  # noqa: F401
+from tideframe.plans import batches, jobs, registry  # noqa: F401
 
 SF = os.environ.get("TEST_SF", "sf0.001")
 

@@ -27,6 +27,14 @@ def first_filled(*columns: Column) -> Column:
     return F.coalesce(*[F.when((F.trim(c.cast("string")) != "") & (F.lower(F.trim(c.cast("string"))) != "nan"), c.cast("string")) for c in columns])
 
 
+def whole_number(value: Column) -> Column:
+    """A whole number, also of a text such as 12.0 or 1e3; null for what isn't one (12.5, NaN, words) or doesn't fit."""
+    text = F.trim(value.cast("string"))
+    number = text.try_cast("double")
+    exact = text.try_cast("decimal(38,6)")
+    return F.coalesce(text.try_cast("bigint"), F.when(F.abs(number) < 1e18, F.when(exact == F.floor(exact), exact)).try_cast("bigint"))
+
+
 def theme_text(tags: Column, *texts: Column) -> Column:
     """What a theme is looked for in: the tags if there are any, else the texts."""
     return F.when(F.size(tags) > 0, F.concat_ws(" ", tags)).otherwise(F.concat_ws(" ", *[F.coalesce(t.cast("string"), F.lit("")) for t in texts]))
@@ -90,11 +98,12 @@ def _plain_tags(tags: Column) -> Column:
 
 
 def tag_array(value: Column, kind: str = "string") -> Column:
-    """Distinct lower-case tags, sorted, of an array, of the text of a JSON array, or of a text parted by comma, semicolon
-    or bar (in which brackets and quotes around a tag go). A null gives none."""
+    """Distinct lower-case tags, sorted, of an array, of the text of a JSON array, of a text parted by comma, semicolon
+    or bar (in which brackets and quotes around a tag go), or of hashtags parted by blanks. A null gives none."""
     if kind.startswith("array"):
         return _plain_tags(F.coalesce(value.cast("array<string>"), F.array().cast("array<string>")))
     text = F.trim(F.coalesce(value.cast("string"), F.lit("")))
+    text = F.when(text.rlike(r"^#[^,;|\[\]]*\s[^,;|\[\]]*$"), F.regexp_replace(text, r"\s+", ",")).otherwise(text)  # '#a #b'
     listed = F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, "array<string>"))
     parted = F.transform(F.split(F.regexp_replace(text, r"^\[|\]$", ""), r"[,;|]"), lambda t: F.regexp_replace(F.trim(t), r"""^["']|["']$""", ""))
     return _plain_tags(F.coalesce(listed, parted))

@@ -29,23 +29,29 @@ def best_observation(df: DataFrame, keys: Sequence[str], fields: Sequence[str],
 def percent_ranks(df: DataFrame, by: Sequence[str], columns: dict[str, str], parts: int = 64) -> DataFrame:
     """df with 100 times the percent rank of each column within its group, to 2 places; columns: name -> new name.
 
-    A group may be as large as the whole table, so it is cut at quantiles of its values into parts, each a window of its
-    own; the rows of the parts before are added. Nulls come first, as in a window.
+    Ranks follow from how many rows have each value, so rows are counted by group and value and never put in order: a value
+    that many rows share is one row of the counts. A group may have any number of values, so they are cut at quantiles into
+    parts, each a window of its own, to which the rows of the parts before are added. Nulls come first, as in a window.
     """
     for old, new in columns.items():
-        cuts = df.groupBy(*by).agg(F.percentile_approx(old, [k / parts for k in range(1, parts)], 1000).alias("_cuts"))
-        rows = _with_group(df, cuts, by).withColumn("_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(old))), F.lit(0))).drop("_cuts")
-        sizes = rows.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_size"))
-        whole = Window.partitionBy(*by)
-        before = F.coalesce(F.sum("_size").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        sizes = sizes.select(*by, "_part", before.alias("_before"), F.sum("_size").over(whole).alias("_all"))
-        rows = _with_group(rows, sizes, [*by, "_part"])
-        rank = F.col("_before") + F.rank().over(Window.partitionBy(*by, "_part").orderBy(old)) - 1
-        share = F.when(F.col("_all") > 1, rank / F.nullif(F.col("_all") - 1, F.lit(0))).otherwise(0.0)
-        df = rows.withColumn(new, F.round(share * 100, 2)).drop("_part", "_before", "_all")
+        df = _with_rank(df, list(by), old, new, parts)
     return df
 
 
+def _with_rank(df: DataFrame, by: list[str], old: str, new: str, parts: int) -> DataFrame:
+    counts = df.groupBy(*by, old).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*by)
+    cuts = counts.groupBy(*by).agg(F.percentile_approx(old, [k / parts for k in range(1, parts)], 1000).alias("_cuts"))
+    counts = _with_group(counts, cuts, by).withColumn("_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(old))), F.lit(0))).drop("_cuts")
+    sizes = counts.groupBy(*by, "_part").agg(F.sum("_n").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*by, "_part", before.alias("_before"), F.sum("_size").over(group).alias("_all"))
+    counts = _with_group(counts, sizes, [*by, "_part"])
+    below = F.coalesce(F.sum("_n").over(Window.partitionBy(*by, "_part").orderBy(old).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    share = F.when(F.col("_all") > 1, (F.col("_before") + below) / F.nullif(F.col("_all") - 1, F.lit(0))).otherwise(0.0)
+    return _with_group(df, counts.select(*by, old, F.round(share * 100, 2).alias(new)), [*by, old])
+
+
 def _with_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """df with what is known of its groups; null keys are equal."""
     right = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})

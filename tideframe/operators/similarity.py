@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizer, MinHashLSH
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideframe.operators.ranking import top_n_per_group
@@ -35,18 +33,49 @@ def cosine_pairs(weights: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     return pairs.join(dots, ["a", "b"], "left").withColumn("cosine", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce("dot", F.lit(0.0))))).drop("dot")
 
 
-def minhash_candidates(df: DataFrame, key: str, items: str, distance: float = 0.5, tables: int = 5, seed: int = 42, min_df: float = 2, max_df: float = 0.02, vocabulary: int = 1 << 20) -> DataFrame:
-    """a < b with the Jaccard distance of their item sets below the threshold, as MinHash finds them.
+def item_sets(df: DataFrame, key: str, items: str, min_df: float = 1, max_df: float = 1.0) -> DataFrame:
+    """key and `_s`, the sorted hashes of its items, without the items of too few or too many rows. Limits are shares of
+    the rows if they are below 1 (max_df: up to 1), else numbers. Rows without an item left, and null keys, are left out.
 
-    Items in fewer than min_df or in a greater share of rows than max_df don't count, nor, beyond `vocabulary` items, the
-    rarest; rows without any are left out. A pair at similarity s is missed with probability (1 - s) ** tables; for all
-    pairs there is jaccard_join.
+    Frequencies are counted and joined by item: no vocabulary is ever in one place.
     """
-    model = CountVectorizer(inputCol=items, outputCol="_v", binary=True, minDF=min_df, maxDF=max_df, vocabSize=vocabulary).fit(df)
-    rows = model.transform(df).filter(F.exists(vector_to_array("_v"), lambda x: x > 0)).select(key, "_v")
-    lsh = MinHashLSH(inputCol="_v", outputCol="_h", numHashTables=tables, seed=seed).fit(rows)
-    near = lsh.approxSimilarityJoin(rows, rows, distance, "_distance")
-    return near.select(F.col(f"datasetA.{key}").alias("a"), F.col(f"datasetB.{key}").alias("b"), "_distance").filter("a < b").distinct()
+    own = df.filter(F.col(key).isNotNull()).select(key, F.explode(F.array_distinct(items)).alias("_i")).filter("_i IS NOT NULL").select(key, F.xxhash64("_i").alias("_i"))
+    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    often, limit = F.count(F.lit(1)), lambda x, whole: F.lit(float(x)) * n if x < 1 or x == 1 and whole else F.lit(float(x))
+    kept = own.groupBy("_i").agg(often.alias("_n")).filter((F.col("_n") >= limit(min_df, False)) & (F.col("_n") <= limit(max_df, True))).select("_i")
+    return own.join(kept, "_i").groupBy(key).agg(F.array_sort(F.collect_set("_i")).alias("_s"))
+
+
+def minhash_classes(sets: DataFrame, key: str, distance: float = 0.5, tables: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs) of item_sets(): members are key and `class`, the least key with the same set; pairs are a < b,
+    classes, and the Jaccard `distance` of their sets, where MinHash brings them together and it is below the threshold.
+
+    Copies of a set, however many, are one class. A pair of similarity s is missed with a probability of (1 - s) ** tables.
+    """
+    classes = sets.groupBy("_s").agg(F.min(key).alias("class"))
+    members = sets.join(classes, "_s").select(key, "class")
+    hashes = F.array(*[F.array_min(F.transform("_s", lambda x: F.xxhash64(x, F.lit(seed + t)))) for t in range(tables)])
+    bands = classes.select("class", F.posexplode(hashes).alias("_t", "_h"))
+    one, two = (bands.select("_t", "_h", F.col("class").alias(x)) for x in "ab")
+    pairs = one.join(two, ["_t", "_h"]).filter("a < b").select("a", "b").distinct()
+    for x in "ab":
+        pairs = pairs.join(classes.select(F.col("class").alias(x), F.col("_s").alias(f"_{x}")), x)
+    both = F.size(F.array_intersect("_a", "_b"))
+    found = pairs.select("a", "b", (1 - both / (F.size("_a") + F.size("_b") - both)).alias("distance"))
+    return members, found.filter(F.col("distance") < distance)
+
+
+def minhash_candidates(df: DataFrame, key: str, items: str, distance: float = 0.5, tables: int = 5, seed: int = 42, min_df: float = 2, max_df: float = 0.02) -> DataFrame:
+    """a < b and `_distance`, with the Jaccard distance of their item sets below the threshold, as MinHash finds them.
+
+    The pairs of minhash_classes() for each two of their members. For a group of many copies that is the square of its
+    size: where copies abound, use the classes. All pairs, whatever their hashes, are in jaccard_join.
+    """
+    members, pairs = minhash_classes(item_sets(df, key, items, min_df, max_df), key, distance, tables, seed)
+    one, two = (members.select(F.col(key).alias(f"_k{x}"), F.col("class").alias(x)) for x in "ab")
+    across = pairs.join(one, "a").join(two, "b").select(F.least("_ka", "_kb").alias("a"), F.greatest("_ka", "_kb").alias("b"), F.col("distance").alias("_distance"))
+    within = one.join(two.withColumnRenamed("b", "a"), "a").filter("_ka < _kb").select(F.col("_ka").alias("a"), F.col("_kb").alias("b"), F.lit(0.0).alias("_distance"))
+    return across.unionByName(within)
 
 
 def jaccard_join(df: DataFrame, key: str, items: str, least: float) -> DataFrame:

@@ -210,11 +210,11 @@ def channel_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
                 CAST(row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS INTEGER) AS rank FROM documents) WHERE rank <= 15""",
 )
 def top_items_per_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts are only read for the rows that stay."""
-    docs = table(spark, sf_dir, "documents")
-    top = top_n_per_group(docs.select("lang", "source", "doc_id", "n_chars"), ["lang", "source"], [F.desc("n_chars"), F.asc("doc_id")], 15)
-    titles = docs.select("doc_id", "text")
-    return top.join(titles, "doc_id").select("lang", "source", "rank", "doc_id", parsing.short_title(parsing.squeezed(F.col("text"))).alias("short_title"))
+    """A row's text goes along as its title, cut to what the result needs before anything is sorted or sent."""
+    title = parsing.short_title(parsing.squeezed(F.col("text"))).alias("short_title")
+    rows = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", "n_chars", title)
+    top = top_n_per_group(rows, ["lang", "source"], [F.desc("n_chars"), F.asc("doc_id")], 15)
+    return top.select("lang", "source", "rank", "doc_id", "short_title")
 
 
 _METRICS = "count(DISTINCT (event_type, user_id)) AS n_channels, count(*) AS n, avg(CAST(round(value * 100) AS BIGINT)) AS avg_cents, quantile_disc(value, 0.5) AS median_value"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tideframe.functions.parsing import first_column
 
@@ -20,6 +20,20 @@ def csv(spark: SparkSession, path: str, schema: StructType | None = None, column
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def checked_csv(spark: SparkSession, path: str, schema: StructType, head: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of CSV with a schema, a record a line: rejected are the lines of too few or too many fields, or with
+    a field that its type does not take, as `line`. With head, lines like the first one of the first file are left out.
+
+    Files are split among tasks; fields that hold line ends need csv() with a schema, which rejects nothing.
+    """
+    lines = spark.read.text(path).filter(F.length("value") > 0)
+    first = lines.head() if head else None
+    lines = lines.filter(F.col("value") != first["value"]) if first else lines
+    whole = StructType([*schema.fields, StructField("_line", StringType())])
+    parsed = lines.select("value", F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line", "quote": '"', "escape": '"'}).alias("r"))
+    return parsed.filter("r._line IS NULL").select(*[F.col("r").getField(c).alias(c) for c in schema.names]), parsed.filter("r._line IS NOT NULL").select(F.col("value").alias("line"))
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """The column names of CSV files, of which only the first line is read."""
     return csv(spark, path, several_lines=False).columns
