@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideframe.llm.repeats import _batch
 
-#: Lines of a window; the sum at which text surges; how many times longer than the marked main part other text must be to
-#: count beside it.
-WINDOW, SURGE, OUTWEIGH = 3, 80, 4
+#: Lines of a window; the sum at which text surges; how often the text of the marked main part counts against that of
+#: another stretch, which must be longer to count beside it.
+WINDOW, SURGE, OUTWEIGH = 3, 80, 2
+#: A line that is mostly links is text like others if no more than so many in a row stand between lines of text.
+CITED = 2
 
 #: Elements without an end, that part blocks, whose content is no markup, and that are page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +49,9 @@ BESIDE = frozenset(
     "right main site page post posts article articles user users reader readers global content body header text message messages icons buttons button "
     "thread feed cloud title".split()
 )
+#: Words that name furniture whatever stands beside them, but for those that say that it isn't this.
+ALWAYS = frozenset("comments commentlist disqus sidebar newsletter cookies breadcrumb breadcrumbs pagination advert adverts advertisement".split())
+ABOUT = frozenset("no not has have with without hide hidden show is non enable enabled disable disabled".split())
 _MAIN = re.compile(r"(?<![a-z])(article|articlebody|article-body|post-content|entry-content|main-content|story-body|content-body)(?![a-z-])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -106,10 +111,11 @@ def tags(page: str) -> Iterator[tuple[int, int, str, str]]:
 
 
 def _named(value: str) -> bool:
-    """Whether one of the names in a class or id stands for furniture: a word for it, and else only words without weight."""
+    """Whether one of the names in a class or id stands for furniture: a word for it, and else only words without weight; or
+    one of the words that leave no doubt."""
     for name in value.split():
         own = {w for w in re.split(r"[^a-z]+", _CAMEL.sub(" ", name).lower()) if w}
-        if own & NAMED and own <= NAMED | BESIDE:
+        if own & NAMED and own <= NAMED | BESIDE or own & ALWAYS and not own & ABOUT:
             return True
     return False
 
@@ -205,17 +211,47 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
+def _cited(lines: list[Line]) -> list[bool]:
+    """Whether a line that is mostly links stands, alone or with one other, between lines of text of the same element: a
+    sentence that is a reference, not an entry of a menu or a list of pages."""
+    full = [i for i, x in enumerate(lines) if x.kept]
+    heavy = [lines[i].linked > 0.5 * len(lines[i].kept) for i in full]
+    out, k = [False] * len(lines), 0
+    while k < len(full):
+        if not heavy[k]:
+            k += 1
+            continue
+        end = k
+        while end < len(full) and heavy[end]:
+            end += 1
+        if 0 < k and end < len(full) and end - k <= CITED:
+            one, two = lines[full[k - 1]], lines[full[end]]
+            together = full[end] - full[k - 1] <= end - k + WINDOW  # no gap of furniture between them
+            same = {x.holder for x in (one, two, *[lines[i] for i in full[k:end]])}
+            if together and len(same) == 1 and min(len(one.kept), len(two.kept)) >= SURGE // 2:
+                for i in full[k:end]:
+                    out[i] = True
+        k = end
+    return out
+
+
 def weights(lines: list[Line]) -> list[int]:
-    """What each line adds to the sums: its length, with the surge besides in the main part that the page marks."""
+    """What each line adds to the sums: its length, with the surge besides in the main part that the page marks.
+
+    Beside a marked part other stretches only count if they hold more text than OUTWEIGH times that part.
+    """
     for line in lines:
         line.kept = _WHITE.sub(" ", "".join(line.parts)).strip()
-    own = [0 if x.linked > 0.5 * len(x.kept) or x.kind == NAMED_LINE else len(x.kept) for x in lines]
+    cited = _cited(lines)
+    own = [0 if x.kind == NAMED_LINE or x.linked > 0.5 * len(x.kept) and not c else len(x.kept) for x, c in zip(lines, cited)]
     if not any(own):  # nothing but links or named furniture: then the names are wrong
         own = [len(x.kept) if x.kind == NAMED_LINE and x.linked <= 0.5 * len(x.kept) else 0 for x in lines]
     marked = sum(n for n, x in zip(own, lines) if x.kind == MARKED)
-    if marked and sum(own) - marked <= OUTWEIGH * marked:
-        return [n and n + SURGE if x.kind == MARKED else 0 for n, x in zip(own, lines)]
-    return own
+    if not marked:
+        return own
+    other = [0 if x.kind == MARKED else n for n, x in zip(own, lines)]
+    longest = {i for a, b, surged in stretches(other) if surged and sum(other[a:b]) > OUTWEIGH * marked for i in range(a, b)}
+    return [n and n + SURGE if x.kind == MARKED else n if i in longest else 0 for i, (n, x) in enumerate(zip(own, lines))]
 
 
 def stretches(own: list[int], window: int = WINDOW) -> list[tuple[int, int, bool]]:
