@@ -13,6 +13,7 @@ import regex
 import tiktoken
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from oracle import connect, same
@@ -142,8 +143,9 @@ def plain_template(words):
 
 
 def plain_leaks(docs, items, width=8):
-    found = {}
-    for item, text in items:
+    """By class of items that differ in their slots' values only: (doc, item, windows, matched, copied, reparameterised, items)."""
+    classes = collections.defaultdict(list)
+    for item, text in dict.fromkeys(items):
         words = (text or "").split()
         if not words:
             continue
@@ -151,26 +153,40 @@ def plain_leaks(docs, items, width=8):
         plain, out, slots = plain_template(words)
         kind = plain_template(["x", words[0]])[1][1] if plain_template(["1", words[0]])[1][1] != ("unit",) else ("unit",)
         windows = [(i, out[i : i + k], slots[i : i + k]) for i in range(len(words) - k + 1)]
-        if isinstance(kind, tuple) and kind != ("num",):
+        if isinstance(kind, tuple) and kind != ("num",) and not slots[0]:
             windows.append((0, [kind, *out[1:k]], [True, *slots[1:k]]))
         windows = [(i, plain[i : i + k] if all(s) else o, [plain_value(w) for w, x in zip(words[i : i + k], s) if x]) for i, o, s in windows]
+        values = [plain_value(w) for w, x in zip(words, slots) if x]
+        pattern = [[v.index(x) for x in v] for v in (values, [plain_value(words[0]), *values] if len(windows) > len(words) - k + 1 else [])]
+        classes[repr((k, [w[:2] for w in windows], pattern))].append((item, windows))
+    found = {}
+    least = lambda ids: min((i for i in ids if i is not None), default=None)
+    for members in classes.values():
+        total = len({i for i, *_ in members[0][1]})
         for doc, body in docs:
             own = (body or "").split()
             dplain, dout, dslots = plain_template(own)
+            k = len(members[0][1][0][1])
             lined = collections.defaultdict(list)
             for j in range(len(own) - k + 1):
                 s = dslots[j : j + k]
                 key = dplain[j : j + k] if all(s) else dout[j : j + k]
-                for i, have, values in windows:
+                for w, (i, have, values) in enumerate(members[0][1]):
                     if have == key:
-                        lined[j - i].append((i, [*zip(values, [plain_value(w) for w, x in zip(own[j : j + k], s) if x])]))
+                        lined[j - i].append((i, w, values, [plain_value(x) for x, y in zip(own[j : j + k], s) if y]))
+            fits = []
             for hits in lined.values():
-                pairs, n = {p for _, own_pairs in hits for p in own_pairs}, len({i for i, _ in hits})
-                total = len(words) - k + 1
+                pairs, n = {p for _, _, v, d in hits for p in zip(v, d)}, len({h[0] for h in hits})
                 if len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs) and (n >= total / 2 or n >= 20):
-                    copied = all(a == b for a, b in pairs)
-                    have = found.setdefault((doc, item), [total, n, copied, not copied])
-                    have[:] = [max(have[0], total), max(have[1], n), have[2] or copied, have[3] and not copied]
+                    copied = all(any(m[1][w][2] == d for m in members) for _, w, _, d in hits)
+                    exact = [m[0] for m in members if n == total and all(m[1][w][2] == d for _, w, _, d in hits)]
+                    fits.append((n, copied, exact))
+            if fits:
+                ids = least([i for *_, e in fits for i in e])
+                ids = least([m[0] for m in members]) if ids is None else ids
+                row = [total, max(n for n, *_ in fits), any(c for _, c, _ in fits), not any(c for _, c, _ in fits), len(members)]
+                have = found.setdefault((doc, ids), row)
+                have[:] = [max(have[0], row[0]), max(have[1], row[1]), have[2] or row[2], have[3] and row[3], max(have[4], row[4])]
     return {(*k, *v) for k, v in found.items()}
 
 
@@ -189,6 +205,7 @@ def test_templates_against_a_plain_version(spark):
         return " ".join(out)
 
     items = [(i, question(rng.randint(1, 7))) for i in range(60)] + [(60, "Find the next: 2 4 8 16 32 64 128 256"), (61, "May I ask?"), (62, None), (62, "10 km"), (None, question(3))]
+    items += [(70 + j, re.sub(r"\d+", lambda m: str(int(m[0]) + 40 * j), text)) for _, text in items[:4] for j in range(3)]  # some of one template
     docs = []
     for i, (_, text) in enumerate(items):
         if text:
@@ -201,7 +218,20 @@ def test_templates_against_a_plain_version(spark):
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {tuple(r) for r in templates.report(df, bench).collect()}
     want = plain_leaks([d for d in docs if d[0] != 1], items) | plain_leaks([docs[1]], items) | plain_leaks([docs[-2]], items)
-    assert got == want and sum(r[4] for r in want) > 50 and sum(r[5] for r in want) > 50
+    assert got == want and sum(r[4] for r in want) > 50 and sum(r[5] for r in want) > 50 and max(r[6] for r in want) > 1
+
+
+def test_items_of_one_template_are_one_class(spark):
+    """No rows of every document with every item, and a document names the item whose values it has."""
+    text = lambda k: f"A train leaves with {k} people at noon and after {k + 7} minutes there are {3 * k} of them left in it"
+    bench = spark.range(600).select(F.col("id").alias("item_id"), F.expr("concat('A train leaves with ', id + 100, ' people at noon and after ', id + 107, ' minutes there are ', 3 * (id + 100), ' of them left in it')").alias("text"))
+    docs = [(i, text(100 + i)) for i in range(300)] + [(i, text(2000 + i)) for i in range(300, 500)] + [(500, text(100).replace("107", "100")), (501, " ".join(text(150).split()[:14]))]
+    got = {r.doc_id: r for r in templates.report(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert len(got) == 501 and {r.n_items for r in got.values()} == {600} and 500 not in got  # slots of two values can't both be 100
+    assert all(got[i].item_id == i and got[i].copied for i in range(300))
+    assert all(got[i].item_id == 0 and got[i].reparameterised for i in range(300, 500))
+    assert got[501].copied and got[501].n_matched < got[501].n_windows
+    assert {r["class"] for r in templates.item_classes(bench).collect()} == {0} and templates.item_classes(bench).count() == 600
 
 
 def test_languages(spark):

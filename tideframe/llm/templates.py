@@ -99,8 +99,18 @@ def window_hashes(plain: np.ndarray, words: np.ndarray, slots: np.ndarray, width
     return out
 
 
+#: Punctuation around a slot's value.
+_EDGE = ".,;:!?\"'()[]{}"
+
+
 def slot_values(words: list[str], slots: np.ndarray, start: int, width: int) -> list[str]:
-    return [words[i].strip(".,;:!?\"'()[]{}").lower() for i in range(start, start + width) if slots[i]]
+    return [words[i].strip(_EDGE).lower() for i in range(start, start + width) if slots[i]]
+
+
+def _pattern(values: list[str]) -> list[int]:
+    """Which slots have the same value: for each the number of its value in the order of first appearance."""
+    number: dict[str, int] = {}
+    return [number.setdefault(v, len(number)) for v in values]
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,22 +124,27 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 plain, hashes, slots = template(words, lexicon)
                 width = min(WIDTH, len(words))
                 own = window_hashes(plain, hashes, slots, width).view(np.int64).tolist()
-                same = (xxhash.xxh64_intdigest(f"{item} {text}") - (1 << 63), item, width, len(own))
-                out += [(*same, i, h, slot_values(words, slots, i, width)) for i, h in enumerate(own)]
+                values = slot_values(words, slots, 0, len(words))
+                alike = xxhash.xxh64(f"{width} {own} {_pattern(values)}")
+                rows = [(i, h, slot_values(words, slots, i, width), False) for i, h in enumerate(own)]
                 kind = int(lexicon.of(words[:1])[1][0])
                 if kind in (_CAP, _UNIT):  # a slot in a document where the word before makes it one
                     hashes, slots = hashes[:width].copy(), slots[:width].copy()
                     hashes[0], slots[0] = _SLOT[kind], True
                     key = int(window_hashes(plain[:width], hashes, slots, width).view(np.int64)[0])
                     if key != own[0]:
-                        out.append((*same, 0, key, slot_values(words, slots, 0, width)))
+                        rows.append((0, key, slot_values(words, slots, 0, width), True))
+                        alike.update(f" {key} {_pattern([words[0].strip(_EDGE).lower(), *values])}")
+                same = (xxhash.xxh64_intdigest(f"{item} {text}") - (1 << 63), item, alike.intdigest() - (1 << 63), width, len(own))
+                out += [(*same, *r) for r in rows]
             if len(out) > 10_000:
                 yield _batch(iter(out), _ITEM)
                 out = []
     yield _batch(iter(out), _ITEM)
 
 
-_ITEM = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("width", pa.int32()), ("windows", pa.int32()), ("at", pa.int32()), ("key", pa.int64()), ("values", pa.list_(pa.string()))])
+_ITEM = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("alike", pa.int64()), ("width", pa.int32()), ("windows", pa.int32()), ("at", pa.int32()), ("key", pa.int64()), ("values", pa.list_(pa.string())), ("other", pa.bool_())])
+_ITEM_DDL = "item long, item_id long, alike long, width int, windows int, at int, key long, values array<string>, other boolean"
 _HIT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("width", pa.int32()), ("spot", pa.int32()), ("key", pa.int64()), ("found", pa.list_(pa.string()))])
 
 
@@ -174,18 +189,27 @@ def _matcher(shared):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, h, item_id, n_windows, n_matched, copied, reparameterised: the documents that hold a benchmark item.
+    """doc_id, h, item_id, n_items, n_windows, n_matched, copied, reparameterised: the documents that hold a benchmark item.
+
+    Items of equal templates whose slots are equal in the same places are told apart by values only, and a document that
+    fits one of them fits all. They are one class of n_items: a document has one row for each class it fits. item_id is the
+    least item whose values it has throughout, else the least of the class; item_classes() names the others.
 
     A document holds an item if, in one alignment with consistent slots, it has half of the item's windows of 8 template
-    words, or 20 of them. `copied`: all slots that matched have the item's own values; else the item is
-    reparameterised. Null texts hold nothing; empty items are in no document; an item shorter than a window is one
-    window. A null id of a document or an item stays null; rows that repeat id and text give one row, and items of one id
-    and other texts the best of them. A text of any length is read whole; empty tables give no rows; other columns are
+    words, or 20 of them. `copied`: each window that matched has the values that an item of the class has
+    there; else the item is reparameterised. Null texts hold nothing; empty items are in no document; an item shorter than a window is one
+    window. A null id of a document or an item stays null; rows that repeat id and text give one row, and
+    items of one id and other templates the best of them; a null id gives way to another one of its class. A text of any length is read whole; empty tables give no rows; other columns are
     not read. The benchmark's window keys are broadcast PASS at a time, with a pass over the
     documents for each, so that a benchmark of any size fits.
     """
     spark = docs.sparkSession
-    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, "item long, item_id long, width int, windows int, at int, key long, values array<string>"))
+    items = written(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, _ITEM_DDL))
+    members, verbatim = _members(items)
+    parted = items.withColumn("v", F.xxhash64("values"))
+    member_windows = parted.select("alike", "at", "key", "v").distinct().withColumn("own", F.lit(True))
+    # from here on one item stands for all that are alike
+    items = written(items.join(members.select("item"), "item", "left_semi"))
     total = items.count()
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("text").cast("string"))
     passes, hits = -(-total // PASS), None
@@ -198,19 +222,43 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # candidates by the rare windows only, so that a window that many items share makes no rows of every item and document
     found = hits.join(rarest(items), ["width", "key"]).select("d", "h", "item", (F.col("spot") - F.col("at")).alias("shift")).distinct()
     both = found.join(items, "item").withColumn("spot", F.col("shift") + F.col("at")).join(hits, ["d", "h", "width", "key", "spot"])
+    both = both.withColumn("v", F.xxhash64("found")).join(member_windows, ["alike", "at", "key", "v"], "left")
     pairs = F.arrays_zip(F.col("values").alias("a"), F.col("found").alias("b"))
-    lined = both.groupBy("doc_id", "h", "item", "item_id", "windows", "shift").agg(
+    lined = both.groupBy("doc_id", "h", "item", "alike", "windows", "shift").agg(
         F.count_distinct("at").alias("matched"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.coalesce(F.min(F.coalesce("own", F.lit(False))), F.lit(False)).alias("copied"),
+        F.xxhash64(F.sort_array(F.collect_set(F.struct("at", "key", "v")))).alias("text"),
     )
     lined = lined.withColumns({"left": F.size(F.array_distinct("pairs.a")), "right": F.size(F.array_distinct("pairs.b"))})
     fit = lined.filter((F.size("pairs") == F.col("left")) & (F.size("pairs") == F.col("right")) & ((F.col("matched") >= SHARE * F.col("windows")) | (F.col("matched") >= MANY)))
-    copied = F.forall("pairs", lambda p: p["a"] == p["b"])
-    return fit.groupBy("doc_id", "h", "item_id").agg(
-        F.max(F.col("windows").cast("long")).alias("n_windows"), F.max("matched").alias("n_matched"), F.max(copied).alias("copied"), F.min(~copied).alias("reparameterised")
-    )
+    # a document that has all of an item, values and all, names that one, else the least of those alike
+    fit = fit.join(verbatim, ["alike", "text"], "left").join(members.drop("item"), "alike")
+    return fit.groupBy("doc_id", "h", "alike").agg(
+        F.coalesce(F.min("exact_id"), F.min("least_id")).alias("item_id"), F.max("n_items").alias("n_items"), F.max(F.col("windows").cast("long")).alias("n_windows"), F.max("matched").alias("n_matched"),
+        F.max("copied").alias("copied"), F.min(~F.col("copied")).alias("reparameterised"),
+    ).groupBy("doc_id", "h", "item_id").agg(*[f(c).alias(c) for c, f in {"n_items": F.max, "n_windows": F.max, "n_matched": F.max, "copied": F.max, "reparameterised": F.min}.items()])
+
+
+def _members(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(alike, item, least_id, n_items): for each class of items of equal templates the one that stands for it, its least id
+    and its size; and (alike, text, exact_id): the least item of a class that has just these values."""
+    own = items.select("alike", "item", "item_id").distinct()
+    classes = own.groupBy("alike").agg(F.min("item").alias("item"), F.min("item_id").alias("least_id"), F.count(F.lit(1)).alias("n_items"))
+    window = F.struct("at", "key", F.xxhash64("values").alias("v"))
+    plain, other = (F.collect_set(F.when((F.col("at") > 0) | (F.col("other") == o), window)) for o in (False, True))
+    texts = items.groupBy("alike", "item", "item_id").agg(F.array_distinct(F.array(F.xxhash64(F.sort_array(plain)), F.xxhash64(F.sort_array(other)))).alias("t"))
+    exact = texts.select("alike", "item_id", F.explode("t").alias("text")).groupBy("alike", "text").agg(F.min("item_id").alias("exact_id"))
+    return written(classes), written(exact)
+
+
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """item_id, class: the items whose templates and pattern of equal slots are the same, by the least id among them."""
+    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, _ITEM_DDL)
+    own = written(rows.select("alike", "item_id").distinct())
+    return own.join(own.groupBy("alike").agg(F.min("item_id").alias("class")), "alike").select("item_id", "class")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The leaks by document and item."""
-    return leaks(docs, benchmark).select("doc_id", "item_id", "n_windows", "n_matched", "copied", "reparameterised")
+    return leaks(docs, benchmark).select("doc_id", "item_id", "n_windows", "n_matched", "copied", "reparameterised", "n_items")
