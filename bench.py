@@ -4,12 +4,13 @@ import json
 import os
 import time
 
-from tideframe.plans import registry
+from tideframe.plans import batches, jobs, registry  # noqa: F401  (the others add their queries to the registry)
 from tideframe.session import session
 
 HEADLINE = [
     "top_orders_by_year", "top_customers_by_year", "daily_event_trend", "keyword_counts", "token_pair_combinations", "channel_timeline", "best_observation_dedup",
     "channel_quadrant", "daily_metrics_with_all", "rankings_having", "theme_classification", "growth_excluding_trending", "snapshot_gate", "viral_score", "similarity_topk",
+    "prepare_videos", "theme_tag_daily", "minhash_classes", "stream_score_by_theme",
 ]
 
 
