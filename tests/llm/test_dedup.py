@@ -163,10 +163,11 @@ def near_copies(rng):
     return docs
 
 
-@pytest.mark.parametrize("block", [4000, 30])
-def test_links(spark, monkeypatch, block):
-    """Also with groups compared in small blocks."""
+@pytest.mark.parametrize("block, size", [(4000, 1 << 24), (30, 1 << 24), (4000, 3000), (30, 100)])
+def test_links(spark, monkeypatch, block, size):
+    """Also with groups compared in blocks of few sets, of few bytes, and of fewer bytes than a text has."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", size)
     docs = near_copies(random.Random(3))
     assert sorted(map(tuple, jaccard.report(frame(spark, docs)).collect()), key=repr) == plain_links(docs)
 
@@ -212,6 +213,47 @@ def test_a_key_leaves_a_block_of_rows_once(monkeypatch):
     assert empty["keys"].to_pylist() == [[]] and empty["met"].to_pylist() == [[]]
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_blocks_meet_those_of_sizes_that_link(spark, percent):
+    """A block meets each block of its band and of the next ones once, and sizes that link are in such bands."""
+    from pyspark.sql import functions as F
+
+    bands = {r.n: r.band for r in spark.range(1, 3000).select(F.col("id").alias("n"), jaccard._band_of(F.col("id"), percent).alias("band")).collect()}
+    assert all(band == jaccard._band(n, percent) for n, band in bands.items())
+    for n in range(1, 2000):
+        assert bands[100 * n // percent] - bands[n] in (0, 1)
+    df = spark.createDataFrame([(5, {4: 2, 5: 3, 7: 9}), (7, {4: 2, 5: 3, 7: 1})], "band int, blocks map<int, int>")
+    got = [sorted(divmod(x, 2**32) for x in r.p) for r in df.select(jaccard._partners(F.col("band"), F.col("blocks")).alias("p")).collect()]
+    assert got == [[(4, 0), (4, 1), (5, 0), (5, 1), (5, 2)], [(7, 0)]]
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Long texts that nearly agree, with a short chain beside: no task's pair of blocks holds many times the bound."""
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 40_000)
+    words = [f"w{i}" for i in range(2000)]
+    docs = [(i, " ".join(words[:k] + [f"own{i}"] + words[k:])) for i, k in enumerate(range(100, 1900, 45))]
+    docs += [(100 + i, " ".join(words[: 700 + 60 * i])) for i in range(15)]
+    plain = jaccard._resolve
+
+    def spied(words, percent):
+        run = plain(words, percent)
+
+        def counted(batches):
+            rows = [b for b in batches]
+            for b in rows:
+                units = {}
+                for r in b.to_pylist():
+                    key = (r["grp"], r["one"], r["two"])
+                    units[key] = units.get(key, 0) + len(r["data"])
+                assert max(units.values(), default=0) < 8 * 40_000, units
+            yield from run(iter(rows))
+
+        return counted
+
+    monkeypatch.setattr(jaccard, "_resolve", spied)
+    assert sorted(map(tuple, jaccard.report(frame(spark, docs)).collect()), key=repr) == plain_links(docs)
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({5: 100}) >= 5 and jaccard.boundary({20: 1000}) < 18
 

@@ -10,7 +10,9 @@ into the other is the one of least cost over the corpus's sizes. Copies within a
 anywhere are one set from there on. Sets that share a key, directly or through others, form a group. Of the sets that a
 task reads together only the first one with a key sends it on, and the others are hung on that set at once, so that a
 key of a third of all sets crosses the network once for each such block of rows. A set travels to its group, where the
-inverted lists of the group's shingles are scanned for exact overlaps. Groups of too many sets are compared block by block.
+inverted lists of the group's shingles are scanned for exact overlaps. A group of too many sets or bytes is parted by the
+bands of the sets' sizes and each band into blocks; blocks of one band or of neighbouring ones are compared, two at a time,
+as sets of other bands can't link. So what a task holds is bounded by bytes, and a text travels only to sizes like its own.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideframe.llm.common import Rolling, frugal, mix, partitions, written
 from tideframe.llm.graph import components
@@ -32,8 +35,8 @@ from tideframe.llm.repeats import keyed, word_units
 PERCENT, WORDS = 90, 3
 #: The light sets have at most 20 shingles; reading one entry of an inverted list costs as much as so many subset keys.
 MOST_LIGHT, SCAN_COST = 20, 3
-#: Groups of more sets are compared in blocks of so many.
-BLOCK = 1000
+#: Groups of more sets, or of more bytes of text, are compared in blocks of about so many. A single text may be longer.
+BLOCK, BLOCK_BYTES = 1000, 16 << 20
 #: Parts of fewer shingles than this on average may be empty or a common phrase.
 SMALL_PART = 6
 #: Rows that a task sketches at once, and among which a key is sent on only once.
@@ -159,7 +162,7 @@ def listed(flat: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
 
 
 def _sketch(light: int, words: int, percent: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64())), ("met", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("k", pa.int64()), ("keys", pa.list_(pa.int64())), ("met", pa.list_(pa.int64())), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -186,7 +189,7 @@ def _sketch(light: int, words: int, percent: int):
         hung = np.unique(np.stack([row[~new], lead[~new]], axis=1), axis=0)
         nodes = np.array([p[0] for p in pairs], np.int64)
         lists = [listed(flat[new], row[new], len(own)), listed(nodes[hung[:, 1]], hung[:, 0], len(own))]
-        columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array(nodes), pa.array([p[1] for p in pairs], pa.int64()), *lists]
+        columns = [batch.column(0), batch.column(1), pa.array([*map(len, sets)], pa.int64()), pa.array(nodes), pa.array([p[1] for p in pairs], pa.int64()), *lists, pc.binary_length(batch.column(2)).cast(pa.int64())]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -285,6 +288,26 @@ def _resolve(words: int, percent: int):
     return run
 
 
+def _band_of(n: Column, percent: int) -> Column:
+    """The band of a set's size, as _band() has it."""
+    return F.size(F.filter(F.lit(_edges(percent).tolist()), lambda e: e <= n)) - 1
+
+
+def _block(band: Column, place: Column) -> Column:
+    """One number for a block of a band."""
+    return F.shiftleft(band.cast("long"), 32) + place
+
+
+def _partners(band: Column, blocks: Column) -> Column:
+    """The blocks of a band and of its neighbours; blocks: how many each band of the group has."""
+
+    def of(b: Column) -> Column:
+        n = F.coalesce(F.try_element_at(blocks, b), F.lit(0))
+        return F.transform(F.filter(F.sequence(F.lit(0), n), lambda o: o < n), lambda o: _block(b, o))
+
+    return F.flatten(F.transform(F.array(band - 1, band, band + 1), of))
+
+
 def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, h, n_shingles, component_id, n_links, root: each document's set size, the least document that links reach
     from it (itself included), the number of documents it links with directly, and a number of its component (null for
@@ -302,27 +325,30 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     short = docs.filter(F.octet_length("data") <= 1000).select("data").mapInArrow(_sizes(words), "n long")
     top = MOST_LIGHT * 100 // percent
     light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
-    sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>, met array<long>"))
+    sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>, met array<long>, size long"))
 
-    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h")).alias("rep"))
+    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h", "size")).alias("rep"), F.first("n").alias("n"))
     entries = sketches.select(F.explode("keys").alias("key"), "node")
     edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b"))
     edges = edges.unionByName(sketches.select(F.col("node").alias("a"), F.explode("met").alias("b")))
     groups = components(edges).withColumnRenamed("root", "grp")
 
-    counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
-    member = classes.join(groups, "node").join(counts, "grp")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    member = member.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
-    pair = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least("block", o).alias("one"), F.greatest("block", o).alias("two"))))
-    member = member.withColumn("pair", pair).select("grp", "pair.one", "pair.two", "block", "members", "node", "k", "copies", "least", F.col("rep.d").alias("_d"), F.col("rep.h").alias("_h"))
+    member = written(classes.join(groups, "node").select("grp", "node", "k", "copies", _band_of(F.col("n"), percent).alias("band"), F.col("rep.d").alias("_d"), F.col("rep.h").alias("_h"), F.col("rep.size").alias("size")))
+    bands = member.groupBy("grp", "band").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
+    counts = bands.groupBy("grp").agg(F.sum("sets").alias("sets"), F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(F.struct("band", blocks))).alias("blocks"))
+    counts = written(counts.select("grp", ((F.col("sets") > BLOCK) | (F.col("bytes") > BLOCK_BYTES)).alias("parted"), "blocks"))
+    member = member.join(counts, "grp").withColumn("block", F.when(F.col("parted"), _block(F.col("band"), F.pmod(F.xxhash64("node", F.lit(7)), F.try_element_at("blocks", "band")))).otherwise(0))
+    pairs = F.when(F.col("parted"), _partners(F.col("band"), F.col("blocks"))).otherwise(F.array(F.lit(0).cast("long")))
+    pair = F.explode(F.transform(pairs, lambda o: F.struct(F.least("block", o).alias("one"), F.greatest("block", o).alias("two"))))
+    member = member.select("grp", pair.alias("pair"), "block", "node", "k", "copies", "_d", "_h").select("grp", "pair.one", "pair.two", "block", "node", "k", "copies", "_d", "_h")
     units = member.join(docs, (F.col("_d") == F.coalesce("doc_id", F.lit(_LAST))) & (F.col("_h") == F.col("h")))
     units = units.select("grp", "one", "two", "block", "node", "k", "copies", "data")
     resolved = written(
         units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(frugal(_resolve(words, percent)), "node long, k long, top long, linked long")
     )
     linked = resolved.groupBy("node", "k").agg(F.sum("linked").alias("linked"))
-    if counts.filter(F.col("members") > BLOCK).isEmpty():
+    if counts.filter("parted").isEmpty():
         roots = resolved.select("node", "k", F.col("top").alias("root"))
     else:  # the links of a group in blocks meet again
         again = components(resolved.select(F.col("node").alias("a"), F.col("top").alias("b")))
