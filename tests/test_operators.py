@@ -3,6 +3,7 @@
 import datetime
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +87,21 @@ def test_same_id_on_two_sides_counts_twice_over_all(spark):
     assert sorted(map(tuple, got)) == [("All", 3), ("x", 1), ("y", 2)]
 
 
+def test_distinct_counts_beside_metrics(spark):
+    """The same as all in one aggregation, with null keys, parts, ids and values, repeated rows, and no rows at all."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["x", "y", None]), rng.choice([1, 2, None]), rng.choice([*range(9), None]), rng.choice([*range(50), None])) for _ in range(400)]
+    df = spark.createDataFrame([*rows, *rows[:50], ("z", 3, None, None)], "side string, k int, id int, v int")
+    df = df.withColumn("own", F.when(F.col("id").isNotNull(), F.struct(F.col("side").alias("s"), "id")))
+    metrics = {"n": F.count(F.lit(1)), "total": F.sum("v"), "median": aggregates.median("v")}
+    for keys in (["k"], []):
+        for rows in (df, df.limit(0)):
+            want = aggregates.with_all(rows, "side", keys, metrics | {"ids": F.count_distinct("own")})
+            got = aggregates.with_all(rows, "side", keys, metrics, within={"ids": F.col("own")})
+            assert got.columns == want.columns
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_pairs_and_growth(spark):
     assert values(spark, lambda c: aggregates.pairs_of(F.split(c, ",")), "b,a,b,c", "a", "") == [["a + b", "a + c", "b + c"], [], []]
     day = datetime.date(2024, 1, 10)

@@ -12,15 +12,22 @@ def median(column: str) -> Column:
     return F.percentile_approx(column, 0.5, 10_000)
 
 
-def with_all(df: DataFrame, part: str, keys: Sequence[str], metrics: dict[str, Column], name: str = "All") -> DataFrame:
+def with_all(df: DataFrame, part: str, keys: Sequence[str], metrics: dict[str, Column], name: str = "All", within: dict[str, Column] | None = None) -> DataFrame:
     """Metrics by part and keys, and over all parts under `name`: one scan, by grouping sets.
 
-    A metric that counts things known within their part must count structs that hold a copy of the part.
+    within: what to count the distinct values of, as known within their part, so that the number over all parts is the sum
+    of those of the parts. They are counted beside the metrics: in one aggregation Spark would keep the metrics' states,
+    sketches of medians among them, for each distinct value. Null keys and parts are groups; null values don't count.
     """
-    sets = df.groupingSets([[part, *keys], [*keys]], part, *keys)
-    return sets.agg(F.grouping(part).alias("_all"), *[m.alias(n) for n, m in metrics.items()]).select(
-        F.when(F.col("_all") == 1, F.lit(name)).otherwise(F.col(part)).alias(part), *keys, *metrics
-    )
+    group = [part, *keys]
+    sets = [group, [*keys]]
+    out = df.groupingSets(sets, *group).agg(F.grouping(part).alias("_all"), *[m.alias(n) for n, m in metrics.items()])
+    if within:
+        own = df.groupBy(*group).agg(*[F.count_distinct(c).alias(n) for n, c in within.items()])
+        counted = own.groupingSets(sets, *group).agg(F.grouping(part).alias("_all"), *[F.sum(n).alias(n) for n in within])
+        both = out.unionByName(counted, allowMissingColumns=True)
+        out = both.groupBy(*group, "_all").agg(*[F.first(n, ignorenulls=True).alias(n) for n in (*metrics, *within)])
+    return out.select(F.when(F.col("_all") == 1, F.lit(name)).otherwise(F.col(part)).alias(part), *keys, *metrics, *(within or ()))
 
 
 def bucketed(value: Column, limits: Sequence[tuple[float, str]], above: str) -> Column:

@@ -65,7 +65,7 @@ def themed(observations: DataFrame) -> DataFrame:
 
 
 def _measures() -> dict[str, Column]:
-    out = {"video_count": F.count_distinct("identity"), "sum_views": F.sum("views"), "avg_views": F.avg("views"), "median_views": aggregates.median("views")}
+    out = {"video_count": F.count("identity"), "sum_views": F.sum("views"), "avg_views": F.avg("views"), "median_views": aggregates.median("views")}
     for c, places in (("viral_score", 4), ("engagement_rate", 6)):
         out |= {f"avg_{c}": metrics.exact_mean(F.col(c), places), f"median_{c}": aggregates.median(c)}
     return out
@@ -74,7 +74,8 @@ def _measures() -> dict[str, Column]:
 def theme_tables(observations: DataFrame, minimum: int, top: int = 10) -> dict[str, DataFrame]:
     """daily, tag_daily and rankings by theme, each by platform and over all of them, and the themes that occur.
 
-    Tags of an observation are distinct, so that one counts once for a tag.
+    observations has one row for a platform, video and day, with distinct tags: so a day's videos, also those of a tag, are
+    its rows, and only totals over days count distinct ones.
     """
     rows = observations.withColumn("identity", F.struct(F.col("platform").alias("p"), "video_id"))
     tags = rows.withColumn("tag", F.explode("tags"))

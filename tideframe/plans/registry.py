@@ -226,7 +226,8 @@ def daily_metrics_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_type", "user_id", "value", F.to_date("ts").alias("day"), F.struct(F.col("event_type").alias("t"), "user_id").alias("identity"))
     return aggregates.with_all(
         events, "event_type", ["day"],
-        {"n_channels": F.count_distinct("identity"), "n": F.count(F.lit(1)), "avg_cents": F.avg(F.round(F.col("value") * 100).cast("long")), "median_value": aggregates.median("value")},
+        {"n": F.count(F.lit(1)), "avg_cents": F.avg(F.round(F.col("value") * 100).cast("long")), "median_value": aggregates.median("value")},
+        within={"n_channels": F.col("identity")},
     )
 
 
