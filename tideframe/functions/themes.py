@@ -77,11 +77,14 @@ RULES: list[Rule] = [
 ]
 #: Texts that are a theme only if they are nothing else.
 WHOLE = {"league of legends": ("lol",)}
+#: What is cut from both ends of a text: the space and all control characters before it.
+_BLANK = "".join(map(chr, range(33)))
 
 
 def theme(text: Column, rules: Sequence[Rule] = RULES, whole: dict[str, Sequence[str]] = WHOLE, default: str = OTHER) -> Column:
-    """The theme of the first rule of which a needle stands in the lower-cased text; the default for none or null."""
-    low = F.lower(F.trim(text))
+    """The theme of the first rule of which a needle stands in the lower-cased text; the default for none or null. Spaces
+    and control characters at both ends don't count."""
+    low = F.lower(F.btrim(text, F.lit(_BLANK)))
     out = F
     for needles, name in rules:
         hit = F.lit(False)
@@ -95,7 +98,7 @@ def theme(text: Column, rules: Sequence[Rule] = RULES, whole: dict[str, Sequence
 
 def theme_sql(text: str, rules: Sequence[Rule] = RULES, whole: dict[str, Sequence[str]] = WHOLE, default: str = OTHER) -> str:
     """The same rules as SQL."""
-    low = f"lower(trim({text}))"
+    low = rf"lower(regexp_replace({text}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'))"
     cases = []
     for needles, name in rules:
         hits = [f"contains({low}, '{n}')" for n in needles] + [f"{low} = '{e}'" for e in whole.get(name, ())]
