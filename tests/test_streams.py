@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from conftest import DATA
+from oracle import connect, same
 from tideframe.operators import aggregates, snapshots
-from tideframe.session import shared_folder
+from tideframe.plans import batches, registry  # noqa: F401
+from tideframe.session import STATE_STORE, shared_folder
 from tideframe.sources import readers
 from tideframe.sources.sinks import Table
 from tideframe.streaming import engine, stateful
@@ -276,3 +279,15 @@ def test_one_that_fails_stops_all(spark):
     with pytest.raises(ValueError):  # one that can't even start
         engine.supervised(spark, [start("well", lambda b, n: None), lambda: (_ for _ in ()).throw(ValueError("no"))])
     assert not any(q.isActive for q in started)
+
+
+@pytest.mark.parametrize("name", ["stream_channel_timeline_by_change"])
+def test_state_by_key_in_a_session_with_the_default_store(spark, name):
+    """The setting that processors by key need isn't asked of the session, and the session's own one stays."""
+    before, default = spark.conf.get(STATE_STORE), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, default)
+    try:
+        same(registry.QUERIES[name](spark, f"{DATA}/sf0.001"), connect(f"{DATA}/sf0.001"), registry.ORACLE[name])
+        assert spark.conf.get(STATE_STORE) == default
+    finally:
+        spark.conf.set(STATE_STORE, before)

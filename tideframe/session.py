@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import SparkSession
 
+#: The store that keeps state with several columns of its own, as processors by key need; and its setting.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def session(app: str = "tideframe", **conf: str) -> SparkSession:
     """A session in UTC with adaptive plans, ANSI semantics and RocksDB for streaming state; conf wins."""
@@ -16,7 +21,7 @@ def session(app: str = "tideframe", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        STATE_STORE: ROCKS_DB,
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     }
     for key, value in (own | conf).items():
@@ -24,6 +29,18 @@ def session(app: str = "tideframe", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_by_key(spark: SparkSession) -> Iterator[None]:
+    """Within it, queries that start keep their state in RocksDB, whatever the session says: a query takes the settings as
+    they are when it starts, and a checkpoint keeps them."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see (spark.checkpoint.dir). Set here only in a session of one process without one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from tideframe.operators.snapshots import moved
+from tideframe.session import state_by_key
 from tideframe.sources.sinks import Table, retried
 from tideframe.streaming import engine
 
@@ -95,7 +96,8 @@ def retracted(stream: DataFrame, keys: Sequence[str], order: Sequence[str], grou
         finally:
             deltas.unpersist()
 
-    engine.run(changes(stream, keys, order, groups, numbers, deleted), lambda batch, number: retried(lambda: each(batch, number)), at)
+    with state_by_key(stream.sparkSession):
+        engine.run(changes(stream, keys, order, groups, numbers, deleted), lambda batch, number: retried(lambda: each(batch, number)), at)
     return table.read()
 
 
