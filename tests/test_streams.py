@@ -281,7 +281,7 @@ def test_one_that_fails_stops_all(spark):
     assert not any(q.isActive for q in started)
 
 
-@pytest.mark.parametrize("name", ["stream_channel_timeline_by_change"])
+@pytest.mark.parametrize("name", ["stream_channel_timeline_by_change", "stream_snapshot_gate_by_state"])
 def test_state_by_key_in_a_session_with_the_default_store(spark, name):
     """The setting that processors by key need isn't asked of the session, and the session's own one stays."""
     before, default = spark.conf.get(STATE_STORE), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
