@@ -4,6 +4,7 @@ import random
 import time
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -291,3 +292,10 @@ def test_state_by_key_in_a_session_with_the_default_store(spark, name):
         assert spark.conf.get(STATE_STORE) == default
     finally:
         spark.conf.set(STATE_STORE, before)
+
+
+def test_growth_state_gets_sums(spark):
+    """A task sums what it reads: the processor gets a row for each key and day, NaN and nulls count nothing."""
+    seen = engine._summed(iter([pa.RecordBatch.from_pydict({"key": ["a", "a", None, "a", "b"] * 2, "day": [1, 1, 2, None, 3] * 2, "value": [1.0, float("nan"), 2.5, 4.0, None] * 2}) for _ in range(3)]))
+    rows = sorted((tuple(r.values()) for b in seen for r in b.to_pylist()), key=repr)
+    assert rows == sorted([("a", 1, 6.0, 6), (None, 2, 15.0, 6), ("a", None, 24.0, 6), ("b", 3, None, 0)], key=repr)

@@ -17,6 +17,8 @@ from datetime import timedelta
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -323,15 +325,16 @@ class Windows(StatefulProcessor):
             yield pd.DataFrame({"key": [key[0]], "as_of": [as_of], "recent_avg": [r], "prior_avg": [p], "growth_rate": [(r - p) / p if p > 0 else 0.0]})
 
     def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:
-        latest = None
+        new: dict[int, tuple[float, int]] = {}
         for part in rows:
-            for day, value in zip(part["day"].tolist(), part["value"].tolist()):
-                if value is None or value != value or day is None or day != day:
+            for day, value, count in zip(part["day"].tolist(), part["total"].tolist(), part["n"].tolist()):
+                if not count or day is None or day != day:
                     continue
-                day = int(day)
-                total, n = self.sums.getValue((day,)) if self.sums.containsKey((day,)) else (0.0, 0)
-                self.sums.updateValue((day,), (total + value, n + 1))
-                latest = day if latest is None else max(latest, day)
+                total, n = new.get(int(day), (0.0, 0))
+                new[int(day)] = total + value, n + int(count)
+        for day, (value, count) in new.items():
+            total, n = self.sums.getValue((day,)) if self.sums.containsKey((day,)) else (0.0, 0)
+            self.sums.updateValue((day,), (total + value, n + count))
         if self.every:
             self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.every)
         anchor = self.as_of if self.as_of is not None else max((d for (d,), _ in self.sums.iterator()), default=None)
@@ -345,14 +348,39 @@ class Windows(StatefulProcessor):
             yield from self._row(key, anchor)
 
 
+#: Rows of sums that a task gathers before it adds them up again.
+_GATHERED = 50_000
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums and numbers of values by key and day of what a task reads. NaN counts as null; keys without a value stay,
+    with n = 0."""
+
+    def again(parts: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(parts).group_by(["key", "day"]).aggregate([("total", "sum"), ("n", "sum")])
+        return sums.rename_columns({"total_sum": "total", "n_sum": "n"}).select(["key", "day", "total", "n"])
+
+    own: list[pa.Table] = []
+    for batch in batches:
+        values = batch.column("value")
+        values = pc.if_else(pc.is_nan(values), pa.scalar(None, pa.float64()), values)
+        n = pc.cast(pc.is_valid(values), pa.int64())
+        own = [again([*own, pa.table({"key": batch.column("key"), "day": batch.column("day"), "total": values, "n": n})])]
+        if own[0].num_rows > _GATHERED:
+            yield from own.pop().to_batches()
+    if own:
+        yield from own[0].to_batches()
+
+
 def growth_state(stream: DataFrame, key: str, day: Column, value: Column, days: int = 3, as_of: int | None = None, every_ms: int | None = None) -> DataFrame:
     """key, as_of, recent_avg, prior_avg, growth_rate after each batch for the keys that it touches, from state that a
     processor keeps and trims. day: a number of days; as_of: the day that counts as the last one, else the greatest of
-    each key."""
+    each key. Each task sums what it reads by key and day, so that a key, however frequent, costs its task a few rows."""
     rows = stream.select(F.col(key).alias("key"), day.cast("int").alias("day"), value.cast("double").alias("value"))
     kind = dict(rows.dtypes)["key"]
     schema = StructType.fromDDL(f"key {kind}, as_of int, recent_avg double, prior_avg double, growth_rate double")
-    return rows.groupBy("key").transformWithStateInPandas(Windows(days, as_of, every_ms), schema, "Update", "ProcessingTime" if every_ms else "None")
+    sums = rows.mapInArrow(_summed, StructType.fromDDL(f"key {kind}, day int, total double, n long"))
+    return sums.groupBy("key").transformWithStateInPandas(Windows(days, as_of, every_ms), schema, "Update", "ProcessingTime" if every_ms else "None")
 
 
 class Watch(StreamingQueryListener):
