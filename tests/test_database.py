@@ -96,3 +96,18 @@ def test_a_repeated_batch_changes_nothing(spark, base):
     base.execute('UPDATE "totals" SET "views" = 77')  # would be overwritten if the batch came again
     engine.run(stream, each, f"{src}-state", "append")
     assert calls == [0, 0] and [r[2] for r in stored(base)] == [77, 77] and base.done("totals") == 0
+
+
+def test_embedded_database_is_reached_by_the_driver_alone(spark):
+    """Executors only see files: neither staging nor reading opens a connection in a task. Texts come back as they were."""
+    db = database.Embedded(spark, f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    db.ensure("odd", {"k": "BIGINT", "s": "VARCHAR(20)", "d": "DOUBLE", "b": "BOOLEAN"}, ["k"])
+    texts = ["", None, 'a "q", b', " c ", "x\ny", "š,", "'", "\\", '"']
+    rows = [(i, t, None if i == 1 else i / 3, i % 2 == 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k long, s string, d double, b boolean").repartition(3)
+    bad = db.upsert(df.select("s", "k", "d", "b"), "odd", ["k"])
+    assert bad.count() == 0 and sorted(map(tuple, db.read("odd").collect())) == rows
+    assert "JDBC" not in db.read("odd")._jdf.queryExecution().executedPlan().toString()
+    db.upsert(df.limit(0), "odd", ["k"])
+    db.overwrite(df.filter("k < 2"), "odd")
+    assert sorted(map(tuple, db.read("odd").collect())) == rows[:2] and db.count("odd") == 2

@@ -14,7 +14,7 @@ from tideframe.operators.ranking import top_n_per_group
 from tideframe.plans.registry import _GATED, _snapshots, query, table
 from tideframe.session import shared_folder
 from tideframe.sources import readers
-from tideframe.sources.database import Database
+from tideframe.sources.database import Embedded
 from tideframe.sources.inferred import Documents
 from tideframe.sources.sinks import Table
 from tideframe.streaming import engine, stateful
@@ -98,9 +98,9 @@ def stream_growth_within_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
               user_id % 7 = 0 AS old FROM events WHERE user_id % 7 <> 0 OR event_id % 2 = 0 GROUP BY ALL) WHERE user_id % 10 <> 0""",
 )
 def database_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals by user merged twice into a table of a database (Derby, which comes with Spark): the second time some users'
-    rows are deleted, and some don't fit their column and are set aside, so that those of the first time stay."""
-    db = Database(spark, f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    """Totals by user merged twice into a table of a database (Derby, which comes with Spark, in the driver): the second
+    time some users' rows are deleted, and some don't fit their column and are set aside, so that those of the first time stay."""
+    db = Embedded(spark, f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
     db.ensure("user_totals", {"user_id": "BIGINT", "n": "BIGINT", "cents": "BIGINT", "label": "VARCHAR(5)"}, ["user_id"])
     events = table(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
     totals = lambda df: df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))

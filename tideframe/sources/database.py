@@ -7,6 +7,8 @@ was. The statements are those of the SQL standard (MERGE), not of one database.
 
 from __future__ import annotations
 
+import glob
+import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -14,6 +16,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tideframe.session import shared_folder
 from tideframe.sources.sinks import retried, transient
 
 #: Classes of SQLSTATE for which a repetition may help (connection lost, transaction rolled back, no
@@ -107,6 +110,9 @@ class Database:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, quoted(table), properties=self.properties)
 
+    def count(self, table: str) -> int:
+        return self.read(table).count()
+
     def overwrite(self, df: DataFrame, table: str, truncate: bool = True, batch: int = 5000) -> None:
         """All rows anew, keeping the table's definition and indexes if it is only truncated. Not in one transaction."""
         df.write.option("truncate", truncate).option("batchsize", batch).jdbc(self.url, quoted(table), mode="overwrite", properties=self.properties)
@@ -174,7 +180,7 @@ class Database:
             """A task that was repeated may have left its rows twice: then all are staged again."""
             self.execute(f"DELETE FROM {quoted(staging)}")
             self.append(df, staging, batch)
-            got = self.spark.read.jdbc(self.url, quoted(staging), properties=self.properties).count()
+            got = self.count(staging)
             if got != n:
                 raise OSError(f"{n} rows were to be staged, {got} were")
 
@@ -203,3 +209,64 @@ class Database:
             return rows.getLong(1) if rows.next() else -1
 
         return self.transaction(work)
+
+
+class Embedded(Database):
+    """A Derby database within the driver's process, which executors can't reach: they write and read files of the folder
+    that they share with the driver (a local one), which the database itself loads and unloads. Binary columns aren't
+    supported. A read gives the table as it is at the call."""
+
+    def _folder(self) -> str:
+        shared = shared_folder(self.spark)
+        path = shared.removeprefix("file://") if shared.startswith("file://") else shared.removeprefix("file:")
+        if not path.startswith("/"):
+            raise ValueError(f"an embedded database loads files of a local folder, not of {shared}")
+        return f"{path}/derby/{uuid.uuid4().hex}"
+
+    def _named(self, table: str) -> tuple[str, str]:
+        """The schema, or NULL, and the name as literals of SQL."""
+        schema, _, name = table.rpartition(".")
+        literal = lambda x: "'" + x.replace("'", "''") + "'"
+        return literal(schema) if schema else "NULL", literal(name)
+
+    def count(self, table: str) -> int:
+        def work(connection) -> int:
+            rows = connection.createStatement().executeQuery(f"SELECT COUNT(*) FROM {quoted(table)}")
+            rows.next()
+            return rows.getLong(1)
+
+        return self.transaction(work)
+
+    def append(self, df: DataFrame, table: str, batch: int = 5000) -> None:
+        at, own = self._folder(), set(df.columns)
+        names = [f.name for f in self.fields(table)]
+        if own - set(names):
+            raise ValueError(f"{table} has no columns {sorted(own - set(names))}")
+        kinds = dict(df.dtypes)
+
+        def field(name: str) -> Column:
+            """Texts in quotes, so that blanks at their ends stay and an empty one isn't a null, which has no characters."""
+            if name not in own:
+                return F.lit("")
+            text = F.col(f"`{name}`").cast("string")
+            return F.coalesce(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if kinds[name] == "string" else text, F.lit(""))
+
+        df.select(F.concat_ws(",", *[field(n) for n in names]).alias("value")).write.text(f"file://{at}")
+        schema, name = self._named(table)
+        files = [f for f in sorted(glob.glob(f"{at}/part-*")) if os.path.getsize(f)]
+        for f in files:
+            self.transaction(lambda c, f=f: c.createStatement().execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE({schema}, {name}, '{f}', ',', '\"', 'UTF-8', 0)"))
+
+    def overwrite(self, df: DataFrame, table: str, truncate: bool = True, batch: int = 5000) -> None:
+        """All rows anew in the table as it is defined, which must be there."""
+        self.execute(f"DELETE FROM {quoted(table)}")
+        self.append(df, table)
+
+    def read(self, table: str) -> DataFrame:
+        at = self._folder()
+        os.makedirs(at)
+        select = f"SELECT * FROM {quoted(table)}".replace("'", "''")
+        self.transaction(lambda c: c.createStatement().execute(f"CALL SYSCS_UTIL.SYSCS_EXPORT_QUERY('{select}', '{at}/rows.csv', ',', '\"', 'UTF-8')"))
+        schema = super().read(table).schema
+        # with a mark for nulls of its own, a quoted empty text isn't one
+        return self.spark.read.schema(schema).options(quote='"', escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][.S]", multiLine="true", nullValue="\x01").csv(f"file://{at}/rows.csv")
