@@ -11,10 +11,10 @@ from pyspark.sql.types import StructType
 
 from tideframe.functions import metrics, parsing, themes
 from tideframe.operators import aggregates, documents, ranking, similarity, snapshots
+from tideframe.plans import registry
 from tideframe.session import shared_folder
 from tideframe.sources import readers
 from tideframe.sources.sinks import Table, publish, retried
-from tideframe.plans import registry
 from tideframe.streaming import engine
 
 
@@ -612,3 +612,9 @@ def test_tag_jaccard_of_copies_and_nulls(spark, tmp_path, copies):
     got = {(r.a, r.b): r.tag_similarity for r in registry.QUERIES["tag_jaccard"](spark, str(tmp_path)).collect()}
     assert sorted(got) == sorted(want)
     assert all(s == round(len(tags[a] & tags[b]) / len(tags[a] | tags[b]), 6) for (a, b), s in got.items() if tags[a] and tags[b])
+
+
+def test_keyword_counts_clean_different_words(spark):
+    df = spark.createDataFrame([("a", "Foo-bar foobar,\n FOOBAR! the x"), ("a", "- ¡foo¡bar the! (ab)"), ("b", None), (None, "čas  čas. 123\t!")], "g string, t string")
+    got = aggregates.keyword_counts(df, ["g"], F.col("t"), ["the"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("a", "foobar", 4), (None, "čas", 2), (None, "123", 1)], key=repr)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tideframe.functions import parsing
+
 
 def median(column: str) -> Column:
     """The discrete median, as a sketch of bounded size (exact below 10,000 distinct values)."""
@@ -43,6 +45,14 @@ def token_counts(df: DataFrame, keys: Sequence[str], tokens: Column, count: str
     return df.select(*keys, F.explode(tokens).alias(token)).groupBy(*keys, token).agg(F.count(F.lit(1)).alias(count))
 
 
+def keyword_counts(df: DataFrame, keys: Sequence[str], text: Column, stop: Sequence[str], count: str = "frequency") -> DataFrame:
+    """How often each of parsing.keywords() stands in the texts of each group. Words are counted as they are, and only
+    different ones cleaned, as cleaning leaves white space where it is."""
+    words = token_counts(df, keys, F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), "_n", "_word")
+    clean = words.select(*keys, F.explode(parsing.keywords(F.col("_word"), stop)).alias("keyword"), "_n")
+    return clean.groupBy(*keys, "keyword").agg(F.sum("_n").alias(count))
+
+
 def pairs_of(array: Column, join: str = " + ") -> Column:
     """All unordered pairs of an array's distinct elements, as texts, the lesser first.
 
