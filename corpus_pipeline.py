@@ -6,7 +6,7 @@ A row is known by its doc_id and a hash of its text, so that null and repeated i
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideframe.llm import bpe, jaccard, quality, suffixes, templates
 from tideframe.llm.common import quoted, written
@@ -18,12 +18,18 @@ _LAST = 2**63 - 1
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys. The columns of docs are in a struct
-    meanwhile, so that none of their names can clash."""
-    own = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_h"))
-    keys = keys.select(F.col("doc_id").alias("key_id"), F.col("h").alias("key_h"))
-    return own.join(keys, F.col("own_id").eqNullSafe(F.col("key_id")) & (F.col("own_h") == F.col("key_h")), how).select("row.*")
+def _matched(docs: DataFrame, keys: DataFrame, how: str, once: bool = False) -> DataFrame:
+    """Rows of docs with (left_semi) or without (left_anti) their doc_id and h in keys; once: one of those that agree in both.
+    The columns of docs are in a struct meanwhile, so that none of their names can clash."""
+
+    def known_by(h: Column) -> list[Column]:
+        # plain columns: rows that the join has dealt out by them need not be dealt out again to be one of each
+        return [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), h.alias("h")]
+
+    own = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), *known_by(F.xxhash64(F.coalesce("text", F.lit("")))))
+    own = own.withColumn("void", F.col("row.text").isNull())
+    found = own.join(keys.select(*known_by(F.col("h"))), ["none", "id", "h"], how)
+    return (found.dropDuplicates(["none", "id", "h", "void"]) if once else found).select("row.*")
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +44,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = jaccard.similar(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select("doc_id", "h", "root")
     first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"))
     keep = first.select("one.doc_id", "one.h").unionByName(found.filter("root IS NULL").select("doc_id", "h"))
-    return _matched(docs, keep, "left_semi").dropDuplicates(["doc_id", "text"])
+    return _matched(docs, keep, "left_semi", once=True)
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

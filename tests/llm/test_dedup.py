@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -254,6 +255,47 @@ def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.report(frame(spark, docs)).collect()), key=repr) == plain_links(docs)
 
 
+def test_a_common_line_makes_no_large_group(spark, monkeypatch):
+    """Texts that have only a line in common share keys, so that they are one group, which grows with the square of the
+    corpus if its blocks are compared. By their rarest shingles only near copies stay together; others travel no more."""
+    monkeypatch.setattr(jaccard, "BLOCK", 1)
+    rng = random.Random(5)
+    line = " ".join(f"c{i}" for i in range(22))
+    docs = [(i, f"{line} alone {words(rng, 55)}") for i in range(300)]
+    near = [f"{line} {words(rng, 55)}" for _ in range(10)]
+    docs += [(1000 + 10 * i + k, f"{text} last{k}") for i, text in enumerate(near) for k in range(4)]
+    plain = jaccard._resolve
+
+    def spied(words, percent):
+        run = plain(words, percent)
+
+        def watched(batches):
+            for b in batches:
+                assert not [x for x in b.column(7).to_pylist() if b"alone" in x]
+                yield from run(iter([b]))
+
+        return watched
+
+    monkeypatch.setattr(jaccard, "_resolve", spied)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.similar(frame(spark, docs), words=5, percent=80).collect()}
+    assert got == {k: (k, 0) if k < 1000 else (k // 10 * 10, 3) for k, _ in docs}
+
+
+def test_shuffle_files_of_written_tables_go(spark):
+    from tideframe.llm.common import written
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before, grouped = files(), spark.range(1000).groupBy(F.xxhash64("id").alias("h")).count()
+    table = written(grouped)
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before and table.count() == grouped.count() == 1000
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({5: 100}) >= 5 and jaccard.boundary({20: 1000}) < 18
 

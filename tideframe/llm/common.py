@@ -13,7 +13,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tideframe.session import shared_folder
+from tideframe.session import shared_folder, shuffles_go
 
 #: Bytes that part words: space and U+0009 to U+000D, which is what bytes.split() takes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,9 +25,10 @@ def _folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, which cuts its lineage."""
+    """df as a table in the shared folder, which cuts its lineage; its shuffle files go at once."""
     path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out

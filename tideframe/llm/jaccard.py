@@ -10,7 +10,8 @@ into the other is the one of least cost over the corpus's sizes. Copies within a
 anywhere are one set from there on. Sets that share a key, directly or through others, form a group. Of the sets that a
 task reads together only the first one with a key sends it on, and the others are hung on that set at once, so that a
 key of a third of all sets crosses the network once for each such block of rows. A set travels to its group, where the
-inverted lists of the group's shingles are scanned for exact overlaps. A group of too many sets or bytes is parted by the
+inverted lists of the group's shingles are scanned for exact overlaps. In a group of too many sets or bytes, as a line that
+many texts have makes it, the sets are first grouped anew by their rarest shingles. What is still too large is parted by the
 bands of the sets' sizes and each band into blocks; blocks of one band or of neighbouring ones are compared, two at a time,
 as sets of other bands can't link. So what a task holds is bounded by bytes, and a text travels only to sizes like its own.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tideframe.llm.common import Rolling, frugal, mix, partitions, written
+from tideframe.llm.common import Rolling, discard, frugal, mix, partitions, written
 from tideframe.llm.graph import components
 from tideframe.llm.repeats import keyed, word_units
 
@@ -308,6 +309,45 @@ def _partners(band: Column, blocks: Column) -> Column:
     return F.flatten(F.transform(F.array(band - 1, band, band + 1), of))
 
 
+def _counted(place: DataFrame) -> DataFrame:
+    """grp, parted, blocks: whether a group is compared in blocks, and how many each of its bands has."""
+    bands = place.groupBy("grp", "band").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
+    counts = bands.groupBy("grp").agg(F.sum("sets").alias("sets"), F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(F.struct("band", blocks))).alias("blocks"))
+    return counts.select("grp", ((F.col("sets") > BLOCK) | (F.col("bytes") > BLOCK_BYTES)).alias("parted"), "blocks")
+
+
+def _tokens(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(lo, AT_ONCE)
+                sets = [shingles(x.as_py(), words) for x in batch.column(2)]
+                row = np.repeat(np.arange(len(sets)), [*map(len, sets)]).astype(np.int64)
+                grp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                flat = mix(np.concatenate(sets) ^ mix(grp)[row]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(1), listed(flat, row, len(sets))], names=["node", "keys"])
+
+    return run
+
+
+def _finer(member: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, root: groups within the groups of member, of sets that share one of their rarest shingles, directly or
+    through others. A set without one links with nothing and is left out.
+
+    Linked sets of a and b shingles share percent of the larger at least. In any one order of all shingles, the least of
+    those that both have is among the first a - percent * a + 1 of the one and the first b - percent * b + 1 of the other.
+    In the order of how many sets of the group have a shingle, what only one set has comes first and needs no row, and a
+    line that a third of the group has comes last.
+    """
+    rows = member.select("grp", "node", "data").mapInArrow(frugal(_tokens(words)), "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
+    shared = rows.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("sets > 1")
+    shared = shared.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("sets", "key"))).alias("shared")).join(member.groupBy("node").agg(F.max("n").alias("n")), "node")
+    first = (F.size("shared") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("int")
+    keys = shared.select("node", F.explode(F.slice("shared", F.lit(1), F.greatest(first, F.lit(0)))).alias("one")).select("node", "one.key")
+    return components(keys.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")))
+
+
 def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, h, n_shingles, component_id, n_links, root: each document's set size, the least document that links reach
     from it (itself included), the number of documents it links with directly, and a number of its component (null for
@@ -327,26 +367,34 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     light = boundary({r["n"]: r["count"] for r in short.filter(F.col("n").between(1, top)).groupBy("n").count().collect()}, percent)
     sketches = written(docs.mapInArrow(frugal(_sketch(light, words, percent)), "doc_id long, h long, n long, node long, k long, keys array<long>, met array<long>, size long"))
 
-    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h", "size")).alias("rep"), F.first("n").alias("n"))
     entries = sketches.select(F.explode("keys").alias("key"), "node")
     edges = entries.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b"))
     edges = edges.unionByName(sketches.select(F.col("node").alias("a"), F.explode("met").alias("b")))
     groups = components(edges).withColumnRenamed("root", "grp")
+    sketches, keyed_ones = written(sketches.drop("keys", "met")), sketches  # the keys are most of it
+    discard(keyed_ones)
 
-    member = written(classes.join(groups, "node").select("grp", "node", "k", "copies", _band_of(F.col("n"), percent).alias("band"), F.col("rep.d").alias("_d"), F.col("rep.h").alias("_h"), F.col("rep.size").alias("size")))
-    bands = member.groupBy("grp", "band").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
-    counts = bands.groupBy("grp").agg(F.sum("sets").alias("sets"), F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(F.struct("band", blocks))).alias("blocks"))
-    counts = written(counts.select("grp", ((F.col("sets") > BLOCK) | (F.col("bytes") > BLOCK_BYTES)).alias("parted"), "blocks"))
-    member = member.join(counts, "grp").withColumn("block", F.when(F.col("parted"), _block(F.col("band"), F.pmod(F.xxhash64("node", F.lit(7)), F.try_element_at("blocks", "band")))).otherwise(0))
+    classes = sketches.filter("n > 0").groupBy("node", "k").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("d"), "h", "size")).alias("rep"), F.first("n").alias("n"))
+    member = classes.join(groups, "node").select("grp", "node", "k", "copies", "n", F.col("rep.d").alias("_d"), F.col("rep.h").alias("_h"), F.col("rep.size").alias("size"))
+    member = member.join(docs, (F.col("_d") == F.coalesce("doc_id", F.lit(_LAST))) & (F.col("_h") == F.col("h")))
+    member = written(member.select("grp", "node", "k", "copies", "n", _band_of(F.col("n"), percent).alias("band"), "size", "data"))
+    place = member.drop("data").distinct()
+    counts = written(_counted(place))
+    large = counts.filter("parted").select("grp")
+    if not large.isEmpty():
+        finer = _finer(member.join(large, "grp", "left_semi"), words, percent)
+        apart = place.join(large, "grp", "left_semi").join(finer, "node").withColumn("grp", F.col("root")).select(place.columns)
+        place = written(place.join(large, "grp", "left_anti").unionByName(apart))
+        counts = written(_counted(place))
+    place = place.join(counts, "grp").withColumn("block", F.when(F.col("parted"), _block(F.col("band"), F.pmod(F.xxhash64("node", F.lit(7)), F.try_element_at("blocks", "band")))).otherwise(0))
     pairs = F.when(F.col("parted"), _partners(F.col("band"), F.col("blocks"))).otherwise(F.array(F.lit(0).cast("long")))
     pair = F.explode(F.transform(pairs, lambda o: F.struct(F.least("block", o).alias("one"), F.greatest("block", o).alias("two"))))
-    member = member.select("grp", pair.alias("pair"), "block", "node", "k", "copies", "_d", "_h").select("grp", "pair.one", "pair.two", "block", "node", "k", "copies", "_d", "_h")
-    units = member.join(docs, (F.col("_d") == F.coalesce("doc_id", F.lit(_LAST))) & (F.col("_h") == F.col("h")))
-    units = units.select("grp", "one", "two", "block", "node", "k", "copies", "data")
+    place = place.select("grp", pair.alias("pair"), "block", "node", "k", "copies").select("grp", "pair.one", "pair.two", "block", "node", "k", "copies")
+    units = place.join(member.select("node", "k", "data"), ["node", "k"]).select("grp", "one", "two", "block", "node", "k", "copies", "data")
     resolved = written(
         units.repartition(n_parts, "grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(frugal(_resolve(words, percent)), "node long, k long, top long, linked long")
     )
+    discard(member)
     linked = resolved.groupBy("node", "k").agg(F.sum("linked").alias("linked"))
     if counts.filter("parted").isEmpty():
         roots = resolved.select("node", "k", F.col("top").alias("root"))

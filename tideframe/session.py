@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 #: The store that keeps state with several columns of its own, as processors by key need; and its setting.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Whether a query's shuffle files go when it ends, not when the driver happens to collect its garbage.
+FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def session(app: str = "tideframe", **conf: str) -> SparkSession:
@@ -30,15 +32,25 @@ def session(app: str = "tideframe", **conf: str) -> SparkSession:
 
 
 @contextmanager
-def state_by_key(spark: SparkSession) -> Iterator[None]:
-    """Within it, queries that start keep their state in RocksDB, whatever the session says: a query takes the settings as
-    they are when it starts, and a checkpoint keeps them."""
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKS_DB)
+def _held(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def state_by_key(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, queries that start keep their state in RocksDB, whatever the session says: a query takes the settings as
+    they are when it starts, and a checkpoint keeps them."""
+    return _held(spark, STATE_STORE, ROCKS_DB)
+
+
+def shuffles_go(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within it, the shuffle files of a query go when it ends. For results that are stored: what reads a DataFrame again
+    that has run within it, would shuffle anew."""
+    return _held(spark, FILES_GO, "true")
 
 
 def shared_folder(spark: SparkSession) -> str:
