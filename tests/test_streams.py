@@ -81,6 +81,72 @@ def test_retraction_sends_only_changes(spark):
     assert go((7, 4, "c", 1, 1, False)) == [("c", 1, 1)]
 
 
+def test_retraction_keeps_buckets_of_keys(spark):
+    """State and calls are by bucket, not by key."""
+    src = at(spark, "src")
+    feed(spark, src, RECORD, *[(i, 1, "a", 1, 10, False) for i in range(300)])
+    stream, sent = stateful.changes(tail(spark, src, RECORD), ["id"], ["version"], ["channel"], ["views"], buckets=4), []
+    query = engine.run(stream, lambda batch, n: sent.extend(map(tuple, batch.collect())), at(spark, "state"))
+    assert sent == [("a", 1, 10)] * 300 and query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+
+
+class State:
+    """A value of Spark's state, and the handle that gives it."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("gathered", [3, 1000])
+def test_changes_of_a_bucket(monkeypatch, gathered):
+    """What a bucket sends adds up to the last records after each batch, for keys and groups of every kind."""
+    monkeypatch.setattr(stateful, "_ROWS", gathered)
+    draw, nan = random.Random(11), float("nan")
+    keys = [(a, b, c) for a in (0.5, nan, None, -1.0) for b in ([1], [1, None], None) for c in (True, None)]
+    kinds = pa.schema([("a", pa.float64()), ("b", pa.list_(pa.int32())), ("c", pa.bool_()), ("v", pa.int32()), ("o", pa.list_(pa.int32())), ("g", pa.list_(pa.string())), ("n", pa.int64()), ("gone", pa.bool_()), ("_bucket", pa.int32())])
+    own = stateful.Retraction(3, 2, 1, 1, ["g", "n", "x"])
+    own.init(state := State())
+    last, sums = {}, {}
+    for _ in range(5):
+        rows = [(*draw.choice(keys), draw.choice([None, 1, 2, 3]), draw.choice([None, [1], [1, 2]]), draw.choice([["p"], ["p", "q"], None]), draw.choice([2**60 + 1, 5, None]), draw.random() < 0.2, draw.choice([0])) for _ in range(draw.choice([1, 40]))]
+        for row in rows:
+            key, order = repr(row[:3]), stateful._ordered([row[3], row[4] or []])[:1] + ((row[4] is not None, row[4] or []),)
+            if key not in last or order > last[key][0]:
+                last[key] = order, row
+        batches = [pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows[i : i + 7]], kinds) for i in range(0, len(rows), 7)]
+        packets = [{"_rows": x} for b in stateful._by_bucket(iter(batches)) for x in b.column("_rows").to_pylist()]
+        sent = [r["_rows"] for r in own.handleInputRows((0,), iter(packets), None)]
+        for batch in stateful._rows_in([pa.RecordBatch.from_arrays([pa.array(sent, pa.binary())], ["_rows"])]):
+            for g, n, x in zip(*batch.to_pydict().values()):
+                old = sums.get(repr(g), (0, 0))
+                sums[repr(g)] = old[0] + n, old[1] + (x or 0)
+        want = {}
+        for _, row in last.values():
+            if not row[7]:
+                old = want.get(repr(row[5]), (0, 0))
+                want[repr(row[5])] = old[0] + 1, old[1] + (row[6] or 0)
+        assert {g: x for g, x in sums.items() if x != (0, 0)} == want
+
+
+def test_fed_batches_are_several_files(spark):
+    """Each part is one micro-batch of as many files as cores, also one of few rows or none."""
+    df = spark.range(1000)
+    part = F.when(F.col("id") < 900, 0).when(F.col("id") < 901, 2).otherwise(3)
+    stream, got = batches.fed(df, part, 4).withColumn("file", F.input_file_name()), {}
+    engine.run(stream, lambda batch, n: got.update({n: batch.collect()}), at(spark, "state"), "append")
+    assert {n: sorted(r.id for r in rows) for n, rows in got.items()} == {0: [*range(900)], 1: [], 2: [900], 3: [*range(901, 1000)]}
+    assert len({r.file for r in got[0]}) == spark.sparkContext.defaultParallelism > 1
+
+
 SNAPSHOT = "k int, t int, id int, views int, score double"
 
 

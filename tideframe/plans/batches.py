@@ -25,12 +25,15 @@ def _place(spark: SparkSession, kind: str) -> str:
 
 
 def fed(df: DataFrame, part: Column, parts: int) -> DataFrame:
-    """A stream of df in so many micro-batches, in the order of `part` (0, 1, ...)."""
-    path = _place(df.sparkSession, "fed")
-    rows = df.withColumn("_part", part.cast("int"))
+    """A stream of df in so many micro-batches, in the order of `part` (0, 1, ...). Each is as many files as there are cores."""
+    spark, path = df.sparkSession, _place(df.sparkSession, "fed")
+    rows, files = df.withColumn("_part", part.cast("int")), spark.sparkContext.defaultParallelism
     for i in range(parts):
-        rows.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    return readers.tail(df.sparkSession, path, df.schema, files=1)
+        rows.filter(F.col("_part") == i).drop("_part").repartition(files).write.mode("append").parquet(path)
+        # a task without rows writes no file, but a batch ends after so many
+        for _ in range((i + 1) * files - len(spark.read.schema(df.schema).parquet(path).inputFiles())):
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
+    return readers.tail(spark, path, df.schema, files=files)
 
 
 @query(

@@ -1,4 +1,5 @@
-"""Operators whose state Spark keeps by key: what a batch costs follows from the batch, not from what came before it.
+"""Operators whose state Spark keeps by key, or by bucket of keys: what a batch costs follows from the batch and, in a
+retraction, from the state of the buckets that it touches.
 
 A record that changes is taken back from the group it was in and added to the one it is in now; snapshots pass a gate
 that knows the last one let through; counts are held back until there are enough of them or time is up. State is in the
@@ -9,6 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -24,36 +28,133 @@ def _ordered(values: Sequence) -> tuple:
     return tuple((v is not None, v) for v in values)
 
 
+#: Rows and bytes that are gathered before they are packed, and before those of a bucket that don't count are left out.
+_ROWS, _BYTES = 1_000_000, 64 << 20
+
+
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_bucket and _rows, packed: a task's rows in a few packets for each bucket, in the order in which they came."""
+
+    def packets(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        buckets = rows.column("_bucket").to_numpy()
+        at = np.argsort(buckets, kind="stable")
+        rows, buckets = rows.drop_columns("_bucket").take(at), buckets[at]
+        starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
+        ends = np.r_[starts[1:], len(buckets)]
+        for i in range(0, len(starts), 256):
+            data = [_packed(rows.slice(s, e - s)) for s, e in zip(starts[i : i + 256].tolist(), ends[i : i + 256].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets[starts[i : i + 256]], pa.int32()), pa.array(data, pa.binary())], ["_bucket", "_rows"])
+
+    own: list[pa.RecordBatch] = []
+    for batch in batches:
+        own.append(batch)
+        if sum(b.num_rows for b in own) >= _ROWS or sum(b.nbytes for b in own) >= _BYTES:
+            yield from packets(own)
+            own = []
+    if sum(b.num_rows for b in own):
+        yield from packets(own)
+
+
+def _rows_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            yield from _unpacked(data).to_batches()
+
+
+def _plain(column: pa.ChunkedArray, ordered: bool = False) -> pa.Array:
+    """The column as one array that can be compared; of nested values a number for each, in their order if asked for."""
+    if not pa.types.is_nested(column.type):
+        return column.combine_chunks()
+    values = column.to_pylist()
+    known = {repr(v): v for v in values if v is not None}
+    numbers = {r: i for i, r in enumerate(sorted(known, key=known.get) if ordered else known)}
+    return pa.array([None if v is None else numbers[repr(v)] for v in values], pa.int64())
+
+
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether values are equal; nulls are, and NaN is NaN."""
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    if pa.types.is_floating(a.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return same.to_numpy(zero_copy_only=False)
+
+
+def _by_key(rows: pa.Table, keys: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows by key and then order (nulls first, of equal ones the first one last), and where in them each
+    key begins. The first columns are the keys, those of the order follow."""
+    own = [_plain(rows.column(i), i >= keys) for i in range(keys + order)]
+    own = pa.RecordBatch.from_arrays([*own, pa.array(np.arange(rows.num_rows, 0, -1))], [str(i) for i in range(keys + order + 1)])
+    at = pc.sort_indices(own, sort_keys=[(c, "ascending") for c in own.schema.names], null_placement="at_start")
+    same = np.ones(max(rows.num_rows - 1, 0), bool)
+    for i in range(keys):
+        column = own.column(i).take(at)
+        same &= _same(column[1:], column[:-1])
+    return at.to_numpy().astype(np.int64), np.flatnonzero(np.r_[True, ~same])
+
+
 class Retraction(StatefulProcessor):
     """Keeps the last record of each key. A later one gives -1 times the old record's numbers for its group and +1 times
-    the new one's; one that is not later gives nothing; one marked as deleted only takes the old one back."""
+    the new one's; one that is not later gives nothing; one marked as deleted only takes the old one back.
+
+    Keys are dealt over buckets. State and rows of a bucket are Arrow tables, so that the calls to Spark's state and the
+    steps in Python are some for a bucket, not for a key. Columns: keys, order, groups, numbers, whether it is deleted."""
 
-    def __init__(self, order: Sequence[str], groups: Sequence[str], numbers: Sequence[str], deleted: str, schema: str, out: Sequence[str]):
-        self.order, self.groups, self.numbers, self.deleted, self.schema = list(order), list(groups), list(numbers), deleted, schema
-        self.names = [*self.order, *self.groups, *self.numbers, deleted]
-        self.out = list(out)
+    def __init__(self, keys: int, order: int, groups: int, numbers: int, out: Sequence[str]):
+        self.keys, self.order, self.groups, self.numbers, self.out = keys, order, groups, numbers, list(out)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.schema)
+        self.last = handle.getValueState("last", "rows binary")
 
-    def _change(self, record: dict, sign: int) -> Row:
-        numbers = [None if record[n] is None else sign * record[n] for n in self.numbers]
-        return Row(*self.out)(*[record[g] for g in self.groups], sign, *numbers)
+    def _changes(self, rows: pa.Table, sign: int) -> pa.Table:
+        first = self.keys + self.order + self.groups
+        groups = [rows.column(i) for i in range(first - self.groups, first)]
+        numbers = [rows.column(i) if sign > 0 else pc.negate(rows.column(i)) for i in range(first, first + self.numbers)]
+        return pa.table([*groups, pa.array(np.full(rows.num_rows, sign, np.int32)), *numbers], names=self.out)
 
     def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
-        new = max(({n: r[n] for n in self.names} for r in rows), key=lambda r: _ordered([r[c] for c in self.order]))
-        known = self.last.get() if self.last.exists() else None
-        old = dict(zip(self.names, known)) if known is not None else None
-        if old and _ordered([new[c] for c in self.order]) <= _ordered([old[c] for c in self.order]):
-            return
-        self.last.update(tuple(new[n] for n in self.names))
-        there, gone = old is not None and not old[self.deleted], bool(new[self.deleted])
-        if there and not gone and all(old[c] == new[c] for c in [*self.groups, *self.numbers]):
+        known = self.last.get()
+        parts = [] if known is None else [_unpacked(known[0])]
+        kept = parts[0].num_rows if parts else 0
+        fresh: list[pa.Table] = []
+        for row in rows:
+            fresh.append(_unpacked(row["_rows"]))
+            if sum(t.num_rows for t in fresh) >= _ROWS or sum(t.nbytes for t in fresh) >= _BYTES:
+                table = pa.concat_tables(fresh).combine_chunks()
+                at, starts = _by_key(table, self.keys, self.order)
+                # in the order in which they came
+                fresh = [table.take(np.sort(at[np.r_[starts[1:], len(at)] - 1]))]
+        table = pa.concat_tables([*parts, *fresh], promote_options="default").combine_chunks()
+        at, starts = _by_key(table, self.keys, self.order)
+        ends = np.r_[starts[1:], len(at)] - 1
+        last = at[ends]
+        old = np.maximum.reduceat(np.where(at < kept, at, -1), starts)
+        changed = last >= kept
+        if not changed.any():
             return
-        if there:
-            yield self._change(old, -1)
-        if not gone:
-            yield self._change(new, 1)
+        self.last.update((_packed(table.take(np.sort(last))),))
+        last, old = last[changed], old[changed]
+        gone = table.column(table.num_columns - 1).to_numpy().astype(bool)
+        there, here = (old >= 0) & ~gone[old], ~gone[last]
+        both = np.flatnonzero(there & here)
+        same = np.ones(len(both), bool)
+        for i in range(self.keys + self.order, table.num_columns - 1):
+            column = _plain(table.column(i))
+            same &= _same(column.take(pa.array(old[both])), column.take(pa.array(last[both])))
+        there[both[same]] = here[both[same]] = False
+        if there.any() or here.any():
+            yield Row("_rows")(_packed(pa.concat_tables([self._changes(table.take(old[there]), -1), self._changes(table.take(last[here]), 1)])))
 
 
 def _ddl(df: DataFrame, names: Sequence[str], prefix: str = "") -> str:
@@ -61,19 +162,21 @@ def _ddl(df: DataFrame, names: Sequence[str], prefix: str = "") -> str:
     return ", ".join(f"`{prefix}{n}` {kinds[n]}" for n in names)
 
 
-def changes(stream: DataFrame, keys: Sequence[str], order: Sequence[str], groups: Sequence[str], numbers: Sequence[str], deleted: Column | None = None) -> DataFrame:
+def changes(stream: DataFrame, keys: Sequence[str], order: Sequence[str], groups: Sequence[str], numbers: Sequence[str], deleted: Column | None = None, buckets: int = 1024) -> DataFrame:
     """groups, n (1 or -1) and numbers (whole ones): what the records of a stream add to and take from the sums of groups.
 
-    Of a key's records the one of the greatest `order` counts, in whatever order they come; of equal ones the first.
+    Of a key's records the one of the greatest `order` counts, in whatever order they come; of equal ones the first. A
+    batch reads and writes the state of the buckets that its keys are in: the more of them, the less a batch of few keys
+    costs, and the more one of many. A checkpoint keeps their number.
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-    rows = stream.select(F.struct(*keys).alias("_key"), *dict.fromkeys([*order, *groups, *numbers]), gone.alias("_deleted"))
-    # a state's columns need names of their own, though a column may be order, group and number at once
-    rows = rows.select("_key", *[F.col(c).alias(f"{p}_{c}") for p, own in (("o", order), ("g", groups), ("n", numbers)) for c in own], "_deleted")
-    named = [[f"{p}_{c}" for c in own] for p, own in (("o", order), ("g", groups), ("n", numbers))]
-    state = _ddl(rows, [*named[0], *named[1], *named[2], "_deleted"])
+    # columns need names of their own, though one may be key, order, group and number at once
+    own = [F.col(c).alias(f"{p}_{i}") for p, named in (("k", keys), ("o", order), ("g", groups), ("n", numbers)) for i, c in enumerate(named)]
+    rows = stream.select(*own, gone.alias("_deleted"), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket"))
     out = StructType.fromDDL(f"{_ddl(stream, groups)}, n int, {_ddl(stream, numbers)}")
-    return rows.groupBy("_key").transformWithState(Retraction(*named, "_deleted", state, out.names), out, "Update", "None")
+    packets = rows.mapInArrow(_by_bucket, "_bucket int, _rows binary")
+    changed = packets.groupBy("_bucket").transformWithState(Retraction(len(keys), len(order), len(groups), len(numbers), out.names), "_rows binary", "Update", "None")
+    return changed.mapInArrow(_rows_in, out)
 
 
 def retracted(stream: DataFrame, keys: Sequence[str], order: Sequence[str], groups: Sequence[str], numbers: Sequence[str], at: str | None = None, deleted: Column | None = None) -> DataFrame:
